@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, html, quality, secrets, simhash, tokenids
 from .common import materialise, table
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.write_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.drop("text")
@@ -19,6 +35,23 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = quality.train(docs, labels)
+    scored = quality.score(docs, model).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    base = F.filter("__spans", lambda s: s["kind"] < 3)
+    count = lambda k: F.size(F.filter("__spans", lambda s: s["kind"] == k)).cast("long")
+    return found.withColumn("__b", base).select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.listed("__b"), 256).alias("base_sha256"), secrets.listed("__spans").alias("spans"), count(3).alias("n_markov"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -99,10 +99,10 @@ def byte_values(seed: int) -> np.ndarray:
 
 
 def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string array, end to end, and the offsets of its rows (null: empty)."""
+    """Bytes of a string (UTF-8) or binary array, end to end, and the offsets of its rows (null: empty)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string()).fill_null("")
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, off, data = texts.buffers()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, quality, secrets, simhash, tokenids
+from . import decontaminate, html, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))

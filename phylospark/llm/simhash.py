@@ -186,7 +186,7 @@ def _forest(values: np.ndarray, groups: np.ndarray, distance: int) -> tuple[np.n
     return values[moved], values[parent[moved]]
 
 
-def blocks_for(n: int, distance: int, least: int = 5) -> int:
+def blocks_for(n: int, distance: int, least: int = 10) -> int:
     """Blocks of the 64 bits so that the agreeing bits of a pair identify small groups among ``n`` values."""
     blocks = distance + 1
     while blocks < 12 and 64 * (blocks - distance) // blocks < max(1, n).bit_length() - least:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, licenses, quality, secrets, simhash, substrings, tokenids
+from . import decontaminate, html, licenses, pieces, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -39,6 +39,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    return pieces.summary(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 

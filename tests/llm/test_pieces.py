@@ -61,7 +61,8 @@ def test_best_paths_equal_the_first_of_the_library_in_unigram_mode():
         assert p.decode(p.encode(t)) == t
         # the library adds up in 32 bits, which is exact to 2**24 only
         if t and all(c in p.table for c in p.plain(t)) and sum(abs(library.get_score(i)) for i in ids) < 2**24:
-            assert ids == library.nbest_encode(t, nbest_size=2)[0], t
+            total = lambda x: sum(library.get_score(i) for i in x)  # noqa: E731  ties may differ
+            assert total(ids) == total(library.nbest_encode(t, nbest_size=2)[0]), t
             compared += 1
     assert compared > 50
 

@@ -1,19 +1,33 @@
-"""A training-data pipeline over ``documents``; each stage works on what the one before kept."""
+"""A training-data pipeline over ``documents``; each stage works on what the one before kept.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of
+``docs``.  Rows with a null ``doc_id`` stay where a stage only rejects by content.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phylospark.llm import decontaminate, simhash
+from phylospark.llm import decontaminate, pieces, quality, secrets, simhash
 from phylospark.llm.common import materialise, table
+from phylospark.llm.queries import tokenizer_file
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores under 0.5 go."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, score_name="__score").where("__score >= 0.5").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one with the smallest doc_id."""
     fps = materialise(simhash.fingerprints(docs), "pipeline-fps")
-    keep = simhash.near_components(fps).where("doc_id = component_id").select("doc_id")
-    return docs.join(keep.distinct(), "doc_id", "left_semi")
+    keep = simhash.near_components(fps).where("doc_id <=> component_id").select("doc_id").distinct()
+    kept = docs.join(keep.withColumnRenamed("doc_id", "__keep"), F.expr("doc_id <=> __keep"), "left_semi")
+    if fps.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["doc_id"])  # repeated rows of one doc_id are one document
+    return kept
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +35,26 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("near_duplicates", near_duplicates), ("decontamination", decontaminated)]
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; n_chars follows the text."""
+    clean = secrets.redact(docs, secrets.train(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each text (summarised), with the check that they decode to it."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    return pieces.summary(pieces.encode(docs, model), model)
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("secrets", without_secrets),
+    ("pieces", encoded),
+]
+#: No SQL expresses the classifier, the piece search and the Markov model.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, licenses, pieces, quality, secrets, simhash, substrings, tokenids
+from . import audio, decontaminate, html, licenses, pieces, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -20,6 +20,13 @@ def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
+def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's bytes as a recording; the queries are the doc_ids divisible by 100."""
+    media = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("media"))
+    codes = materialise(audio.fingerprints(media), "audio-codes")
+    return audio.align(codes, F.col("doc_id") % 100 == 0)
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches
 
 _BATCH_BYTES = 2 << 20
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 1_200_000
 #: Texts of these characters only are cut here as the tokenizer's own pre-tokenizer cuts them.
 _PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\x0B\x0C\r a-z0-9ß-öø-ÿ]+")
@@ -59,24 +59,43 @@ class Encoder:
         self.by_piece = (steps[0].get("pattern") or {}).get("Regex") == _PATTERN and kinds == ["NFC", "Replace", "Lowercase"]
         self.terminals = self.tokenizer.get_vocab_size()
         self.known: dict[str, bytes] = {}
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        vocab = self.tokenizer.get_vocab()
+        self.ending = np.zeros(max(vocab.values()) + 1, bool)
+        self.ending[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces; the library gets many of them as one text, and each
+        piece's last id is one that ends a word."""
+        for k in range(0, len(pieces), 1024):
+            part = pieces[k : k + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ending[ids]) + 1
+            if len(stops) == len(part) and (not len(stops) or stops[-1] == len(ids)):
+                raw = ids.tobytes()
+                at = (stops * 4).tolist()
+                self.known.update(zip(part, [raw[a:b] for a, b in zip([0, *at], at)]))
+            else:
+                self.known.update(zip(part, self._ids(part)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | list[str]] = []
+        seen: set[str] = set()
         for text in texts:
-            plain = self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.special)
-            out.append(_PIECES.findall(text.lower()) if plain else self._ids([text])[0])
-        new = {p for x in out if isinstance(x, list) for p in x if p not in self.known}
+            if self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+                cut = _PIECES.findall(text.lower())
+                seen.update(cut)
+                out.append(cut)
+            else:
+                out.append(self._ids([text])[0])
+        new = seen - self.known.keys()
         if len(self.known) + len(new) > _CACHE_WORDS:
             self.known = {}
-            new = {p for x in out if isinstance(x, list) for p in x}
-        if new:
-            listed = list(new)
-            for k in range(0, len(listed), 4096):
-                part = listed[k : k + 4096]
-                self.known.update(zip(part, self._ids(part)))
+            new = seen
+        self._learn(list(new))
         get = self.known.__getitem__
         return [b"".join(map(get, x)) if isinstance(x, list) else x for x in out]
 
@@ -91,43 +110,53 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, least: int = 12, rounds: int = 12, most: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, least: int = 12, rounds: int = 5, most: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: ``symbols``, document ``ends`` in symbols, ``rules`` and expansion ``lengths``.
 
-    Each round gives the frequent pairs (``least`` times or more, ``most`` of them at once, the most
-    frequent first) a nonterminal each and replaces their occurrences; of two that overlap the more
-    frequent pair wins, of equal ones the left.
+    Each round gives the most frequent pairs (``least`` times or more, ``most`` of them at once) a
+    nonterminal each and replaces their occurrences; of two that overlap the more frequent pair
+    wins, of equal ones the left.  Pairs are counted in a hash table.
     """
     sym = ids.astype(np.uint32)
     last = np.zeros(len(sym), bool)
     last[ends - 1] = True  # every document has an id at least
     rules: list[np.ndarray] = []
     n = terminals
+    spots = 1 << 18
     for _ in range(rounds):
         if len(sym) < 2:
             break
         with np.errstate(over="ignore"):
-            spot = ((sym[:-1] * np.uint32(0x9E3779B1)) ^ (sym[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(12)
+            spot = ((sym[:-1] * np.uint32(0x9E3779B1)) ^ (sym[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(14)
         inside = ~last[:-1]
-        often = np.flatnonzero((np.bincount(spot[inside], minlength=1 << 20) >= least)[spot] & inside)
-        keys = sym[often].astype(np.uint64) << np.uint64(32) | sym[often + 1]
-        pairs, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        order = np.argsort(-counts, kind="stable")[:most]
-        order = order[counts[order] >= least]
-        if not len(order):
+        counts = np.bincount(spot[inside], minlength=spots)
+        # the fullest places of the hash table; where pairs share one, one of them has this round
+        top = np.flatnonzero(counts >= least)
+        if len(top) > most:
+            top = top[np.argpartition(-counts[top], most)[:most]]
+        if not len(top):
             break
-        rank = np.full(len(pairs), -1, np.int64)
-        rank[order] = np.arange(len(order))
-        rank = rank[which]
-        at, rank = often[rank >= 0], rank[rank >= 0]
+        chosen = np.zeros(spots, bool)
+        chosen[top] = True
+        at = np.flatnonzero(chosen[spot] & inside)
+        where, keys = spot[at], sym[at].astype(np.uint64) << np.uint64(32) | sym[at + 1]
+        pair = np.zeros(spots, np.uint64)
+        pair[where] = keys
+        mine = keys == pair[where]
+        at, where = at[mine], where[mine]
+        counts = np.bincount(where, minlength=spots)
+        enough = counts[where] >= least
+        at, where = at[enough], where[enough]
+        if not len(at):
+            break
+        rank = spots * (len(sym) - counts[where].astype(np.int64)) + where  # frequent pairs first
         taken = _apart(at, rank)
-        at, rank = at[taken], rank[taken]
-        used = np.unique(rank)
-        number = np.full(len(order), 0, np.int64)
-        number[used] = np.arange(len(used))
-        fresh = pairs[order[used]]
-        rules.append(np.stack([fresh >> np.uint64(32), fresh & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        sym[at] = (n + number[rank]).astype(np.uint32)
+        at, where = at[taken], where[taken]
+        used = np.flatnonzero(np.bincount(where, minlength=spots))
+        number = np.zeros(spots, np.int64)
+        number[used] = n + np.arange(len(used))
+        rules.append(np.stack([pair[used] >> np.uint64(32), pair[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        sym[at] = number[where].astype(np.uint32)
         n += len(used)
         gone = np.zeros(len(sym), bool)
         gone[at + 1] = True
@@ -165,8 +194,18 @@ def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
     return out
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
-    """Ids under the symbols."""
+def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """Ids under the symbols: with the rules' expansion ``lengths``, each rule is expanded once."""
+    if lengths is not None and len(rules) and len(symbols) > len(rules):
+        flat = expand(np.arange(terminals, terminals + len(rules)), rules, terminals)
+        source = np.concatenate([flat, symbols.astype(np.uint32)])
+        first = np.concatenate(([0], np.cumsum(lengths.astype(np.int64))))
+        big = symbols >= terminals
+        start = np.arange(len(flat), len(source))
+        start[big] = first[symbols[big].astype(np.int64) - terminals]
+        sizes = _sizes(symbols, lengths, terminals)
+        stops = np.cumsum(sizes)
+        return source[np.repeat(start - (stops - sizes), sizes) + np.arange(int(stops[-1]))]
     sym = symbols.astype(np.int64)
     while len(sym) and int(sym.max()) >= terminals:
         big = sym >= terminals
@@ -179,10 +218,15 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
     return sym.astype(np.uint32)
 
 
+def _sizes(symbols: np.ndarray, lengths: np.ndarray, terminals: int) -> np.ndarray:
+    """Number of ids under each symbol."""
+    known = np.concatenate(([1], lengths.astype(np.int64)))
+    return known[np.maximum(symbols.astype(np.int64) - (terminals - 1), 0)]
+
+
 def decode_range(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, terminals: int, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a shard: only the symbols that cover them are expanded."""
-    sizes = np.where(symbols >= terminals, lengths[np.maximum(symbols.astype(np.int64) - terminals, 0)] if len(lengths) else 1, 1).astype(np.int64)
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(_sizes(symbols, lengths, terminals))
     a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
     before = int(ends[a - 1]) if a else 0
     return expand(symbols[a:b], rules, terminals)[start - before : stop - before]
@@ -252,13 +296,12 @@ def read_documents(shards: DataFrame, visit: Callable[[np.ndarray], dict], field
                 rules = np.frombuffer(get("rules").as_py(), "<u4").reshape(-1, 2)
                 symbols = np.frombuffer(get("symbols").as_py(), "<u4")
                 terminals, at = get("terminals").as_py(), shared.value[get("part").as_py()] + get("start").as_py()
-                starts, counts, seen, first = [], [], [], 0
-                for end in get("ends").values.to_pylist():
-                    ids = expand(symbols[first:end], rules, terminals)
-                    starts.append(at)
-                    counts.append(len(ids))
-                    seen.append(visit(ids))
-                    at, first = at + len(ids), end
+                lengths = np.frombuffer(get("lengths").as_py(), "<u4")
+                ends = np.concatenate(([0], np.cumsum(_sizes(symbols, lengths, terminals))))[np.array(get("ends").values)]
+                ids = expand(symbols, rules, terminals, lengths)
+                seen = [visit(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+                counts = np.diff(ends, prepend=0)
+                starts = at + ends - counts
                 columns = [get("keys").values, pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), *[pa.array([s[n] for s in seen]) for n in names]]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "start", "n_tokens", *names])
 

@@ -77,6 +77,7 @@ def test_repair_round_trip():
         ends = np.unique(np.append(rnd.integers(1, n + 1, 9), n)) if n else np.zeros(0, int)
         symbols, stops, rules, lengths = tokenids.compress(ids, ends, 1000)
         assert (tokenids.expand(symbols, rules, 1000) == ids).all() and len(stops) == len(ends)
+        assert (tokenids.expand(symbols, rules, 1000, lengths) == ids).all()
         at = 0
         for stop, end, before in zip(stops, ends, [0, *ends]):
             assert (tokenids.expand(symbols[at:stop], rules, 1000) == ids[before:end]).all()

@@ -1,9 +1,5 @@
 """Named queries over the given tables, with their SQL counterparts."""
 
+from .registry import oracle_sql, queries
 
-def queries():
-    return {}
-
-
-def oracle_sql():
-    return {}
+__all__ = ["oracle_sql", "queries"]

@@ -72,8 +72,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, key:
     own, values = _known(docs.sparkSession, templates)
     listed = values.collect()  # a few hundred values for each template
     texts = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text")).repartition("doc", "tie")
-    hashed = texts.select("doc", "tie", _shingles("text").alias("sh"))
-    each = hashed.select("doc", "tie", F.posexplode("sh").alias("at", "s"))
+    # an outer explode leaves no filter that would have to read the texts before the shuffle
+    each = texts.select("doc", "tie", F.posexplode_outer(_shingles("text")).alias("at", "s")).where("s is not null")
     blocks = each.groupBy("doc", "tie", F.expr(f"at div {_STEP}").alias("b")).agg(*_minima("s"))
     twice = blocks.withColumn("w", F.explode(F.array("b", F.col("b") - 1)))
     windows = twice.groupBy("doc", "tie", "w").agg(*[F.min(f"m{j}").alias(f"m{j}") for j in range(BANDS)])
@@ -85,7 +85,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, key:
     pairs = met.join(F.broadcast(values), ["band", "value"]).select("doc", "tie", "template", (F.col("w") * _STEP - F.col("offset")).alias("near")).distinct()
     near = pairs.join(F.broadcast(own), "template").groupBy("doc", "tie").agg(F.collect_set(F.struct("near", "license", "known", "span")).alias("met"))
     near = near.withColumnsRenamed({"doc": "of", "tie": "of_tie"})
-    joined = hashed.join(near, F.expr("doc <=> of and tie <=> of_tie")).select("doc", "sh", F.explode("met").alias("m"))
+    joined = texts.join(near, F.expr("doc <=> of and tie <=> of_tie")).select("doc", _shingles("text").alias("sh"), "met").select("doc", "sh", F.explode_outer("met").alias("m"))
     first = F.greatest(F.lit(0), F.col("m.near") - _STEP)
     part = F.slice("sh", first + 1, F.col("m.span") + 4 * _STEP)
     share = F.size(F.array_intersect(F.col("m.known"), "part")) / F.size("m.known")

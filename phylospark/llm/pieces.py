@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import materialise, small_batches
 
 _BATCH_BYTES = 2 << 20
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 300_000
 _NONE = -np.inf
 SPACE = "▁"
 
@@ -53,10 +53,20 @@ class Pieces:
         self.penalty = min(s for s, _ in self.table.values()) - 10.0
         self.reach = max(map(len, self.table))
         self.heads = {p[:k] for p in self.table for k in range(1, len(p) + 1)}
-        #: no piece goes on over a border before a space, so texts fall apart there
-        self.apart = not any(SPACE in p.lstrip(SPACE) for p in self.table)
+        #: pairs of neighbours within pieces: texts fall apart between any other two characters
+        self.inside = {p[k : k + 2] for p in self.table for k in range(len(p) - 1)}
+        #: no piece goes on over a border before a space
+        self.apart = not any(x[1] == SPACE and x[0] != SPACE for x in self.inside)
+        self.scores = np.zeros(n)
+        for s, i in self.table.values():
+            self.scores[i] = s
+        for b, i in enumerate(self.bytes):  # an unknown character's cost is its first byte's
+            if i >= 0:
+                self.scores[i] = 0.0 if b & 0xC0 == 0x80 else self.penalty
+        self.scores[self.unknown] = self.penalty
         self.prefix = " " if model.decode(model.encode("a", out_type=int)) == "a" and model.encode("a", out_type=str)[0].startswith(SPACE) else ""
-        self.known: dict[str, tuple[bytes, float]] = {}
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def plain(self, text: str) -> str:
         """Text as the pieces see it: a space before it, white-space signs for spaces."""
@@ -105,21 +115,53 @@ class Pieces:
                 ids += [self.bytes[x] for x in raw] if self.bytes[0] >= 0 else [self.unknown]
         return ids, cuts[-1]
 
-    def word(self, s: str) -> tuple[bytes, float]:
-        """Ids (little-endian uint32) and score of a stretch that no piece leaves; remembered."""
-        of = self.known.get(s)
-        if of is None:
-            score, back = self.search(s, {0: 0.0}, len(s))
-            of = np.array(self.trace(s, back, len(s))[0], "<u4").tobytes(), score[-1]
+    def word(self, s: str) -> bytes:
+        """Ids (little-endian uint32) of a stretch that no piece leaves; remembered."""
+        out = self.known.get(s)
+        if out is None:
+            inside, a, ids = self.inside, 0, []
+            for k in range(1, len(s)):
+                if s[k - 1 : k + 1] not in inside:
+                    ids.append(self._part(s[a:k]))
+                    a = k
+            ids.append(self._part(s[a:]))
+            out = ids[0] if len(ids) == 1 else b"".join(ids)
             if len(self.known) >= _CACHE_WORDS:
                 self.known.clear()
-            if len(s) < 200:
-                self.known[s] = of
-        return of
+            if len(s) < 64:
+                self.known[s] = out
+        return out
+
+    def _part(self, s: str) -> bytes:
+        out = self.parts.get(s)
+        if out is None:
+            _, back = self.search(s, {0: 0.0}, len(s))
+            out = np.array(self.trace(s, back, len(s))[0], "<u4").tobytes()
+            if len(self.parts) >= _CACHE_WORDS:
+                self.parts.clear()
+            if len(s) < 64:
+                self.parts[s] = out
+        return out
+
+    def stretch(self, s: str) -> bytes:
+        """Ids of a stretch between two borders that no piece crosses."""
+        return b"".join(map(self.word, self.words(s)))
+
+    def meeting(self, s: str, size: int) -> tuple[int, int]:
+        """First and last place of a chunk that all its paths pass (before a space), or -1, -1."""
+        if not self.apart:
+            return -1, -1
+        a = s.find(SPACE, self.reach, size)
+        while 0 < a and s[a - 1] == SPACE:
+            a = s.find(SPACE, a + 1, size)
+        b = s.rfind(SPACE, self.reach, size)
+        while 0 < b and s[b - 1] == SPACE:
+            b = s.rfind(SPACE, self.reach, b)
+        return (a, b) if a > 0 and b > 0 else (-1, -1)
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as little-endian uint32."""
-        return b"".join([self.word(w)[0] for w in self.words(self.plain(text))])
+        return self.stretch(self.plain(text))
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids (without the space before it)."""
@@ -131,18 +173,14 @@ class Pieces:
         """Max-plus transfer matrix of a chunk: ``s`` is its ``size`` characters and those after it
         that its last pieces may take.  Entry i, exit j: characters hung over at its borders."""
         out = np.full((self.reach, self.reach), _NONE)
-        first = last = -1
-        if self.apart:  # all paths meet before a space: the matrix is a sum of two vectors there
-            cuts = [m.start() + 1 for m in re.finditer(f"[^{SPACE}](?={SPACE})", s[: size + 1])]
-            cuts = [c for c in cuts if self.reach <= c <= size]
-            first, last = (cuts[0], cuts[-1]) if cuts else (-1, -1)
+        first, last = self.meeting(s, size)
         if first < 0:
             for i in range(min(self.reach, size + 1)):
                 score, _ = self.search(s, {i: 0.0}, size)
                 exits = score[size : size + self.reach]
                 out[i, : len(exits)] = exits
             return self._short(out, size)
-        middle = sum(self.word(w)[1] for w in self.words(s[first:last]))
+        middle = float(self.scores[np.frombuffer(self.stretch(s[first:last]), "<u4")].sum())
         score, _ = self.search(s[last:], {0: 0.0}, size - last)
         tail = score[size - last : size - last + self.reach]
         for i in range(self.reach):
@@ -150,6 +188,26 @@ class Pieces:
             out[i, : len(tail)] = np.array(tail) + (head + middle)
         return out
 
+    def origins(self, s: str, size: int, entry: dict[int, float]) -> list[int]:
+        """For each exit of a chunk, the entry from which its best path comes."""
+        first, _ = self.meeting(s, size)
+        if first > 0:
+            _, back = self.search(s[:first], entry, first)
+            return [self.trace(s, back, first)[1]] * self.reach
+        _, back = self.search(s, entry, size)
+        return [self.trace(s, back, size + j)[1] if size + j <= len(s) else 0 for j in range(self.reach)]
+
+    def backtrace(self, s: str, size: int, entry: dict[int, float], leave: int) -> bytes:
+        """Ids of the chunk's part of the best path that leaves it by ``leave``."""
+        pack = lambda ids: np.array(ids, "<u4").tobytes()
+        first, last = self.meeting(s, size)
+        if first > 0:
+            head, tail = s[:first], s[last:]
+            a = self.trace(head, self.search(head, entry, first)[1], first)[0]
+            b = self.trace(tail, self.search(tail, {0: 0.0}, size - last)[1], size - last + leave)[0]
+            return pack(a) + self.stretch(s[first:last]) + pack(b)
+        return pack(self.trace(s, self.search(s, entry, size)[1], size + leave)[0])
+
     def _short(self, out: np.ndarray, size: int) -> np.ndarray:
         for i in range(size, self.reach):  # a piece that hangs over the whole chunk
             out[i, i - size] = max(out[i, i - size], 0.0)
@@ -239,10 +297,7 @@ def encode(docs: DataFrame, model: str, *, key: str = "doc_id", text: str = "tex
     def origins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in small_batches(batches, "part", _BATCH_BYTES):
-            made = []
-            for s, n, entry in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "entry"))):
-                _, back = p.search(s, _open(entry, s), n)
-                made.append([p.trace(s, back, n + j)[1] if n + j <= len(s) else 0 for j in range(p.reach)])
+            made = [p.origins(s, n, _open(entry, s)) for s, n, entry in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "entry")))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc", "tie", "chunk")], pa.array(made, pa.list_(pa.int32()))], names=["doc", "tie", "chunk", "origin"])
 
     same = lambda a, b: a.doc.eqNullSafe(b.doc) & (a.tie == b.tie) & (a.chunk == b.chunk)
@@ -252,10 +307,7 @@ def encode(docs: DataFrame, model: str, *, key: str = "doc_id", text: str = "tex
     def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in small_batches(batches, "part", _BATCH_BYTES):
-            made = []
-            for s, n, entry, leave in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "entry", "leave"))):
-                _, back = p.search(s, _open(entry, s), n)
-                made.append(np.array(p.trace(s, back, n + leave)[0], "<u4").tobytes())
+            made = [p.backtrace(s, n, _open(entry, s), leave) for s, n, entry, leave in zip(*(batch.column(c).to_pylist() for c in ("part", "size", "entry", "leave")))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc", "tie", "chunk")], pa.array(made, pa.binary())], names=["doc", "tie", "chunk", "ids"])
 
     ended = met.join(leaves, same(met, leaves)).select(*[met[c] for c in met.columns], "leave")

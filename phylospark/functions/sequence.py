@@ -11,10 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "after_gap_free", "back_translate", "before_dot", "block_key", "chars", "clean_id", "coalescent_density", "codon_positions", "drop_direction",
-    "file_number", "gap_counts", "gene_of_isoform", "is_all_missing", "iupac_code", "orf_header", "partner_file", "ratio", "reverse_complement",
+    "after_gap_free", "back_translate", "before_dot", "block_key", "chars", "clean_id", "coalescent_density", "codon_positions", "drop_direction", "ending_kmers",
+    "file_number", "gap_counts", "gene_of_isoform", "is_all_missing", "iupac_code", "let", "orf_header", "partner_file", "pick_sites", "ratio", "reverse_complement",
     "species_list", "species_of", "strip_gene_labels", "strip_residues", "taxon_name", "threshold_label", "translate_codons", "triplet_parts",
-    "trim_quality", "unescape", "wrap",
+    "trim_quality", "unescape", "windows_of", "wrap",
 ]
 
 
@@ -27,6 +27,36 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(_c(a).cast("double"), _c(b).cast("double"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, not once for each element that uses it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
+
+
+def pick_sites(seq: Column | str, sites: Column | str, fill: str = "-") -> Column:
+    """The characters at some positions (from 1), ``fill`` beyond the end."""
+    return let(chars(seq), lambda c: F.array_join(F.transform(_c(sites), lambda p: F.coalesce(F.get(c, p.cast("int") - 1), F.lit(fill))), ""))
+
+
+def ending_kmers(seq: Column | str, longest: int, first: int = 0) -> Column:
+    """For every position from ``first`` (0-based): struct of ``i`` (counted from ``first``) and the k-mer of up
+    to ``longest`` bases that ends there."""
+    def at(c: Column) -> Column:
+        gram = lambda i: F.array_join(F.slice(c, F.greatest(i + 2 - longest, F.lit(1)) + first, F.least(i + 1, F.lit(longest))), "")
+        places = F.when(F.size(c) > first, F.sequence(F.lit(0), F.size(c) - 1 - first)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct(i.alias("i"), gram(i).alias("kmer")))
+
+    return let(chars(seq), at)
+
+
+def windows_of(seq: Column | str, k: int, step: int = 1) -> Column:
+    """Distinct windows of ``k`` characters, every ``step``-th."""
+    def at(c: Column) -> Column:
+        starts = F.when(F.size(c) >= k, F.sequence(F.lit(1), F.size(c) - (k - 1), F.lit(step))).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(c, i, k), "")))
+
+    return let(chars(seq), at)
+
+
 def chars(seq: Column | str) -> Column:
     """Array of the characters."""
     return F.when(F.length(_c(seq)) > 0, F.split(_c(seq), "")).otherwise(F.array().cast("array<string>"))
@@ -180,21 +210,23 @@ def back_translate(protein: Column | str, cds: Column | str) -> Column:
 
     A coding length that is no multiple of 3 raises.
     """
-    codons = F.regexp_extract_all(_c(cds), F.lit("(?s)(.{3})"), F.lit(1))
     zero = F.struct(F.lit(0).alias("i"), F.lit("").alias("out"))
 
-    def step(acc: Column, c: Column) -> Column:
+    def step(codons: Column, acc: Column, c: Column) -> Column:
         said = F.when(c.isin("-", "*"), F.lit("---")).otherwise(F.coalesce(F.get(codons, acc["i"]), F.lit("")))
         return F.struct((acc["i"] + F.when(c == "-", 0).otherwise(1)).alias("i"), F.concat(acc["out"], said).alias("out"))
 
-    folded = F.aggregate(chars(protein), zero, step, lambda acc: acc["out"])
+    fold = lambda codons: F.aggregate(chars(protein), zero, lambda acc, c: step(codons, acc, c), lambda acc: acc["out"])
+    folded = let(F.regexp_extract_all(_c(cds), F.lit("(?s)(.{3})"), F.lit(1)), fold)
     return F.when(F.length(_c(cds)) % 3 == 0, folded).otherwise(F.raise_error(F.lit("coding length is no multiple of 3")).cast("string"))
 
 
 def codon_positions(seq: Column | str) -> Column:
     """Array of the three codon-position subsequences."""
-    seq = chars(seq)
-    return F.array(*[F.array_join(F.filter(seq, lambda _, i, k=k: i % 3 == k), "") for k in range(3)])
+    def every_third(k: int) -> Column:
+        return F.array_join(F.filter(chars(seq), lambda _, i: i % 3 == k), "")
+
+    return F.array(*map(every_third, range(3)))
 
 
 def block_key(pos: Column | str, size: int = 50_000) -> Column:
@@ -216,17 +248,25 @@ def trim_quality(seq: Column | str, qual: Column | str, *, leading: int = 3, tra
     In order: leading and trailing low bases, then the read is cut at the start of the first window
     whose mean quality is under ``mean``, then ``head`` bases off the start.
     """
+    def bounds(q: Column) -> Column:
+        good = lambda limit: F.filter(F.transform(q, lambda v, i: F.when(v >= limit, i)), lambda i: i.isNotNull())
+        return F.struct(F.array_min(good(leading)).alias("first"), F.array_max(good(trailing)).alias("last"), q.alias("q"))
+
+    def kept(b: Column) -> Column:
+        part = F.slice(b["q"], b["first"] + 1, F.greatest(b["last"] - b["first"] + 1, F.lit(0)))
+        return F.struct(b["first"].alias("first"), part.alias("q"))
+
+    def size(b: Column) -> Column:
+        sums = lambda i: F.aggregate(F.slice(b["q"], i, window), F.lit(0), lambda a, v: a + v)
+        n = F.size(b["q"])
+        places = F.when(n >= window, F.sequence(F.lit(1), n - window + 1)).otherwise(F.array().cast("array<int>"))
+        low = F.array_min(F.filter(places, lambda i: sums(i) < mean * window))
+        return F.struct((b["first"] + 1 + head).alias("at"), (F.coalesce(low - 1, n) - head).alias("n"))
+
+    cut = lambda s, x: F.substr(_c(s), x["at"], x["n"])
+    done = lambda x: F.when(x["n"] >= least, F.struct(cut(seq, x).alias("seq"), cut(qual, x).alias("qual")))
     q = F.transform(chars(qual), lambda c: F.ascii(c) - 33)
-    good = lambda limit: F.filter(F.transform(q, lambda v, i: F.when(v >= limit, i)), lambda i: i.isNotNull())
-    first = F.array_min(good(leading))
-    last = F.array_max(good(trailing))
-    kept = F.slice(q, first + 1, F.greatest(last - first + 1, F.lit(0)))
-    n = F.size(kept)
-    sums = lambda i: F.aggregate(F.slice(kept, i, window), F.lit(0), lambda a, v: a + v)
-    low = F.filter(F.when(n >= window, F.sequence(F.lit(1), n - window + 1)).otherwise(F.array().cast("array<int>")), lambda i: sums(i) < mean * window)
-    size = F.coalesce(F.array_min(low) - 1, n) - head
-    cut = lambda s: F.substr(_c(s), first + 1 + head, size)
-    return F.when(size >= least, F.struct(cut(seq).alias("seq"), cut(qual).alias("qual")))
+    return let(q, lambda v: let(bounds(v), lambda b: let(kept(b), lambda k: let(size(k), done))))
 
 
 # numeric forms ----------------------------------------------------------------------------------

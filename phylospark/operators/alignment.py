@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import chars, is_all_missing, ratio, threshold_label
+from ..functions import chars, is_all_missing, pick_sites, ratio, threshold_label
 
 
 
@@ -55,9 +55,8 @@ def filter_sites(alignments: DataFrame, threshold: float = 0.2, empty: str = "^(
     length is bounded by the alignment's), rows are rebuilt where they are.
     """
     kept = kept_sites(alignments, threshold).groupBy("locus").agg(F.array_sort(F.collect_list("pos")).alias("__sites"))
-    rows = drop_missing_rows(alignments).join(kept, "locus").withColumn("__c", chars("seq"))
-    rows = rows.withColumn("seq", F.array_join(F.transform("__sites", lambda p: F.coalesce(F.get("__c", p - 1), F.lit("-"))), ""))
-    return rows.where(~F.col("seq").rlike(empty)).drop("__sites", "__c")
+    rows = drop_missing_rows(alignments).join(kept, "locus").withColumn("seq", pick_sites("seq", "__sites"))
+    return rows.where(~F.col("seq").rlike(empty)).drop("__sites")
 
 
 def site_patterns(alignments: DataFrame) -> DataFrame:
@@ -143,7 +142,7 @@ def prune_outliers(alignments: DataFrame, leaves: DataFrame, removed: DataFrame)
     same = names.join(tips, "locus").where("a = b").select("locus")
     rows = remove_taxa(alignments.join(same, "locus", "left_semi"), removed)
     kept = cells(rows).where("base <> '-'").groupBy("locus", "pos").agg(F.count("*").alias("n")).groupBy("locus").agg(F.array_sort(F.collect_list("pos")).alias("s"))
-    return rows.join(kept, "locus").withColumn("c", chars("seq")).withColumn("seq", F.array_join(F.transform("s", lambda p: F.coalesce(F.get("c", p - 1), F.lit("-"))), "")).drop("s", "c")
+    return rows.join(kept, "locus").withColumn("seq", pick_sites("seq", "s")).drop("s")
 
 
 def supermatrix(alignments: DataFrame, fill: str = "?") -> DataFrame:
@@ -178,10 +177,9 @@ def bootstrap(alignments: DataFrame, replicates: int = 1, seed: int = 1) -> Data
     """Column resamples with replacement: site k of replicate r is drawn by a hash of (seed, locus, r, k)."""
     lengths = alignments.groupBy("locus").agg(F.max(F.length("seq")).alias("n"))
     drawn = lengths.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    sites = F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.pmod(F.xxhash64(F.lit(seed), "locus", "replicate", k), F.col("n").cast("long")))
+    sites = F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.pmod(F.xxhash64(F.lit(seed), "locus", "replicate", k), F.col("n").cast("long")) + 1)
     drawn = drawn.withColumn("sites", sites)
-    rows = alignments.join(drawn, "locus").withColumn("c", chars("seq"))
-    return rows.select("locus", "replicate", "ord", "seq_id", F.array_join(F.transform("sites", lambda p: F.coalesce(F.get("c", p.cast("int")), F.lit("-"))), "").alias("seq"))
+    return alignments.join(drawn, "locus").select("locus", "replicate", "ord", "seq_id", pick_sites("seq", "sites").alias("seq"))
 
 
 def nucleotide_diversity(alignments: DataFrame, window: int = 600, step: int = 200) -> DataFrame:
@@ -192,4 +190,4 @@ def nucleotide_diversity(alignments: DataFrame, window: int = 600, step: int = 2
     pi = site.withColumn("pi", ratio(F.col("n") * F.col("n") - F.col("sq"), F.col("n") * (F.col("n") - 1)))
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") - window) / step))
     bins = pi.withColumn("w", F.explode(F.sequence(first.cast("int"), F.floor((F.col("pos") - 1) / step).cast("int"))))
-    return bins.groupBy("locus", (F.col("w") * step + 1).alias("start")).agg(F.round(F.sum(F.coalesce("pi", F.lit(0.0))) / window, 6).alias("pi"))
+    return bins.groupBy("locus", (F.col("w") * step + 1).alias("start")).agg((F.sum(F.coalesce("pi", F.lit(0.0))) / window).alias("pi"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import chars, ratio, reverse_complement, translate_codons
+from ..functions import chars, ending_kmers, ratio, reverse_complement, translate_codons
 
 _STOP = "(TAA|TAG|TGA)$"
 
@@ -34,11 +34,9 @@ def _without_stop(seq: Column) -> Column:
 
 def framed_kmers(cds: DataFrame, longest: int = 6) -> DataFrame:
     """``kmer``, ``frame`` (index of its last base mod 3), ``n``, for k = 1 .. ``longest``."""
-    seq = cds.select(_without_stop(F.col("seq")).alias("s"))
-    ends = seq.select("s", F.explode(F.when(F.length("s") > 0, F.sequence(F.lit(0), F.length("s") - 1))).alias("i"))
     # the longest window goes through the explode once; its suffixes are the shorter k-mers
-    window = F.substr("s", F.greatest(F.col("i") - longest + 2, F.lit(1)), F.least(F.col("i") + 1, F.lit(longest)))
-    counted = ends.select(window.alias("w"), (F.col("i") % 3).alias("frame")).groupBy("w", "frame").agg(F.count("*").alias("n"))
+    ends = cds.select(F.explode(ending_kmers(_without_stop(F.col("seq")), longest)).alias("e"))
+    counted = ends.groupBy(F.col("e.kmer").alias("w"), (F.col("e.i") % 3).alias("frame")).agg(F.count("*").alias("n"))
     each = counted.select("frame", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w")), lambda k: F.substr("w", F.length("w") - k + 1, k))).alias("kmer"))
     return each.groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
 
@@ -65,10 +63,9 @@ def coding_scores(cds: DataFrame, model: DataFrame, order: int = 5, id_: str = "
     """
     seq = cds.select(id_, _without_stop(F.col("seq")).alias("s"))
     strands = seq.select(id_, F.posexplode(F.array(F.col("s"), reverse_complement("s"))).alias("strand", "s"))
-    frames = strands.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("t", F.substr("s", F.col("f") + 1, F.length("s")))
-    grams = frames.where(F.length("t") > 0).select(id_, (F.col("strand") * 3 + F.col("f") + 1).alias("k"), "t", F.explode(F.sequence(F.lit(0), F.length("t") - 1)).alias("i"))
-    gram = F.substr("t", F.greatest(F.col("i") - order + 1, F.lit(1)), F.least(F.col("i") + 1, F.lit(order + 1)))
-    counted = grams.select(id_, "k", gram.alias("kmer"), (F.col("i") % 3).alias("frame")).groupBy(id_, "k", "kmer", "frame").agg(F.count("*").alias("c"))
+    frames = strands.select(id_, "strand", F.posexplode(F.array(*[ending_kmers("s", order + 1, f) for f in range(3)])).alias("f", "grams"))
+    grams = frames.select(id_, (F.col("strand") * 3 + F.col("f") + 1).alias("k"), F.explode("grams").alias("e"))
+    counted = grams.groupBy(id_, "k", F.col("e.kmer").alias("kmer"), (F.col("e.i") % 3).alias("frame")).agg(F.count("*").alias("c"))
     lik = model.select("kmer", "frame", "loglik")
     sums = counted.join(lik, ["kmer", "frame"]).groupBy(id_).agg(*[F.sum(F.when(F.col("k") == k, F.col("c") * F.col("loglik"))).alias(f"score_{k}") for k in range(1, 7)])
     out = cds.select(id_, F.length("seq").cast("long").alias("seq_length")).join(sums, id_, "left")
@@ -114,9 +111,8 @@ def orfs(transcripts: DataFrame, least: int = 100, code: int = 1) -> DataFrame:
 
 def likelihood_profile(seqs: DataFrame, model: DataFrame, order: int = 5, cap: int | None = None, id_: str = "seq_id") -> DataFrame:
     """Per-position log-likelihood and its running sum; at most ``cap`` uses of one k-mer and frame count."""
-    at = seqs.select(id_, F.upper("seq").alias("s"), F.explode(F.sequence(F.lit(0), F.length("seq") - 1)).alias("i"))
-    gram = F.substr("s", F.greatest(F.col("i") - order + 1, F.lit(1)), F.least(F.col("i") + 1, F.lit(order + 1)))
-    rows = at.select(id_, "i", gram.alias("kmer"), (F.col("i") % 3).alias("frame")).join(model.select("kmer", "frame", "loglik"), ["kmer", "frame"], "left")
+    at = seqs.select(id_, F.explode(ending_kmers(F.upper("seq"), order + 1)).alias("e"))
+    rows = at.select(id_, "e.i", "e.kmer", (F.col("e.i") % 3).alias("frame")).join(model.select("kmer", "frame", "loglik"), ["kmer", "frame"], "left")
     lik = F.coalesce("loglik", F.lit(0.0))
     if cap is not None:
         rows = rows.withColumn("__u", F.row_number().over(W.partitionBy(id_, "kmer", "frame").orderBy("i")))
@@ -239,7 +235,11 @@ def codon_usage(cds: DataFrame, code: int = 1) -> DataFrame:
 def repeats(sequences: DataFrame, least: dict[int, int] | None = None) -> DataFrame:
     """Simple sequence repeats: unit and copies, by unit length 1 to 6."""
     least = least or {1: 10, 2: 6, 3: 5, 4: 5, 5: 5, 6: 5}
-    found = [F.transform(F.regexp_extract_all(F.upper("seq"), F.lit(f"(([ACGT]{{{k}}})\\2{{{n - 1},}})"), F.lit(1)), lambda m, k=k: F.struct(F.lit(k).alias("unit_length"), F.substring(m, 1, k).alias("unit"), (F.length(m) / k).cast("int").alias("copies"))) for k, n in least.items()]
+    def of(k: int, n: int) -> Column:
+        found = F.regexp_extract_all(F.upper("seq"), F.lit(f"(([ACGT]{{{k}}})\\2{{{n - 1},}})"), F.lit(1))
+        return F.transform(found, lambda m: F.struct(F.lit(k).alias("unit_length"), F.substring(m, 1, k).alias("unit"), (F.length(m) / k).cast("int").alias("copies")))
+
+    found = [of(k, n) for k, n in least.items()]
     one = sequences.select("seq_id", F.explode(F.concat(*found)).alias("r")).select("seq_id", "r.*")
     # "AA" as a unit of two is the unit of one
     return one.where((F.col("unit_length") == 1) | ~F.col("unit").rlike(r"^(.)\1+$"))

@@ -27,10 +27,10 @@ def triplet_branches(pairs: DataFrame, taxa: list[str] | None = None) -> DataFra
     return best.select("tree_id", F.concat_ws("_", "x", "y", "z").alias("triplet"), F.col("r")[0]["out"].alias("outgroup"), length.alias("branch")).where("branch > 0")
 
 
-def _log_mix(x: np.ndarray, pi: float, scale: float, c: float, null: float) -> np.ndarray:
+def _log_mix(x: np.ndarray, pi: float, scale: float, c: float | np.ndarray, null: float) -> np.ndarray:
     with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
         far = 0.5 / scale * np.exp(-x / scale) * (1 + np.exp(c))
-        near = np.sinh(x / scale) / (scale * np.expm1(c)) if c > 0 else np.zeros_like(x)
+        near = np.sinh(x / scale) / (scale * np.expm1(c))
         second = np.where(x >= c * scale, far, near)
         return np.log(np.maximum((1 - pi) * np.exp(-x / null) / null + pi * second, 1e-300))
 
@@ -60,7 +60,7 @@ def fit_mixtures(branches: DataFrame, rounds: int = 50, floor: float = 0.0005) -
             trial = np.unique(np.quantile(x / scale, np.linspace(0, 1, min(n, 32))))
             trial = trial[(trial > 1e-6) & (trial < 700)]
             if len(trial):
-                c = float(trial[int(np.argmax([_log_mix(x, pi, scale, t, scale).sum() for t in trial]))])
+                c = float(trial[int(np.argmax(_log_mix(x, pi, scale, trial[:, None], scale).sum(1)))])
             ll = float(_log_mix(x, pi, scale, c, scale).sum())
             best = max(best, (ll, pi, scale, c))
         ll, pi, scale, c = best

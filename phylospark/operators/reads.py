@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import trim_quality
+from ..functions import trim_quality, windows_of
 
 
 def trim(reads: DataFrame, **options) -> DataFrame:
@@ -26,8 +26,7 @@ def longest_records(sequences: DataFrame, n: int, longest: int | None = None) ->
 def low_complexity(proteins: DataFrame, least: float = 0.3) -> DataFrame:
     """proteins whose distinct 5-mers are under ``least`` of length / 5 windows."""
     n = F.length("seq")
-    kmers = F.when(n >= 5, F.transform(F.sequence(F.lit(1), n - 4), lambda i: F.substr("seq", i, F.lit(5))))
-    return proteins.withColumn("kinds", F.coalesce(F.size(F.array_distinct(kmers)), F.lit(0))).withColumn("low", F.col("kinds") < least * n / 5)
+    return proteins.withColumn("kinds", F.coalesce(F.size(windows_of("seq", 5)), F.lit(0))).withColumn("low", F.col("kinds") < least * n / 5)
 
 
 def longest_isoform(sequences: DataFrame, gene: str = "gene") -> DataFrame:

@@ -54,9 +54,9 @@ def gap_statistics(spark, sf_dir):
     return alignment.gap_statistics(view(spark, sf_dir, ALIGNMENTS))
 
 
-@query(f"WITH {_ALL_CELLS}, b AS (SELECT locus, pos, base, count(*) AS k FROM cells WHERE base IN ('A','C','G','T') GROUP BY ALL), s AS (SELECT locus, pos, sum(k) AS n, sum(k * k) AS sq FROM b GROUP BY ALL), p AS (SELECT locus, pos, CASE WHEN n > 1 THEN (n * n - sq) / (n * (n - 1))::DOUBLE ELSE 0 END AS pi FROM s), w AS (SELECT locus, pi, unnest(generate_series(greatest(0, CAST(ceil((pos - 600) / 200.0) AS BIGINT)), (pos - 1) // 200)) AS w FROM p) SELECT locus, CAST(w * 200 + 1 AS BIGINT) AS start, round(sum(pi) / 600, 4) AS pi FROM w GROUP BY ALL")
+@query(f"WITH {_ALL_CELLS}, b AS (SELECT locus, pos, base, count(*) AS k FROM cells WHERE base IN ('A','C','G','T') GROUP BY ALL), s AS (SELECT locus, pos, sum(k) AS n, sum(k * k) AS sq FROM b GROUP BY ALL), p AS (SELECT locus, pos, CASE WHEN n > 1 THEN (n * n - sq) / (n * (n - 1))::DOUBLE ELSE 0 END AS pi FROM s), w AS (SELECT locus, pi, unnest(generate_series(greatest(0, CAST(ceil((pos - 600) / 200.0) AS BIGINT)), (pos - 1) // 200)) AS w FROM p) SELECT locus, CAST(w * 200 + 1 AS BIGINT) AS start, round(sum(pi) / 600, 5) AS pi FROM w GROUP BY ALL")
 def nucleotide_diversity(spark, sf_dir):
-    return alignment.nucleotide_diversity(view(spark, sf_dir, ALIGNMENTS)).select("locus", F.col("start").cast("long").alias("start"), F.round("pi", 4).alias("pi"))
+    return alignment.nucleotide_diversity(view(spark, sf_dir, ALIGNMENTS)).select("locus", F.col("start").cast("long").alias("start"), F.round("pi", 5).alias("pi"))
 
 
 @query(f"WITH c AS {_C} SELECT seq_id, md5(reverse(translate(seq, 'ACGT', 'TGCA'))) AS rc_md5 FROM c")
@@ -100,7 +100,7 @@ def clipped_loglik(spark, sf_dir):
     return coding.clip_outliers(_model(spark, sf_dir)[1]).select("kmer", F.col("frame").cast("int").alias("frame"), F.round("loglik", 6).alias("loglik"))
 
 
-@query(f"WITH {_MODEL}, st AS (SELECT orf_id, 0 AS st, s FROM c UNION ALL SELECT orf_id, 1, reverse(translate(s, 'ACGT', 'TGCA')) FROM c), fr AS (SELECT orf_id, st, f, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), pos AS (SELECT orf_id, st * 3 + f + 1 AS k, t, unnest(range(length(t))) AS i FROM fr), g AS (SELECT orf_id, k, CASE WHEN i < 2 THEN substr(t, 1, i + 1) ELSE substr(t, i - 1, 3) END AS kmer, i % 3 AS frame FROM pos), cnt AS (SELECT orf_id, k, kmer, frame, count(*) AS c FROM g GROUP BY ALL), sc AS (SELECT orf_id, k, sum(c * loglik) AS x FROM cnt JOIN model USING (kmer, frame) GROUP BY ALL) SELECT d.orf_id, CAST(length(d.seq) AS BIGINT) AS seq_length, " + ", ".join(f"round(CASE WHEN length(d.seq) < 6 THEN 0.0 ELSE coalesce(max(x) FILTER (k = {k}), 0.0) END, 1) AS score_{k}" for k in range(1, 7)) + f" FROM {_C} d LEFT JOIN sc USING (orf_id) GROUP BY d.orf_id, d.seq")
+@query(f"WITH {_MODEL}, st AS (SELECT orf_id, 0 AS st, s FROM c UNION ALL SELECT orf_id, 1, reverse(translate(s, 'ACGT', 'TGCA')) FROM c), fr AS (SELECT orf_id, st, f, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), pos AS (SELECT orf_id, st * 3 + f + 1 AS k, t, unnest(range(length(t))) AS i FROM fr), g AS (SELECT orf_id, k, CASE WHEN i < 2 THEN substr(t, 1, i + 1) ELSE substr(t, i - 1, 3) END AS kmer, i % 3 AS frame FROM pos), cnt AS (SELECT orf_id, k, kmer, frame, count(*) AS c FROM g GROUP BY ALL), sc AS (SELECT orf_id, k, sum(c * loglik) AS x FROM cnt JOIN model USING (kmer, frame) GROUP BY ALL) SELECT d.orf_id, CAST(length(d.seq) AS BIGINT) AS seq_length, " + ", ".join(f"round(round(CASE WHEN length(d.seq) < 6 THEN 0.0 ELSE coalesce(max(x) FILTER (k = {k}), 0.0) END, 2), 1) AS score_{k}" for k in range(1, 7)) + f" FROM {_C} d LEFT JOIN sc USING (orf_id) GROUP BY d.orf_id, d.seq")
 def coding_scores(spark, sf_dir):
     cds, model = _model(spark, sf_dir)
     return coding.coding_scores(cds, model, 2).select("orf_id", "seq_length", *[F.round(f"score_{k}", 1).alias(f"score_{k}") for k in range(1, 7)])

@@ -169,7 +169,7 @@ def overlapping_pairs(spark, sf_dir):
     return intervals.overlaps(rows.where("id % 2 = 0"), rows.where("id % 2 = 1"), 2000)
 
 
-_EXONS = "(SELECT l_orderkey AS transcript, 'c' AS contig, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(l_linenumber * 1000 AS BIGINT) AS start, CAST(l_linenumber * 1000 + l_quantity - 1 AS BIGINT) AS stop FROM lineitem)"
+_EXONS = "(SELECT l_orderkey AS transcript, 'c' AS contig, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(l_linenumber * 1000 AS BIGINT) AS start, CAST(l_linenumber * 1000 + max(l_quantity) - 1 AS BIGINT) AS stop FROM lineitem GROUP BY l_orderkey, l_linenumber)"
 
 
 @query(f"WITH e AS {_EXONS}, o AS (SELECT *, sum(stop - start + 1) OVER (PARTITION BY transcript ORDER BY CASE WHEN strand = '-' THEN -start ELSE start END) AS hi FROM e), x AS (SELECT *, hi - (stop - start) AS lo FROM o), p AS (SELECT o_orderkey AS transcript, CAST(o_custkey % 120 + 1 AS BIGINT) AS pt FROM orders) SELECT transcript, pt, strand, CAST(CASE WHEN strand = '-' THEN stop - (pt - lo) ELSE start + pt - lo END AS BIGINT) AS genome_pos FROM p JOIN x USING (transcript) WHERE pt BETWEEN lo AND hi")
@@ -179,7 +179,7 @@ def coordinate_lift(spark, sf_dir):
     return intervals.lift(points, view(spark, sf_dir, _EXONS).withColumnRenamed("stop", "end")).select("transcript", "pt", "strand", "genome_pos")
 
 
-@query("SELECT l_orderkey AS id, min(l_linenumber) AS place, l_partkey AS contig FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY l_orderkey, l_partkey, l_linenumber")
+@query("SELECT l_orderkey AS id, l_linenumber AS place, l_partkey AS contig FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def id_list_filter(spark, sf_dir):
     tables(spark, sf_dir, "orders", "lineitem")
     ids = spark.sql("SELECT o_orderkey AS id, 0 AS place FROM orders WHERE o_orderpriority = '1-URGENT'")
@@ -204,7 +204,7 @@ def age_histogram(spark, sf_dir):
     return stats.histogram(view(spark, sf_dir, AGES)).select("sample", "bin", "n", F.round("share", 6).alias("share"), F.round("density", 6).alias("density"))
 
 
-@query(f"WITH {_HIST} SELECT sample, CAST(sum(n) AS BIGINT) AS count, round(5 + (arg_max(bin, (n, -bin)) - 0.5) * 1.5625, 4) AS peak FROM hist GROUP BY 1")
+@query(f"WITH {_HIST} SELECT sample, CAST(sum(n) AS BIGINT) AS count, round(CAST(5 + (arg_max(bin, (n, -bin)) - 0.5) * 1.5625 AS DOUBLE), 4) AS peak FROM hist GROUP BY 1")
 def age_peaks(spark, sf_dir):
     return stats.peaks(stats.histogram(view(spark, sf_dir, AGES)))
 

@@ -14,7 +14,7 @@ CODING = f"(SELECT locus, ord, seq_id AS orf_id, seq_id, regexp_replace_all(seq,
 #: orders as intervals on customers; lengths vary with the price
 INTERVALS = "(SELECT o_custkey AS contig, o_orderkey AS ord, o_orderkey AS id, CAST(floor(o_totalprice) AS BIGINT) % 1000 * 10 + o_orderkey % 97 AS start, CAST(floor(o_totalprice) AS BIGINT) % 1000 * 10 + o_orderkey % 97 + CAST(floor(o_totalprice) AS BIGINT) % 400 AS stop FROM orders)"
 #: parts as groups, nations of the suppliers as species, order lines as genes
-ORTHO = "(SELECT l_partkey AS group_id, l_partkey % 20 / 20.0 AS alg_conn, concat('s', CAST(s_nationkey AS VARCHAR(9))) AS species, concat(CAST(l_orderkey AS VARCHAR(20)), '_', CAST(l_linenumber AS VARCHAR(9))) AS gene_id, l_orderkey * 10 + l_linenumber AS ord, CAST(floor(l_extendedprice) AS BIGINT) AS length FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"
+ORTHO = "(SELECT l_partkey AS group_id, l_partkey % 20 / 20.0 AS alg_conn, concat('s', CAST(s_nationkey AS VARCHAR(9))) AS species, concat(CAST(l_orderkey AS VARCHAR(20)), '_', CAST(l_linenumber AS VARCHAR(9)), '_', CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR(20))) AS gene_id, CAST(floor(l_extendedprice) AS BIGINT) AS length, l_orderkey * 10 + l_linenumber AS ord FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"
 #: order lines as similarity hits
 HITS = "(SELECT l_orderkey AS query_id, l_partkey AS subject_id, l_extendedprice AS bitscore, l_discount AS evalue FROM lineitem)"
 #: event values as ages

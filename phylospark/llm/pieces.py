@@ -20,14 +20,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import RollingHash, materialise, mix64, small_batches
 
 _BATCH_BYTES = 2 << 20
 _CACHE_WORDS = 300_000
+_SHORT = 24  # words up to this length are searched many at a time
+_HASH = RollingHash(0x8CB92BA72F3D8DD7)
 _NONE = -np.inf
 SPACE = "▁"
 
 
+def _symbols(text: str) -> np.ndarray:
+    """A 64-bit value for each character."""
+    return mix64(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1))
+
+
+class _Table:
+    """Piece strings by hash: two places for each slot, so that a look-up is two comparisons."""
+
+    def __init__(self, pieces: dict[str, tuple[float, int]]):
+        text, sizes = "".join(pieces), np.array([len(p) for p in pieces])
+        ends = np.cumsum(sizes)
+        keys = _HASH.slices(_HASH.prefix(_symbols(text)), ends - sizes, ends)
+        scores, ids = (np.array(x) for x in zip(*pieces.values()))
+        for shift in range(44, 32, -1):
+            slot = (keys >> np.uint64(shift)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            place = np.arange(len(order)) - np.searchsorted(slot[order], slot[order])
+            if place.max() < 2:
+                break
+        else:
+            raise ValueError("too many pieces share a slot")
+        self.shift, n = np.uint64(shift), 1 << (64 - shift)
+        self.keys, self.score, self.id = np.zeros((2, n), np.uint64), np.full((2, n), _NONE), np.zeros((2, n), np.int32)
+        self.keys[place, slot[order]], self.score[place, slot[order]], self.id[place, slot[order]] = keys[order], scores[order], ids[order]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores (none: minus infinity) and ids."""
+        slot = (keys >> self.shift).astype(np.int64)
+        first, second = self.keys[0][slot] == keys, self.keys[1][slot] == keys
+        score = np.where(first, self.score[0][slot], np.where(second, self.score[1][slot], _NONE))
+        return score, np.where(first, self.id[0][slot], self.id[1][slot])
+
+
 class Pieces:
     """Pieces of a model file, with the search for best paths and the way back."""
 
@@ -53,10 +88,8 @@ class Pieces:
         self.penalty = min(s for s, _ in self.table.values()) - 10.0
         self.reach = max(map(len, self.table))
         self.heads = {p[:k] for p in self.table for k in range(1, len(p) + 1)}
-        #: pairs of neighbours within pieces: texts fall apart between any other two characters
-        self.inside = {p[k : k + 2] for p in self.table for k in range(len(p) - 1)}
-        #: no piece goes on over a border before a space
-        self.apart = not any(x[1] == SPACE and x[0] != SPACE for x in self.inside)
+        #: no piece goes on over a border before a space, so texts fall apart there
+        self.apart = not any(SPACE in p.lstrip(SPACE) for p in self.table)
         self.scores = np.zeros(n)
         for s, i in self.table.values():
             self.scores[i] = s
@@ -66,7 +99,7 @@ class Pieces:
         self.scores[self.unknown] = self.penalty
         self.prefix = " " if model.decode(model.encode("a", out_type=int)) == "a" and model.encode("a", out_type=str)[0].startswith(SPACE) else ""
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.hashed = _Table(self.table)
 
     def plain(self, text: str) -> str:
         """Text as the pieces see it: a space before it, white-space signs for spaces."""
@@ -116,36 +149,66 @@ class Pieces:
         return ids, cuts[-1]
 
     def word(self, s: str) -> bytes:
-        """Ids (little-endian uint32) of a stretch that no piece leaves; remembered."""
+        """Ids (little-endian uint32) of a stretch that no piece leaves; short ones are remembered."""
         out = self.known.get(s)
-        if out is None:
-            inside, a, ids = self.inside, 0, []
-            for k in range(1, len(s)):
-                if s[k - 1 : k + 1] not in inside:
-                    ids.append(self._part(s[a:k]))
-                    a = k
-            ids.append(self._part(s[a:]))
-            out = ids[0] if len(ids) == 1 else b"".join(ids)
-            if len(self.known) >= _CACHE_WORDS:
-                self.known.clear()
-            if len(s) < 64:
-                self.known[s] = out
-        return out
-
-    def _part(self, s: str) -> bytes:
-        out = self.parts.get(s)
         if out is None:
             _, back = self.search(s, {0: 0.0}, len(s))
             out = np.array(self.trace(s, back, len(s))[0], "<u4").tobytes()
-            if len(self.parts) >= _CACHE_WORDS:
-                self.parts.clear()
-            if len(s) < 64:
-                self.parts[s] = out
+            if len(s) <= _SHORT:
+                self.known[s] = out
         return out
 
+    def learn(self, words: set[str]) -> None:
+        """Search the short ones of some words, and remember them: the same search for many at a time."""
+        new = [w for w in words if len(w) <= _SHORT and w not in self.known]
+        if len(self.known) + len(new) > _CACHE_WORDS:
+            self.known.clear()
+        for k in range(0, len(new), 16384):
+            self._learn(new[k : k + 16384])
+
+    def _learn(self, words: list[str]) -> None:
+        words.sort(key=len, reverse=True)  # those that reach a position are the first ones
+        sizes = np.array([len(w) for w in words])
+        n, width = len(words), int(sizes[0])
+        starts = np.cumsum(sizes) - sizes
+        prefix = _HASH.prefix(_symbols("".join(words)))
+        score = np.full((width + 1, n), _NONE)
+        take, of = np.zeros((width + 1, n), np.int8), np.zeros((width + 1, n), np.int32)
+        score[0], known = 0.0, np.ones(n, bool)
+        reach = np.searchsorted(-sizes, -np.arange(width + 2), "right")  # words of at least so many characters
+        for i in range(width):
+            for size in range(1, min(self.reach, width - i) + 1):
+                m = int(reach[i + size])
+                at = starts[:m] + i
+                found, ids = self.hashed.find(_HASH.slices(prefix, at, at + size))
+                if size == 1:
+                    known[:m] &= found > _NONE  # unknown characters become bytes: not here
+                found += score[i, :m]
+                better = found > score[i + size, :m]
+                np.copyto(score[i + size, :m], found, where=better)
+                np.copyto(of[i + size, :m], ids, where=better)
+                take[i + size, :m][better] = size
+        known = np.flatnonzero(known)
+        steps, k, at = [], known, sizes[known]
+        while len(k):
+            steps.append((k, of[at, k]))
+            at = at - take[at, k]
+            k, at = k[at > 0], at[at > 0]
+        counts = np.zeros(n, np.int64)
+        for k, _ in steps:
+            counts[k] += 1
+        ends = np.cumsum(counts)
+        flat = np.zeros(int(ends[-1]), "<u4")
+        for back, (k, ids) in enumerate(steps):
+            flat[ends[k] - 1 - back] = ids
+        raw, ends = flat.tobytes(), ends * 4
+        self.known.update(zip([words[w] for w in known.tolist()], [raw[a:b] for a, b in zip((ends[known] - 4 * counts[known]).tolist(), ends[known].tolist())]))
+
     def stretch(self, s: str) -> bytes:
         """Ids of a stretch between two borders that no piece crosses."""
-        return b"".join(map(self.word, self.words(s)))
+        words = self.words(s)
+        self.learn(set(words))
+        return b"".join(map(self.word, words))
 
     def meeting(self, s: str, size: int) -> tuple[int, int]:
         """First and last place of a chunk that all its paths pass (before a space), or -1, -1."""
@@ -163,6 +226,12 @@ class Pieces:
         """Ids of a whole text, as little-endian uint32."""
         return self.stretch(self.plain(text))
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of some texts; their new words are searched together."""
+        cut = [self.words(self.plain(t)) if t else [] for t in texts]
+        self.learn(set().union(*cut))
+        return [b"".join(map(self.word, words)) for words in cut]
+
     def decode(self, ids: bytes) -> str:
         """The text of some ids (without the space before it)."""
         said = self.said
@@ -265,7 +334,7 @@ def encode(docs: DataFrame, model: str, *, key: str = "doc_id", text: str = "tex
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for batch in small_batches(batches, "text", _BATCH_BYTES):
-            ids = [p.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
+            ids = p.encode_all(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text"), pa.array(ids, pa.binary())], names=[key, "text", "ids"])
 
     small = slim.where(~giant).mapInArrow(whole, f"`{key}` {kind}, text string, ids binary")

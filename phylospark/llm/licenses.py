@@ -71,21 +71,24 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, key:
         raise ValueError("too many templates: scan in blocks")
     own, values = _known(docs.sparkSession, templates)
     listed = values.collect()  # a few hundred values for each template
-    texts = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text")).repartition("doc", "tie")
+    texts = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
+    # a key without nulls, by which everything below is partitioned
+    texts = texts.withColumn("k", F.xxhash64("doc", "tie")).repartition("k")
     # an outer explode leaves no filter that would have to read the texts before the shuffle
-    each = texts.select("doc", "tie", F.posexplode_outer(_shingles("text")).alias("at", "s")).where("s is not null")
-    blocks = each.groupBy("doc", "tie", F.expr(f"at div {_STEP}").alias("b")).agg(*_minima("s"))
+    each = texts.select("k", "doc", "tie", F.posexplode_outer(_shingles("text")).alias("at", "s")).where("s is not null")
+    blocks = each.groupBy("k", "doc", "tie", F.expr(f"at div {_STEP}").alias("b")).agg(*_minima("s"))
     twice = blocks.withColumn("w", F.explode(F.array("b", F.col("b") - 1)))
-    windows = twice.groupBy("doc", "tie", "w").agg(*[F.min(f"m{j}").alias(f"m{j}") for j in range(BANDS)])
+    windows = twice.groupBy("k", "doc", "tie", "w").agg(*[F.min(f"m{j}").alias(f"m{j}") for j in range(BANDS)])
     hit = F.lit(False)
     for j in range(BANDS):
         hit = hit | F.col(f"m{j}").isin([r.value for r in listed if r.band == j] or [0])
-    met = windows.where(hit).select("doc", "tie", "w", F.posexplode(F.array(*[f"m{j}" for j in range(BANDS)])).alias("band", "value"))
+    met = windows.where(hit).select("k", "doc", "tie", "w", F.posexplode(F.array(*[f"m{j}" for j in range(BANDS)])).alias("band", "value"))
     # the templates' values, bounded by max_templates, are broadcast
-    pairs = met.join(F.broadcast(values), ["band", "value"]).select("doc", "tie", "template", (F.col("w") * _STEP - F.col("offset")).alias("near")).distinct()
-    near = pairs.join(F.broadcast(own), "template").groupBy("doc", "tie").agg(F.collect_set(F.struct("near", "license", "known", "span")).alias("met"))
-    near = near.withColumnsRenamed({"doc": "of", "tie": "of_tie"})
-    joined = texts.join(near, F.expr("doc <=> of and tie <=> of_tie")).select("doc", _shingles("text").alias("sh"), "met").select("doc", "sh", F.explode_outer("met").alias("m"))
+    pairs = met.join(F.broadcast(values), ["band", "value"]).select("k", "doc", "tie", "template", (F.col("w") * _STEP - F.col("offset")).alias("near")).distinct()
+    near = pairs.join(F.broadcast(own), "template").groupBy("k").agg(F.collect_set(F.struct("near", "license", "known", "span", "doc", "tie")).alias("met"))
+    # the key alone joins, so that the texts' partitioning serves; its hash is checked afterwards
+    joined = texts.join(near, "k").select("doc", "tie", _shingles("text").alias("sh"), "met").select("doc", "tie", "sh", F.explode_outer("met").alias("m"))
+    joined = joined.where("m.doc <=> doc and m.tie <=> tie")
     first = F.greatest(F.lit(0), F.col("m.near") - _STEP)
     part = F.slice("sh", first + 1, F.col("m.span") + 4 * _STEP)
     share = F.size(F.array_intersect(F.col("m.known"), "part")) / F.size("m.known")

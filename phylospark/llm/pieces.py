@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import RollingHash, materialise, mix64, small_batches
 
-_BATCH_BYTES = 2 << 20
-_CACHE_WORDS = 300_000
+_BATCH_BYTES = 1 << 20
+_CACHE_WORDS = 200_000
+_PLACES = 3
 _SHORT = 24  # words up to this length are searched many at a time
 _HASH = RollingHash(0x8CB92BA72F3D8DD7)
 _NONE = -np.inf
@@ -36,31 +37,34 @@ def _symbols(text: str) -> np.ndarray:
 
 
 class _Table:
-    """Piece strings by hash: two places for each slot, so that a look-up is two comparisons."""
+    """Piece strings by hash: a few places for each slot, so that a look-up is as many comparisons."""
 
     def __init__(self, pieces: dict[str, tuple[float, int]]):
         text, sizes = "".join(pieces), np.array([len(p) for p in pieces])
         ends = np.cumsum(sizes)
         keys = _HASH.slices(_HASH.prefix(_symbols(text)), ends - sizes, ends)
         scores, ids = (np.array(x) for x in zip(*pieces.values()))
-        for shift in range(44, 32, -1):
+        for shift in range(46, 40, -1):
             slot = (keys >> np.uint64(shift)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
             place = np.arange(len(order)) - np.searchsorted(slot[order], slot[order])
-            if place.max() < 2:
+            if place.max() < _PLACES:
                 break
         else:
             raise ValueError("too many pieces share a slot")
-        self.shift, n = np.uint64(shift), 1 << (64 - shift)
-        self.keys, self.score, self.id = np.zeros((2, n), np.uint64), np.full((2, n), _NONE), np.zeros((2, n), np.int32)
-        self.keys[place, slot[order]], self.score[place, slot[order]], self.id[place, slot[order]] = keys[order], scores[order], ids[order]
+        self.shift = np.uint64(shift)
+        self.at = np.full((_PLACES, 1 << (64 - shift)), len(keys), np.int32)  # the last row is none
+        self.at[place, slot[order]] = order
+        self.keys, self.score, self.id = np.append(keys, np.uint64(0)), np.append(scores, _NONE), np.append(ids, 0).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores (none: minus infinity) and ids."""
         slot = (keys >> self.shift).astype(np.int64)
-        first, second = self.keys[0][slot] == keys, self.keys[1][slot] == keys
-        score = np.where(first, self.score[0][slot], np.where(second, self.score[1][slot], _NONE))
-        return score, np.where(first, self.id[0][slot], self.id[1][slot])
+        row = self.at[0][slot]
+        for place in range(1, _PLACES):
+            row = np.where(self.keys[row] == keys, row, self.at[place][slot])
+        row = np.where(self.keys[row] == keys, row, len(self.id) - 1)
+        return self.score[row], self.id[row]
 
 
 class Pieces:

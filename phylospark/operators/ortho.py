@@ -16,8 +16,8 @@ def unpivot_groups(wide: DataFrame, fixed: list[str], group_order: str | None =
     """
     species = [c for c in wide.columns if c not in fixed and c != group_order]
     key = F.col(group_order) if group_order else F.xxhash64(*[F.col(f"`{c}`") for c in wide.columns])
-    long = wide.withColumn("group_id", key).unpivot(["group_id", *[f"`{c}`" for c in fixed]], [f"`{c}`" for c in species], "species", "genes")
-    return long.where("genes <> '*'").withColumn("gene_id", F.explode(F.split("genes", ","))).drop("genes")
+    long = wide.withColumn("group_id", key).unpivot(["group_id", *[f"`{c}`" for c in fixed]], [f"`{c}`" for c in species], "species", "__genes")
+    return long.where("__genes <> '*'").withColumn("gene_id", F.explode(F.split("__genes", ","))).drop("__genes")
 
 
 def keep_groups(ortho: DataFrame, n_species: int | DataFrame, absent: float = 0.3, connectivity: float = 0.1, copies: int = 2) -> DataFrame:

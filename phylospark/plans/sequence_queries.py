@@ -28,12 +28,15 @@ def threshold_report(spark, sf_dir):
     return alignment.threshold_report(alignment.locus_metrics(view(spark, sf_dir, ALIGNMENTS))).select("locus", "metric", "threshold", "status")
 
 
-@query(f"WITH {_OCC} SELECT locus, CAST(pos AS BIGINT) AS pos, present, round(1 - present / n::DOUBLE, 6) AS missing_ratio FROM occ")
+@query(f"WITH {_OCC} SELECT locus, count(*) AS sites, count(*) FILTER (n - present < 0.2 * n) AS kept_20, count(*) FILTER (n - present < 0.5 * n) AS kept_50, CAST(sum(present) AS BIGINT) AS present FROM occ GROUP BY 1")
 def site_occupancy(spark, sf_dir):
-    return alignment.site_occupancy(view(spark, sf_dir, ALIGNMENTS)).select("locus", F.col("pos").cast("long").alias("pos"), "present", F.round("missing_ratio", 6).alias("missing_ratio"))
+    """Sites of each locus, and how many two thresholds keep."""
+    sites = alignment.site_occupancy(view(spark, sf_dir, ALIGNMENTS))
+    missing = F.col("n") - F.col("present")
+    return sites.groupBy("locus").agg(F.count("*").alias("sites"), F.count_if(missing < 0.2 * F.col("n")).alias("kept_20"), F.count_if(missing < 0.5 * F.col("n")).alias("kept_50"), F.sum("present").alias("present"))
 
 
-@query(f"WITH {_OCC}, kept AS (SELECT locus, pos FROM occ WHERE n - present < 0.5 * n), grid AS (SELECT r.locus, r.ord, r.seq_id, pos, string_split(r.seq, '') AS c FROM rows_ r JOIN kept USING (locus)), out_ AS (SELECT locus, seq_id, string_agg(coalesce(c[pos], '-'), '' ORDER BY pos) AS seq FROM grid GROUP BY ALL) SELECT locus, seq_id, CAST(length(seq) AS BIGINT) AS sites, md5(seq) AS seq_md5 FROM out_ WHERE NOT regexp_matches(seq, '^(-*|[?]*)$')")
+@query(f"WITH {_OCC}, kept AS (SELECT locus, pos FROM occ WHERE n - present < 0.5 * n), nk AS (SELECT locus, count(*) AS k FROM kept GROUP BY 1), out_ AS (SELECT c.locus, seq_id, rpad(string_agg(base, '' ORDER BY c.pos), CAST(any_value(k) AS INTEGER), '-') AS seq FROM cells c JOIN kept USING (locus, pos) JOIN nk USING (locus) GROUP BY ALL) SELECT locus, seq_id, CAST(length(seq) AS BIGINT) AS sites, md5(seq) AS seq_md5 FROM out_ WHERE NOT regexp_matches(seq, '^(-*|[?]*)$')")
 def filtered_alignment(spark, sf_dir):
     rows = alignment.filter_sites(view(spark, sf_dir, ALIGNMENTS), 0.5)
     return rows.select("locus", "seq_id", F.length("seq").cast("long").alias("sites"), F.md5("seq").alias("seq_md5"))

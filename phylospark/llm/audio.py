@@ -88,9 +88,10 @@ def _samples(raw: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(media: DataFrame, key: str = "doc_id", payload: str = "media") -> DataFrame:
-    """``key`` and ``codes`` (packed integers, one for every ``HOP`` samples) of every recording.
+    """``key``, ``codes`` (packed integers, one for every ``HOP`` samples), and ``short`` of every recording.
 
-    Null, empty and short payloads have no codes.
+    Null, empty and short payloads have no codes; ``short`` is the samples of a recording without
+    codes (null payloads have none).
     """
     slim = media.select(key, F.col(payload).cast("binary").alias("media"))
     kind = dict(slim.dtypes)[key]
@@ -98,17 +99,21 @@ def fingerprints(media: DataFrame, key: str = "doc_id", payload: str = "media")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "media", _BATCH_BYTES):
             data, offsets = joined_bytes(batch.column("media"))
-            codes = [packed(_samples(data[a:b])).view(np.int32) for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(codes, pa.list_(pa.int32()))], names=[key, "codes"])
+            samples = [_samples(data[a:b]) for a, b in zip(offsets, offsets[1:])]
+            codes = [packed(x).view(np.int32) for x in samples]
+            known = batch.column("media").is_valid().to_pylist()
+            short = [x.tobytes() if k and not len(c) else None for x, c, k in zip(samples, codes, known)]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(codes, pa.list_(pa.int32())), pa.array(short, pa.binary())], names=[key, "codes", "short"])
 
-    return slim.mapInArrow(run, f"`{key}` {kind}, codes array<int>")
+    return slim.mapInArrow(run, f"`{key}` {kind}, codes array<int>, short binary")
 
 
 class _Block:
-    """Some query recordings with their codes, sorted for look-up."""
+    """Some classes of query recordings with their codes, sorted for look-up."""
 
-    def __init__(self, keys: list, copies: list[int], codes: list[np.ndarray]):
-        self.keys, self.copies, self.codes = keys, copies, codes
+    def __init__(self, names: list[int], keys: list, copies: list[int], codes: list[np.ndarray], short: list[bytes | None], overlap: int):
+        self.names, self.keys, self.copies, self.codes = names, keys, copies, codes
+        self.whole = {_content(c, s): i for i, (c, s) in enumerate(zip(codes, short)) if len(c) < overlap}
         sizes = [len(c) for c in codes]
         value = np.concatenate([*codes, np.zeros(0, np.int32)])
         owner = np.repeat(np.arange(len(codes)), sizes)
@@ -116,12 +121,17 @@ class _Block:
         keep = _changes(value) | (place == 0)
         order = np.argsort(value[keep], kind="stable")
         self.value, self.owner, self.place = value[keep][order], owner[keep][order], place[keep][order]
+        self.steps = np.bincount(self.owner, minlength=len(codes))
 
-    def matches(self, codes: np.ndarray, votes: int, overlap: int, errors: float) -> list[tuple[float, int, int]]:
+    def matches(self, codes: np.ndarray, short: bytes | None, votes: int, overlap: int, errors: float) -> list[tuple[float, int, int]]:
         """(bit error rate, query, offset) of each query that aligns with a recording."""
-        if len(codes) < overlap or not len(self.value):
+        if len(codes) < overlap:
+            query = self.whole.get(_content(codes, short))
+            return [] if query is None else [(0.0, query, 0)]
+        if not len(self.value):
             return []
         own = np.flatnonzero(_changes(codes))
+        steps = len(own)
         a, b = np.searchsorted(self.value, codes[own]), np.searchsorted(self.value, codes[own], "right")
         some = b > a
         own, a, n = own[some], a[some], (b - a)[some]
@@ -130,7 +140,8 @@ class _Block:
         at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         offset = np.repeat(own, n) - self.place[at]  # histogram of offsets for each query
         spot, count = np.unique(self.owner[at] << 32 | offset + (1 << 31), return_counts=True)
-        spot, count = spot[count >= votes], count[count >= votes]
+        enough = count >= np.minimum(votes, np.minimum(self.steps[spot >> 32], steps))  # a steady one cannot give more
+        spot, count = spot[enough], count[enough]
         out: dict[int, tuple[float, int, int]] = {}
         for s in spot[np.argsort(-count, kind="stable")].tolist():
             query, shift = s >> 32, (s & 0xFFFFFFFF) - (1 << 31)
@@ -148,42 +159,83 @@ def _changes(codes: np.ndarray) -> np.ndarray:
     return np.concatenate(([True], codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, bool)
 
 
+def _content(codes: np.ndarray, short: bytes | None) -> tuple[bytes, bytes] | None:
+    """What two recordings too short to be aligned share when they are equal (None: no recording)."""
+    return (codes.tobytes(), b"") if len(codes) else None if short is None else (b"", short)
+
+
+_MATCH = "query_class long, query {key}, n_queries long, offset long, bit_error double"
+
+
 def align(codes: DataFrame, queries: Column, *, key: str = "doc_id", votes: int = 2, overlap: int = 16, errors: float = 0.15, block: int = 1_000_000) -> DataFrame:
-    """Every recording against the query recordings: key, n_codes, n_matches, best, offset, bit_error.
-
-    ``codes`` has ``key`` and ``codes``; ``queries`` picks the queries.  Queries with the same codes
-    are one (its smallest key; n_matches counts them all).  A query matches where at least ``votes``
-    codes are equal at one offset, ``overlap`` places or more overlap, and the share of differing
-    bits there is at most ``errors``; ``best`` has the fewest, ``offset`` is its start within the
-    recording in places.  Queries are broadcast in blocks of about ``block`` codes; every recording
-    meets every block.  Recordings without match have null ``best``.
+    """Every recording against all query recordings: key, n_codes, own_class, n_matches, best, offset, bit_error, matches.
+
+    ``codes`` is the frame of ``fingerprints``; ``queries`` picks the queries.  Queries with the same
+    codes (without codes: the same samples) are a class: ``own_class`` names it on each of its
+    members, and is null where a row is no query.  ``matches`` has every class that matches a
+    recording (with its smallest key and its number of queries), n_matches counts their queries;
+    ``pairs`` lists them one by one.  A query matches where at least ``votes`` codes are equal at one
+    offset (fewer only where one of the two has fewer changes of code), ``overlap`` places or more
+    overlap, and the share of differing bits there is at most ``errors``.  A recording with fewer
+    than ``overlap`` codes matches the queries that equal it.  ``best`` has the fewest differing
+    bits, ``offset`` is its start within the recording in places; both are null without match.
+    Queries are broadcast in blocks of about ``block`` codes; every recording meets every block.
     """
-    asked = codes.where(queries & (F.size("codes") >= overlap)).groupBy("codes").agg(F.min(key).alias("q"), F.count("*").alias("copies"))
+    # written once, with a number for each row: keys may repeat
+    codes = materialise(codes.withColumn("row", F.monotonically_increasing_id()), "audio-codes")
+    some = (F.size("codes") > 0) | F.col("short").isNotNull()
+    named = codes.withColumn("own_class", F.when(queries & some, F.xxhash64("codes", "short")))
+    asked = named.where("own_class is not null").groupBy("own_class", "codes", "short").agg(F.min(key).alias("q"), F.count("*").alias("copies"))
     asked = materialise(asked, "audio-queries")
-    size = asked.agg(F.sum(F.size("codes"))).first()[0] or 0
-    blocks = max(1, -(-size // block))
+    size = asked.agg(F.sum(F.size("codes") + F.coalesce(F.length("short"), F.lit(0)) / 4 + 1)).first()[0] or 0
+    blocks = max(1, int(-(-size // block)))
     kind = dict(codes.dtypes)[key]
     found = []
     for b in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("codes"), F.lit(blocks)) == b).orderBy("q").toArrow()
+        part = asked.where(F.pmod("own_class", F.lit(blocks)) == b).orderBy("q", "own_class").toArrow()
+        get = lambda c: part.column(c).to_pylist()  # noqa: B023, E731
         own = [c.values.to_numpy() for c in part.column("codes")] if part.num_rows else []
-        shared = codes.sparkSession.sparkContext.broadcast(_Block(part.column("q").to_pylist(), part.column("copies").to_pylist(), own))
+        shared = codes.sparkSession.sparkContext.broadcast(_Block(get("own_class"), get("q"), get("copies"), own, get("short"), overlap))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, first=b == 0) -> Iterator[pa.RecordBatch]:
             queries = shared.value
             for batch in batches:
-                rows = []
-                for doc, c in zip(batch.column(key).to_pylist(), batch.column("codes")):
-                    c = c.values.to_numpy()
-                    met = queries.matches(c, votes, overlap, errors)
-                    best = min(met, default=None, key=lambda m: (m[0], queries.keys[m[1]]))
-                    rows.append((doc, len(c), sum(queries.copies[q] for _, q, _ in met), *((queries.keys[best[1]], best[2], round(best[0], 6)) if best else (None, None, None))))
-                kinds = (batch.schema.field(key).type, pa.int64(), pa.int64(), batch.schema.field(key).type, pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[key, "n_codes", "n_matches", "best", "offset", "bit_error"])
-
-        found.append(codes.select(key, "codes").mapInArrow(run, f"`{key}` {kind}, n_codes long, n_matches long, best {kind}, offset long, bit_error double"))
-    if blocks == 1:
-        return found[0]
-    rows = reduce(DataFrame.union, found)
-    first = F.min(F.when(F.col("best").isNotNull(), F.struct("bit_error", "best", "offset"))).alias("b")
-    return rows.groupBy(key).agg(F.max("n_codes").alias("n_codes"), F.sum("n_matches").alias("n_matches"), first).select(key, "n_codes", "n_matches", "b.best", "b.offset", "b.bit_error")
+                row, met = [], []
+                for i, (c, s) in enumerate(zip(batch.column("codes"), batch.column("short").to_pylist())):
+                    of = queries.matches(c.values.to_numpy(), s, votes, overlap, errors)
+                    if of or first:  # a recording without match is a row of the first block only
+                        of = [(round(e, 6), queries.keys[q], queries.names[q], q, at) for e, q, at in of]
+                        row.append(i)
+                        met.append([{"query_class": name, "query": k, "n_queries": queries.copies[q], "offset": at, "bit_error": e} for e, k, name, q, at in of])
+                take = pa.array(row, pa.int64())
+                kind = batch.schema.field(key).type
+                match = pa.struct([("query_class", pa.int64()), ("query", kind), ("n_queries", pa.int64()), ("offset", pa.int64()), ("bit_error", pa.float64())])
+                sizes = pa.array([len(batch.column("codes")[i]) for i in row], pa.int64())
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(take) for c in ("row", key)], sizes, batch.column("own_class").take(take), pa.array(met, pa.list_(match))], names=["row", key, "n_codes", "own_class", "matches"])
+
+        fields = ", ".join(f.replace(" ", ": ", 1) for f in _MATCH.format(key=kind).split(", "))
+        found.append(named.select("row", key, "codes", "short", "own_class").mapInArrow(run, f"row long, `{key}` {kind}, n_codes long, own_class long, matches array<struct<{fields}>>"))
+    rows = found[0]
+    if blocks > 1:
+        rows = reduce(DataFrame.union, found).groupBy("row").agg(*[F.first(c).alias(c) for c in (key, "n_codes", "own_class")], F.flatten(F.collect_list("matches")).alias("matches"))
+    best = F.array_min(F.transform("matches", lambda m: F.struct(m["bit_error"], m["query"], m["offset"])))
+    total = F.aggregate("matches", F.lit(0).cast("long"), lambda n, m: n + m["n_queries"])
+    rows = rows.select(key, "n_codes", "own_class", total.alias("n_matches"), best.alias("b"), F.array_sort("matches").alias("matches"))
+    return rows.select(key, "n_codes", "own_class", "n_matches", F.col("b.query").alias("best"), "b.offset", "b.bit_error", "matches")
+
+
+def by_class(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row for each recording and query class that matches it; a recording without match is one row."""
+    rows = found.select(key, "n_codes", "own_class", "n_matches", F.explode_outer("matches").alias("m"))
+    return rows.select(key, "n_codes", "own_class", "n_matches", "m.*")
+
+
+def pairs(classes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row for each query and recording that match, out of ``by_class``: key, query, offset, bit_error.
+
+    A group of equal recordings has as many rows as the square of its size.
+    """
+    members = classes.where("own_class is not null")
+    # a member stands in as many rows as it has matches (itself is one): the row of its own class
+    members = members.where("query_class = own_class").select(F.col("own_class").alias("query_class"), F.col(key).alias("__query"))
+    return classes.where("query_class is not null").join(members, "query_class").select(key, F.col("__query").alias("query"), "offset", "bit_error")

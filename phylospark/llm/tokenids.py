@@ -110,62 +110,105 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, least: int = 12, rounds: int = 5, most: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, least: int = 12, most: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: ``symbols``, document ``ends`` in symbols, ``rules`` and expansion ``lengths``.
 
     Each round gives the most frequent pairs (``least`` times or more, ``most`` of them at once) a
     nonterminal each and replaces their occurrences; of two that overlap the more frequent pair
-    wins, of equal ones the left.  Pairs are counted in a hash table.
+    wins, of equal ones the left.  A pair that keeps less than half of ``least`` so waits for the
+    next round and its new count.  Rounds go on until no pair occurs ``least`` times.  A pair is
+    counted again only while it may be frequent: a new one holds a new nonterminal, and one under
+    ``least`` stays there.
     """
     sym = ids.astype(np.uint32)
     last = np.zeros(len(sym), bool)
     last[ends - 1] = True  # every document has an id at least
+    live = ~last  # where a pair begins that may be frequent
     rules: list[np.ndarray] = []
     n = terminals
-    spots = 1 << 18
-    for _ in range(rounds):
-        if len(sym) < 2:
+    while True:
+        at = np.flatnonzero(live)
+        keys = sym[at].astype(np.uint64) << np.uint64(32) | sym[at + 1]
+        which, pairs, counts = _frequent(keys, least)
+        live[at[which < 0]] = False
+        if not len(pairs):
             break
-        with np.errstate(over="ignore"):
-            spot = ((sym[:-1] * np.uint32(0x9E3779B1)) ^ (sym[1:] * np.uint32(0x85EBCA6B))) >> np.uint32(14)
-        inside = ~last[:-1]
-        counts = np.bincount(spot[inside], minlength=spots)
-        # the fullest places of the hash table; where pairs share one, one of them has this round
-        top = np.flatnonzero(counts >= least)
-        if len(top) > most:
-            top = top[np.argpartition(-counts[top], most)[:most]]
-        if not len(top):
-            break
-        chosen = np.zeros(spots, bool)
-        chosen[top] = True
-        at = np.flatnonzero(chosen[spot] & inside)
-        where, keys = spot[at], sym[at].astype(np.uint64) << np.uint64(32) | sym[at + 1]
-        pair = np.zeros(spots, np.uint64)
-        pair[where] = keys
-        mine = keys == pair[where]
-        at, where = at[mine], where[mine]
-        counts = np.bincount(where, minlength=spots)
-        enough = counts[where] >= least
-        at, where = at[enough], where[enough]
-        if not len(at):
-            break
-        rank = spots * (len(sym) - counts[where].astype(np.int64)) + where  # frequent pairs first
-        taken = _apart(at, rank)
-        at, where = at[taken], where[taken]
-        used = np.flatnonzero(np.bincount(where, minlength=spots))
-        number = np.zeros(spots, np.int64)
+        at, which = at[which >= 0], which[which >= 0]
+        order = np.argsort(-counts, kind="stable")[:most]
+        rank = np.full(len(pairs), -1, np.int64)
+        rank[order] = np.arange(len(order))
+        rank = rank[which]
+        at, rank = at[rank >= 0], rank[rank >= 0]
+        taken, free = np.zeros(len(at), bool), np.arange(len(at))
+        while len(free):  # what lost to a pair that lost itself has its turn after that
+            won = _apart(at[free], rank[free])
+            taken[free[won]] = True
+            met = won.copy()
+            touch = np.diff(at[free]) == 1
+            met[1:] |= won[:-1] & touch
+            met[:-1] |= won[1:] & touch
+            free = free[~met]
+        at, rank = at[taken], rank[taken]
+        got = np.bincount(rank, minlength=len(order))
+        used = np.flatnonzero(got >= max(1, least // 2))  # the most frequent pair is always one of them
+        number = np.full(len(order), -1, np.int64)
         number[used] = n + np.arange(len(used))
-        rules.append(np.stack([pair[used] >> np.uint64(32), pair[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        sym[at] = number[where].astype(np.uint32)
+        number = number[rank]
+        at, number = at[number >= 0], number[number >= 0]
+        fresh = pairs[order[used]]
+        rules.append(np.stack([fresh >> np.uint64(32), fresh & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        sym[at] = number.astype(np.uint32)
         n += len(used)
-        gone = np.zeros(len(sym), bool)
-        gone[at + 1] = True
         last[at] = last[at + 1]
-        sym, last = sym[~gone], last[~gone]
+        live[at] = ~last[at]
+        before = at[at > 0] - 1
+        before -= np.isin(before, at + 1, assume_unique=True)  # that place goes; its pair begins one place earlier
+        live[before] = ~last[before]
+        keep = np.ones(len(sym), bool)
+        keep[at + 1] = False
+        sym, last, live = sym[keep], last[keep], live[keep]
     rule = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return sym, np.flatnonzero(last) + 1, rule, expansion_lengths(rule, terminals)
 
 
+_SPOTS = 1 << 20
+
+
+def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each key among those that occur ``least`` times or more (else -1), these, their counts.
+
+    A hash table counts first; keys that share a place there are told apart by sorting.
+    """
+    which = np.full(len(keys), -1, np.int64)
+    often = np.arange(len(keys))
+    if len(keys) > _SPOTS >> 4:
+        with np.errstate(over="ignore"):
+            spot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        full = np.bincount(spot, minlength=_SPOTS)
+        often = np.flatnonzero(full[spot] >= least)
+        spot, own = spot[often], keys[often]
+        one = np.zeros(_SPOTS, np.uint64)
+        one[spot] = own
+        shared = np.zeros(_SPOTS, bool)
+        shared[spot[one[spot] != own]] = True
+        alone = ~shared[spot]
+        places = np.flatnonzero((full >= least) & ~shared)
+        number = np.zeros(_SPOTS, np.int64)
+        number[places] = np.arange(len(places))
+        which[often[alone]] = number[spot[alone]]
+        pairs, counts = one[places], full[places]
+        often = often[~alone]
+    else:
+        pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if len(often):
+        more, of, size = np.unique(keys[often], return_inverse=True, return_counts=True)
+        real = size >= least
+        number = np.where(real, len(pairs) + np.cumsum(real) - 1, -1)
+        which[often] = number[of]
+        pairs, counts = np.concatenate([pairs, more[real]]), np.concatenate([counts, size[real]])
+    return which, pairs, counts
+
+
 def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Which of the pairs at ascending positions to replace: none that overlaps a more frequent
     neighbour, and of a row of overlapping equals every other one."""

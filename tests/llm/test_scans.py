@@ -123,3 +123,24 @@ def test_quality(spark):
     assert all(0 <= r.score <= 1 for r in quality.score(odd, quality.train(docs, labels)).collect())
     for some in (labels.where("quality = 1").limit(5), labels.limit(0)):
         assert quality.score(odd, quality.train(docs, some)).count() == 3
+
+
+def test_compress_until_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 1000, 500)
+    docs = [np.concatenate([rng.integers(0, 1000, rng.integers(1, 300)), passage, np.full(rng.integers(0, 90), 7), rng.zipf(1.3, 2000) % 1000]) for _ in range(60)]
+    ids, ends = np.concatenate(docs).astype("<u4"), np.cumsum([len(d) for d in docs])
+    for most in (4096, 5):
+        symbols, stops, rules, lengths = tokenids.compress(ids, ends, 1000, most=most)
+        assert (tokenids.expand(symbols, rules, 1000, lengths) == ids).all()
+        assert (tokenids.expand(symbols, rules, 1000) == ids).all()
+        assert lengths.max() > 64
+        inside = np.ones(len(symbols) - 1, bool)
+        inside[stops[:-1] - 1] = False
+        pairs, counts = np.unique(np.stack([symbols[:-1][inside], symbols[1:][inside]]), axis=1, return_counts=True)
+        assert counts.max() < 12
+    keys = rng.integers(0, 90_000, 400_000).astype(np.uint64) << np.uint64(32) | np.uint64(3)
+    which, pairs, counts = tokenids._frequent(keys, 5)
+    want, of, size = np.unique(keys, return_inverse=True, return_counts=True)
+    assert dict(zip(pairs.tolist(), counts.tolist())) == dict(zip(want[size >= 5].tolist(), size[size >= 5].tolist()))
+    assert (pairs[which[which >= 0]] == keys[which >= 0]).all() and ((which < 0) == (size[of] < 5)).all()

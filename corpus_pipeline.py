@@ -22,13 +22,24 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id."""
-    fps = materialise(simhash.fingerprints(docs), "pipeline-fps")
-    keep = simhash.near_components(fps).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "__keep"), F.expr("doc_id <=> __keep"), "left_semi")
-    if fps.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])  # repeated rows of one doc_id are one document
-    return kept
+    """One row of each SimHash group stays: the one with the smallest doc_id, null being the largest.
+
+    A row's key is its doc_id and a hash of all its columns, so rows that share a doc_id (or have
+    none) are compared like any others; among them the smallest hash decides.  Of rows alike in
+    every column one stays.
+    """
+    content = F.xxhash64(*docs.columns)
+    key = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", content.alias("content"))
+    fps = materialise(simhash.fingerprints(docs.withColumn("__row", key), keys=("__row",)), "pipeline-fps")
+    best = simhash.near_components(fps, key="__row").where("__row = component_id").groupBy("__row").count()
+    best = materialise(best.select(F.col("__row.doc_id").alias("__id"), F.col("__row.content").alias("__content"), "count"), "pipeline-kept")
+
+    def rows(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs.doc_id.eqNullSafe(some["__id"]) & (content == some["__content"]), "left_semi")
+
+    kept = rows(best.where("count = 1"))
+    again = best.where("count > 1")
+    return kept.union(rows(again).distinct()) if again.limit(1).count() else kept
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,13 @@ def test_run_is_the_composition(spark):
     for _, stage in pipe.STAGES:
         docs = pipe.materialise(stage(spark, docs, SF), "test")
     assert sorted(map(tuple, pipe.run(spark, SF).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_near_duplicates_keep_all_different_rows(spark):
+    rnd = random.Random(6)
+    say = lambda: " ".join(rnd.choice("abcdefghijklmnop") * rnd.randint(1, 9) for _ in range(200))
+    a, b, c, d, e, f = (say() for _ in range(6))
+    docs = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (8, e), (None, e), (9, e), (7, e), (10, f), (10, f)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in pipe.near_duplicates(spark, frame, SF).collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (7, c), (7, d), (7, e), (10, f)], key=str)

@@ -81,15 +81,18 @@ def sampled(data: np.ndarray, offsets: np.ndarray, length: int, reach: int) -> t
     return at[new], at[new] - x[last], at[new] - x[new]
 
 
-def _sample(docs: DataFrame, length: int, reach: int) -> DataFrame:
-    """Tuples of level 0: core, cover, doc, tie, at, lo, hi."""
+def _sample(docs: DataFrame, length: int, reach: int, piece_bytes: int) -> DataFrame:
+    """Tuples of level 0: core, cover, doc, tie, at, lo, hi.
+
+    A text beyond ``piece_bytes`` is cut, and a block that spans a cut is two tuples of one ``at``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", _BATCH_BYTES):
+        for batch in small_batches(batches, "text", min(_BATCH_BYTES, piece_bytes)):
             data, offsets = joined_bytes(batch.column("text"))
-            # a text beyond the batch size is worked through in pieces that overlap by a window
-            for begin in range(0, max(1, len(data) - length + 1), 4 * _BATCH_BYTES):
-                piece = data[begin : begin + 4 * _BATCH_BYTES + length - 1]
+            # a text beyond the piece size is worked through in pieces that overlap by a window
+            for begin in range(0, max(1, len(data) - length + 1), piece_bytes):
+                piece = data[begin : begin + piece_bytes + length - 1]
                 cuts = np.clip(offsets - begin, 0, len(piece))
                 at, lo, hi = sampled(piece, cuts, length, reach)
                 core, cover = _Names(piece).of(at, np.zeros_like(at), lo, hi, reach, length)
@@ -142,7 +145,7 @@ def _contexts(docs: DataFrame, tuples: DataFrame, length: int) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("tie").take(take), pa.array(at), pa.array(lo), pa.array(hi), pa.array(said, pa.binary())], names=["doc", "tie", "at", "lo", "hi", "bytes"])
 
-    return joined.mapInArrow(run, f"doc {kind}, tie int, at long, lo int, hi int, bytes binary").dropDuplicates(["doc", "tie", "at"])
+    return joined.mapInArrow(run, f"doc {kind}, tie int, at long, lo int, hi int, bytes binary").dropDuplicates(_TUPLE)
 
 
 def _induce(contexts: DataFrame, size: int, length: int) -> DataFrame:
@@ -166,14 +169,14 @@ def _induce(contexts: DataFrame, size: int, length: int) -> DataFrame:
     return contexts.mapInArrow(run, f"core long, cover long, doc {kind}, tie int, at long, lo int, hi int")
 
 
-def repeated_blocks(docs: DataFrame, length: int = 400, levels: tuple[int, ...] = (32, 4, 1)) -> DataFrame:
+def repeated_blocks(docs: DataFrame, length: int = 400, levels: tuple[int, ...] = (32, 4, 1), piece_bytes: int = 4 * _BATCH_BYTES) -> DataFrame:
     """``doc``, ``tie``, ``start``, ``stop``: byte ranges all of whose windows occur elsewhere too.
 
     ``docs`` has ``doc``, ``tie`` (a hash of the text) and ``text``.  Together the ranges cover
     exactly the bytes of windows of ``length`` bytes that start in two places or more.
     """
     reach = length * 3 // 4 + 1
-    rows = materialise(_sample(docs, length, reach), "substring-sample")
+    rows = materialise(_sample(docs, length, reach, piece_bytes), "substring-sample")
     found, down = _decide(rows, last=False)
     contexts = materialise(_contexts(docs, down, length), "substring-contexts")
     work = contexts.withColumns({"from": F.col("lo"), "to": F.col("hi")})
@@ -183,12 +186,14 @@ def repeated_blocks(docs: DataFrame, length: int = 400, levels: tuple[int, ...]
         found += more
         if down is not None:
             down = down.withColumnsRenamed({"lo": "from", "hi": "to"})
-            work = contexts.join(down, _same(contexts, down, ["doc", "tie", "at"])).select(*[contexts[c] for c in contexts.columns], down["from"], down["to"])
+            # the contexts of one "at" share no window
+            within = _same(contexts, down, ["doc", "tie", "at"]) & (contexts.lo <= down["from"]) & (down["to"] <= contexts.hi)
+            work = contexts.join(down, within).select(*[contexts[c] for c in contexts.columns], down["from"], down["to"])
     ranges = reduce(DataFrame.union, found)
     return ranges.select("doc", "tie", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("stop"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row of ``docs``: key, n_bytes, n_removed, n_spans, kept_sha256, spans and kept (bytes).
 
     Each byte in a string of ``length`` bytes that starts anywhere else too (same document included,
@@ -196,7 +201,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
     alike in key and text are two documents, and get the same result.
     """
     slim = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
-    of = repeated_blocks(slim, length).groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    of = repeated_blocks(slim, length, **options).groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     joined = slim.join(of, _same(slim, of, ["doc", "tie"]), "left").select(slim.doc, slim.text, of.ranges)
     kind = dict(slim.dtypes)["doc"]
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>, kept binary"

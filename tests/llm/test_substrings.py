@@ -57,3 +57,17 @@ def test_given_documents(spark):
     got = sorted((tuple(r) for r in queries.op1_substrings(spark, SF).collect()), key=str)
     assert got == brute(docs, 400)
     assert result(frame.limit(0)) == []
+
+
+def test_repeats_at_the_cuts_of_a_long_text(spark):
+    rnd = random.Random(8)
+    say = lambda k: "".join(rnd.choice("abcdefghij ") for _ in range(k))
+    length, piece = 40, 2048
+    text = say(9 * piece)
+    docs = [(0, text)]
+    for cut in range(piece, 9 * piece, piece):  # passages that hold the windows on both sides of a cut
+        a, b = cut - rnd.randint(1, 25), cut + length + rnd.randint(1, 25)
+        docs.append((cut, say(30) + text[a:b] + say(30)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = substrings.remove_repeats(frame, length, piece_bytes=piece).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs, length)

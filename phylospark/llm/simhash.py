@@ -2,7 +2,7 @@
 
 Only distinct fingerprints are compared.  The space of pairs is cut by blocks of the bits
 (pigeonhole: with at most ``distance`` differing bits and ``distance + spare`` blocks, at least
-``spare`` blocks agree), which is how the work is partitioned.  In each partition the fingerprints
+``spare`` blocks agree), which is how the work is partitioned; the blocks are the same at every size.  In each partition the fingerprints
 are sorted by Gray rank and put under a hierarchy of nodes: a node stores the bits that all
 fingerprints below it share (mask and pattern).  A pair of nodes whose shared patterns already
 differ in more than ``distance`` bits is dropped with everything below it.
@@ -159,7 +159,10 @@ class _Index:
 
 
 def _forest(values: np.ndarray, groups: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join what is linked in each group: at most one for each row."""
+    """Places of rows that are joined by what is linked in each group: at most one edge for each row.
+
+    The members of a tree are joined as a chain, so that no row is in more than two edges.
+    """
     parent = np.arange(len(values))
 
     def root(i: int) -> int:
@@ -182,74 +185,76 @@ def _forest(values: np.ndarray, groups: np.ndarray, distance: int) -> tuple[np.n
                 parent[max(x, y)] = min(x, y)
     for i in range(len(parent)):
         parent[i] = root(i)
-    moved = np.flatnonzero(parent != np.arange(len(parent)))
-    return values[moved], values[parent[moved]]
-
-
-def blocks_for(n: int, distance: int, least: int = 10) -> int:
-    """Blocks of the 64 bits so that the agreeing bits of a pair identify small groups among ``n`` values."""
-    blocks = distance + 1
-    while blocks < 12 and 64 * (blocks - distance) // blocks < max(1, n).bit_length() - least:
-        blocks += 1
-    return blocks
+    order = np.argsort(parent, kind="stable")
+    same = np.flatnonzero(parent[order[1:]] == parent[order[:-1]])
+    return order[same], order[same + 1]
 
 
-def near_links(distinct: DataFrame, distance: int = 4, chunk: int = 4096) -> DataFrame:
+def near_links(distinct: DataFrame, distance: int = 4, spare: int = 2, chunk: int = 4096) -> DataFrame:
     """Edges ``src``, ``dst`` of a forest with the components of "differs in <= distance bits".
 
-    ``distinct`` has one row for each ``fp``.  Groups of one key with over ``chunk`` fingerprints
-    are dealt as pairs of chunks to different tasks; every pair of the group meets in one.
+    ``distinct`` has one row for each ``fp``, and ``node``, which stands for it in the edges.  The 64
+    bits are cut into ``distance + spare`` blocks, of which ``spare`` agree in every near pair; each
+    choice of ``spare`` blocks is a key, the same number of them at every size (15 by default, of 21
+    bits).  Groups of one key with over ``chunk`` fingerprints are dealt as pairs of chunks to
+    different tasks; every pair of the group meets in one.
     """
-    n = distinct.count()
-    blocks = blocks_for(n, distance)
+    blocks = distance + spare
     edges = [64 * b // blocks for b in range(blocks + 1)]
     masks = [((1 << e) - 1) ^ ((1 << s) - 1) for s, e in itertools.pairwise(edges)]
-    keys = [sum(masks[b] for b in some) for some in itertools.combinations(range(blocks), blocks - distance)]
+    keys = [sum(masks[b] for b in some) for some in itertools.combinations(range(blocks), spare)]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in keys]
-    keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("part", "key"))
+    keyed = distinct.select("fp", "node", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("part", "key"))
     hot = materialise(keyed.groupBy("part", "key").count().where(F.col("count") > chunk), "simhash-hot")
     chunks = F.ceil(F.col("count") / chunk).cast("int")
     own = F.pmod(F.xxhash64("fp"), chunks.cast("long")).cast("int")
+    # at most keys x fingerprints / chunk groups are hot: few enough for Spark to choose the join by size
     dealt = keyed.join(hot, ["part", "key"], "left").withColumn("chunks", F.coalesce(chunks, F.lit(1))).withColumn("own", F.coalesce(own, F.lit(0)))
-    dealt = dealt.select("fp", "part", "key", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi")))).alias("pair"))
-    dealt = dealt.select("fp", F.xxhash64("part", "key", "pair.lo", "pair.hi").alias("group"))
+    dealt = dealt.select("fp", "node", "part", "key", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("lo"), F.greatest(o, F.col("own")).alias("hi")))).alias("pair"))
+    dealt = dealt.select("fp", "node", F.xxhash64("part", "key", "pair.lo", "pair.hi").alias("group"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(group: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            values = fp.view(np.uint64)
+        def links(rows: pa.Table) -> pa.RecordBatch:
+            group, values = rows.column("group").to_numpy(), rows.column("fp").to_numpy().view(np.uint64)
             order = np.lexsort((gray_rank(values), group))
             number = np.cumsum(np.diff(group[order], prepend=group[order][0]) != 0)
             src, dst = _forest(values[order], number, distance)
-            return pa.RecordBatch.from_arrays([pa.array(src.view(np.int64)), pa.array(dst.view(np.int64))], names=["src", "dst"])
+            node = rows.column("node").combine_chunks()
+            return pa.RecordBatch.from_arrays([node.take(pa.array(order[src])), node.take(pa.array(order[dst]))], names=["src", "dst"])
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append((batch.column("group").to_numpy(), batch.column("fp").to_numpy()))
+            held.append(batch)
             size += batch.num_rows
             if size >= 1 << 16:
-                group, fp = (np.concatenate(x) for x in zip(*held))
+                rows = pa.Table.from_batches(held)
+                group = rows.column("group").to_numpy()
                 cut = int(np.searchsorted(group, group[-1]))  # the last group may go on
                 if cut:
-                    yield links(group[:cut], fp[:cut])
-                held, size = [(group[cut:], fp[cut:])], len(group) - cut
+                    yield links(rows.slice(0, cut))
+                held, size = rows.slice(cut).combine_chunks().to_batches(), len(group) - cut
         if size:
-            yield links(*(np.concatenate(x) for x in zip(*held)))
+            yield links(pa.Table.from_batches(held))
 
-    return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(run, "src long, dst long").distinct()
+    kind = distinct.schema["node"].dataType.simpleString()
+    return dealt.repartition("group").sortWithinPartitions("group").mapInArrow(run, f"src {kind}, dst {kind}").distinct()
 
 
 def near_components(fps: DataFrame, distance: int = 4, key: str = "doc_id") -> DataFrame:
     """``fps`` with ``component_id``: the smallest ``key`` that is reachable over links.
 
-    Rows link when their fingerprints differ in ``distance`` bits or fewer (equal ones too).
+    Rows link when their fingerprints differ in ``distance`` bits or fewer (equal ones too).  A
+    fingerprint stands in the links as its smallest key and itself, so that the smallest node of a
+    component names it and nothing is joined by component.  A null key is larger than any other: a
+    component has a null id only when all of its keys are null.
     """
-    groups = materialise(fps.groupBy("fp").agg(F.min(key).alias("least")), "simhash-groups")
-    edges = materialise(near_links(groups.select("fp"), distance), "simhash-links")
+    least = F.struct(F.col("least").isNull().alias("none"), "least", "fp").alias("node")
+    groups = materialise(fps.groupBy("fp").agg(F.min(key).alias("least")).select("fp", least), "simhash-groups")
+    edges = materialise(near_links(groups, distance), "simhash-links")
     labels = connected_components(edges)  # node, root
-    rooted = groups.join(labels, groups.fp == labels.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = materialise(rooted.join(best, "root").select("fp", "component_id"), "simhash-components")
-    return fps.join(of, "fp", "left")
+    linked = labels.select(F.col("node.fp").alias("fp"), F.col("root.least").alias("root"), F.lit(True).alias("linked"))
+    of = groups.join(linked, "fp", "left").select("fp", F.when(F.col("linked"), F.col("root")).otherwise(F.col("node.least")).alias("component_id"))
+    return fps.join(materialise(of, "simhash-components"), "fp", "left")

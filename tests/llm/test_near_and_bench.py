@@ -108,8 +108,8 @@ def test_links_of_clustered_fingerprints(spark, chunk):
         values.add(v)
     signed = [v - 2**64 if v >= 2**63 else v for v in values]
     fps = spark.createDataFrame([(i, v) for i, v in enumerate(signed)], "doc_id long, fp long")
-    distinct = fps.select("fp").distinct()
-    labels = simhash.connected_components(materialise(simhash.near_links(distinct, 4, chunk), "t"))
+    distinct = fps.select("fp", fps.fp.alias("node")).distinct()
+    labels = simhash.connected_components(materialise(simhash.near_links(distinct, 4, chunk=chunk), "t"), hub=20)
     got = {r.node: r.root for r in labels.collect()}
     ids = dict(enumerate(signed))
     want = components(ids, [(a, b) for a in ids for b in ids if a < b and ((ids[a] ^ ids[b]) & (2**64 - 1)).bit_count() <= 4])

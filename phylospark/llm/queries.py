@@ -47,8 +47,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = tokenizer_file("piece_bpe_32k.model")
-    return pieces.summary(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    """Counts and a checksum of each whole text's piece ids, and whether they decode to the text."""
+    return pieces.summary(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

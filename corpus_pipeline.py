@@ -55,8 +55,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text (summarised), with the check that they decode to it."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    return pieces.summary(pieces.encode(docs, model), model)
+    return pieces.summary(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -21,8 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a session of one machine uses a temporary folder; a cluster raises.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return shared or _own_folder()
 
 
 @functools.cache

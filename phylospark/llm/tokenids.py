@@ -26,15 +26,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import RollingHash, byte_values, materialise, small_batches
 
 _BATCH_BYTES = 2 << 20
-_CACHE_WORDS = 1_200_000
+_CACHE_WORDS = 600_000
 #: Texts of these characters only are cut here as the tokenizer's own pre-tokenizer cuts them.
 _PLAIN = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\x0B\x0C\r a-z0-9ß-öø-ÿ]+")
 #: what that cutting presumes of the tokenizer file
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_HASH, _BYTES = RollingHash(0x9FB21C651E98DF25), byte_values(17)
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_CLASS, _LOWER = np.full(256, _OTHER, np.uint8), np.arange(256, dtype=np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+for _a, _b in ((0x41, 0x5A), (0xC0, 0xD6), (0xD8, 0xDE)):
+    _LOWER[_a : _b + 1] += 32
+    _CLASS[_a : _b + 1] = _CLASS[_a + 32 : _b + 33] = _LETTER
+_CLASS[[0xDF, 0xFF]] = _LETTER
+
+
+def _cut(low: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the pieces of lower-cased Latin-1 texts that end at ``ends``, end to end:
+    a contraction (an apostrophe behind no other sign, and s, t, m, d, re, ve or ll), letters, one
+    digit, or other signs but white space."""
+    kind = _CLASS[low]
+    before = np.empty_like(kind)
+    before[1:] = kind[:-1]
+    first = np.concatenate(([0], ends[:-1]))
+    before[first[first < len(low)]] = _SPACE
+    start = (kind != _SPACE) & ((kind != before) | (kind == _DIGIT))
+    at = np.flatnonzero((low == ord("'")) & (before != _OTHER))
+    stop = ends[np.searchsorted(ends, at, "right")]  # of the text
+    one, two = (np.where(at + k < stop, low[np.minimum(at + k, len(low) - 1)], 0) for k in (1, 2))
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    for some, size in ((at[short], 2), (at[long], 3)):
+        start[some + 1] = False
+        rest = some + size
+        rest = rest[rest < len(low)]
+        start[rest] = kind[rest] != _SPACE
+    edge = np.append(start | (kind == _SPACE), True)
+    edge[ends] = True
+    begin, edges = np.flatnonzero(start), np.flatnonzero(edge)
+    return begin, edges[np.searchsorted(edges, begin, "right")] - begin
 
 
 class Encoder:
@@ -82,22 +116,43 @@ class Encoder:
                 self.known.update(zip(part, self._ids(part)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | list[str]] = []
-        seen: set[str] = set()
-        for text in texts:
-            if self.by_piece and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-                cut = _PIECES.findall(text.lower())
-                seen.update(cut)
-                out.append(cut)
-            else:
-                out.append(self._ids([text])[0])
-        new = seen - self.known.keys()
+        plain = [bool(self.by_piece and _PLAIN.fullmatch(t)) and not any(x in t for x in self.special) for t in texts]
+        out = iter(self._by_piece([t for t, is_plain in zip(texts, plain) if is_plain]))
+        return [next(out) if is_plain else self._ids([t])[0] for t, is_plain in zip(texts, plain)]
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
+        low = _LOWER[np.frombuffer("".join(texts).encode("latin-1"), np.uint8)]
+        ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
+        if not len(low):
+            return [b""] * len(texts)
+        start, size = _cut(low, ends)
+        one, of = self._distinct(low, start, size)
+        said = low.tobytes().decode("latin-1")
+        pieces = [said[a:b] for a, b in zip(start[one].tolist(), (start[one] + size[one]).tolist())]
+        new = [x for x in pieces if x not in self.known]
         if len(self.known) + len(new) > _CACHE_WORDS:
-            self.known = {}
-            new = seen
-        self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) if isinstance(x, list) else x for x in out]
+            self.known, new = {}, pieces
+        self._learn(new)
+        found = list(map(self.known.__getitem__, pieces))
+        ids = np.frombuffer(b"".join(found), "<u4")
+        counts = np.array([len(x) >> 2 for x in found], np.int64)
+        first, n = np.cumsum(counts) - counts, counts[of]
+        stops = np.cumsum(n)
+        raw = ids[np.repeat(first[of] - (stops - n), n) + np.arange(len(n) and int(stops[-1]))].tobytes()
+        at = np.concatenate(([0], stops))[np.searchsorted(start, np.concatenate(([0], ends)))] * 4
+        return [raw[a:b] for a, b in itertools.pairwise(at.tolist())]
+
+    @staticmethod
+    def _distinct(low: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One of each distinct piece, and for all pieces the number of theirs: by hash, then by characters."""
+        _, one, of = np.unique(_HASH.slices(_HASH.prefix(_BYTES[low]), start, start + size), return_index=True, return_inverse=True)
+        like = one[of]
+        if (size == size[like]).all():
+            here = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            if (low[here] == low[here + np.repeat(start[like] - start, size)]).all():
+                return one, of
+        # two pieces share a hash
+        return np.unique(np.array([low[a : a + n].tobytes().hex() for a, n in zip(start, size)]), return_index=True, return_inverse=True)[1:]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -144,3 +144,13 @@ def test_compress_until_no_pair_is_frequent():
     want, of, size = np.unique(keys, return_inverse=True, return_counts=True)
     assert dict(zip(pairs.tolist(), counts.tolist())) == dict(zip(want[size >= 5].tolist(), size[size >= 5].tolist()))
     assert (pairs[which[which >= 0]] == keys[which >= 0]).all() and ((which < 0) == (size[of] < 5)).all()
+
+
+def test_cut_pieces_have_the_librarys_ids():
+    bits = ["'s", "'S", "'re", "'RE", "'", "''", "l", "'l", "'ll", "'v", "'ve", "'m", "'d", "'t", "sun", " ", "  ", "\n", "\t", "1", "23", ",", "...", "É", "ß", "ÿ", "Ünï", "×", "日", "<|endoftext|>", "\x1c", "\x00", "a", "B", "-", "don't", "$5", "x'", "'re'", "s'll"]
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14))) for _ in range(4000)] + ["", "'", "'s", "x" * 5000]
+    own = tokenids.encoder(queries.tokenizer_file("word_bpe_49k.json"))
+    got = [ids for i in range(0, len(texts), 500) for ids in own.encode(texts[i : i + 500])]
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, text

@@ -1,7 +1,7 @@
 """Operators over aligned loci: ``alignments(locus, ord, seq_id, seq)``.
 
-Cells are exploded only next to the grouped count that consumes them, so that what is shuffled is
-one row for each (locus, site) and task, never a raw cell.
+Sites are counted as vectors within tasks (``counts``), so that what is shuffled is a few numbers for
+each site and task, never a raw cell.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import chars, is_all_missing, pick_sites, ratio, threshold_label
-
+from .counts import base_counts, take_sites
 
 
 def drop_missing_rows(alignments: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def site_occupancy(alignments: DataFrame) -> DataFrame:
     """
     rows = drop_missing_rows(alignments)
     counts = rows.groupBy("locus").agg(F.count("*").alias("n"))
-    sites = cells(rows).groupBy("locus", "pos").agg(F.count_if(F.col("base").rlike("^[ACGTacgt]$")).alias("present"))
+    sites = base_counts(rows).select("locus", "pos", (F.col("A") + F.col("C") + F.col("G") + F.col("T")).alias("present"))
     return sites.join(counts, "locus").select("locus", "pos", "present", (1 - ratio("present", "n")).alias("missing_ratio"), "n")
 
 
@@ -51,19 +51,17 @@ def kept_sites(alignments: DataFrame, threshold: float = 0.2) -> DataFrame:
 def filter_sites(alignments: DataFrame, threshold: float = 0.2, empty: str = "^(-*|\\?*)$") -> DataFrame:
     """Rows reduced to the kept sites; rows that match ``empty`` then go.
 
-    A locus without kept site gives no rows.  Kept sites of one locus are gathered as an array (its
-    length is bounded by the alignment's), rows are rebuilt where they are.
+    A locus without kept site gives no rows.  Kept sites of one locus travel as a bitmap (its length is
+    bounded by the alignment's), rows are rebuilt where they are.
     """
-    kept = kept_sites(alignments, threshold).groupBy("locus").agg(F.array_sort(F.collect_list("pos")).alias("__sites"))
-    rows = drop_missing_rows(alignments).join(kept, "locus").withColumn("seq", pick_sites("seq", "__sites"))
-    return rows.where(~F.col("seq").rlike(empty)).drop("__sites")
+    return take_sites(drop_missing_rows(alignments), kept_sites(alignments, threshold)).where(~F.col("seq").rlike(empty))
 
 
 def site_patterns(alignments: DataFrame) -> DataFrame:
     """Per site: number of bases, of different bases, and of bases that occur twice or more."""
-    base = F.upper("base")
-    one = cells(alignments).where(base.isin(*"ACGT")).groupBy("locus", "pos", base.alias("base")).agg(F.count("*").alias("n"))
-    return one.groupBy("locus", "pos").agg(F.sum("n").alias("bases"), F.count("*").alias("kinds"), F.count_if(F.col("n") >= 2).alias("repeated"))
+    some = lambda least: sum((F.col(b) >= least).cast("long") for b in "ACGT")
+    bases = F.col("A") + F.col("C") + F.col("G") + F.col("T")
+    return base_counts(alignments).select("locus", "pos", bases.alias("bases"), some(1).alias("kinds"), some(2).alias("repeated")).where("bases > 0")
 
 
 def site_statistics(alignments: DataFrame) -> DataFrame:
@@ -184,9 +182,8 @@ def bootstrap(alignments: DataFrame, replicates: int = 1, seed: int = 1) -> Data
 
 def nucleotide_diversity(alignments: DataFrame, window: int = 600, step: int = 200) -> DataFrame:
     """Mean pairwise difference in sliding windows of sites (N11): ``locus``, ``start``, ``pi``."""
-    base = F.upper("base")
-    one = cells(alignments).where(base.isin(*"ACGT")).groupBy("locus", "pos", base.alias("base")).agg(F.count("*").alias("n"))
-    site = one.groupBy("locus", "pos").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("sq"))
+    total = lambda f: sum(f(F.col(b)) for b in "ACGT")
+    site = base_counts(alignments).select("locus", "pos", total(lambda x: x).alias("n"), total(lambda x: x * x).alias("sq")).where("n > 0")
     pi = site.withColumn("pi", ratio(F.col("n") * F.col("n") - F.col("sq"), F.col("n") * (F.col("n") - 1)))
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") - window) / step))
     bins = pi.withColumn("w", F.explode(F.sequence(first.cast("int"), F.floor((F.col("pos") - 1) / step).cast("int"))))

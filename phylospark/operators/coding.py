@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import chars, ending_kmers, ratio, reverse_complement, translate_codons
+from .counts import ending_kmer_counts
 
 _STOP = "(TAA|TAG|TGA)$"
 
@@ -34,11 +35,7 @@ def _without_stop(seq: Column) -> Column:
 
 def framed_kmers(cds: DataFrame, longest: int = 6) -> DataFrame:
     """``kmer``, ``frame`` (index of its last base mod 3), ``n``, for k = 1 .. ``longest``."""
-    # the longest window goes through the explode once; its suffixes are the shorter k-mers
-    ends = cds.select(F.explode(ending_kmers(_without_stop(F.col("seq")), longest)).alias("e"))
-    counted = ends.groupBy(F.col("e.kmer").alias("w"), (F.col("e.i") % 3).alias("frame")).agg(F.count("*").alias("n"))
-    each = counted.select("frame", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w")), lambda k: F.substr("w", F.length("w") - k + 1, k))).alias("kmer"))
-    return each.groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
+    return ending_kmer_counts(cds.select(_without_stop(F.col("seq")).alias("seq")), longest)
 
 
 def kmer_model(kmers: DataFrame, background: DataFrame) -> DataFrame:

@@ -17,7 +17,10 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans", "kept")
+    """What each whole text keeps without the bytes of repeated 400-byte strings, and ``text``, the kept
+    bytes as a string (of a character that is cut, the rest is a replacement sign)."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("spans", "kept")
 
 
 def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,7 +104,7 @@ def _sample(docs: DataFrame, length: int, reach: int, piece_bytes: int) -> DataF
                 )
 
     kind = dict(docs.dtypes)["doc"]
-    return docs.mapInArrow(run, f"core long, cover long, doc {kind}, tie int, at long, lo int, hi int")
+    return docs.mapInArrow(run, f"core long, cover long, doc {kind}, tie long, at long, lo int, hi int")
 
 
 def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
@@ -145,7 +145,7 @@ def _contexts(docs: DataFrame, tuples: DataFrame, length: int) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([batch.column("doc").take(take), batch.column("tie").take(take), pa.array(at), pa.array(lo), pa.array(hi), pa.array(said, pa.binary())], names=["doc", "tie", "at", "lo", "hi", "bytes"])
 
-    return joined.mapInArrow(run, f"doc {kind}, tie int, at long, lo int, hi int, bytes binary").dropDuplicates(_TUPLE)
+    return joined.mapInArrow(run, f"doc {kind}, tie long, at long, lo int, hi int, bytes binary").dropDuplicates(_TUPLE)
 
 
 def _induce(contexts: DataFrame, size: int, length: int) -> DataFrame:
@@ -166,7 +166,7 @@ def _induce(contexts: DataFrame, size: int, length: int) -> DataFrame:
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([pa.array(core), pa.array(cover), *[batch.column(c).take(take) for c in ("doc", "tie", "at")], pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["core", "cover", *_TUPLE])
 
-    return contexts.mapInArrow(run, f"core long, cover long, doc {kind}, tie int, at long, lo int, hi int")
+    return contexts.mapInArrow(run, f"core long, cover long, doc {kind}, tie long, at long, lo int, hi int")
 
 
 def repeated_blocks(docs: DataFrame, length: int = 400, levels: tuple[int, ...] = (32, 4, 1), piece_bytes: int = 4 * _BATCH_BYTES) -> DataFrame:
@@ -200,7 +200,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, key: str = "doc_id", text
     overlaps count, judged on the input) is removed.  Null texts are empty.  Rows may repeat: rows
     alike in key and text are two documents, and get the same result.
     """
-    slim = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
+    slim = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
     of = repeated_blocks(slim, length, **options).groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     joined = slim.join(of, _same(slim, of, ["doc", "tie"]), "left").select(slim.doc, slim.text, of.ranges)
     kind = dict(slim.dtypes)["doc"]

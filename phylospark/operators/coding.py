@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import chars, ending_kmers, ratio, reverse_complement, translate_codons
-from .counts import ending_kmer_counts
+from .counts import ending_kmer_counts, frame_scores
 
 _STOP = "(TAA|TAG|TGA)$"
 
@@ -58,16 +58,11 @@ def coding_scores(cds: DataFrame, model: DataFrame, order: int = 5, id_: str = "
 
     Base i is scored by the k-mer of up to ``order`` + 1 bases that ends there; unknown k-mers give 0.
     """
-    seq = cds.select(id_, _without_stop(F.col("seq")).alias("s"))
-    strands = seq.select(id_, F.posexplode(F.array(F.col("s"), reverse_complement("s"))).alias("strand", "s"))
-    frames = strands.select(id_, "strand", F.posexplode(F.array(*[ending_kmers("s", order + 1, f) for f in range(3)])).alias("f", "grams"))
-    grams = frames.select(id_, (F.col("strand") * 3 + F.col("f") + 1).alias("k"), F.explode("grams").alias("e"))
-    counted = grams.groupBy(id_, "k", F.col("e.kmer").alias("kmer"), (F.col("e.i") % 3).alias("frame")).agg(F.count("*").alias("c"))
-    lik = model.select("kmer", "frame", "loglik")
-    sums = counted.join(lik, ["kmer", "frame"]).groupBy(id_).agg(*[F.sum(F.when(F.col("k") == k, F.col("c") * F.col("loglik"))).alias(f"score_{k}") for k in range(1, 7)])
-    out = cds.select(id_, F.length("seq").cast("long").alias("seq_length")).join(sums, id_, "left")
+    rows = cds.select(id_, F.length("seq").cast("long").alias("seq_length"), _without_stop(F.col("seq")).alias("seq"))
+    row = F.struct(id_, "seq_length").alias("__row")  # rows may share an id
+    scored = frame_scores(rows.select(row, "seq"), model, order, "__row").select("__row.*", *[f"score_{k}" for k in range(1, 7)])
     zero = F.col("seq_length") < 6
-    return out.select(id_, F.lit(order).alias("markov_order"), "seq_length", *[F.when(zero, 0.0).otherwise(F.round(F.coalesce(f"score_{k}", F.lit(0.0)), 2)).alias(f"score_{k}") for k in range(1, 7)])
+    return scored.select(id_, F.lit(order).alias("markov_order"), "seq_length", *[F.when(zero, 0.0).otherwise(F.round(f"score_{k}", 2)).alias(f"score_{k}") for k in range(1, 7)])
 
 
 def clip_outliers(model: DataFrame, value: str = "loglik", group: str = "frame") -> DataFrame:
@@ -223,7 +218,8 @@ def refine_starts(orfs: DataFrame, scores: DataFrame, threshold: float, most: in
 
 def codon_usage(cds: DataFrame, code: int = 1) -> DataFrame:
     """``codon``, ``amino_acid``, ``n`` and relative synonymous usage."""
-    codons = cds.select(F.explode(F.regexp_extract_all(F.upper("seq"), F.lit("(?s)(.{3})"), F.lit(1))).alias("codon")).groupBy("codon").agg(F.count("*").alias("n")).where(F.col("codon").rlike("^[ACGT]{3}$"))
+    ending = ending_kmer_counts(cds.select(F.upper("seq").alias("seq")), 3)
+    codons = ending.where(F.col("kmer").rlike("^[ACGT]{3}$") & (F.col("frame") == 2)).select(F.col("kmer").alias("codon"), "n")
     own = codons.withColumn("amino_acid", translate_codons("codon", code))
     w = W.partitionBy("amino_acid")
     return own.select("codon", "amino_acid", "n", F.round(F.col("n") * F.count("*").over(w) / F.sum("n").over(w), 6).alias("rscu"))

@@ -187,3 +187,45 @@ def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> D
 
     parts = sequences.select("seq").mapInArrow(run, "kmer string, frame int, n long")
     return parts.groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
+
+
+def frame_scores(sequences: DataFrame, model: DataFrame, order: int, id_: str) -> DataFrame:
+    """``id_`` and score_1 .. score_6: sums over three frames of each strand of the log-likelihoods of
+    the k-mers (of up to ``order`` + 1 bases) that end at each base; k-mers without one give 0.
+
+    The model is collected and sent to the tasks: it has at most 3 * (4 + ... + 4 ** (order + 1)) rows.
+    """
+    longest = order + 1
+    rows = model.where(F.col("kmer").rlike(f"^[ACGT]{{1,{longest}}}$")).select("kmer", F.col("frame").cast("int").alias("frame"), "loglik").toArrow()
+    tables = [np.zeros((3, 4**k + 1)) for k in range(1, longest + 1)]  # the last place is for other characters
+    for kmer, frame, loglik in zip(*(rows.column(c).to_pylist() for c in ("kmer", "frame", "loglik"))):
+        tables[len(kmer) - 1][frame, sum(_BASES.index(b) << 2 * j for j, b in enumerate(reversed(kmer)))] = loglik
+    shared = sequences.sparkSession.sparkContext.broadcast(tables)
+    kind = sequences.schema[id_].dataType.simpleString()
+
+    def strand(codes: np.ndarray, liks: list[np.ndarray]) -> list[float]:
+        words, word, good = [], np.zeros(len(codes), np.int64), np.ones(len(codes), bool)
+        for k in range(1, longest + 1):
+            word[k - 1 :] += codes[: max(0, len(codes) - k + 1)].astype(np.int64) << 2 * (k - 1)
+            good[k - 1 :] &= codes[: max(0, len(codes) - k + 1)] < 4
+            words.append(np.where(good, word, 4**k))
+        out = []
+        for f in range(3):
+            # the first bases of a frame have shorter k-mers
+            start = sum(float(liks[i][i % 3, words[i][f + i]]) for i in range(min(longest - 1, len(codes) - f)))
+            at = np.arange(f + longest - 1, len(codes))
+            out.append(start + float(liks[-1][(at - f) % 3, words[-1][at]].sum()))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f"score_{k}" for k in range(1, 7)]
+        for batch in batches:
+            scores = []
+            for seq in batch.column("seq").to_pylist():
+                codes = _codes(seq or "", _UPPER_CODE)
+                back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
+                scores.append(strand(codes, shared.value) + strand(back, shared.value))
+            columns = np.array(scores).reshape(-1, 6)
+            yield pa.RecordBatch.from_arrays([batch.column(id_), *[pa.array(columns[:, k]) for k in range(6)]], names=[id_, *names])
+
+    return sequences.select(id_, "seq").mapInArrow(run, f"`{id_}` {kind}, " + ", ".join(f"score_{k} double" for k in range(1, 7)))

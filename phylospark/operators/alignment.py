@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import chars, is_all_missing, pick_sites, ratio, threshold_label
-from .counts import base_counts, take_sites
+from .counts import base_counts, resampled, take_sites
+from .places import running_sum
 
 
 def drop_missing_rows(alignments: DataFrame) -> DataFrame:
@@ -128,6 +129,16 @@ def gap_statistics(alignments: DataFrame) -> DataFrame:
     )
 
 
+def select_sites(alignments: DataFrame, sites: DataFrame) -> DataFrame:
+    """Rows reduced to the listed ``sites(locus, pos)``; loci without any give no rows."""
+    return take_sites(alignments, sites.select("locus", "pos").distinct())
+
+
+def select_records(alignments: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows whose ``seq_id`` is listed in ``names(seq_id)``."""
+    return alignments.join(names.select("seq_id").distinct(), "seq_id", "left_semi")
+
+
 def remove_taxa(alignments: DataFrame, removed: DataFrame) -> DataFrame:
     """Rows listed in ``removed(locus, seq_id)`` go."""
     return alignments.join(removed.select("locus", "seq_id").distinct(), ["locus", "seq_id"], "left_anti")
@@ -166,18 +177,19 @@ def intersection_matrix(alignments: DataFrame) -> DataFrame:
 
 
 def partitions(lengths: DataFrame, order: str = "locus", length: str = "length") -> DataFrame:
-    """Cumulative 1-based ``first`` and ``last`` of each locus (W13); one row for each locus is windowed."""
-    total = F.sum(length).over(W.orderBy(order))
-    return lengths.select("*", (total - F.col(length) + 1).alias("first"), total.alias("last"))
+    """Cumulative 1-based ``first`` and ``last`` of each locus (W13), in ``order`` (no ties)."""
+    return running_sum(lengths, order, F.col(length), "last").select(*lengths.columns, (F.col("last") - F.col(length) + 1).alias("first"), "last")
 
 
 def bootstrap(alignments: DataFrame, replicates: int = 1, seed: int = 1) -> DataFrame:
-    """Column resamples with replacement: site k of replicate r is drawn by a hash of (seed, locus, r, k)."""
-    lengths = alignments.groupBy("locus").agg(F.max(F.length("seq")).alias("n"))
-    drawn = lengths.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    sites = F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.pmod(F.xxhash64(F.lit(seed), "locus", "replicate", k), F.col("n").cast("long")) + 1)
-    drawn = drawn.withColumn("sites", sites)
-    return alignments.join(drawn, "locus").select("locus", "replicate", "ord", "seq_id", pick_sites("seq", "sites").alias("seq"))
+    """Column resamples with replacement (N7): all rows of a locus get the same sites of replicate r.
+
+    Site k of a locus of n sites is drawn by integer arithmetic from k, r, the seed and the locus' md5
+    (``counts.drawn_sites``); a row's end is filled with ``-``.
+    """
+    lengths = alignments.groupBy("locus").agg(F.max(F.length("seq")).alias("__n"))
+    rows = alignments.join(lengths, "locus").withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    return resampled(rows, seed).select("locus", "replicate", "ord", "seq_id", "seq")
 
 
 def nucleotide_diversity(alignments: DataFrame, window: int = 600, step: int = 200) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +152,38 @@ def take_sites(rows: DataFrame, kept: DataFrame, fill: str = "-") -> DataFrame:
     return joined.mapInArrow(pick, rows.schema)
 
 
+def drawn_sites(locus: str, n: int, replicate: int, seed: int) -> np.ndarray:
+    """Sites (from 0) of a resample: for k = 1 .. n, 32-bit mixing of k, the replicate, the seed and the locus."""
+    own = int(md5(str(locus).encode()).hexdigest()[:7], 16)
+    x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(2654435761) + np.uint64(replicate * 1597334677 + seed * 1812433253 + own)
+    x &= np.uint64(0xFFFFFFFF)
+    for multiplier, shift in ((2146121005, 15), (1540483477, 13)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(multiplier) & np.uint64(0xFFFFFFFF)
+    return ((x ^ (x >> np.uint64(16))) % np.uint64(max(n, 1))).astype(np.int64)
+
+
+def resampled(rows: DataFrame, seed: int, fill: str = "-") -> DataFrame:
+    """Rows with ``locus``, ``replicate``, ``seq`` and ``__n`` (sites of the locus), ``seq`` at the drawn sites."""
+    names, kept = rows.columns, [c for c in rows.columns if c != "__n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn: dict = {}
+        for batch in batches:
+            out = []
+            for locus, replicate, seq, n in zip(*(batch.column(names.index(c)).to_pylist() for c in ("locus", "replicate", "seq", "__n"))):
+                if (locus, replicate) not in drawn:
+                    if sum(map(len, drawn.values())) > _HELD:
+                        drawn.clear()
+                    drawn[locus, replicate] = drawn_sites(locus, n, replicate, seed)
+                own = np.full(n, ord(fill), "<u4")
+                codes = np.frombuffer((seq or "").encode("utf-32-le", "surrogatepass"), "<u4")
+                own[: len(codes)] = codes
+                out.append(own[drawn[locus, replicate]].tobytes().decode("utf-32-le", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "seq" else batch.column(names.index(c)) for c in kept], names=kept)
+
+    return rows.mapInArrow(run, rows.drop("__n").schema)
+
+
 def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> DataFrame:
     """``kmer``, ``frame`` (index of its last base modulo ``frames``), ``n`` for k = 1 .. ``longest``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import iupac_code
@@ -57,6 +58,15 @@ def sample_concat(contigs: DataFrame, order: DataFrame) -> DataFrame:
     return joined.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "seq"))), lambda x: x["seq"]), "").alias("seq"))
 
 
+def gather_by_gene(regions: DataFrame) -> DataFrame:
+    """records(sample, gene, seq) regrouped by gene; the sample becomes the record's id.
+
+    ``locus``, ``ord`` (by sample name) and ``seq_id``: the form that the per-locus sink takes.
+    """
+    order = F.row_number().over(W.partitionBy("gene").orderBy("sample")) - 1
+    return regions.select(F.col("gene").alias("locus"), order.cast("long").alias("ord"), F.col("sample").alias("seq_id"), "seq")
+
+
 def union_shards(shards: list[DataFrame], order: DataFrame) -> DataFrame:
     """Per-contig shards as one table in reference order, range-partitioned."""
     out = shards[0]

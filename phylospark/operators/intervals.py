@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import reverse_complement, translate_codons
+from .clusters import greedy_kept, stored
+from .places import with_place
 
 
 def nonoverlapping(features: DataFrame, contig: str = "contig", start: str = "start", end: str = "end", order: str = "ord") -> DataFrame:
@@ -30,24 +32,26 @@ def not_eclipsed(features: DataFrame, contig: str = "contig", start: str = "star
     return features.join(seen.select(contig, start, "__before"), [contig, start]).where(F.col("__before").isNull() | (F.col("__before") <= F.col(end))).drop("__before")
 
 
-def greedy(features: DataFrame, key: str, better: list[Column], overlap: float | None = 0.1, start: str = "start", end: str = "end", id_: str = "id") -> DataFrame:
+def greedy(features: DataFrame, key: str, better: list[Column], overlap: float | None = 0.1, start: str = "start", end: str = "end", id_: str = "id", bin_size: int = 10_000) -> DataFrame:
     """Per key, take features best first; reject one that overlaps a taken one too much.
 
     ``overlap`` is the largest share of either feature's length (None: any overlap rejects).
-    ``better`` lists ascending sort columns.  The features of one key (a transcript) are folded in its row.
+    ``better`` lists ascending sort columns without ties; ``id_`` names a feature within all keys.
+    Overlapping pairs are joined by key and bin and decided in rounds, so that no key is gathered.
     """
-    item = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(better)], F.col(id_).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"))
-    rows = features.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    empty = F.filter(F.col("items"), lambda x: F.lit(False))
+    rank = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(better)])
+    items = stored(features.select(key, F.col(id_).alias("id"), F.col(start).alias("s"), F.col(end).alias("e"), rank.alias("rank")), "features")
 
-    def clash(a: Column, b: Column) -> Column:
-        both = F.least(a["e"], b["e"]) - F.greatest(a["s"], b["s"]) + 1
-        if overlap is None:
-            return both > 0
-        return (both > 0) & (both > overlap * F.least(a["e"] - a["s"] + 1, b["e"] - b["s"] + 1))
+    def side(x: str) -> DataFrame:
+        bins = F.sequence(F.floor(F.col("s") / bin_size), F.floor(F.col("e") / bin_size))
+        return items.select(key, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "s", "e", "rank")], F.explode(bins).alias("bin"))
 
-    taken = F.aggregate("items", empty, lambda acc, x: F.when(F.exists(acc, lambda a: clash(a, x)), acc).otherwise(F.array_append(acc, x)))
-    return rows.select(key, F.explode(taken).alias("x")).select(key, F.col("x.id").alias(id_), F.col("x.s").alias(start), F.col("x.e").alias(end))
+    both = F.least("e_a", "e_b") - F.greatest("s_a", "s_b") + 1
+    limit = F.lit(0) if overlap is None else overlap * F.least(F.col("e_a") - F.col("s_a") + 1, F.col("e_b") - F.col("s_b") + 1)
+    met = side("a").join(side("b"), [key, "bin"]).where("rank_a < rank_b").where((both > 0) & (both > limit))
+    against = met.select(F.struct(key, F.col("id_b").alias("id")).alias("later"), F.struct(key, F.col("id_a").alias("id")).alias("earlier"))
+    kept = greedy_kept(items.select(F.struct(key, "id").alias("item")), against, "item").select("item.*")
+    return items.join(kept, [key, "id"]).select(key, F.col("id").alias(id_), F.col("s").alias(start), F.col("e").alias(end))
 
 
 def single_best(features: DataFrame, key: str, better: list[Column]) -> DataFrame:
@@ -120,8 +124,8 @@ def regions(samples: DataFrame, features: DataFrame, order: str = "ord") -> Data
 
     Positions times samples is the result's own size; the contig's name is not looked at.
     """
-    named = features.select("start", "end", F.concat(F.lit("gene_"), F.row_number().over(W.orderBy(order)).cast("string")).alias("gene"))
-    return samples.crossJoin(F.broadcast(named)).select("sample", "gene", F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1).alias("seq"))
+    named = with_place(features, order).select("start", "end", F.concat(F.lit("gene_"), F.col("__place").cast("string")).alias("gene"))
+    return samples.crossJoin(named).select("sample", "gene", F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1).alias("seq"))
 
 
 def protein_check(proteins: DataFrame) -> DataFrame:

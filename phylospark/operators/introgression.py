@@ -57,10 +57,12 @@ def fit_mixtures(branches: DataFrame, rounds: int = 50, floor: float = 0.0005) -
             weight = (1 - resp).sum() + 1e-12
             own = ((1 - resp) * x).sum() / weight
             scale = max(floor, float(own if weight > 0.5 else scale))
-            trial = np.unique(np.quantile(x / scale, np.linspace(0, 1, min(n, 32))))
+            trial = np.unique(x / scale)
             trial = trial[(trial > 1e-6) & (trial < 700)]
-            if len(trial):
-                c = float(trial[int(np.argmax(_log_mix(x, pi, scale, trial[:, None], scale).sum(1)))])
+            if len(trial):  # all candidates, in blocks of bounded size
+                size = max(1, (1 << 20) // n)
+                sums = [_log_mix(x, pi, scale, trial[k : k + size, None], scale).sum(1) for k in range(0, len(trial), size)]
+                c = float(trial[int(np.argmax(np.concatenate(sums)))])
             ll = float(_log_mix(x, pi, scale, c, scale).sum())
             best = max(best, (ll, pi, scale, c))
         ll, pi, scale, c = best

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .places import with_place
 from ..functions import ratio
 
 
@@ -83,15 +84,29 @@ def attach_sequences(genes: DataFrame, sequences: DataFrame, strict: bool = Fals
     return joined.withColumn("seq", checked)
 
 
+def pair_partners(proteins: DataFrame, codings: DataFrame, strict: bool = True) -> DataFrame:
+    """Protein and coding files of one family, by the name before ``.pep`` or ``.cds`` (``file`` each).
+
+    A protein file without partner raises when ``strict`` (gene families), else has a ``message``
+    (annotation) and no ``cds``.
+    """
+    stem = F.regexp_replace("file", r"\.(pep|cds)$", "")
+    pep, cds = proteins.select(stem.alias("family"), F.col("file").alias("pep")), codings.select(stem.alias("family"), F.col("file").alias("cds"))
+    joined, missing = pep.join(cds, "family", "left"), F.concat(F.lit("no coding file for "), F.col("pep"))
+    if strict:
+        return joined.withColumn("cds", F.when(F.col("cds").isNotNull(), F.col("cds")).otherwise(F.raise_error(missing).cast("string")))
+    return joined.withColumn("message", F.when(F.col("cds").isNull(), missing))
+
+
 def numbered(groups: DataFrame, order: str, prefix: str = "ortho", start: int = 0) -> DataFrame:
-    """Running names by a given order (one row for each group is windowed)."""
-    return groups.withColumn("name", F.concat(F.lit(prefix), (F.row_number().over(W.orderBy(order)) - 1 + start).cast("string")))
+    """Running names by a given order (``order`` has no ties)."""
+    return with_place(groups, order).withColumn("name", F.concat(F.lit(prefix), (F.col("__place") - 1 + start).cast("string"))).drop("__place")
 
 
 def positional_pairs(files: DataFrame, lines: DataFrame, file_order: str, line_order: str) -> DataFrame:
     """I-th file with i-th line."""
-    a = files.withColumn("i", F.row_number().over(W.orderBy(file_order)))
-    b = lines.withColumn("i", F.row_number().over(W.orderBy(line_order)))
+    a = with_place(files, file_order).withColumnRenamed("__place", "i")
+    b = with_place(lines, line_order).withColumnRenamed("__place", "i")
     return a.join(b, "i")
 
 

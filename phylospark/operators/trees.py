@@ -247,8 +247,8 @@ def _species(name: str) -> str:
 def root_by_outgroup(trees: DataFrame, outgroup: list[str]) -> DataFrame:
     """Gene trees rooted by outgroup species, with the status that decides.
 
-    With three or more outgroup genes and exactly one in-group intruder among them, that outgroup
-    gene which spoils the clade is dropped.
+    With three or more outgroup genes, exactly one of which stands within the smallest clade of all
+    in-group genes, that one is dropped.
     """
     out = set(outgroup)
 
@@ -261,11 +261,11 @@ def root_by_outgroup(trees: DataFrame, outgroup: list[str]) -> DataFrame:
             return root, "all_non_outgroup_no_outgroup"
         if new := _root_apart(root, inner):
             return new, "success"
-        if len(outer) >= 3:
-            for drop in sorted(outer):
-                again = _keep(parse(write(root)), inner | outer - {drop})
-                if again and (new := _root_apart(again, inner)):
-                    return new, "success_after_drop_one_outgroup"
+        intruders = {x.name for x in _ancestor(root, inner).leaves()} & outer
+        if len(outer) >= 3 and len(intruders) == 1:
+            again = _keep(root, inner | outer - intruders)
+            if again and (new := _root_apart(again, inner)):
+                return new, "success_after_drop_one_outgroup"
         return None, "non_outgroup_not_monophyletic"
 
     return _rewrite(trees, change)
@@ -284,30 +284,31 @@ def _root_apart(root: Node, inner: set[str]) -> Node | None:
 def root_by_order(trees: DataFrame, nested: list[list[str]]) -> DataFrame:
     """Gene trees rooted by the first useful outgroup of a nested list (from the root inwards).
 
-    Each entry are the species of one step; the in-group is what comes after it.  A single gene roots
-    the tree, a monophyletic set too; else the gene that leaves the smallest in-group clade.
+    Each entry are the species of one step; the last one is the in-group.  A single gene roots the
+    tree, a monophyletic set too; else the gene that leaves the smallest clade of all in-group genes
+    (the first of the tree on ties).
     """
     steps = [set(s) for s in nested]
 
     def change(root: Node, _: dict) -> tuple[Node | None, str]:
         if not any(_species(x.name) in steps[-1] for x in root.leaves()):
             return None, "no_ingroup_gene"
-        for i, step in enumerate(steps[:-1]):
-            rest = set().union(*steps[i + 1 :])
-            genes = {x.name for x in root.leaves() if _species(x.name) in step}
-            inner = {x.name for x in root.leaves() if _species(x.name) in rest}
-            if not genes or not inner:
+        inner = {x.name for x in root.leaves() if _species(x.name) in steps[-1]}
+        for step in steps[:-1]:
+            genes = [x.name for x in root.leaves() if _species(x.name) in step]
+            if not genes:
                 continue
-            if len(genes) == 1 or _root_apart(parse(write(root)), genes):
-                at = next(x for x in root.leaves() if x.name in genes) if len(genes) == 1 else None
-                return (_reroot(root, at) if at else _root_apart(root, genes)), "success"
-            best = None
-            for g in sorted(genes):
+            if len(genes) == 1:
+                return _reroot(root, next(x for x in root.leaves() if x.name == genes[0])), "success"
+            if apart := _root_apart(parse(write(root)), set(genes)):
+                return apart, "success"
+            sizes = []
+            for g in genes:
                 trial = parse(write(root))
                 trial = _reroot(trial, next(x for x in trial.leaves() if x.name == g))
-                size = len(_ancestor(trial, inner).leaves())
-                best = min(best or (size, g), (size, g))
-            return _reroot(root, next(x for x in root.leaves() if x.name == best[1])), "success"
+                sizes.append(len(_ancestor(trial, inner).leaves()))
+            best = genes[sizes.index(min(sizes))]
+            return _reroot(root, next(x for x in root.leaves() if x.name == best)), "success"
         return None, "no_valid_root_found"
 
     return _rewrite(trees, change)
@@ -396,6 +397,45 @@ def mrca(tree_nodes: DataFrame, lists: DataFrame) -> DataFrame:
     return best.select("tree_id", "list_id", "b.node_id", F.size("b.leaves").alias("size"), (F.size(F.array_except("b.leaves", "b.taxa")) == 0).alias("monophyletic"))
 
 
+def pruned_nodes(tree_nodes: DataFrame, taxa: list[str]) -> DataFrame:
+    """T2 over a node table: ``tree_id``, ``leaves``, ``branch_len`` (NULL at the root) of what is left.
+
+    Of nodes left with the same leaves the deepest stays, so that none has one child; lengths are
+    differences of root distances to the smallest clade above.
+    """
+    left = F.array_intersect("leaves", F.array(*map(F.lit, taxa)))
+    some = tree_nodes.withColumn("leaves", left).where(F.size("leaves") > 0)
+    kept = some.groupBy("tree_id", "leaves").agg(F.max_by("root_dist", F.struct("depth", "node_id")).alias("dist"))
+    above = kept.select("tree_id", F.explode("leaves").alias("leaf"), F.size("leaves").alias("n"), F.col("dist").alias("up"))
+    own = kept.withColumn("leaf", F.col("leaves")[0])
+    met = own.join(above, ["tree_id", "leaf"]).where(F.col("n") >= F.size("leaves"))
+    nearest = F.min_by("up", F.when(F.col("n") > F.size("leaves"), F.col("n")))
+    return met.groupBy("tree_id", "leaves").agg((F.first("dist") - nearest).alias("branch_len"))
+
+
+def rerooted_nodes(tree_nodes: DataFrame, outgroup: list[str]) -> DataFrame:
+    """T3 over a node table: ``tree_id``, ``leaves``, ``branch_len`` of the tree rooted on the outgroup's edge.
+
+    A branch parts the leaves in two; the new clade under it is the side without the root.  The
+    outgroup's (of those leaves that the tree has) own branch is halved; branches of one and the
+    same split, as two at a binary root, are added up.  Trees in which the outgroup is no side of
+    any branch have no rows.
+    """
+    branches = tree_nodes.where("parent_id is not null").select("tree_id", F.col("leaves").alias("m"), F.coalesce("branch_len", F.lit(0.0)).alias("len"))
+    tips = tree_nodes.where("node_id = 0").select("tree_id", F.col("leaves").alias("all"))
+    sides = tips.select("tree_id", "all", F.array_intersect("all", F.array(*map(F.lit, outgroup))).alias("out")).where("size(out) > 0 and size(out) < size(all)")
+    rest = F.array_except("all", "out")
+    rows = branches.join(sides, "tree_id")
+    inside = lambda a, b: F.size(F.array_except(a, b)) == 0
+    # the side of a branch away from the new root
+    clade = F.when(inside("m", "out") | inside("m", rest), F.col("m")).when(inside("out", "m") & ~inside(rest, "m") | inside(rest, "m"), F.array_except("all", "m"))
+    root_edge = (F.col("m") == F.col("out")) | (F.col("m") == F.array_sort(rest))
+    edge = rows.where(root_edge).groupBy("tree_id").agg((F.sum("len") / 2).alias("half"))
+    ends = sides.join(edge, "tree_id").select("tree_id", F.explode(F.array("out", F.array_sort(rest))).alias("leaves"), F.col("half").alias("branch_len"))
+    others = rows.where(~root_edge).withColumn("leaves", F.array_sort(clade)).where("size(leaves) > 0").join(edge.select("tree_id"), "tree_id", "left_semi")
+    return others.groupBy("tree_id", "leaves").agg(F.sum("len").alias("branch_len")).unionByName(ends)
+
+
 def pair_depths(tree_nodes: DataFrame) -> DataFrame:
     """Root distance of the last common ancestor of each pair of leaves: ``tree_id``, ``a``, ``b``, ``depth``.
 

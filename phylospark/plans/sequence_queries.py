@@ -181,20 +181,119 @@ def read_trimming(spark, sf_dir):
     return reads.trim(docs, mean=60, leading=30, trailing=30).select("read_id", "mate", F.length("seq").alias("n"), F.md5("seq").alias("seq_md5"))
 
 
+_TEXTS = "SELECT CAST(doc_id AS STRING) AS seq_id, text AS seq FROM documents"
+
+
 @query()
 def near_duplicate_sequences(spark, sf_dir):
-    tables(spark, sf_dir, "benchmark")
-    items = spark.sql("SELECT CAST(item_id AS STRING) AS seq_id, text AS seq FROM benchmark")
-    return clusters.near_identical(items, 5, 0.9)
+    tables(spark, sf_dir, "documents")
+    return clusters.near_identical(spark.sql(_TEXTS), 5, 0.95)
 
 
 @query()
 def greedy_redundancy(spark, sf_dir):
-    tables(spark, sf_dir, "benchmark")
-    items = spark.sql("SELECT CAST(item_id AS STRING) AS seq_id, text AS seq FROM benchmark")
-    return clusters.greedy_representatives(items)
+    tables(spark, sf_dir, "documents")
+    return clusters.greedy_representatives(spark.sql(_TEXTS))
+
 
+_DRAWN = "l AS (SELECT locus, CAST(max(length(seq)) AS BIGINT) AS n, CAST(concat('0x', substr(md5(locus), 1, 7)) AS BIGINT) AS h FROM a GROUP BY 1), d AS (SELECT locus, n, list_transform(list_transform(list_transform(list_transform(range(1, n + 1), lambda k: (k * 2654435761 + 1597334677 + 1812433253 + h) % 4294967296), lambda x: (xor(x, x >> 15) * 2146121005) % 4294967296), lambda x: (xor(x, x >> 13) * 1540483477) % 4294967296), lambda x: xor(x, x >> 16) % n + 1) AS s FROM l)"
 
-@query("SELECT locus, replicate, ord, seq_id FROM (SELECT concat(lang, '_', CAST(doc_id % 10 AS VARCHAR)) AS locus, doc_id AS ord, CAST(doc_id AS VARCHAR) AS seq_id FROM documents) CROSS JOIN (SELECT unnest([1, 2]) AS replicate)")
+
+@query(f"WITH a AS {_A}, {_DRAWN} SELECT locus, seq_id, n AS sites, md5(array_to_string(list_select(string_split(rpad(seq, CAST(n AS INTEGER), '-'), ''), s), '')) AS seq_md5 FROM a JOIN d USING (locus)")
 def column_bootstrap(spark, sf_dir):
-    return alignment.bootstrap(view(spark, sf_dir, ALIGNMENTS), 2).select("locus", "replicate", "ord", "seq_id")
+    rows = alignment.bootstrap(view(spark, sf_dir, ALIGNMENTS), 1)
+    return rows.select("locus", "seq_id", F.length("seq").cast("long").alias("sites"), F.md5("seq").alias("seq_md5"))
+
+
+@query(f"WITH a AS {_A} SELECT locus, seq_id, CAST((n + 9) // 10 AS BIGINT) AS sites, md5(array_to_string(list_select(string_split(rpad(seq, CAST(n AS INTEGER), '-'), ''), range(1, n + 1, 10)), '')) AS seq_md5 FROM a JOIN (SELECT locus, max(length(seq)) AS n FROM a GROUP BY 1) USING (locus)")
+def selected_sites(spark, sf_dir):
+    """Every tenth site of each locus, by a list of sites."""
+    rows = view(spark, sf_dir, ALIGNMENTS)
+    sites = rows.groupBy("locus").agg(F.max(F.length("seq")).alias("n")).select("locus", F.explode(F.sequence(F.lit(1), F.col("n"), F.lit(10))).alias("pos"))
+    out = alignment.select_sites(rows, sites)
+    return out.select("locus", "seq_id", F.length("seq").cast("long").alias("sites"), F.md5("seq").alias("seq_md5"))
+
+
+@query(f"WITH a AS {_A} SELECT locus, seq_id, CAST(length(seq) AS BIGINT) AS n FROM a WHERE ord IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def selected_records(spark, sf_dir):
+    """Rows of the documents that are labelled good."""
+    names = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select(F.col("doc_id").cast("string").alias("seq_id"))
+    return alignment.select_records(view(spark, sf_dir, ALIGNMENTS), names).select("locus", "seq_id", F.length("seq").cast("long").alias("n"))
+
+
+@query(f"WITH a AS {_A} SELECT locus, seq_id, CAST(length(seq) AS BIGINT) AS n FROM a WHERE ord NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def removed_taxa(spark, sf_dir):
+    rows = view(spark, sf_dir, ALIGNMENTS)
+    return alignment.remove_taxa(rows, _toxic(spark, sf_dir, rows)).select("locus", "seq_id", F.length("seq").cast("long").alias("n"))
+
+
+def _toxic(spark, sf_dir, rows):
+    ids = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select(F.col("doc_id").cast("string").alias("seq_id"))
+    return rows.join(ids, "seq_id", "left_semi").select("locus", "seq_id")
+
+
+@query(f"WITH a AS {_A}, good AS (SELECT locus FROM a GROUP BY 1 HAVING max(length(seq)) > 9000), r AS (SELECT * FROM a WHERE locus IN (SELECT locus FROM good) AND ord NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)), cells AS (SELECT locus, seq_id, unnest(string_split(seq, '')) AS base, unnest(generate_series(1, length(seq))) AS pos FROM r), kept AS (SELECT locus, pos FROM cells WHERE base <> '-' GROUP BY ALL), nk AS (SELECT locus, count(*) AS k FROM kept GROUP BY 1) SELECT r.locus, r.seq_id, CAST(k AS BIGINT) AS sites, md5(rpad(coalesce(s, ''), CAST(k AS INTEGER), '-')) AS seq_md5 FROM r JOIN nk USING (locus) LEFT JOIN (SELECT locus, seq_id, string_agg(base, '' ORDER BY pos) AS s FROM cells JOIN kept USING (locus, pos) GROUP BY ALL) USING (locus, seq_id)")
+def outlier_pruning(spark, sf_dir):
+    """Toxic documents are the outliers; trees have all rows of long loci, and lack one of short ones."""
+    rows = view(spark, sf_dir, ALIGNMENTS)
+    long = rows.groupBy("locus").agg((F.max(F.length("seq")) > 9000).alias("whole"))
+    leaves = rows.join(long, "locus").select("locus", F.when(F.col("whole"), F.col("seq_id")).otherwise(F.concat("seq_id", F.lit("x"))).alias("leaf"))
+    out = alignment.prune_outliers(rows, leaves, _toxic(spark, sf_dir, rows))
+    return out.select("locus", "seq_id", F.length("seq").cast("long").alias("sites"), F.md5("seq").alias("seq_md5"))
+
+
+# start codons ------------------------------------------------------------------------------------
+
+_MOTIF = f"c AS {_C}, h AS (SELECT seq_id, seq, i AS pos FROM (SELECT seq_id, seq, unnest(generate_series(1, length(seq) - 2)) AS i FROM c WHERE length(seq) >= 3) WHERE substr(seq, i, 3) = 'ATG'), st AS (SELECT seq_id, min(pos) AS pos FROM h WHERE pos > 20 GROUP BY 1), w AS (SELECT h.seq_id, h.pos, CASE WHEN st.pos IS NULL THEN 'neg' ELSE 'pos' END AS label, substr(h.seq, h.pos - 20, 33) AS win FROM h LEFT JOIN st ON st.seq_id = h.seq_id AND st.pos = h.pos WHERE h.pos > 20 AND h.pos + 12 <= length(h.seq)), cell AS (SELECT seq_id, pos, label, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM w), cnt AS (SELECT label, p_, base, count(*) AS n FROM cell GROUP BY ALL), grid AS (SELECT label, p_, base FROM (SELECT DISTINCT label, p_ FROM cnt) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS base)), pwm AS (SELECT label, p_, base, coalesce(n, 0) AS n, (coalesce(n, 0) + 1) / (sum(coalesce(n, 0)) OVER (PARTITION BY label, p_) + 4)::DOUBLE AS prob FROM grid LEFT JOIN cnt USING (label, p_, base)), odds AS (SELECT p_, base, ln(max(prob) FILTER (label = 'pos')) - ln(max(prob) FILTER (label = 'neg')) AS o FROM pwm GROUP BY ALL), score AS (SELECT seq_id, pos, label, sum(coalesce(o, 0)) / count(*) AS score FROM cell LEFT JOIN odds USING (p_, base) WHERE p_ NOT BETWEEN 20 AND 22 GROUP BY ALL)"
+
+
+def _motifs(spark, sf_dir):
+    seqs = view(spark, sf_dir, CODING)
+    first = coding.motif_windows(seqs, spark.createDataFrame([], "seq_id string, pos int"), 20, -3).groupBy("seq_id").agg(F.min("pos").alias("pos"))
+    return coding.motif_windows(seqs, first)
+
+
+@query(f"WITH {_MOTIF} SELECT label, CAST(p_ AS INTEGER) AS pos, base, n, round(prob, 6) AS prob FROM pwm")
+def motif_matrix(spark, sf_dir):
+    """Base frequencies around the first ATG beyond base 20 of each sequence, and around all other ones."""
+    return coding.weight_matrix(_motifs(spark, sf_dir)).select("label", F.col("pos").cast("int").alias("pos"), "base", "n", F.round("prob", 6).alias("prob"))
+
+
+@query(f"WITH {_MOTIF} SELECT seq_id, CAST(pos AS BIGINT) AS pos, label, round(score, 6) AS score FROM score")
+def motif_scores(spark, sf_dir):
+    windows = _motifs(spark, sf_dir)
+    rows = coding.motif_scores(windows, coding.weight_matrix(windows))
+    return rows.select("seq_id", F.col("pos").cast("long").alias("pos"), "label", F.round("score", 6).alias("score"))
+
+
+_REFINED = "o AS (SELECT seq_id, 21 AS start, length(seq) AS stop, CASE WHEN length(seq) % 2 = 0 THEN 'internal' ELSE '5prime_partial' END AS kind FROM c WHERE length(seq) > 60), best AS (SELECT o.seq_id, arg_min(s.pos, (-round(s.score, 9), s.pos)) AS pos FROM o JOIN score s ON s.seq_id = o.seq_id AND s.pos >= start AND s.pos <= start + greatest(30, floor((stop - start + 1) * 0.15)) AND (s.pos - start) % 3 = 0 AND round(s.score, 9) >= 0.01 GROUP BY 1)"
+
+
+@query(f"WITH {_MOTIF}, {_REFINED} SELECT o.seq_id, CAST(coalesce(b.pos, start) AS BIGINT) AS start, CAST(stop AS BIGINT) AS \"end\", CASE WHEN b.pos IS NULL THEN kind WHEN kind = 'internal' THEN '3prime_partial' ELSE 'complete' END AS kind FROM o LEFT JOIN best b USING (seq_id)")
+def refined_starts(spark, sf_dir):
+    windows = _motifs(spark, sf_dir)
+    scores = coding.motif_scores(windows, coding.weight_matrix(windows)).select("seq_id", "pos", F.round("score", 9).alias("score"))
+    kind = F.when(F.length("seq") % 2 == 0, "internal").otherwise("5prime_partial")
+    orfs = view(spark, sf_dir, CODING).where("length(seq) > 60").select("seq_id", F.lit(21).alias("start"), F.length("seq").alias("end"), kind.alias("kind"))
+    rows = coding.refine_starts(orfs, scores, 0.01)
+    return rows.select("seq_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kind")
+
+
+@query(f"WITH {_MODEL}, pos AS (SELECT orf_id, seq AS t, unnest(range(length(seq))) AS i FROM {_C}), g AS (SELECT orf_id, i, CASE WHEN i < 2 THEN substr(t, 1, i + 1) ELSE substr(t, i - 1, 3) END AS kmer, i % 3 AS frame FROM pos), r AS (SELECT orf_id, i, coalesce(loglik, 0) AS lik FROM g LEFT JOIN model USING (kmer, frame)), w AS (SELECT orf_id, lik, sum(lik) OVER (PARTITION BY orf_id ORDER BY i) AS running FROM r) SELECT orf_id AS seq_id, count(*) AS n, round(max(lik), 6) AS most, round(max(running), 3) AS highest, round(min(running), 3) AS lowest FROM w GROUP BY 1")
+def likelihood_profile(spark, sf_dir):
+    """Extremes of each sequence's profile of k-mer log-likelihoods and of its running sum."""
+    cds, model = _model(spark, sf_dir)
+    rows = coding.likelihood_profile(cds, model, 2)
+    return rows.groupBy("seq_id").agg(F.count("*").alias("n"), F.round(F.max("lik"), 6).alias("most"), F.round(F.max("running"), 3).alias("highest"), F.round(F.min("running"), 3).alias("lowest"))
+
+
+@query()
+def cross_scored_starts(spark, sf_dir):
+    """Mean score of test windows by round, range and label."""
+    rows = coding.cross_scored(_motifs(spark, sf_dir), rounds=2)
+    return rows.groupBy("round", "range", "label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
+
+
+@query()
+def purified_starts(spark, sf_dir):
+    return coding.purified(_motifs(spark, sf_dir), 2).groupBy("label").agg(F.count("*").alias("n"))

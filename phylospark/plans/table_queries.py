@@ -163,10 +163,10 @@ def single_best_interval(spark, sf_dir):
     return intervals.single_best(rows, "contig", [-(F.col("end") - F.col("start")), F.col("id")]).select("contig", "id")
 
 
-@query(f"WITH f AS {INTERVALS} SELECT a.contig, a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.contig = b.contig AND a.start <= b.stop AND b.start <= a.stop WHERE a.id % 2 = 0 AND b.id % 2 = 1")
+@query(f"WITH f AS {INTERVALS} SELECT a.contig, a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.contig = b.contig AND a.start <= b.stop AND b.start <= a.stop WHERE a.id < b.id")
 def overlapping_pairs(spark, sf_dir):
     rows = _intervals(spark, sf_dir)
-    return intervals.overlaps(rows.where("id % 2 = 0"), rows.where("id % 2 = 1"), 2000)
+    return intervals.overlaps(rows, rows, 2000).where("id_a < id_b")
 
 
 _EXONS = "(SELECT l_orderkey AS transcript, 'c' AS contig, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(l_linenumber * 1000 AS BIGINT) AS start, CAST(l_linenumber * 1000 + max(l_quantity) - 1 AS BIGINT) AS stop FROM lineitem GROUP BY l_orderkey, l_linenumber)"

@@ -1,74 +1,94 @@
-"""Queries over tree corpora made of the nation, region and customer tables."""
+"""Queries over tree corpora made of order lines: one tree for each supplier, nations as leaves."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import introgression, stats, trees
+from ..operators import introgression, trees
 from .registry import query
 from .views import tables
 
-#: one tree for each market segment: nations grouped by their number of customers there (mod 4)
-_CLASSES = "(SELECT c_mktsegment AS tree_id, n_name AS leaf, count(c_custkey) % 4 AS k, round(abs(sum(c_acctbal)) / 10000 + 0.1, 3) AS len FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY c_mktsegment, n_name)"
-_LEAF = "replace(leaf, ' ', '_')"
 
+def _classes(where: str = "", groups: int = 4) -> str:
+    """Leaves of each supplier's tree: customers' nations, grouped by their number of lines (mod ``groups``)."""
+    return f"(SELECT CAST(l_suppkey AS VARCHAR(20)) AS tree_id, replace(n_name, ' ', '_') AS leaf, count(*) % {groups} AS k, CAST(CAST(sum(l_quantity) AS BIGINT) % 97 + 1 AS DOUBLE) AS len FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey {where} GROUP BY l_suppkey, n_name)"
 
-def _corpus(spark, sf_dir):
-    tables(spark, sf_dir, "nation", "customer")
+
+#: lines of large quantities only: trees lack some nations
+_RARE = "WHERE l_quantity > 46"
+#: few nations: some trees are binary
+_FEW = "WHERE n_nationkey < 4"
+
+
+def _corpus(spark, sf_dir, where="", groups=4):
+    tables(spark, sf_dir, "nation", "customer", "orders", "lineitem")
     return spark.sql(f"""
-        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct({_LEAF} AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t, count(*) AS n FROM {_CLASSES} GROUP BY tree_id, k)
+        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct(leaf AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t FROM {_classes(where, groups)} GROUP BY tree_id, k)
         SELECT tree_id, concat('(', array_join(transform(array_sort(collect_list(struct(k, t))), x -> x.t), ','), ');') AS newick FROM g GROUP BY tree_id""")
 
 
+def _nodes(spark, sf_dir, where="", groups=4):
+    return trees.nodes(_corpus(spark, sf_dir, where, groups))
+
+
 def _species(spark, sf_dir):
     tables(spark, sf_dir, "nation")
-    return spark.sql(f"""
+    return spark.sql("""
         WITH g AS (SELECT n_regionkey AS k, concat('(', array_join(array_sort(collect_list(concat(replace(n_name, ' ', '_'), ':1'))), ','), '):1') AS t FROM nation GROUP BY n_regionkey)
         SELECT 'species' AS tree_id, concat('(', array_join(transform(array_sort(collect_list(struct(k, t))), x -> x.t), ','), ');') AS newick FROM g""")
 
 
-_CLADES = f"leaves AS (SELECT tree_id, k, {_LEAF} AS leaf, len FROM {_CLASSES}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
+def _clades(where: str = "", groups: int = 4) -> str:
+    return f"leaves AS (SELECT * FROM {_classes(where, groups)}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
+
+
+_joined = lambda c: F.array_join(c, ",")
 
 
-@query(f"WITH {_CLADES} SELECT array_to_string(sp.c, ',') AS clade, CAST(len(sp.c) AS INTEGER) AS size, count(DISTINCT tree_id) AS n, round(100 * count(DISTINCT tree_id) / (SELECT count(DISTINCT tree_id) FROM gene)::DOUBLE, 2) AS percent FROM sp LEFT JOIN gene ON gene.c = sp.c GROUP BY sp.c")
+@query(f"WITH {_clades()} SELECT array_to_string(sp.c, ',') AS clade, CAST(len(sp.c) AS INTEGER) AS size, count(DISTINCT tree_id) AS n, round(100 * count(DISTINCT tree_id) / (SELECT count(DISTINCT tree_id) FROM gene)::DOUBLE, 2) AS percent FROM sp LEFT JOIN gene ON gene.c = sp.c GROUP BY sp.c")
 def clade_support(spark, sf_dir):
-    rows = trees.clade_support(trees.nodes(_species(spark, sf_dir)), trees.nodes(_corpus(spark, sf_dir)))
-    return rows.select(F.array_join("clade", ",").alias("clade"), "size", "n", "percent")
+    rows = trees.clade_support(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir))
+    return rows.select(_joined("clade").alias("clade"), "size", "n", "percent")
 
 
-@query(f"WITH {_CLADES}, x AS (SELECT sp.c AS s, g.c AS g, tree_id FROM sp JOIN gene g ON len(list_intersect(sp.c, g.c)) > 0 WHERE len(sp.c) > 1) SELECT array_to_string(s, ',') AS clade, count(DISTINCT tree_id) FILTER (s = g) AS concordant, count(DISTINCT tree_id) FILTER (len(list_intersect(s, g)) < len(s) AND len(list_intersect(s, g)) < len(g)) AS conflicting FROM x GROUP BY s")
+@query(f"WITH {_clades()}, x AS (SELECT sp.c AS s, g.c AS g, tree_id FROM sp JOIN gene g ON len(list_intersect(sp.c, g.c)) > 0 WHERE len(sp.c) > 1) SELECT array_to_string(s, ',') AS clade, count(DISTINCT tree_id) FILTER (s = g) AS concordant, count(DISTINCT tree_id) FILTER (len(list_intersect(s, g)) < len(s) AND len(list_intersect(s, g)) < len(g)) AS conflicting FROM x GROUP BY s")
 def clade_conflict(spark, sf_dir):
-    rows = trees.clade_conflict(trees.nodes(_species(spark, sf_dir)), trees.nodes(_corpus(spark, sf_dir)))
-    return rows.select(F.array_join("clade", ",").alias("clade"), "concordant", "conflicting")
+    rows = trees.clade_conflict(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir))
+    return rows.select(_joined("clade").alias("clade"), "concordant", "conflicting")
 
 
-@query(f"WITH {_CLADES} SELECT tree_id, array_to_string(list_sort(list_filter((SELECT list(replace(n_name, ' ', '_')) FROM nation), lambda x: NOT list_contains(c, x))), ',') AS missing FROM roots WHERE len(c) < (SELECT count(*) FROM nation)")
+@query(f"WITH {_clades(_RARE)} SELECT tree_id, array_to_string(list_sort(list_filter((SELECT list(replace(n_name, ' ', '_')) FROM nation), lambda x: NOT list_contains(c, x))), ',') AS missing FROM roots WHERE len(c) < (SELECT count(*) FROM nation)")
 def tip_differences(spark, sf_dir):
-    rows = trees.tip_differences(trees.nodes(_species(spark, sf_dir)), trees.nodes(_corpus(spark, sf_dir)))
-    return rows.select("tree_id", F.array_join(F.array_sort("missing"), ",").alias("missing"))
+    rows = trees.tip_differences(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir, _RARE))
+    return rows.select("tree_id", _joined(F.array_sort("missing")).alias("missing"))
 
 
-@query(f"WITH {_CLADES}, h AS (SELECT tree_id, k, max(1 + k + len) AS far FROM leaves GROUP BY ALL) SELECT tree_id, array_to_string(list_sort(list(leaf)), ',') AS clade, round(max(len), 6) AS age FROM leaves GROUP BY tree_id, k UNION SELECT tree_id, (SELECT array_to_string(c, ',') FROM roots r WHERE r.tree_id = h.tree_id), round(max(far), 6) FROM h GROUP BY tree_id")
+@query(f"WITH {_clades(_RARE)} SELECT tree_id FROM roots WHERE list_contains(c, 'NATION_1') AND list_contains(c, 'NATION_2')")
+def trees_with_taxa(spark, sf_dir):
+    return trees.with_taxa(_nodes(spark, sf_dir, _RARE), ["NATION_1", "NATION_2"])
+
+
+@query(f"WITH {_clades()}, h AS (SELECT tree_id, k, max(1 + k + len) AS far FROM leaves GROUP BY ALL) SELECT tree_id, array_to_string(list_sort(list(leaf)), ',') AS clade, round(max(len), 6) AS age FROM leaves GROUP BY tree_id, k UNION SELECT tree_id, (SELECT array_to_string(c, ',') FROM roots r WHERE r.tree_id = h.tree_id), round(max(far), 6) FROM h GROUP BY tree_id")
 def node_ages(spark, sf_dir):
-    rows = trees.node_ages(trees.nodes(_corpus(spark, sf_dir))).where("not is_leaf")
-    return rows.select("tree_id", F.array_join("leaves", ",").alias("clade"), F.round("age", 6).alias("age")).distinct()
+    rows = trees.node_ages(_nodes(spark, sf_dir)).where("not is_leaf")
+    return rows.select("tree_id", _joined("leaves").alias("clade"), F.round("age", 6).alias("age")).distinct()
 
 
-@query(f"SELECT tree_id, round(avg(k * 10 + 50), 6) AS avg_support FROM (SELECT DISTINCT tree_id, k FROM {_CLASSES}) GROUP BY 1")
+@query(f"SELECT tree_id, round(avg(k * 10 + 50), 6) AS avg_support FROM (SELECT DISTINCT tree_id, k FROM {_classes()}) GROUP BY 1")
 def mean_support(spark, sf_dir):
-    return trees.mean_support(trees.nodes(_corpus(spark, sf_dir))).select("tree_id", F.round("avg_support", 6).alias("avg_support"))
+    return trees.mean_support(_nodes(spark, sf_dir)).select("tree_id", F.round("avg_support", 6).alias("avg_support"))
 
 
-@query(f"WITH l AS (SELECT tree_id, {_LEAF} AS leaf, k FROM {_CLASSES}) SELECT a.tree_id, least(a.leaf, b.leaf) AS a, greatest(a.leaf, b.leaf) AS b, CAST(CASE WHEN a.k = b.k THEN 1 + a.k ELSE 0 END AS DOUBLE) AS depth FROM l a JOIN l b ON a.tree_id = b.tree_id AND a.leaf < b.leaf")
+@query(f"WITH l AS (SELECT * FROM {_classes()}) SELECT a.tree_id, least(a.leaf, b.leaf) AS a, greatest(a.leaf, b.leaf) AS b, CAST(CASE WHEN a.k = b.k THEN 1 + a.k ELSE 0 END AS DOUBLE) AS depth FROM l a JOIN l b ON a.tree_id = b.tree_id AND a.leaf < b.leaf")
 def pair_depths(spark, sf_dir):
-    return trees.pair_depths(trees.nodes(_corpus(spark, sf_dir)))
+    return trees.pair_depths(_nodes(spark, sf_dir))
 
 
-_TRIPLETS = f"l AS (SELECT tree_id, {_LEAF} AS leaf, k FROM {_CLASSES}), t AS (SELECT x.tree_id, x.leaf AS x, y.leaf AS y, z.leaf AS z, CASE WHEN x.k = y.k THEN 1 + x.k ELSE 0 END AS xy, CASE WHEN x.k = z.k THEN 1 + x.k ELSE 0 END AS xz, CASE WHEN y.k = z.k THEN 1 + y.k ELSE 0 END AS yz FROM l x JOIN l y ON x.tree_id = y.tree_id AND x.leaf < y.leaf JOIN l z ON x.tree_id = z.tree_id AND y.leaf < z.leaf), br AS (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, CASE WHEN xy > greatest(xz, yz) THEN z WHEN xz > greatest(xy, yz) THEN y ELSE x END AS outgroup, CAST(greatest(xy, xz, yz) - (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)) AS DOUBLE) AS branch FROM t WHERE NOT (xy = xz AND xz = yz) AND greatest(xy, xz, yz) > (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)))"
+_TRIPLETS = f"l AS (SELECT * FROM {_classes(_RARE)}), t AS (SELECT x.tree_id, x.leaf AS x, y.leaf AS y, z.leaf AS z, CASE WHEN x.k = y.k THEN 1 + x.k ELSE 0 END AS xy, CASE WHEN x.k = z.k THEN 1 + x.k ELSE 0 END AS xz, CASE WHEN y.k = z.k THEN 1 + y.k ELSE 0 END AS yz FROM l x JOIN l y ON x.tree_id = y.tree_id AND x.leaf < y.leaf JOIN l z ON x.tree_id = z.tree_id AND y.leaf < z.leaf), br AS (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, CASE WHEN xy > greatest(xz, yz) THEN z WHEN xz > greatest(xy, yz) THEN y ELSE x END AS outgroup, CAST(greatest(xy, xz, yz) - (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)) AS DOUBLE) AS branch FROM t WHERE NOT (xy = xz AND xz = yz) AND greatest(xy, xz, yz) > (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)))"
 
 
 def _branches(spark, sf_dir):
-    return introgression.triplet_branches(trees.pair_depths(trees.nodes(_corpus(spark, sf_dir))))
+    return introgression.triplet_branches(trees.pair_depths(_nodes(spark, sf_dir, _RARE)))
 
 
 @query(f"WITH {_TRIPLETS} SELECT tree_id, triplet, outgroup, branch FROM br")
@@ -87,32 +107,74 @@ def introgression_summary(spark, sf_dir):
     return rows.select("triplet", "outgroup", "count", "delta_bic", "significant", "major", "discordant", "total")
 
 
-@query(f"WITH {_CLADES} SELECT tree_id, bool_and(n <= 2) AS binary FROM (SELECT tree_id, k, count(*) AS n FROM leaves GROUP BY ALL UNION ALL SELECT tree_id, -1, count(DISTINCT k) FROM leaves GROUP BY tree_id) GROUP BY 1 HAVING bool_and(n <= 2)")
+_MODELS = "(SELECT l_suppkey AS triplet, CAST(l_linenumber AS VARCHAR(9)) AS outgroup, CAST(0.0 AS DOUBLE) AS C1, 1 + max(l_tax) * 10 AS C2, CAST(1 AS DOUBLE) - max(l_discount) AS mixprop1, max(l_discount) AS mixprop2, CAST(1 + max(l_quantity) AS DOUBLE) AS lambda2Dist, min(l_quantity) AS BIC1Dist, max(l_tax) * 400 AS BIC2Dist, concat('T', CAST(l_suppkey % 4 AS VARCHAR(9))) AS a, concat('T', CAST(l_linenumber % 4 AS VARCHAR(9))) AS b, l_linenumber = 1 AS major FROM lineitem WHERE l_returnflag = 'N' GROUP BY l_suppkey, l_linenumber)"
+
+
+@query(f"WITH m AS {_MODELS}, x AS (SELECT l_orderkey AS tree_id, l_suppkey AS triplet, CAST(l_linenumber AS VARCHAR) AS outgroup, l_quantity AS x FROM lineitem), j AS (SELECT tree_id, triplet, outgroup, mixprop1 * 0.5 / lambda2Dist * exp(-x / lambda2Dist) * 2 AS f1, mixprop2 * CASE WHEN x >= C2 * lambda2Dist THEN 0.5 / lambda2Dist * exp(-x / lambda2Dist) * (1 + exp(C2)) ELSE (exp(x / lambda2Dist) - exp(-x / lambda2Dist)) / 2 / (lambda2Dist * (exp(C2) - 1)) END AS f2 FROM x JOIN m USING (triplet, outgroup)) SELECT tree_id, triplet, outgroup, round(f2 / (f1 + f2), 6) AS probability FROM j")
+def tree_probabilities(spark, sf_dir):
+    """Probabilities of the second component under models and branches made of order lines."""
+    tables(spark, sf_dir, "lineitem")
+    branches = spark.sql("SELECT l_orderkey AS tree_id, l_suppkey AS triplet, CAST(l_linenumber AS STRING) AS outgroup, l_quantity AS branch FROM lineitem")
+    return introgression.tree_probabilities(branches, spark.sql(f"SELECT * FROM {_MODELS}")).withColumn("probability", F.round("probability", 6))
+
+
+@query(f"WITH m AS {_MODELS}, p AS (SELECT least(a, b) AS a, greatest(a, b) AS b, avg(CASE WHEN BIC1Dist - BIC2Dist > 20 THEN mixprop2 ELSE 0 END) AS v FROM m WHERE NOT major AND a <> b GROUP BY ALL), w AS (SELECT a, b, v FROM p UNION ALL SELECT b, a, v FROM p) SELECT a, " + ", ".join(f"coalesce(round(max(v) FILTER (b = 'T{k}'), 6), 0) AS T{k}" for k in range(4)) + " FROM w GROUP BY 1")
+def introgression_matrix(spark, sf_dir):
+    tables(spark, sf_dir, "lineitem")
+    return introgression.pair_matrix(spark.sql(f"SELECT * FROM {_MODELS} WHERE a <> b"), 20.0, ["T0", "T1", "T2", "T3"])
+
+
+@query(f"WITH {_clades(_FEW, 2)} SELECT tree_id, bool_and(n <= 2) AS binary FROM (SELECT tree_id, k, count(*) AS n FROM leaves GROUP BY ALL UNION ALL SELECT tree_id, -1, count(DISTINCT k) FROM leaves GROUP BY tree_id) GROUP BY 1 HAVING bool_and(n <= 2)")
 def binary_trees(spark, sf_dir):
-    return trees.binary_trees(trees.nodes(_corpus(spark, sf_dir))).withColumn("binary", F.lit(True))
+    return trees.binary_trees(_nodes(spark, sf_dir, _FEW, 2)).withColumn("binary", F.lit(True))
 
 
-@query(f"WITH {_CLADES}, want AS (SELECT n_regionkey AS r, list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY 1), held AS (SELECT tree_id, r, len(g.c) AS size, g.c = want.c AS same FROM want JOIN gene g ON len(list_intersect(g.c, want.c)) = len(want.c)) SELECT tree_id, r AS list_id, CAST(min(size) AS INTEGER) AS size, bool_or(same) AS monophyletic FROM held GROUP BY ALL")
+@query(f"WITH {_clades()}, want AS (SELECT n_regionkey AS r, list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY 1), held AS (SELECT tree_id, r, len(g.c) AS size, g.c = want.c AS same FROM want JOIN gene g ON len(list_intersect(g.c, want.c)) = len(want.c)) SELECT tree_id, r AS list_id, CAST(min(size) AS INTEGER) AS size, bool_or(same) AS monophyletic FROM held GROUP BY ALL")
 def mrca(spark, sf_dir):
     lists = spark.read.parquet(f"{sf_dir}/nation.parquet").groupBy(F.col("n_regionkey").alias("list_id")).agg(F.collect_list(F.translate("n_name", " ", "_")).alias("taxa"))
-    return trees.mrca(trees.nodes(_corpus(spark, sf_dir)), lists).select("tree_id", "list_id", "size", "monophyletic")
+    return trees.mrca(_nodes(spark, sf_dir), lists).select("tree_id", "list_id", "size", "monophyletic")
 
 
-@query(f"WITH {_CLADES}, h AS (SELECT tree_id, max(1 + k + len) AS h FROM leaves GROUP BY 1) SELECT tree_id, leaf AS name, round(len / h, 6) AS scaled_len FROM leaves JOIN h USING (tree_id)")
+@query(f"WITH {_clades(_FEW, 2)}, two AS (SELECT tree_id FROM gene WHERE c = ['NATION_0', 'NATION_1'] GROUP BY 1) SELECT tree_id, 'pair' AS list_id, CAST(2 AS DOUBLE) AS min_age, CAST(9 AS DOUBLE) AS max_age FROM two UNION ALL SELECT tree_id, 'root', 50, 50 FROM roots WHERE tree_id NOT IN (SELECT tree_id FROM two)")
+def listed_calibrations(spark, sf_dir):
+    """The pair of nations 0 and 1 is dated where it is a clade; other trees get a fixed root."""
+    listed = spark.createDataFrame([("pair", ["NATION_0", "NATION_1"], 9.0, 2.0)], "list_id string, taxa array<string>, max_age double, min_age double")
+    return trees.listed_calibrations(_nodes(spark, sf_dir, _FEW, 2), listed, 50.0).select("tree_id", "list_id", "min_age", "max_age")
+
+
+@query(f"WITH {_clades(_FEW, 2)}, one AS (SELECT c, max(len) AS age FROM leaves JOIN inner_ USING (tree_id, k) WHERE tree_id = '1' GROUP BY tree_id, k, c UNION SELECT (SELECT c FROM roots WHERE tree_id = '1'), max(1 + k + len) FROM leaves WHERE tree_id = '1') SELECT g.tree_id, array_to_string(g.c, ',') AS clade, round(CASE WHEN g.c = r.c THEN age ELSE age * 0.95 END, 6) AS min_age, round(CASE WHEN g.c = r.c THEN age ELSE age * 1.05 END, 6) AS max_age FROM (SELECT DISTINCT tree_id, c FROM gene) g JOIN roots r USING (tree_id) JOIN (SELECT c, max(age) AS age FROM one GROUP BY 1) o ON o.c = g.c")
+def dated_calibrations(spark, sf_dir):
+    """Clades of the first supplier's tree date those of all trees."""
+    gene = _nodes(spark, sf_dir, _FEW, 2)
+    met = trees.dated_calibrations(gene, gene.where("tree_id = '1'"))
+    clades = gene.select("tree_id", "node_id", _joined("leaves").alias("clade"))
+    rows = met.join(clades, ["tree_id", "node_id"])
+    # a node with one child has its child's leaves: the higher one counts
+    return rows.groupBy("tree_id", "clade").agg(*[F.round(F.min_by(c, "node_id"), 6).alias(c) for c in ("min_age", "max_age")])
+
+
+@query(f"WITH {_clades()}, h AS (SELECT tree_id, max(1 + k + len) AS h FROM leaves GROUP BY 1) SELECT tree_id, leaf AS name, round(len / h, 6) AS scaled_len FROM leaves JOIN h USING (tree_id)")
 def scaled_trees(spark, sf_dir):
-    rows = trees.scaled(trees.nodes(_corpus(spark, sf_dir))).where("is_leaf")
+    rows = trees.scaled(_nodes(spark, sf_dir)).where("is_leaf")
     return rows.select("tree_id", "name", F.round("scaled_len", 6).alias("scaled_len"))
 
 
-@query()
+_EDGES = f"leaves AS (SELECT * FROM {_classes()}), all_ AS (SELECT tree_id, list_sort(list(leaf)) AS a FROM leaves GROUP BY 1), edges AS (SELECT tree_id, [leaf] AS m, len FROM leaves UNION ALL SELECT tree_id, list_sort(list(leaf)), CAST(1 + k AS DOUBLE) FROM leaves GROUP BY tree_id, k), sides AS (SELECT tree_id, a, list_filter(a, lambda x: x <> 'NATION_3') AS rest FROM all_ WHERE list_contains(a, 'NATION_3')), e AS (SELECT tree_id, m, len, rest, m = ['NATION_3'] OR m = rest AS root_edge, CASE WHEN list_contains(m, 'NATION_3') THEN list_filter(a, lambda x: NOT list_contains(m, x)) ELSE m END AS c FROM edges JOIN sides USING (tree_id)), half AS (SELECT tree_id, any_value(rest) AS rest, sum(len) / 2 AS h FROM e WHERE root_edge GROUP BY 1)"
+
+
+@query(f"WITH {_EDGES} SELECT tree_id, array_to_string(c, ',') AS clade, round(sum(len), 6) AS branch_len FROM e WHERE NOT root_edge AND len(c) > 0 GROUP BY ALL UNION ALL SELECT tree_id, 'NATION_3', round(h, 6) FROM half UNION ALL SELECT tree_id, array_to_string(rest, ','), round(h, 6) FROM half")
 def rerooted_trees(spark, sf_dir):
-    return trees.reroot(_corpus(spark, sf_dir), ["CHINA", "NATION_1", "NATION_10"])
+    rows = trees.rerooted_nodes(_nodes(spark, sf_dir), ["NATION_3"])
+    return rows.select("tree_id", _joined("leaves").alias("clade"), F.round("branch_len", 6).alias("branch_len"))
 
 
-@query()
+_TWELVE = [f"NATION_{k}" for k in range(12)]
+
+
+@query(f"WITH l AS (SELECT * FROM {_classes(_RARE)} WHERE leaf IN ({', '.join(repr(x) for x in _TWELVE)})), g AS (SELECT tree_id, k, list_sort(list(leaf)) AS c, count(*) AS n FROM l GROUP BY ALL), t AS (SELECT tree_id, list_sort(list(leaf)) AS c, count(DISTINCT k) AS groups FROM l GROUP BY 1), rows_ AS (SELECT tree_id, leaf AS clade, CASE WHEN groups = 1 AND n = 1 THEN NULL WHEN n = 1 THEN len + 1 + k ELSE len END AS branch_len FROM l JOIN g USING (tree_id, k) JOIN t USING (tree_id) UNION ALL SELECT tree_id, array_to_string(g.c, ','), 1 + k FROM g JOIN t USING (tree_id) WHERE n > 1 AND groups > 1 UNION ALL SELECT tree_id, array_to_string(c, ','), NULL FROM t WHERE len(c) > 1) SELECT tree_id, clade, CAST(branch_len AS DOUBLE) AS branch_len FROM rows_")
 def pruned_trees(spark, sf_dir):
-    names = [f"NATION_{k}" for k in range(12)]
-    return trees.prune(_corpus(spark, sf_dir), names)
+    rows = trees.pruned_nodes(_nodes(spark, sf_dir, _RARE), _TWELVE)
+    return rows.select("tree_id", _joined("leaves").alias("clade"), "branch_len")
 
 
 @query()
@@ -123,7 +185,18 @@ def branch_outliers(spark, sf_dir):
     return trees.removal_thresholds(signatures, occupancy)
 
 
-@query()
+def _copies(spark, sf_dir):
+    """Leaves as genes of two species, by the last digit of the nation's number."""
+    even = F.regexp_replace("newick", r"(NATION_\d*[02468]):", "even++$1:")
+    return _corpus(spark, sf_dir, _RARE, 8).select("tree_id", F.regexp_replace(even, r"(?<!\+)(NATION_\d*[13579]):", "odd++$1:").alias("newick"))
+
+
+@query(f"WITH l AS (SELECT *, CASE WHEN CAST(right(leaf, 1) AS INTEGER) % 2 = 0 THEN 'even' ELSE 'odd' END AS s FROM {_classes(_RARE, 8)}), g AS (SELECT tree_id, k, count(*) AS n, max(len) AS age, min(s) AS lo, max(s) AS hi FROM l GROUP BY ALL), r AS (SELECT tree_id, max(1 + k + len) AS age FROM l GROUP BY 1 HAVING count(DISTINCT k) = 2) SELECT tree_id, lo AS species, round(age, 6) AS age FROM g WHERE n = 2 AND lo = hi UNION ALL SELECT tree_id, s, round(age, 6) FROM r JOIN (SELECT tree_id, s FROM l GROUP BY ALL HAVING count(DISTINCT k) = 2) USING (tree_id)")
 def duplication_ages(spark, sf_dir):
-    copies = _corpus(spark, sf_dir).select("tree_id", F.regexp_replace("newick", r"([A-Za-z_]+)_?(\d*):", r"$1++$2:").alias("newick"))
-    return stats.histogram(trees.duplication_ages(trees.nodes(copies)).select(F.col("species").alias("sample"), "age"), low=0.0, high=200.0)
+    rows = trees.duplication_ages(trees.nodes(_copies(spark, sf_dir)))
+    return rows.select("tree_id", "species", F.round("age", 6).alias("age"))
+
+
+@query()
+def rerooted_by_outgroup(spark, sf_dir):
+    return trees.root_by_outgroup(_copies(spark, sf_dir), ["odd"]).groupBy("status").count()

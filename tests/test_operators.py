@@ -1,11 +1,15 @@
 """Hand-made rows for the rules that decide correctness."""
 
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from phylospark import functions as fn
 from phylospark import sources
-from phylospark.operators import alignment, clusters, coding, genotypes, intervals, introgression, ortho, reads, stats, trees
+from phylospark.operators import alignment, clusters, coding, counts, genotypes, intervals, introgression, ortho, reads, stats, trees
 
 
 def one(spark, column, **values):
@@ -149,6 +153,135 @@ def test_clusters(spark):
     assert {r.seq_id: r.cluster for r in clusters.near_identical(seqs).collect()} == {"a": "a", "b": "a", "c": "c"}
 
 
+def _sets(rows, k, step):
+    return {i: {s[a : a + k] for a in range(0, len(s) - k + 1, step)} for i, s in rows if s is not None}
+
+
+def _families(seed, n):
+    rnd = random.Random(seed)
+    say = lambda m: "".join(rnd.choice("abcdefgh ") for _ in range(m))
+    base, rows = [say(rnd.randint(40, 400)) for _ in range(6)], []
+    for i in range(n):
+        s = list(rnd.choice(base))
+        for _ in range(rnd.choice([0, 0, 1, 2, 5, 40])):
+            s[rnd.randrange(len(s))] = rnd.choice("xyz")
+        rows.append((f"s{i:03}", "".join(s[: rnd.choice([len(s), len(s), len(s) // 2])])))
+    return rows + [("t1", ""), ("t2", "abc"), ("t3", "abc"), ("t4", None), ("t5", "abcde"), ("t6", "abcde")]
+
+
+def test_near_identical_equals_brute_force(spark):
+    rows, k, identity = _families(1, 90), 5, 0.95
+    kmers = _sets(rows, k, 1)
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    text = dict(rows)
+    for a in text:
+        for b in text:
+            both = text[a] is not None and text[a] == text[b]
+            if a < b and (both or (kmers.get(a) and kmers.get(b) and len(kmers[a] & kmers[b]) >= identity**k * min(len(kmers[a]), len(kmers[b])))):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    got = {r.seq_id: r.cluster for r in clusters.near_identical(spark.createDataFrame(rows, "seq_id string, seq string"), k, identity).collect()}
+    assert got == {i: root(i) for i in text}
+    assert 1 < len(set(got.values())) < len(got) - 20
+
+
+def test_greedy_representatives_equal_the_sequential_pass(spark):
+    rows = _families(2, 90)
+    query, target, kept = _sets(rows, 5, 5), _sets(rows, 5, 1), []
+    for i, s in sorted(rows, key=lambda r: (-len(r[1] or ""), r[0])):
+        if not query.get(i) or all(len(query[i] & target[j]) <= 0.8 * len(query[i]) for j in kept if target.get(j)):
+            kept.append(i)
+    got = {r.seq_id for r in clusters.greedy_representatives(spark.createDataFrame(rows, "seq_id string, seq string")).collect()}
+    assert got == set(kept) and len(got) < len(rows) - 15
+
+
+def test_greedy_pass_over_a_long_chain(spark):
+    n = 60  # more items in a row than any fixed number of rounds would decide
+    items = spark.range(n)
+    against = spark.range(1, n).selectExpr("id AS later", "id - 1 AS earlier")
+    assert sorted(r.id for r in clusters.greedy_kept(items, against).collect()) == list(range(0, n, 2))
+
+
+def test_greedy_intervals_equal_the_sequential_pass(spark):
+    rnd = random.Random(5)
+    rows = [("t" + str(rnd.randint(0, 3)), i, a, a + rnd.randint(0, 60)) for i in range(120) for a in [rnd.randint(1, 400)]]
+    frame = spark.createDataFrame(rows, "t string, id long, start long, end long")
+    for share in (0.1, None):
+        want = []
+        for t, i, a, b in sorted(rows, key=lambda r: (r[2] - r[3], r[1])):
+            both = lambda x: min(b, x[3]) - max(a, x[2]) + 1  # noqa: B023, E731
+            limit = lambda x: 0 if share is None else share * min(b - a + 1, x[3] - x[2] + 1)  # noqa: B023, E731
+            if not any(x[0] == t and both(x) > 0 and both(x) > limit(x) for x in want):
+                want.append((t, i, a, b))
+        got = intervals.greedy(frame, "t", [F.col("start") - F.col("end"), F.col("id")], share, bin_size=50)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_running_numbers_over_ranges(spark, monkeypatch):
+    from phylospark.operators import places
+
+    monkeypatch.setattr(places, "RANGES", 7)
+    rows = spark.createDataFrame([(f"k{i:04}", i % 5) for i in random.Random(1).sample(range(3000), 3000)], "k string, v int")
+    got = places.running_sum(places.with_place(rows, "k"), "k", F.col("v"), "total").orderBy("k").collect()
+    total = 0
+    for i, r in enumerate(got):
+        total += r.v
+        assert (r["__place"], r.total) == (i + 1, total)
+    assert places.with_place(rows.limit(0), "k").count() == 0
+
+
+def test_mixture_candidates_are_all_values(spark):
+    rnd = random.Random(3)
+    rows = [("a_b_c", "c", rnd.expovariate(1.0) + (3 if i % 3 == 0 else 0)) for i in range(150)]
+    got = introgression.fit_mixtures(spark.createDataFrame(rows, "triplet string, outgroup string, branch double"), rounds=20).first()
+    assert got["count"] == 150 and got.BIC2Dist < got.BIC1Dist
+
+
+def test_rerooting_rules(spark):
+    make = lambda *t: spark.createDataFrame([(str(i), x) for i, x in enumerate(t)], "tree_id string, newick string")
+    # one outgroup gene within the in-group's clade is dropped; two are not
+    one, two = "((x++1,(o++1,y++1)),(o++2,o++3));", "((x++1,(o++1,(y++1,o++4))),(o++2,o++3));"
+    got = {r.tree_id: (r.status, r.newick) for r in trees.root_by_outgroup(make(one, two), ["o"]).collect()}
+    assert got["0"][0] == "success_after_drop_one_outgroup" and "o++1" not in got["0"][1]
+    assert got["1"] == ("non_outgroup_not_monophyletic", None)
+    # the in-group is the last step whatever step roots the tree; the first gene wins ties
+    tree = "((p++1,(q++1,z++1)),((p++2,z++2),q++2));"
+    rooted = trees.root_by_order(make(tree), [["p"], ["q"], ["z"]]).first()
+    nodes = trees.nodes(spark.createDataFrame([("x", rooted.newick)], "tree_id string, newick string"))
+    assert rooted.status == "success" and {tuple(r.leaves) for r in nodes.where("parent_id = 0").collect()} >= {("p++1",)}
+
+
+def test_gathered_and_paired(spark):
+    rows = spark.createDataFrame([("s2", "g", "A"), ("s1", "g", "C"), ("s1", "h", "T")], "sample string, gene string, seq string")
+    assert sorted((r.locus, r.ord, r.seq_id) for r in genotypes.gather_by_gene(rows).collect()) == [("g", 0, "s1"), ("g", 1, "s2"), ("h", 0, "s1")]
+    pep, cds = spark.createDataFrame([("a.pep",), ("b.pep",)], "file string"), spark.createDataFrame([("a.cds",)], "file string")
+    assert {(r.family, r.cds) for r in ortho.pair_partners(pep, cds, strict=False).collect()} == {("a", "a.cds"), ("b", None)}
+    with pytest.raises(Exception, match="no coding file for b.pep"):
+        ortho.pair_partners(pep, cds).collect()
+
+
+def test_kmers_with_other_letters(spark):
+    rows = [("ACGNT",), ("NAC",), ("",), (None,), ("éAC",)]
+    want = Counter((s[i - k + 1 : i + 1], i % 3) for (s,) in rows if s for i in range(len(s)) for k in range(1, 4) if i - k + 1 >= 0)
+    got = {(r.kmer, r.frame): r.n for r in counts.ending_kmer_counts(spark.createDataFrame(rows, "seq string"), 3).collect()}
+    assert got == want
+
+
+def test_site_counts_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(f"L{i % 3}", "".join(rnd.choice("ACGTacgtN-é") for _ in range(rnd.randint(0, 9000 if i < 3 else 40)))) for i in range(30)]
+    want = Counter((locus, p, c.upper()) for locus, s in rows for p, c in enumerate(s, 1) if c in "ACGTacgt")
+    got = {(r.locus, r.pos): (r.A, r.C, r.G, r.T) for r in counts.base_counts(spark.createDataFrame(rows, "locus string, seq string").repartition(5)).collect()}
+    assert len(got) == sum(max(len(s) for x, s in rows if x == locus) for locus in ("L0", "L1", "L2"))
+    assert all(v == tuple(want[locus, p, b] for b in "ACGT") for (locus, p), v in got.items())
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/x.fa").write_text(">a one\nACG\nT\n>b\nGG\n>a two\nTTT\n")

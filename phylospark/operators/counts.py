@@ -222,6 +222,29 @@ def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> D
     return parts.groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
 
 
+def kmer_sets(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:
+    """``seq_id``, ``kmers``: 64-bit hashes of the distinct windows of ``k`` characters, every ``step``-th, sorted."""
+    kind = sequences.schema["seq_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for seq in batch.column("seq").to_pylist():
+                codes = np.frombuffer((seq or "").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+                n = max(0, len(codes) - k + 1)
+                with np.errstate(over="ignore"):
+                    x = np.zeros(n, np.uint64)
+                    for j in range(k):
+                        x = x * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + n] + np.uint64(1)
+                    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                sets.append(np.unique((x ^ (x >> np.uint64(32)))[::step]).view(np.int64))
+            sizes = np.cumsum([0, *map(len, sets)])
+            flat = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("seq_id"), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)], names=["seq_id", "kmers"])
+
+    return sequences.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, kmers array<long>")
+
+
 def frame_scores(sequences: DataFrame, model: DataFrame, order: int, id_: str) -> DataFrame:
     """``id_`` and score_1 .. score_6: sums over three frames of each strand of the log-likelihoods of
     the k-mers (of up to ``order`` + 1 bases) that end at each base; k-mers without one give 0.

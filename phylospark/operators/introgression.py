@@ -40,36 +40,42 @@ def fit_mixtures(branches: DataFrame, rounds: int = 50, floor: float = 0.0005) -
     introgression branch lengths against one exponential, by BIC.
 
     The null has lambda = mean.  The mixture alternates, ``rounds`` times, responsibilities, the
-    shared scale (floored), and the threshold C, whose candidates are the rescaled data.  A group is
-    the branch lengths of one triplet topology: at most one for each tree.
+    shared scale (floored), and the threshold C, whose candidates are all of the rescaled data.  Equal
+    lengths are one value with a weight; a group is one triplet topology's lengths, with a row for
+    each different one.
     """
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x = np.sort(rows["branch"].to_numpy(float))
-        n, mean = len(x), max(x.mean(), floor)
-        null = float((-np.log(mean) - x / mean).sum())
+        x, w = rows["branch"].to_numpy(float), rows["w"].to_numpy()
+        n = int(w.sum())
+        mean = max(float((w * x).sum() / n), floor)
+        null = float((w * (-np.log(mean) - x / mean)).sum())
         pi, scale, c = 0.5, mean, 1.0
         best = (-np.inf, pi, scale, c)
         for _ in range(rounds):
             full = _log_mix(x, pi, scale, c, scale)
             second = np.exp(_log_mix(x, 1.0, scale, c, scale) - full) * pi
             resp = np.clip(second, 0, 1)
-            pi = float(np.clip(resp.mean(), 1e-6, 1 - 1e-6))
-            weight = (1 - resp).sum() + 1e-12
-            own = ((1 - resp) * x).sum() / weight
+            pi = float(np.clip((w * resp).sum() / n, 1e-6, 1 - 1e-6))
+            weight = (w * (1 - resp)).sum() + 1e-12
+            own = (w * (1 - resp) * x).sum() / weight
             scale = max(floor, float(own if weight > 0.5 else scale))
-            trial = np.unique(x / scale)
+            trial = x / scale
             trial = trial[(trial > 1e-6) & (trial < 700)]
             if len(trial):  # all candidates, in blocks of bounded size
-                size = max(1, (1 << 20) // n)
-                sums = [_log_mix(x, pi, scale, trial[k : k + size, None], scale).sum(1) for k in range(0, len(trial), size)]
+                size = max(1, (1 << 20) // len(x))
+                sums = [(w * _log_mix(x, pi, scale, trial[k : k + size, None], scale)).sum(1) for k in range(0, len(trial), size)]
                 c = float(trial[int(np.argmax(np.concatenate(sums)))])
-            ll = float(_log_mix(x, pi, scale, c, scale).sum())
+            ll = float((w * _log_mix(x, pi, scale, c, scale)).sum())
+            if (ll, pi, scale, c) == best:
+                break  # nothing moves any more
             best = max(best, (ll, pi, scale, c))
         ll, pi, scale, c = best
         k = 2
         return pd.DataFrame({"triplet": [rows["triplet"].iloc[0]], "outgroup": [rows["outgroup"].iloc[0]], "C1": [0.0], "C2": [round(c, 6)], "mixprop1": [round(1 - pi, 6)], "mixprop2": [round(pi, 6)], "lambda2Dist": [round(scale, 6)], "lambda1Dist": [round(mean, 6)], "BIC2Dist": [round(np.log(n) * (2 * k - 1) - 2 * ll, 4)], "BIC1Dist": [round(np.log(n) - 2 * null, 4)], "count": [n]})
 
-    enough = branches.withColumn("__n", F.count("*").over(W.partitionBy("triplet", "outgroup"))).where(F.col("__n") >= 2).drop("__n")
+    # equal lengths are counted before a group is gathered
+    lengths = branches.groupBy("triplet", "outgroup", "branch").agg(F.count("*").alias("w"))
+    enough = lengths.withColumn("__n", F.sum("w").over(W.partitionBy("triplet", "outgroup"))).where(F.col("__n") >= 2).drop("__n")
     return enough.groupBy("triplet", "outgroup").applyInPandas(fit, "triplet string, outgroup string, C1 double, C2 double, mixprop1 double, mixprop2 double, lambda2Dist double, lambda1Dist double, BIC2Dist double, BIC1Dist double, count long")
 
 

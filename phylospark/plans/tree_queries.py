@@ -9,26 +9,29 @@ from .registry import query
 from .views import tables
 
 
-def _classes(where: str = "", groups: int = 4) -> str:
-    """Leaves of each supplier's tree: customers' nations, grouped by their number of lines (mod ``groups``)."""
-    return f"(SELECT CAST(l_suppkey AS VARCHAR(20)) AS tree_id, replace(n_name, ' ', '_') AS leaf, count(*) % {groups} AS k, CAST(CAST(sum(l_quantity) AS BIGINT) % 97 + 1 AS DOUBLE) AS len FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey {where} GROUP BY l_suppkey, n_name)"
+_NATION, _REGION, _STATUS = "replace(n_name, ' ', '_')", "concat('R', CAST(n_regionkey AS VARCHAR(9)))", "o_orderstatus"
+
+
+def _classes(where: str = "", groups: int = 4, leaf: str = _NATION) -> str:
+    """Leaves of each supplier's tree: customers' nations (or another column), grouped by their number of lines (mod ``groups``)."""
+    return f"(SELECT CAST(l_suppkey AS VARCHAR(20)) AS tree_id, {leaf} AS leaf, count(*) % {groups} AS k, CAST(CAST(sum(l_quantity) AS BIGINT) % 97 + 1 AS DOUBLE) AS len FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey {where} GROUP BY l_suppkey, {leaf})"
 
 
 #: lines of large quantities only: trees lack some nations
 _RARE = "WHERE l_quantity > 46"
-#: few nations: some trees are binary
-_FEW = "WHERE n_nationkey < 4"
+#: order states as leaves, in up to two groups: some trees are binary
+_FEW = ("", 2, _STATUS)
 
 
-def _corpus(spark, sf_dir, where="", groups=4):
+def _corpus(spark, sf_dir, where="", groups=4, leaf=_NATION):
     tables(spark, sf_dir, "nation", "customer", "orders", "lineitem")
     return spark.sql(f"""
-        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct(leaf AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t FROM {_classes(where, groups)} GROUP BY tree_id, k)
+        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct(leaf AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t FROM {_classes(where, groups, leaf)} GROUP BY tree_id, k)
         SELECT tree_id, concat('(', array_join(transform(array_sort(collect_list(struct(k, t))), x -> x.t), ','), ');') AS newick FROM g GROUP BY tree_id""")
 
 
-def _nodes(spark, sf_dir, where="", groups=4):
-    return trees.nodes(_corpus(spark, sf_dir, where, groups))
+def _nodes(spark, sf_dir, *kind):
+    return trees.nodes(_corpus(spark, sf_dir, *kind))
 
 
 def _species(spark, sf_dir):
@@ -38,8 +41,8 @@ def _species(spark, sf_dir):
         SELECT 'species' AS tree_id, concat('(', array_join(transform(array_sort(collect_list(struct(k, t))), x -> x.t), ','), ');') AS newick FROM g""")
 
 
-def _clades(where: str = "", groups: int = 4) -> str:
-    return f"leaves AS (SELECT * FROM {_classes(where, groups)}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
+def _clades(*kind) -> str:
+    return f"leaves AS (SELECT * FROM {_classes(*kind)}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
 
 
 _joined = lambda c: F.array_join(c, ",")
@@ -87,23 +90,23 @@ def pair_depths(spark, sf_dir):
 _TRIPLETS = f"l AS (SELECT * FROM {_classes(_RARE)}), t AS (SELECT x.tree_id, x.leaf AS x, y.leaf AS y, z.leaf AS z, CASE WHEN x.k = y.k THEN 1 + x.k ELSE 0 END AS xy, CASE WHEN x.k = z.k THEN 1 + x.k ELSE 0 END AS xz, CASE WHEN y.k = z.k THEN 1 + y.k ELSE 0 END AS yz FROM l x JOIN l y ON x.tree_id = y.tree_id AND x.leaf < y.leaf JOIN l z ON x.tree_id = z.tree_id AND y.leaf < z.leaf), br AS (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, CASE WHEN xy > greatest(xz, yz) THEN z WHEN xz > greatest(xy, yz) THEN y ELSE x END AS outgroup, CAST(greatest(xy, xz, yz) - (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)) AS DOUBLE) AS branch FROM t WHERE NOT (xy = xz AND xz = yz) AND greatest(xy, xz, yz) > (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)))"
 
 
-def _branches(spark, sf_dir):
-    return introgression.triplet_branches(trees.pair_depths(_nodes(spark, sf_dir, _RARE)))
+def _branches(spark, sf_dir, *kind):
+    return introgression.triplet_branches(trees.pair_depths(_nodes(spark, sf_dir, *kind)))
 
 
 @query(f"WITH {_TRIPLETS} SELECT tree_id, triplet, outgroup, branch FROM br")
 def triplet_topology(spark, sf_dir):
-    return _branches(spark, sf_dir)
+    return _branches(spark, sf_dir, _RARE)
 
 
 @query()
 def introgression_models(spark, sf_dir):
-    return introgression.fit_mixtures(_branches(spark, sf_dir)).select("triplet", "outgroup", "count", "BIC1Dist", "BIC2Dist")
+    return introgression.fit_mixtures(_branches(spark, sf_dir, "", 4, _REGION)).select("triplet", "outgroup", "count", "BIC1Dist", "BIC2Dist")
 
 
 @query()
 def introgression_summary(spark, sf_dir):
-    rows = introgression.summarise(introgression.fit_mixtures(_branches(spark, sf_dir)))
+    rows = introgression.summarise(introgression.fit_mixtures(_branches(spark, sf_dir, "", 4, _REGION)))
     return rows.select("triplet", "outgroup", "count", "delta_bic", "significant", "major", "discordant", "total")
 
 
@@ -124,9 +127,9 @@ def introgression_matrix(spark, sf_dir):
     return introgression.pair_matrix(spark.sql(f"SELECT * FROM {_MODELS} WHERE a <> b"), 20.0, ["T0", "T1", "T2", "T3"])
 
 
-@query(f"WITH {_clades(_FEW, 2)} SELECT tree_id, bool_and(n <= 2) AS binary FROM (SELECT tree_id, k, count(*) AS n FROM leaves GROUP BY ALL UNION ALL SELECT tree_id, -1, count(DISTINCT k) FROM leaves GROUP BY tree_id) GROUP BY 1 HAVING bool_and(n <= 2)")
+@query(f"WITH {_clades(*_FEW)} SELECT tree_id, bool_and(n <= 2) AS binary FROM (SELECT tree_id, k, count(*) AS n FROM leaves GROUP BY ALL UNION ALL SELECT tree_id, -1, count(DISTINCT k) FROM leaves GROUP BY tree_id) GROUP BY 1 HAVING bool_and(n <= 2)")
 def binary_trees(spark, sf_dir):
-    return trees.binary_trees(_nodes(spark, sf_dir, _FEW, 2)).withColumn("binary", F.lit(True))
+    return trees.binary_trees(_nodes(spark, sf_dir, *_FEW)).withColumn("binary", F.lit(True))
 
 
 @query(f"WITH {_clades()}, want AS (SELECT n_regionkey AS r, list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY 1), held AS (SELECT tree_id, r, len(g.c) AS size, g.c = want.c AS same FROM want JOIN gene g ON len(list_intersect(g.c, want.c)) = len(want.c)) SELECT tree_id, r AS list_id, CAST(min(size) AS INTEGER) AS size, bool_or(same) AS monophyletic FROM held GROUP BY ALL")
@@ -135,22 +138,22 @@ def mrca(spark, sf_dir):
     return trees.mrca(_nodes(spark, sf_dir), lists).select("tree_id", "list_id", "size", "monophyletic")
 
 
-@query(f"WITH {_clades(_FEW, 2)}, two AS (SELECT tree_id FROM gene WHERE c = ['NATION_0', 'NATION_1'] GROUP BY 1) SELECT tree_id, 'pair' AS list_id, CAST(2 AS DOUBLE) AS min_age, CAST(9 AS DOUBLE) AS max_age FROM two UNION ALL SELECT tree_id, 'root', 50, 50 FROM roots WHERE tree_id NOT IN (SELECT tree_id FROM two)")
+@query(f"WITH {_clades(*_FEW)}, two AS (SELECT tree_id FROM gene WHERE c = ['F', 'O'] GROUP BY 1) SELECT tree_id, 'pair' AS list_id, CAST(2 AS DOUBLE) AS min_age, CAST(9 AS DOUBLE) AS max_age FROM two UNION ALL SELECT tree_id, 'root', 50, 50 FROM roots WHERE tree_id NOT IN (SELECT tree_id FROM two)")
 def listed_calibrations(spark, sf_dir):
-    """The pair of nations 0 and 1 is dated where it is a clade; other trees get a fixed root."""
-    listed = spark.createDataFrame([("pair", ["NATION_0", "NATION_1"], 9.0, 2.0)], "list_id string, taxa array<string>, max_age double, min_age double")
-    return trees.listed_calibrations(_nodes(spark, sf_dir, _FEW, 2), listed, 50.0).select("tree_id", "list_id", "min_age", "max_age")
+    """The pair of states F and O is dated where it is a clade; other trees get a fixed root."""
+    listed = spark.createDataFrame([("pair", ["F", "O"], 9.0, 2.0)], "list_id string, taxa array<string>, max_age double, min_age double")
+    return trees.listed_calibrations(_nodes(spark, sf_dir, *_FEW), listed, 50.0).select("tree_id", "list_id", "min_age", "max_age")
 
 
-@query(f"WITH {_clades(_FEW, 2)}, one AS (SELECT c, max(len) AS age FROM leaves JOIN inner_ USING (tree_id, k) WHERE tree_id = '1' GROUP BY tree_id, k, c UNION SELECT (SELECT c FROM roots WHERE tree_id = '1'), max(1 + k + len) FROM leaves WHERE tree_id = '1') SELECT g.tree_id, array_to_string(g.c, ',') AS clade, round(CASE WHEN g.c = r.c THEN age ELSE age * 0.95 END, 6) AS min_age, round(CASE WHEN g.c = r.c THEN age ELSE age * 1.05 END, 6) AS max_age FROM (SELECT DISTINCT tree_id, c FROM gene) g JOIN roots r USING (tree_id) JOIN (SELECT c, max(age) AS age FROM one GROUP BY 1) o ON o.c = g.c")
+@query(f"WITH {_clades(*_FEW)}, one AS (SELECT c, max(len) AS age FROM leaves JOIN inner_ USING (tree_id, k) WHERE tree_id = '1' GROUP BY tree_id, k, c UNION SELECT (SELECT c FROM roots WHERE tree_id = '1'), max(1 + k + len) FROM leaves WHERE tree_id = '1') SELECT g.tree_id, array_to_string(g.c, ',') AS clade, round(CASE WHEN g.c = r.c THEN age ELSE age * 0.95 END, 6) AS min_age, round(CASE WHEN g.c = r.c THEN age ELSE age * 1.05 END, 6) AS max_age FROM (SELECT DISTINCT tree_id, c FROM gene) g JOIN roots r USING (tree_id) JOIN (SELECT c, max(age) AS age FROM one GROUP BY 1) o ON o.c = g.c")
 def dated_calibrations(spark, sf_dir):
     """Clades of the first supplier's tree date those of all trees."""
-    gene = _nodes(spark, sf_dir, _FEW, 2)
+    gene = _nodes(spark, sf_dir, *_FEW)
     met = trees.dated_calibrations(gene, gene.where("tree_id = '1'"))
     clades = gene.select("tree_id", "node_id", _joined("leaves").alias("clade"))
     rows = met.join(clades, ["tree_id", "node_id"])
     # a node with one child has its child's leaves: the higher one counts
-    return rows.groupBy("tree_id", "clade").agg(*[F.round(F.min_by(c, "node_id"), 6).alias(c) for c in ("min_age", "max_age")])
+    return rows.groupBy("tree_id", "clade").agg(*[F.round(F.min_by(c, F.struct("node_id", -F.col("max_age"))), 6).alias(c) for c in ("min_age", "max_age")])
 
 
 @query(f"WITH {_clades()}, h AS (SELECT tree_id, max(1 + k + len) AS h FROM leaves GROUP BY 1) SELECT tree_id, leaf AS name, round(len / h, 6) AS scaled_len FROM leaves JOIN h USING (tree_id)")

@@ -2,7 +2,7 @@
 
 The benchmark's windows go to the tasks as a sorted array of 64-bit hashes (a hash set), together
 with their words, against which every hit is verified.  The broadcast is allowed up to
-``max_broadcast`` windows; a larger benchmark is joined by hash instead.
+``max_broadcast`` bytes; a larger benchmark is joined by hash instead, with the same results.
 """
 
 from __future__ import annotations
@@ -91,7 +91,7 @@ def _finish(n_words: int, spans: list[tuple[int, int]], items: set[str]) -> tupl
 _RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 13, max_broadcast: int = 1_000_000, prefix: str = "", keep_hit_text: str | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = 13, max_broadcast: int = 64 << 20, prefix: str = "", keep_hit_text: str | None = None) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated (names after ``prefix``).
 
     An item's window is ``n`` consecutive words (all words of a shorter item).  A document word in
@@ -105,11 +105,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     windows = materialise(_item_windows(benchmark, item, item_text, n), "benchmark-windows")
     names = [prefix + f.split()[0] for f in _RESULT.split(", ")]
     kept = docs.drop(*names, *([keep_hit_text] if keep_hit_text else []))
-    if windows.count() <= max_broadcast:
+    # a window's words, its item, and about 250 bytes of Python objects
+    size = windows.agg(F.sum(F.octet_length("words") + F.octet_length("item") + 250)).first()[0] or 0
+    if size <= max_broadcast:
         return _by_broadcast(kept, windows, text, names, keep_hit_text)
-    if keep_hit_text:
-        raise ValueError("removing spans needs the windows in memory; raise max_broadcast")
-    return _by_join(kept, windows, text, names)
+    return _by_join(kept, windows, text, names, keep_hit_text)
+
+
+def _schema(docs: DataFrame, names: list[str], out: str | None) -> StructType:
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(names, [f.split()[1] for f in _RESULT.split(", ")]):
+        schema = schema.add(name, kind)
+    return schema.add(out, "string") if out else schema
+
+
+def _results(texts: pa.Array, words: _Words, spans: dict[int, list[tuple[int, int]]], items: dict[int, set[str]], keep: bool) -> list[pa.Array]:
+    none = _finish(0, [], set())
+    rows = [_finish(int(words.counts[k]), spans[k], items[k]) if k in spans else none for k in range(len(texts))]
+    cols = [pa.array(words.counts), *(pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_())))]
+    return cols + [pa.array(_without(texts, words, spans), pa.string())] if keep else cols
 
 
 def _by_broadcast(docs: DataFrame, windows: DataFrame, text: str, names: list[str], out: str | None) -> DataFrame:
@@ -117,11 +131,7 @@ def _by_broadcast(docs: DataFrame, windows: DataFrame, text: str, names: list[st
     for r in windows.toLocalIterator():
         table[r.n][r.hash][bytes(r.words)].append(r.item)
     shared = docs.sparkSession.sparkContext.broadcast({n: {h: dict(w) for h, w in of.items()} for n, of in table.items()})
-    fields = [f"`{name}` {f.split()[1]}" for name, f in zip(names, _RESULT.split(", "))] + ([f"`{out}` string"] if out else [])
-    schema = StructType(list(docs.schema.fields))
-    for f in fields:
-        name, kind = f.replace("`", "").rsplit(" ", 1)
-        schema = schema.add(name, kind)
+    schema = _schema(docs, names, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = []
@@ -146,11 +156,7 @@ def _by_broadcast(docs: DataFrame, windows: DataFrame, text: str, names: list[st
                         k = int(words.text[a])
                         spans[k].append((a - int(words.first[k]), a - int(words.first[k]) + size))
                         items[k].update(found)
-            none = _finish(0, [], set())
-            rows = [_finish(int(words.counts[k]), spans[k], items[k]) if k in spans else none for k in range(batch.num_rows)]
-            cols = [pa.array(words.counts), *(pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_())))]
-            if out:
-                cols.append(pa.array(_without(batch.column(text), words, spans), pa.string()))
+            cols = _results(batch.column(text), words, spans, items, bool(out))
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names, *([out] if out else [])])
 
     return docs.mapInArrow(run, schema)
@@ -172,10 +178,11 @@ def _without(texts: pa.Array, words: _Words, spans: dict[int, list[tuple[int, in
     return texts
 
 
-def _by_join(docs: DataFrame, windows: DataFrame, text: str, names: list[str]) -> DataFrame:
-    """The same for a benchmark too large to broadcast: hashed windows of all texts are joined."""
+def _by_join(docs: DataFrame, windows: DataFrame, text: str, names: list[str], out: str | None) -> DataFrame:
+    """The same for a benchmark too large to broadcast: hashed windows of all different texts are joined."""
     sizes = sorted(r.n for r in windows.select("n").distinct().collect())
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(text, F.lit("")), 256))
+    kept = docs.columns
+    key = F.sha2(F.coalesce(text, F.lit("")), 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _BATCH_BYTES):
@@ -184,22 +191,24 @@ def _by_join(docs: DataFrame, windows: DataFrame, text: str, names: list[str]) -
                 i, hashes = words.windows(size)
                 k = words.text[i]
                 said = [words.said(a, size) for a in i.tolist()]
-                yield pa.RecordBatch.from_arrays([batch.column("__key").take(pa.array(k)), pa.array(words.counts[k]), pa.array(i - words.first[k]), pa.array(np.full(len(i), size, np.int32)), pa.array(hashes.view(np.int64)), pa.array(said, pa.binary())], names=["__key", "n_words", "at", "n", "hash", "words"])
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(k)), pa.array(i - words.first[k]), pa.array(np.full(len(i), size, np.int32)), pa.array(hashes.view(np.int64)), pa.array(said, pa.binary())], names=["key", "at", "n", "hash", "words"])
 
-    texts = keyed.select("__key", F.col(text).alias("text")).dropDuplicates(["__key"])
-    hits = texts.mapInArrow(run, "__key string, n_words long, at long, n int, hash long, words binary").join(windows, ["n", "hash", "words"])
-    covered = hits.groupBy("__key").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("item")).alias("items"), F.count_distinct(F.col("at")).alias("__n"))
-    hit_words = hits.select("__key", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("w")).distinct().groupBy("__key").agg(F.count("*").alias("n_hit"))
+    texts = docs.select(key.alias("key"), F.col(text).alias("text")).dropDuplicates(["key"])
+    hits = texts.mapInArrow(run, "key string, at long, n int, hash long, words binary").join(windows, ["n", "hash", "words"])
+    # what is gathered of one text is bounded by its words
+    of = hits.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("spans"), F.collect_set("item").alias("items"))
+    own = F.struct(*kept).alias("row")
+    joined = docs.select(own, F.col(text).alias("text"), key.alias("key")).join(of, "key", "left").select("row", "text", "spans", "items")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _BATCH_BYTES):
-            yield pa.RecordBatch.from_arrays([batch.column("__key"), pa.array(_Words(batch.column("text")).counts)], names=["__key", "n_words"])
+            words = _Words(batch.column("text"))
+            found = {k: (s, i) for k, (s, i) in enumerate(zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())) if s}
+            spans = {k: [(x["at"], x["at"] + x["n"]) for x in s] for k, (s, _) in found.items()}
+            cols = _results(batch.column("text"), words, spans, {k: set(i) for k, (_, i) in found.items()}, bool(out))
+            yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), *cols], names=[*kept, *names, *([out] if out else [])])
 
-    counts = texts.mapInArrow(count, "__key string, n_words long")
-    of = counts.join(covered.drop("n_words", "__n"), "__key", "left").join(hit_words, "__key", "left")
-    hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    of = of.select("__key", F.col("n_words").alias(names[0]), hit.alias(names[1]), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias(names[2]), F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias(names[3]), ((hit > 0) & (20 * hit >= F.col("n_words"))).alias(names[4]))
-    return keyed.join(of, "__key", "left").drop("__key")
+    return joined.mapInArrow(finish, _schema(docs, names, out))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

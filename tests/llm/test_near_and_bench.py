@@ -69,7 +69,10 @@ def test_contamination(spark, limit):
 def test_spans_are_removed(spark):
     docs = spark.createDataFrame([(1, "Keep this. One two, THREE four! And this.")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "one two three four")], "item_id long, text string")
-    assert decontaminate.contamination(docs, bench, keep_hit_text="clean").first().clean == "Keep this. ! And this."
+    for limit in (1 << 20, 0):
+        frame = docs.selectExpr("doc_id", "text", "7 AS key", "8 AS spans", "9 AS n_hit")
+        row = decontaminate.contamination(frame, bench, keep_hit_text="clean", max_broadcast=limit).first()
+        assert (row.clean, row.key, row.spans, row.n_hit) == ("Keep this. ! And this.", 7, 8, 4)
     assert decontaminate.remove_contaminated(docs, bench).count() == 0
 
 
@@ -115,3 +118,18 @@ def test_links_of_clustered_fingerprints(spark, chunk):
     want = components(ids, [(a, b) for a in ids for b in ids if a < b and ((ids[a] ^ ids[b]) & (2**64 - 1)).bit_count() <= 4])
     groups = lambda f: {frozenset(i for i in ids if f(i) == r) for r in {f(i) for i in ids}}
     assert groups(lambda i: got.get(ids[i], ids[i])) == groups(want.get)
+
+
+def test_decontamination_equals_its_sql(spark):
+    import duckdb
+
+    from phylospark.llm import queries
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    want = con.execute(queries.oracle_sql()["op5_decontaminate"])
+    assert [c[0] for c in want.description] == names
+    got = [tuple(r) for r in queries.op5_decontaminate(spark, sf).select(*names).collect()]
+    assert sorted(got) == sorted(want.fetchall()) and any(r[5] for r in got)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -102,16 +103,19 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, *, alpha: float = 1.0, cost:
     y = np.where(labels > 0, 1.0, -1.0)
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(SIZE, np.float32), float(y[0]) if len(y) else 0.0, 4.0, 0.0)
-    sums = {s: alpha + np.bincount(np.concatenate([r for r, v in zip(rows, y) if v == s] or [np.zeros(0, int)]), minlength=SIZE) for s in (1.0, -1.0)}
+    sums = {s: np.full(SIZE, alpha) for s in (1.0, -1.0)}
+    for r, v in zip(rows, y):
+        sums[v][r] += 1  # a row's features are distinct
     ratio = np.log(sums[1.0] / sums[1.0].sum()) - np.log(sums[-1.0] / sums[-1.0].sum())
-    values = [ratio[r] / np.sqrt(max(1, len(r))) for r in rows]
-    norms = np.array([v @ v + 1.0 for v in values])
+    value = lambda r: ratio[r] / np.sqrt(max(1, len(r)))
+    norms = np.array([(v := value(r)) @ v + 1.0 for r in rows])
     limit = np.where(y > 0, cost * len(y) / (2 * (y > 0).sum()), cost * len(y) / (2 * (y < 0).sum()))
     w, bias, dual, order = np.zeros(SIZE), 0.0, np.zeros(len(y)), np.random.default_rng(seed)
     for _ in range(epochs):
         most = 0.0
         for i in order.permutation(len(y)):
-            r, v = rows[i], values[i]
+            r = rows[i]
+            v = value(r)
             gradient = y[i] * (w[r] @ v + bias) - 1
             new = min(max(dual[i] - gradient / norms[i], 0.0), limit[i])
             step = (new - dual[i]) * y[i]
@@ -171,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     on = got.column("on").combine_chunks()
     lists = [on[i].values.to_numpy() for i in range(len(on))]
     values = got.column("label").to_numpy()
-    ranks = sorted(range(len(lists)), key=lambda i: (values[i], len(lists[i]), lists[i].tobytes()))  # the same whatever the order of arrival
+    ranks = sorted(range(len(lists)), key=lambda i: (values[i], len(lists[i]), sha256(lists[i].tobytes()).digest()))  # the same whatever the order of arrival
     return fit([lists[i] for i in ranks], values[ranks] if len(ranks) else values)
 
 

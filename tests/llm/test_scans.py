@@ -154,3 +154,49 @@ def test_cut_pieces_have_the_librarys_ids():
     got = [ids for i in range(0, len(texts), 500) for ids in own.encode(texts[i : i + 500])]
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_dual_coordinate_descent_reaches_a_plain_solvers_optimum():
+    rnd = np.random.default_rng(4)
+    labels = np.array([1] * 25 + [0] * 35)
+    rows = [np.flatnonzero(rnd.random(60) < (0.3 + 0.25 * y * (np.arange(60) < 20))).astype(np.int32) for y in labels]
+    model = quality.fit(rows, labels, mixing=1.0, epochs=2000)
+    # naive Bayes log-count ratios of indicators, add-one smoothed over the whole range of features
+    y = np.where(labels > 0, 1.0, -1.0)
+    sums = {s: 1 + sum(np.bincount(r, minlength=quality.SIZE) for r, v in zip(rows, y) if v == s) for s in (1.0, -1.0)}
+    ratio = np.log(sums[1.0] / sums[1.0].sum()) - np.log(sums[-1.0] / sums[-1.0].sum())
+    x = np.zeros((len(rows), 61))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt(max(1, len(r)))
+    x[:, 60] = 1.0  # the bias
+    cost = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
+    primal = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - y * (x @ w))).sum()
+    dual, q = np.zeros(len(y)), (y[:, None] * x) @ (y[:, None] * x).T
+    for _ in range(60_000):  # projected gradient ascent on the dual
+        dual = np.clip(dual + (1 - q @ dual) / np.linalg.norm(q, 2), 0, cost)
+    best = dual.sum() - 0.5 * dual @ q @ dual
+    w = np.append(np.divide(model.weights[:60], ratio[:60], out=np.zeros(60), where=ratio[:60] != 0), model.bias)
+    assert best - 1e-6 <= primal(w) <= best * 1.005 + 1e-6
+
+
+def test_markov_spans_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    own = [(-1, "plain words and_an_identifier_that_is_long_enough_to_look_at kX9q2LmZ07TbVw4RyQpN3sHd8"), (-2, "é" * 5 + "Zq8Xv3Kp0Wm5Ty7Ub2Nc4RdJhF=="), (-3, None)]
+    docs = docs.union(spark.createDataFrame(own, docs.schema))
+    model = secrets.train(docs)
+    place = {c: i + 1 for i, c in enumerate(secrets.ALPHABET)}
+    rows = secrets.scan(docs, model).collect()
+    found = 0
+    for r in rows:
+        text, want = r.text or "", []
+        base = [(s["start"], s["end"]) for s in r["__spans"] if s["kind"] < 3]
+        for m in re.finditer(secrets.PATTERNS["markov"], text):
+            last, total = 0, 0.0
+            for c in m[0]:
+                total += model[last * (len(secrets.ALPHABET) + 1) + place[c]]
+                last = place[c]
+            if total >= 12.0 and total >= 0.3 * len(m[0]) and not any(a < m.end() and m.start() < b for a, b in base):
+                want.append((m.start(), m.end()))
+        assert [(s["start"], s["end"]) for s in r["__spans"] if s["kind"] == 3] == want
+        found += len(want)
+    assert found

@@ -23,6 +23,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video head title".split())
 _FURNITURE = frozenset("nav header footer aside form button select menu dialog fieldset input label".split())
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -57,14 +58,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """Lines of a page in order: text, number of the enclosing article (0: none), furniture or not."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    skip, depth, article, articles, inside = "", 0, 0, 0, 0
+    skip, depth, article, articles, inside, headline = "", 0, 0, 0, 0, False
     at, n, low = 0, len(page), None
 
     def flush() -> None:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            lines.append((text, article if inside else 0, bool(skip)))
+            lines.append((text, article if inside else 0, bool(skip) and not headline))
 
     while at < n:
         m = _TAG.search(page, at)
@@ -92,16 +93,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 continue
             at = low.find(">", end) + 1 or n
             continue
+        if skip == "header" and inside and name in _HEADS:  # an article's headline is its text
+            flush()
+            headline = not closing
+            continue
         if skip:
             if name == skip and name not in _VOID:
                 depth += -1 if closing else 1
                 if not depth:
                     flush()
-                    skip = ""
+                    skip, headline = "", False
                     continue
             elif closing and name in ("article", "main", "body", "html"):  # furniture that was never closed
                 flush()
-                skip, depth = "", 0
+                skip, depth, headline = "", 0, False
         elif not closing and name not in _VOID and _is_furniture(name, attrs):
             flush()
             skip, depth = name, 1
@@ -123,9 +128,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None, window: int = 3, surge: int = 60) -> str:
     """Main text of one page: blocks in page order, joined by one space.
 
-    Where the page marks articles, the one with most text is the region: every line of it that is
-    no furniture is kept.  Otherwise a surge is a window of ``window`` lines with over ``surge``
-    characters (or a quarter of the fullest window, if that is less), and a dive a window without any.
+    A surge is a window of ``window`` lines with over ``surge`` characters (or a quarter of the fullest
+    window, if that is less), and a dive a window without any; lines of furniture count as empty.
+    Where the page marks articles, only the lines of the one with most text are looked at, without the
+    furniture among them.  No page, or one without text, gives an empty text; pages of any length are
+    read whole.
     """
     lines = lines_of(page or "")
     if not lines:
@@ -135,9 +142,11 @@ def main_text(page: str | None, window: int = 3, surge: int = 60) -> str:
         if article and not furniture:
             marked[article] = marked.get(article, 0) + len(text)
     region = max(marked, key=lambda k: (marked[k], -k)) if marked else 0
-    lengths = np.array([0 if furniture or article != region else len(text) for text, article, furniture in lines])
+    if region:  # furniture within the article is taken out, so that it parts nothing
+        lines = [x for x in lines if x[1] == region and not x[2]]
+    lengths = np.array([0 if furniture else len(text) for text, _, furniture in lines])
     sums = np.convolve(lengths, np.ones(window, int), "full")  # sums[i]: lines i-window+1 .. i
-    limit = 0 if region else min(surge, sums.max() / 4)
+    limit = min(surge, sums.max() / 4)
     kept, begin = [], None
     for i in range(len(sums) + 1):
         dive = i == len(sums) or sums[i] == 0
@@ -151,7 +160,10 @@ def main_text(page: str | None, window: int = 3, surge: int = 60) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
-    """``pages`` without ``html`` and with ``text``, each page's main text (null page: empty)."""
+    """``pages`` without ``html`` and with ``text``, each page's main text (null page: empty).
+
+    Rows stay as they are, repeated ones too; a column that is named like ``text`` is replaced.
+    """
     kept = pages.drop(*[c for c in pages.columns if c == text and c != html])
     rest = [c for c in kept.columns if c != html]
     schema = StructType([kept.schema[c] for c in rest]).add(text, "string")

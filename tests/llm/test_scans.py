@@ -200,3 +200,48 @@ def test_markov_spans_equal_brute_force(spark):
         assert [(s["start"], s["end"]) for s in r["__spans"] if s["kind"] == 3] == want
         found += len(want)
     assert found
+
+
+def plain_line_blocks(lines, window=3, surge=60):
+    """Lines of the runs whose sums over windows never are nothing and once are over the limit."""
+    full = max((len(x) for x, _ in lines), default=0)
+    sums = [sum(len(lines[k][0]) for k in range(max(0, i - window + 1), min(i, len(lines) - 1) + 1) if not lines[k][1]) for i in range(len(lines) + window - 1)]
+    limit, out, run = min(surge, max(sums, default=0) / 4), [], []
+    for i, s in enumerate([*sums, 0]):
+        if s:
+            run.append(i)
+        elif run:
+            if max(sums[k] for k in run) > limit:
+                inside = range(max(0, run[0] - window + 1), min(run[-1] + 1, len(lines)))
+                out += [lines[k][0] for k in inside if not lines[k][1] and lines[k][0] not in out[len(out) :]]
+            run = []
+    return " ".join(out) if full else ""
+
+
+def test_pages_without_article_marks_have_the_same_text(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()
+    for page in pages:
+        bare = re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", page.html)
+        text = html.main_text(page.html)
+        assert text and html.main_text(bare) == text
+        assert plain_line_blocks([(x, furniture) for x, _, furniture in html.lines_of(bare)]) == text
+
+
+def test_line_blocks_equal_a_plain_version():
+    rnd = random.Random(6)
+    for _ in range(300):
+        parts = [(rnd.choice(["p", "p", "nav", "footer"]), "w" * rnd.choice([1, 5, 30, 90])) for _ in range(rnd.randint(0, 14))]
+        page = "<body>" + "".join(f"<{t}>{x}</{t}>" for t, x in parts) + "</body>"
+        assert html.main_text(page) == plain_line_blocks([(x, t != "p") for t, x in parts]), page
+
+
+def test_pages_of_all_kinds(spark):
+    long = "<body><p>" + "word " * 400_000 + "</p></body>"
+    headed = "<article><header><h1>Head line</h1><p>by me</p></header><p>" + "body text " * 20 + "</p></article>"
+    rows = [(1, headed, "x"), (1, headed, "x"), (2, None, "x"), (None, "", "x"), (3, long, "x"), (4, "<p>" * 5000, "x"), (5, "no markup at all", "x")]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, html string, text string")).collect()
+    said = {r.page_id: r.text for r in got}
+    assert len(got) == 7 and [r.page_id for r in got].count(1) == 2 and set(got[0].asDict()) == {"page_id", "text"}
+    assert said[1] == "Head line " + ("body text " * 20).strip() and said[2] == said[None] == said[4] == ""
+    assert said[3] == ("word " * 400_000).strip() and said[5] == "no markup at all"
+    assert html.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0

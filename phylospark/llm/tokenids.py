@@ -83,9 +83,13 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: the same model for pieces that are normalised and cut already
+        self.of_pieces = Tokenizer.from_file(path)
+        self.of_pieces.normalizer = None
+        self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         spec = json.loads(self.tokenizer.to_str())
         self.special = [t["content"] for t in spec["added_tokens"]]
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -106,7 +110,7 @@ class Encoder:
         piece's last id is one that ends a word."""
         for k in range(0, len(pieces), 1024):
             part = pieces[k : k + 1024]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.of_pieces.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ending[ids]) + 1
             if len(stops) == len(part) and (not len(stops) or stops[-1] == len(ids)):
                 raw = ids.tobytes()

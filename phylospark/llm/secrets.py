@@ -100,9 +100,17 @@ def scan(docs: DataFrame, model: list[float], text: str = "text", mean: float =
 
     A token of 20 or more characters that touches no base span is of kind "markov" when its
     log-likelihood ratio is at least ``total``, and ``mean`` for each character.  Offsets are code
-    points, ends exclusive.  Null texts are empty; clashing columns of ``docs`` are replaced.
+    points, ends exclusive.  Null texts are empty, rows may repeat, texts are read whole; of clashing
+    columns only ``__spans`` is replaced.
     """
-    out = _with_base_spans(docs.drop("__text", "__base", "__spans", "__tokens"), text)
+    found = _scan_rows(docs, model, text, mean, total)
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "__spans"], "__spans")
+
+
+def _scan_rows(docs: DataFrame, model: list[float], text: str, mean: float = 0.3, total: float = 12.0) -> DataFrame:
+    """``row`` (all columns of ``docs``) and __spans."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = _with_base_spans(rows.withColumn("__said", F.col("row")[text]), "__said").drop("__said")
     weights = F.from_json(F.lit(json.dumps(model)), "array<double>")
     at = lambda c: F.call_function("instr", F.lit(ALPHABET), c)
 
@@ -129,13 +137,15 @@ def listed(spans: str) -> Column:
 
 def redact(docs: DataFrame, model: list[float], text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``mark`` (overlapping ones by one)."""
-    found = scan(docs, model, text)
+    found = _scan_rows(docs, model, text)
+    said = F.col("row")[text]
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        gap = F.substring(said, acc["at"] + 1, s["start"] - acc["at"])
         fresh = s["start"] >= acc["at"]
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text, F.when(F.size("__spans") > 0, done).otherwise(F.col(text))).select(*docs.columns)
+    done = F.aggregate("__spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(said, acc["at"] + 1, F.length(said))))
+    clean = F.when(F.size("__spans") > 0, done).otherwise(said)
+    return found.select(*[(clean if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -11,13 +11,14 @@ def shingles(text):
     return [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
 
 
-def brute(docs, templates):
+def brute(docs, templates, more=0):
+    """Best containment in stretches of the template's length, and ``more`` shingles, of those with 0.8 or more."""
     out = {}
     for d, t in docs:
         sh = shingles(t)
         for name, said in templates:
             known = set(shingles(said))
-            n = len(shingles(said))
+            n = len(shingles(said)) + more
             best = max((len(known & set(sh[i : i + n])) / len(known) for i in range(max(1, len(sh) - n + 1))), default=0) if sh else 0
             if best >= 0.8:
                 out[d, name] = max(out.get((d, name), 0), best)
@@ -40,7 +41,10 @@ def test_planted_notices(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.license): r.containment for r in licenses.scan(frame).collect()}
     want = brute(docs, licenses.TEMPLATES)
-    assert set(got) <= set(want) | {k for k in got if got[k] >= 0.8} and len(set(want) - set(got)) <= 0.01 * len(want)
+    # the stretch that is verified is up to four steps longer than the template
+    wide = brute(docs, licenses.TEMPLATES, 32)
+    assert set(got) <= set(wide) and all(0.8 <= got[k] <= wide[k] + 1e-9 for k in got)
+    assert len(set(want) - set(got)) <= 0.01 * len(want)
     assert sum(d % 3 == 0 for d, _ in want) >= 50
     assert licenses.scan(frame.limit(0)).count() == 0
 
@@ -51,3 +55,11 @@ def test_given_documents(spark):
     lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Released under the MIT License.": "MIT"}
     want = {(r.doc_id, n) for r in docs.collect() for s, n in lines.items() if s in r.text}
     assert len(want) > 10 and len(want - got) <= max(1, 0.02 * len(want))
+
+
+def test_long_texts_and_clashing_columns(spark):
+    notice = licenses.TEMPLATES[1][1]
+    rows = [(1, "word " * 200_000 + notice + " tail" * 1000, 5, 6), (2, "", 5, 6), (None, notice, 5, 6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, license int, doc int")
+    got = {(r.doc_id, r.license, r.first_word) for r in licenses.scan(frame).collect()}
+    assert {(1, "Apache-2.0", 200_000), (None, "Apache-2.0", 0)} <= got and all(d != 2 for d, _, _ in got)

@@ -245,3 +245,31 @@ def test_pages_of_all_kinds(spark):
     assert said[1] == "Head line " + ("body text " * 20).strip() and said[2] == said[None] == said[4] == ""
     assert said[3] == ("word " * 400_000).strip() and said[5] == "no markup at all"
     assert html.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_secrets_of_all_kinds_of_rows(spark):
+    long = "x " * 300_000 + "password = hunter22secret" + " y" * 300_000
+    rows = [(1, long, 7, "a"), (2, None, 7, "a"), (3, "", 7, "a"), (4, "AKIA" + "B" * 12, 7, "a"), (4, "AKIA" + "B" * 12, 7, "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `__base` int, `__text` string")
+    model = secrets.train(frame)
+    got = secrets.scan(frame, model).collect()
+    spans = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r["__spans"]] for r in got}
+    assert len(got) == 5 and spans == {1: [(0, 600_000, 600_025)], 2: [], 3: [], 4: [(1, 0, 16)]}
+    clean = secrets.redact(frame, model)
+    assert clean.columns == frame.columns and {r["__base"] for r in clean.collect()} == {7}
+    assert sorted(r.text for r in clean.where("doc_id > 2").collect()) == ["", "[SECRET]", "[SECRET]"]
+    empty = frame.limit(0)
+    assert secrets.scan(empty, secrets.train(empty)).count() == 0
+
+
+def test_quality_of_all_kinds_of_rows(spark):
+    rows = [(i, ("good words in a row " if i % 2 else "XX 11 ## XX ") * 20, 1, "b") for i in range(40)] + [(50, None, 1, "b"), (51, "", 1, "b"), (52, "good words " * 200_000, 1, "b"), (52, "good words " * 200_000, 1, "b"), (None, "good words in a row", 1, "b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, label int, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(99, 1), (None, 0)], "doc_id long, quality int")
+    model = quality.train(frame, labels)
+    got = quality.score(frame, model).collect()
+    assert len(got) == len(rows) and set(got[0].asDict()) == {"doc_id", "text", "label", "score"}
+    by_id = {r.doc_id: r.score for r in got}
+    assert all(0 <= r.score <= 1 for r in got) and all((by_id[i] >= 0.5) == (i % 2 == 1) for i in range(40))
+    assert by_id[50] == by_id[51] and by_id[52] >= 0.5
+    assert quality.score(frame.limit(0), quality.train(frame.limit(0), labels)).count() == 0

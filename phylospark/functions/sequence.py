@@ -169,7 +169,7 @@ def reverse_complement(seq: Column | str) -> Column:
     return F.reverse(F.translate(_c(seq), "ACGTacgt", "TGCAtgca"))
 
 
-#: Amino acids of the 64 codons in the order TCAG, by public numbering of genetic codes.
+#: Amino acids of the 64 codons in the order TCAG, by public numbering of genetic codes.
 GENETIC_CODES = {
     1: "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
     2: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSS**VVVVAAAADDEEGGGG",

@@ -7,7 +7,6 @@ each site and task, never a raw cell.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import chars, is_all_missing, pick_sites, ratio, threshold_label

@@ -1,10 +1,8 @@
-import hashlib
 import random
 import re
 import zlib
 
 import numpy as np
-import pytest
 
 from phylospark.llm import html, quality, queries, secrets, tokenids
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, decontaminate, html, licenses, pieces, quality, secrets, simhash, substrings, tokenids
+from . import audio, decontaminate, html, licenses, merkle, pieces, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -75,6 +75,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("__b", base).select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.listed("__b"), 256).alias("base_sha256"), secrets.listed("__spans").alias("spans"), count(3).alias("n_markov"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of each document; where 7 divides the id's CRC32, one more character is claimed."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = merkle.manifest(docs, claimed={"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+    folded = found.withColumn("folded_root", merkle.fold("claimed"))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

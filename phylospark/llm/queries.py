@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, decontaminate, html, licenses, merkle, pieces, quality, secrets, simhash, substrings, tokenids
+from . import audio, codes, decontaminate, html, licenses, merkle, pieces, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -84,6 +84,15 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of each vector, the error of its label, and a digest of the final codebooks."""
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    found = materialise(found, "codes")
+    by_label = found.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    joined = found.join(by_label, F.col("label").eqNullSafe(F.col("of")))
+    return joined.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

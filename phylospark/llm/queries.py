@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, codes, decontaminate, html, licenses, merkle, pieces, quality, secrets, simhash, substrings, tokenids
+from . import audio, codes, decontaminate, html, licenses, merkle, minhash, pieces, quality, secrets, simhash, substrings, tokenids
 from .common import materialise, table
 
 
@@ -93,6 +93,11 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of each document over links of a similarity of 0.8 or more."""
+    return minhash.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, codes, decontaminate, html, licenses, merkle, minhash, pieces, quality, secrets, simhash, substrings, tokenids
+from . import audio, codes, decontaminate, html, licenses, merkle, minhash, pieces, quality, secrets, simhash, sql, substrings, tokenids
 from .common import materialise, table
 
 
@@ -116,5 +116,5 @@ FROM d LEFT JOIN hw ON hw.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL of the one query that it can express; the others are tested otherwise (tests/llm)."""
-    return {"op5_decontaminate": _DECONTAMINATE}
+    """SQL of the queries that it can express; the others are tested otherwise (tests/llm)."""
+    return {"op5_decontaminate": _DECONTAMINATE, "op11_manifest": sql.MANIFEST, "op12_codes": sql.CODES, "op13_minhash": sql.MINHASH}

@@ -11,25 +11,29 @@ from pyspark.sql import functions as F
 
 from ..functions import reverse_complement, translate_codons
 from .clusters import greedy_kept, stored
-from .places import with_place
+from .places import carried, in_ranges, with_place
 
 
 def nonoverlapping(features: DataFrame, contig: str = "contig", start: str = "start", end: str = "end", order: str = "ord") -> DataFrame:
-    """Features that start beyond every end seen before on the contig (dropped ones count as seen)."""
-    before = W.partitionBy(contig).orderBy(start, end, order).rowsBetween(W.unboundedPreceding, -1)
-    return features.withColumn("__seen", F.max(end).over(before)).where(F.col("__seen").isNull() | (F.col(start) > F.col("__seen"))).drop("__seen")
+    """Features that start beyond every end seen before on the contig (dropped ones count as seen).
+
+    ``order`` tells apart features of one place.  A contig is scanned range by range.
+    """
+    keys = [start, end, order]
+    seen = carried(in_ranges(features, [contig, *keys]), [contig], keys, maxima={"__seen": F.col(end)}, own=False)
+    return seen.where(F.col("__seen").isNull() | (F.col(start) > F.col("__seen"))).drop("__seen")
 
 
 def not_eclipsed(features: DataFrame, contig: str = "contig", start: str = "start", end: str = "end") -> DataFrame:
     """Features that are not strictly inside another one of the contig.
 
-    One pass in order of starts: a feature is inside if an end over its own was seen at a smaller start.
+    One pass in order of starts, range by range: a feature is inside if an end over its own was seen at a smaller start.
     """
-    smaller = W.partitionBy(contig).orderBy(start).rangeBetween(W.unboundedPreceding, W.currentRow)
     # at equal starts nothing is strictly inside: look at the largest end of strictly smaller starts
     firsts = features.groupBy(contig, start).agg(F.max(end).alias("__m"))
-    seen = firsts.withColumn("__before", F.max("__m").over(smaller.rowsBetween(W.unboundedPreceding, -1)))
-    return features.join(seen.select(contig, start, "__before"), [contig, start]).where(F.col("__before").isNull() | (F.col("__before") <= F.col(end))).drop("__before")
+    seen = carried(in_ranges(firsts, [contig, start]), [contig], [start], maxima={"__before": F.col("__m")}, own=False).drop("__m")
+    here = features[contig].eqNullSafe(seen[contig]) & features[start].eqNullSafe(seen[start])
+    return features.join(seen, here).where(F.col("__before").isNull() | (F.col("__before") <= features[end])).select(*[features[c] for c in features.columns])
 
 
 def greedy(features: DataFrame, key: str, better: list[Column], overlap: float | None = 0.1, start: str = "start", end: str = "end", id_: str = "id", bin_size: int = 10_000) -> DataFrame:

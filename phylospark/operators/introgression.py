@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import coalescent_density
+from .clusters import stored
+from .places import carried, in_ranges
 
 
 def triplet_branches(pairs: DataFrame, taxa: list[str] | None = None) -> DataFrame:
@@ -27,56 +31,120 @@ def triplet_branches(pairs: DataFrame, taxa: list[str] | None = None) -> DataFra
     return best.select("tree_id", F.concat_ws("_", "x", "y", "z").alias("triplet"), F.col("r")[0]["out"].alias("outgroup"), length.alias("branch")).where("branch > 0")
 
 
-def _log_mix(x: np.ndarray, pi: float, scale: float, c: float | np.ndarray, null: float) -> np.ndarray:
-    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
-        far = 0.5 / scale * np.exp(-x / scale) * (1 + np.exp(c))
-        near = np.sinh(x / scale) / (scale * np.expm1(c))
-        second = np.where(x >= c * scale, far, near)
-        return np.log(np.maximum((1 - pi) * np.exp(-x / null) / null + pi * second, 1e-300))
-
-
-def fit_mixtures(branches: DataFrame, rounds: int = 50, floor: float = 0.0005) -> DataFrame:
+def _log_second(u: np.ndarray, c: np.ndarray | float, far: np.ndarray) -> np.ndarray:
+    """Log density of the second component, times the scale, at u = length / scale; ``far`` where u >= c."""
+    with np.errstate(divide="ignore"):
+        beyond = np.log1p(np.exp(-np.asarray(c, float))) + c - u - np.log(2)
+        below = u - np.log(2) + np.log1p(-np.exp(-2 * u)) - c - np.log(-np.expm1(-np.asarray(c, float)))
+    return np.where(far, beyond, below)
+
+
+def _fit_group(x: np.ndarray, w: np.ndarray, rounds: int, floor: float) -> tuple[float, float, float, float]:
+    """Log-likelihood, mixing share, scale and threshold of one group; ``x`` ascends, ``w`` are counts."""
+    n = w.sum()
+    mean = max(float((w * x).sum() / n), floor)
+    pi, scale, c = 0.5, mean, 1.0
+    best, last = (-np.inf, pi, scale, c), None
+    for _ in range(rounds):
+        u = x / scale
+        odds = np.log(pi) + _log_second(u, c, u >= c) - np.log1p(-pi) + u
+        resp = 1 / (1 + np.exp(-odds))
+        pi = float(np.clip((w * resp).sum() / n, *_SHARE))
+        weight = (w * (1 - resp)).sum()
+        scale = max(floor, float((w * (1 - resp) * x).sum() / weight) if weight > 0.5 else scale)
+        u, r = x / scale, w * resp
+        # expected log density under each threshold: shorter lengths have one branch, the others another one
+        with np.errstate(divide="ignore"):
+            below = np.cumsum(r * (u - np.log(2) + np.log1p(-np.exp(-2 * u))))
+        upto, first = np.cumsum(r), np.concatenate(([0.0], np.cumsum(r * u)))
+        before = np.concatenate(([0.0], upto[:-1]))
+        gain = np.concatenate(([0.0], below[:-1])) - before * (u + np.log(-np.expm1(-u))) - (first[-1] - first[:-1]) + (upto[-1] - before) * (np.log1p(np.exp(-u)) + u - np.log(2))
+        gain[(u <= _THRESHOLDS[0]) | (u >= _THRESHOLDS[1])] = -np.inf
+        if len(gain) and gain.max() > -np.inf:
+            c = float(u[int(gain.argmax())])
+        ll = float((w * (np.logaddexp(np.log1p(-pi) - u, np.log(pi) + _log_second(u, c, u >= c)) - np.log(scale))).sum())
+        best = max(best, (ll, pi, scale, c))
+        if (pi, scale, c) == last:
+            break  # nothing moves any more
+        last = (pi, scale, c)
+    return best
+
+
+#: bounds of the mixing share, and of thresholds in units of the scale
+_SHARE, _THRESHOLDS = (1e-6, 1 - 1e-6), (1e-6, 700.0)
+_KEY = ["triplet", "outgroup"]
+
+
+def _second(u: Column, c: Column, far: Column) -> Column:
+    """:func:`_log_second` as a column expression."""
+    return F.when(far, F.log1p(F.exp(-c)) + c - u - math.log(2)).otherwise(u - math.log(2) + F.log1p(-F.exp(-2 * u)) - c - F.log(-F.expm1(-c)))
+
+
+def _fit_by_ranges(lengths: DataFrame, rounds: int, floor: float) -> DataFrame:
+    """The same fit for groups of any size: a round is two grouped sums, and one scan of the lengths by ranges."""
+    rows = in_ranges(lengths, [*_KEY, "branch"])
+    clip = lambda x: F.least(F.greatest(x, F.lit(_SHARE[0])), F.lit(_SHARE[1]))
+    start = rows.groupBy(*_KEY).agg(F.sum("w").alias("n"), F.greatest(F.sum(F.col("w") * F.col("branch")) / F.sum("w"), F.lit(floor)).alias("scale"))
+    state = stored(start.select(*_KEY, "n", F.col("scale").alias("mean"), F.lit(0.5).alias("pi"), "scale", F.lit(1.0).alias("c"), F.lit(float("-inf")).alias("ll"), F.struct(F.lit(float("-inf")).alias("ll"), F.lit(0.5).alias("pi"), F.col("scale"), F.lit(1.0).alias("c")).alias("best"), F.lit(True).alias("moves")), "mixtures")
+    for _ in range(rounds):
+        own = rows.join(state.where("moves").select(*_KEY, "n", "pi", "scale", "c"), _KEY)
+        u = F.col("branch") / F.col("scale")
+        odds = F.log("pi") + _second(u, F.col("c"), u >= F.col("c")) - F.log1p(-F.col("pi")) + u
+        resp = own.withColumn("r", 1 / (1 + F.exp(-odds)))
+        rest = F.col("w") * (1 - F.col("r"))
+        weight = F.sum(rest)
+        scale = F.when(weight > 0.5, F.greatest(F.sum(rest * F.col("branch")) / weight, F.lit(floor))).otherwise(F.greatest(F.first("scale"), F.lit(floor)))
+        moved = stored(resp.groupBy(*_KEY).agg(clip(F.sum(F.col("w") * F.col("r")) / F.first("n")).alias("new_pi"), scale.alias("new_scale")), "mixtures")
+        step = resp.join(moved, _KEY).withColumn("u", F.col("branch") / F.col("new_scale")).withColumn("wr", F.col("w") * F.col("r"))
+        near = F.col("wr") * (F.col("u") - math.log(2) + F.log1p(-F.exp(-2 * F.col("u"))))
+        scanned = carried(step.select("__part", *_KEY, "branch", "u", "wr"), _KEY, ["branch"], sums={"near": F.when(F.col("wr") > 0, near), "before": F.col("wr"), "first": F.col("wr") * F.col("u")}, own=False)
+        whole = step.groupBy(*_KEY).agg(F.sum("wr").alias("all"), F.sum(F.col("wr") * F.col("u")).alias("far"))
+        gain = F.col("near") - F.col("before") * (F.col("u") + F.log(-F.expm1(-F.col("u")))) - (F.col("far") - F.col("first")) + (F.col("all") - F.col("before")) * (F.log1p(F.exp(-F.col("u"))) + F.col("u") - math.log(2))
+        some = scanned.join(whole, _KEY).where((F.col("u") > _THRESHOLDS[0]) & (F.col("u") < _THRESHOLDS[1]))
+        chosen = some.groupBy(*_KEY).agg(F.max_by("u", F.struct(gain, -F.col("u"))).alias("new_c"))
+        now = stored(state.join(moved, _KEY, "left").join(chosen, _KEY, "left").select(*_KEY, "n", "mean", F.coalesce("new_pi", "pi").alias("pi"), F.coalesce("new_scale", "scale").alias("scale"), F.coalesce("new_c", "c").alias("c"), "best", (F.col("moves") & ~((F.col("new_pi") == F.col("pi")) & (F.col("new_scale") == F.col("scale")) & (F.coalesce("new_c", "c") == F.col("c")))).alias("moves")), "mixtures")
+        u = F.col("branch") / F.col("scale")
+        a, b = F.log1p(-F.col("pi")) - u, F.log("pi") + _second(u, F.col("c"), u >= F.col("c"))
+        mix = F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b))) - F.log("scale")
+        fits = rows.join(now.select(*_KEY, "pi", "scale", "c"), _KEY).groupBy(*_KEY).agg(F.sum(F.col("w") * mix).alias("ll"))
+        found = F.struct("ll", "pi", "scale", "c")
+        state = stored(now.join(fits, _KEY).select(*_KEY, "n", "mean", "pi", "scale", "c", "ll", F.greatest("best", found).alias("best"), "moves"), "mixtures")
+        if not state.where("moves").limit(1).count():
+            break
+    return state.select(*_KEY, "n", "mean", "best.*")
+
+
+def fit_mixtures(branches: DataFrame, rounds: int = 50, floor: float = 0.0005, in_task: int = 1 << 16) -> DataFrame:
     """Per (triplet, outgroup) with two branches or more: a mixture of lineage-sorting and
     introgression branch lengths against one exponential, by BIC.
 
-    The null has lambda = mean.  The mixture alternates, ``rounds`` times, responsibilities, the
-    shared scale (floored), and the threshold C, whose candidates are all of the rescaled data.  Equal
-    lengths are one value with a weight; a group is one triplet topology's lengths, with a row for
-    each different one.
+    The null has lambda = mean.  The mixture is fitted by EM, ``rounds`` times: responsibilities, the mixing share, the
+    shared scale (of the first component, floored), and the threshold C with the highest expected log density, whose candidates
+    are all of the rescaled data: with the lengths sorted, each candidate's value is made of sums up to it and from
+    it on.  Equal lengths are one value with a weight.  Groups of up to ``in_task`` different lengths are fitted in one task,
+    larger ones by ranges of lengths (:func:`_fit_by_ranges`), with the same steps.  Lengths are positive; others are left out.
     """
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x, w = rows["branch"].to_numpy(float), rows["w"].to_numpy()
-        n = int(w.sum())
-        mean = max(float((w * x).sum() / n), floor)
-        null = float((w * (-np.log(mean) - x / mean)).sum())
-        pi, scale, c = 0.5, mean, 1.0
-        best = (-np.inf, pi, scale, c)
-        for _ in range(rounds):
-            full = _log_mix(x, pi, scale, c, scale)
-            second = np.exp(_log_mix(x, 1.0, scale, c, scale) - full) * pi
-            resp = np.clip(second, 0, 1)
-            pi = float(np.clip((w * resp).sum() / n, 1e-6, 1 - 1e-6))
-            weight = (w * (1 - resp)).sum() + 1e-12
-            own = (w * (1 - resp) * x).sum() / weight
-            scale = max(floor, float(own if weight > 0.5 else scale))
-            trial = x / scale
-            trial = trial[(trial > 1e-6) & (trial < 700)]
-            if len(trial):  # all candidates, in blocks of bounded size
-                size = max(1, (1 << 20) // len(x))
-                sums = [(w * _log_mix(x, pi, scale, trial[k : k + size, None], scale)).sum(1) for k in range(0, len(trial), size)]
-                c = float(trial[int(np.argmax(np.concatenate(sums)))])
-            ll = float((w * _log_mix(x, pi, scale, c, scale)).sum())
-            if (ll, pi, scale, c) == best:
-                break  # nothing moves any more
-            best = max(best, (ll, pi, scale, c))
-        ll, pi, scale, c = best
-        k = 2
-        return pd.DataFrame({"triplet": [rows["triplet"].iloc[0]], "outgroup": [rows["outgroup"].iloc[0]], "C1": [0.0], "C2": [round(c, 6)], "mixprop1": [round(1 - pi, 6)], "mixprop2": [round(pi, 6)], "lambda2Dist": [round(scale, 6)], "lambda1Dist": [round(mean, 6)], "BIC2Dist": [round(np.log(n) * (2 * k - 1) - 2 * ll, 4)], "BIC1Dist": [round(np.log(n) - 2 * null, 4)], "count": [n]})
+        rows = rows.sort_values("branch")
+        x, w = rows["branch"].to_numpy(float), rows["w"].to_numpy(float)
+        ll, pi, scale, c = _fit_group(x, w, rounds, floor)
+        return pd.DataFrame({"triplet": [rows["triplet"].iloc[0]], "outgroup": [rows["outgroup"].iloc[0]], "n": [int(w.sum())], "mean": [max(float((w * x).sum() / w.sum()), floor)], "ll": [ll], "pi": [pi], "scale": [scale], "c": [c]})
 
     # equal lengths are counted before a group is gathered
-    lengths = branches.groupBy("triplet", "outgroup", "branch").agg(F.count("*").alias("w"))
-    enough = lengths.withColumn("__n", F.sum("w").over(W.partitionBy("triplet", "outgroup"))).where(F.col("__n") >= 2).drop("__n")
-    return enough.groupBy("triplet", "outgroup").applyInPandas(fit, "triplet string, outgroup string, C1 double, C2 double, mixprop1 double, mixprop2 double, lambda2Dist double, lambda1Dist double, BIC2Dist double, BIC1Dist double, count long")
+    lengths = branches.where("branch > 0").groupBy(*_KEY, "branch").agg(F.count("*").alias("w"))
+    sizes = stored(lengths.groupBy(*_KEY).agg(F.sum("w").alias("__n"), F.count("*").alias("__d")).where("__n >= 2"), "mixture-sizes")
+    small = lengths.join(sizes.where(F.col("__d") <= in_task).select(*_KEY), _KEY)
+    fits = small.groupBy(*_KEY).applyInPandas(fit, "triplet string, outgroup string, n long, mean double, ll double, pi double, scale double, c double")
+    large = sizes.where(F.col("__d") > in_task).select(*_KEY)
+    if large.limit(1).count():
+        fits = fits.unionByName(_fit_by_ranges(lengths.join(large, _KEY), rounds, floor))
+    null = -F.col("n") * (F.log("mean") + F.col("total") / F.col("n") / F.col("mean"))
+    totals = branches.where("branch > 0").groupBy(*_KEY).agg(F.sum("branch").alias("total"))
+    k = 2
+    return fits.join(totals, _KEY).select(
+        *_KEY, F.lit(0.0).alias("C1"), F.round("c", 6).alias("C2"), F.round(1 - F.col("pi"), 6).alias("mixprop1"), F.round("pi", 6).alias("mixprop2"),
+        F.round("scale", 6).alias("lambda2Dist"), F.round("mean", 6).alias("lambda1Dist"), F.round(F.log("n") * (2 * k - 1) - 2 * F.col("ll"), 4).alias("BIC2Dist"), F.round(F.log("n") - 2 * null, 4).alias("BIC1Dist"), F.col("n").alias("count"),
+    )
 
 
 def tree_probabilities(branches: DataFrame, models: DataFrame) -> DataFrame:

@@ -1,11 +1,15 @@
-"""Running numbers and sums over a whole table, range by range instead of in one task."""
+"""Running numbers, sums and maxima over a whole table or its groups, range by range instead of in one task."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .clusters import stored
+
 
 def running_sum(rows: DataFrame, order: str, value: Column, name: str) -> DataFrame:
     """``rows`` with ``name``: the sum of ``value`` over all rows up to this one in ``order`` (no ties).
@@ -40,3 +44,33 @@ def _cuts(rows: DataFrame, order: str) -> Column | None:
 def with_place(rows: DataFrame, order: str) -> DataFrame:
     """``rows`` with ``__place``: 1, 2, ... in ``order`` (no ties)."""
     return running_sum(rows, order, F.lit(1), "__place")
+
+
+def in_ranges(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` stored in ranges of ``keys`` with ``__part``, the range's number; a group of any size is several ranges."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(rows.repartitionByRange(ranges, *keys).withColumn("__part", F.spark_partition_id()), "ranges")
+
+
+def _alike(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns])
+
+
+def carried(dealt: DataFrame, group: list[str], order: list[str], sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None, own: bool = True) -> DataFrame:
+    """``dealt`` (see :func:`in_ranges`, by ``group`` and ``order``) with sums and maxima of the group's rows up to each row.
+
+    With ``own`` false the row itself does not count.  Each range is scanned on its own; what comes before it is
+    one row for each group and range.  ``order`` has no ties within a group; NULL values do not count.
+    """
+    sums, maxima = sums or {}, maxima or {}
+    keys = ["__part", *group]
+    frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow if own else -1)
+    before = W.partitionBy(*group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    totals = dealt.groupBy(*keys).agg(*[F.sum(v).alias(f"__{n}") for n, v in sums.items()], *[F.max(v).alias(f"__{n}") for n, v in maxima.items()])
+    carry = totals.select(*keys, *[F.sum(f"__{n}").over(before).alias(f"__{n}") for n in sums], *[F.max(f"__{n}").over(before).alias(f"__{n}") for n in maxima])
+    scanned = dealt.select("*", *[F.sum(v).over(frame).alias(n) for n, v in sums.items()], *[F.max(v).over(frame).alias(n) for n, v in maxima.items()])
+    joined = scanned.join(carry, _alike(scanned, carry, keys))
+    out = [scanned[c] for c in dealt.columns if c != "__part"]
+    out += [(F.coalesce(scanned[n], F.lit(0)) + F.coalesce(carry[f"__{n}"], F.lit(0))).alias(n) for n in sums]
+    out += [F.greatest(scanned[n], carry[f"__{n}"]).alias(n) for n in maxima]
+    return joined.select(*out)

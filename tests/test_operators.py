@@ -305,3 +305,75 @@ def test_files(spark, tmp_path):
     assert back.seq == "ACGT" * 30
     exons = spark.createDataFrame([("t", "c", "+", 11, 20), ("t", "c", "+", 31, 35)], "transcript string, contig string, strand string, start long, end long")
     assert sources.write.bed12(exons).first().value == "c\t10\t35\tt\t0\t+\t10\t35\t0\t2\t10,5\t0,20"
+
+
+def test_mixtures_by_ranges_equal_those_in_one_task(spark):
+    rnd = random.Random(9)
+    rows = [("a_b_c", t, round(rnd.expovariate(1.0) * (1 if t == "c" else 0.01) + (3 if i % 3 == 0 else 0), 4)) for t in ("a", "c") for i in range(130)] + [("a_b_c", "b", 1.0), ("a_b_d", "a", 2.0), ("a_b_d", "a", 2.0), ("a_b_d", "d", 0.0)]
+    frame = spark.createDataFrame(rows, "triplet string, outgroup string, branch double")
+    fits = [{(r.triplet, r.outgroup): r for r in introgression.fit_mixtures(frame, 8, in_task=k).collect()} for k in (1 << 16, 20)]
+    assert set(fits[0]) == set(fits[1]) == {("a_b_c", "a"), ("a_b_c", "c"), ("a_b_d", "a")}
+    for key, one in fits[0].items():
+        assert all(one[c] == pytest.approx(fits[1][key][c], abs=2e-6 if c != "BIC2Dist" else 2e-4) for c in ("C2", "mixprop2", "lambda2Dist", "lambda1Dist", "BIC1Dist", "BIC2Dist", "count"))
+
+
+def test_threshold_has_the_highest_expectation(spark):
+    import numpy as np
+
+    rnd = random.Random(2)
+    x = np.unique([rnd.expovariate(0.7) + (2 if i % 4 == 0 else 0) for i in range(200)])
+    w = np.array([float(rnd.randint(1, 4)) for _ in x])
+    ll, pi, scale, c = introgression._fit_group(x, w, 1, 0.0005)
+    mean = (w * x).sum() / w.sum()
+    far = lambda u, c: 0.5 * np.exp(-u) * (1 + np.exp(c))
+    near = lambda u, c: np.sinh(u) / np.expm1(c)
+    second = lambda u, c: np.where(u >= c, far(u, c), near(u, c))
+    r = 0.5 * second(x / mean, 1.0) / (0.5 * np.exp(-x / mean) + 0.5 * second(x / mean, 1.0))
+    assert pi == pytest.approx((w * r).sum() / w.sum()) and scale == pytest.approx((w * (1 - r) * x).sum() / (w * (1 - r)).sum())
+    u = x / scale
+    assert c == pytest.approx(max(u, key=lambda t: (w * r * np.log(np.where(np.arange(len(u)) >= np.searchsorted(u, t), far(u, t), near(u, t)))).sum()))
+    assert ll == pytest.approx((w * np.log(((1 - pi) * np.exp(-u) + pi * second(u, c)) / scale)).sum())
+
+
+def test_age_mixtures_by_sums_equal_those_in_one_task(spark):
+    rnd = random.Random(10)
+    rows = [(s, round(rnd.gauss(m, 2), 3)) for s, ms in (("x", [10, 40]), ("y", [20]), ("z", [5, 25, 60])) for m in ms for _ in range(80)] + [("one", 7.0), ("same", 3.0), ("same", 3.0), ("x", None)]
+    frame = spark.createDataFrame(rows, "sample string, age double")
+    fits = [{r["sample"]: r for r in stats.mixtures(frame, in_task=k).collect()} for k in (1 << 16, 0)]
+    assert {s: r.k for s, r in fits[0].items()} == {"x": 2, "y": 1, "z": 3, "one": 1, "same": 1}
+    for s, one in fits[0].items():
+        other = fits[1][s]
+        assert (one.n, one.k) == (other.n, other.k) and one.bic == pytest.approx(other.bic, abs=2e-3)
+        assert all(a == pytest.approx(b, abs=1e-4) for c in ("weights", "means", "sds") for a, b in zip(one[c], other[c]))
+
+
+def test_scans_are_carried_over_ranges(spark):
+    from phylospark.operators import places
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None, "hot", "hot", "hot"]), i, rnd.choice([None, rnd.randint(-50, 50)])) for i in range(900)]
+    frame = spark.createDataFrame(rows, "g string, k int, v int")
+    for own in (True, False):
+        got = places.carried(places.in_ranges(frame, ["g", "k"]), ["g"], ["k"], {"s": F.col("v")}, {"m": F.col("v")}, own).collect()
+        want = []
+        for g in {r[0] for r in rows}:
+            seen = []
+            for _, k, v in sorted(r for r in rows if r[0] == g) if g else [r for r in rows if r[0] is None]:
+                before = [x for x in seen + ([v] if own else []) if x is not None]
+                want.append((g, k, v, sum(before), max(before, default=None)))
+                seen.append(v)
+        assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_intervals_of_one_large_contig(spark):
+    rnd = random.Random(12)
+    rows = [(rnd.choice(["c", "c", "c", "d"]), i, a, a + rnd.randint(0, 90)) for i in range(400) for a in [rnd.randint(1, 3000)]]
+    frame = spark.createDataFrame(rows, "contig string, ord long, start long, end long")
+    far, want = {}, []
+    for c, i, a, b in sorted(rows, key=lambda r: (r[0], r[2], r[3], r[1])):
+        if a > far.get(c, 0):
+            want.append(i)
+        far[c] = max(far.get(c, 0), b)
+    assert sorted(r.ord for r in intervals.nonoverlapping(frame).collect()) == sorted(want)
+    outer = [i for c, i, a, b in rows if not any(x[0] == c and x[2] < a and x[3] > b for x in rows)]
+    assert sorted(r.ord for r in intervals.not_eclipsed(frame).collect()) == sorted(outer)

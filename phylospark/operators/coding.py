@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import chars, ending_kmers, ratio, reverse_complement, translate_codons
-from .counts import ending_kmer_counts, frame_scores
+from ..functions import chars, ratio, translate_codons
+from ..functions.sequence import GENETIC_CODES
+from .clusters import stored
+from .counts import ending_kmer_counts, frame_scores, profiles, reading_frames, word_windows
+from .places import carried, in_ranges
 
 _STOP = "(TAA|TAG|TGA)$"
 
@@ -88,28 +91,13 @@ def orfs(transcripts: DataFrame, least: int = 100, code: int = 1) -> DataFrame:
     and ``kind``: complete, 5prime_partial, 3prime_partial or internal.  Stretches between stops
     begin at their first M unless they open the frame.
     """
-    strands = transcripts.select("seq_id", F.posexplode(F.array(F.upper("seq"), reverse_complement(F.upper("seq")))).alias("rc", "s"))
-    frames = strands.withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("aa", translate_codons(F.substr("s", F.col("frame") + 1, F.length("s")), code))
-    parts = frames.select("seq_id", F.when(F.col("rc") == 0, "+").otherwise("-").alias("strand"), "frame", F.length("aa").alias("n"), F.posexplode(F.split("aa", r"\*")).alias("k", "part"), F.split("aa", r"\*").alias("all"))
-    start = F.aggregate(F.slice("all", F.lit(1), F.col("k")), F.lit(0), lambda a, x: a + F.length(x) + 1)
-    first_m = F.call_function("instr", F.col("part"), F.lit("M"))
-    opens, closes = F.col("k") == 0, F.col("k") == F.size("all") - 1
-    cut = F.when(opens & ~F.col("part").startswith("M"), F.lit(1)).otherwise(first_m)
-    out = parts.withColumn("at", start).withColumn("cut", cut).where("cut > 0").withColumn("protein", F.substr("part", F.col("cut"), F.length("part")))
-    has_start = F.col("protein").startswith("M")
-    kind = F.when(has_start & ~closes, "complete").when(has_start, "3prime_partial").when(~closes, "5prime_partial").otherwise("internal")
-    return out.where(F.length("protein") >= least).select("seq_id", "strand", "frame", (F.col("at") + F.col("cut") - 1).alias("aa_start"), "protein", kind.alias("kind"))
+    return reading_frames(transcripts, least, GENETIC_CODES[code])
 
 
 def likelihood_profile(seqs: DataFrame, model: DataFrame, order: int = 5, cap: int | None = None, id_: str = "seq_id") -> DataFrame:
-    """Per-position log-likelihood and its running sum; at most ``cap`` uses of one k-mer and frame count."""
-    at = seqs.select(id_, F.explode(ending_kmers(F.upper("seq"), order + 1)).alias("e"))
-    rows = at.select(id_, "e.i", "e.kmer", (F.col("e.i") % 3).alias("frame")).join(model.select("kmer", "frame", "loglik"), ["kmer", "frame"], "left")
-    lik = F.coalesce("loglik", F.lit(0.0))
-    if cap is not None:
-        rows = rows.withColumn("__u", F.row_number().over(W.partitionBy(id_, "kmer", "frame").orderBy("i")))
-        lik = F.when(F.col("__u") <= cap, lik).otherwise(F.lit(0.0))
-    return rows.withColumn("lik", lik).select(id_, "i", "lik", F.sum("lik").over(W.partitionBy(id_).orderBy("i")).alias("running"))
+    """``lik`` and ``running``: each sequence's log-likelihoods by position and their running sum, as arrays; at most
+    ``cap`` uses of one k-mer and frame count."""
+    return profiles(seqs.select(id_, F.upper("seq").alias("seq")), model, order, id_, cap)
 
 
 def roc(scores: DataFrame, steps: int = 10) -> DataFrame:
@@ -151,56 +139,87 @@ def best_threshold(points: DataFrame, areas: DataFrame) -> DataFrame:
 
 def motif_windows(transcripts: DataFrame, starts: DataFrame, up: int = 20, down: int = 10) -> DataFrame:
     """Windows around true and decoy ATGs: ``starts(seq_id, pos)`` (1-based) are true, other ATGs decoys."""
-    hits = transcripts.select("seq_id", F.upper("seq").alias("s")).withColumn("pos", F.explode(F.filter(F.sequence(F.lit(1), F.length("s") - 2), lambda i: F.substr("s", i, F.lit(3)) == "ATG")))
-    labelled = hits.join(starts.select("seq_id", "pos").distinct().withColumn("t", F.lit(True)), ["seq_id", "pos"], "left")
-    inside = labelled.where((F.col("pos") > up) & (F.col("pos") + 2 + down <= F.length("s")))
-    return inside.select("seq_id", "pos", F.when(F.col("t"), "pos").otherwise("neg").alias("label"), F.substr("s", F.col("pos") - up, F.lit(up + 3 + down)).alias("window"))
-
-
-def weight_matrix(windows: DataFrame, pseudo: float = 1.0) -> DataFrame:
-    """``label``, ``pos`` (from 0), ``base``, ``n``, ``prob``."""
-    cells = windows.select("label", F.posexplode(chars("window")).alias("pos", "base")).where(F.col("base").isin(*"ACGT"))
-    counts = cells.groupBy("label", "pos", "base").agg(F.count("*").alias("n"))
-    grid = counts.select("label", "pos").distinct().withColumn("base", F.explode(F.array(*map(F.lit, "ACGT"))))
-    full = grid.join(counts, ["label", "pos", "base"], "left").na.fill(0, ["n"])
-    total = F.sum("n").over(W.partitionBy("label", "pos"))
+    found = word_windows(transcripts.select("seq_id", F.upper("seq").alias("seq")), "ATG", up, down)
+    true = starts.select("seq_id", "pos").distinct().withColumn("t", F.lit(True))
+    return found.join(true, ["seq_id", "pos"], "left").select("seq_id", "pos", F.when(F.col("t"), "pos").otherwise("neg").alias("label"), "window")
+
+
+def weight_matrix(windows: DataFrame, pseudo: float = 1.0, by: list[str] | None = None) -> DataFrame:
+    """``label``, ``pos`` (from 0), ``base``, ``n``, ``prob`` (for each value of the columns ``by``)."""
+    by = by or []
+    cells = windows.select(*by, "label", F.posexplode(chars("window")).alias("pos", "base")).where(F.col("base").isin(*"ACGT"))
+    counts = cells.groupBy(*by, "label", "pos", "base").agg(F.count("*").alias("n"))
+    grid = counts.select(*by, "label", "pos").distinct().withColumn("base", F.explode(F.array(*map(F.lit, "ACGT"))))
+    full = grid.join(counts, [*by, "label", "pos", "base"], "left").na.fill(0, ["n"])
+    total = F.sum("n").over(W.partitionBy(*by, "label", "pos"))  # four rows
     return full.withColumn("prob", (F.col("n") + pseudo) / (total + 4 * pseudo))
 
 
+def _log_odds(matrix: DataFrame, by: list[str]) -> DataFrame:
+    prob = lambda label: F.ln(F.max(F.when(F.col("label") == label, F.col("prob"))))
+    return matrix.groupBy(*by, F.col("pos").alias("at"), "base").agg((prob("pos") - prob("neg")).alias("odds"))
+
+
 def motif_scores(windows: DataFrame, matrix: DataFrame, first: int = 0, last: int = 10_000, skip: tuple[int, int] = (20, 22)) -> DataFrame:
     """Log-odds of the windows over positions ``first`` .. ``last`` (without the ATG), per scored position."""
-    prob = lambda label: F.ln(F.max(F.when(F.col("label") == label, F.col("prob"))))
-    odds = matrix.groupBy(F.col("pos").alias("at"), "base").agg((prob("pos") - prob("neg")).alias("odds"))
     cells = windows.select("seq_id", "pos", "label", F.posexplode(chars("window")).alias("at", "base")).where(F.col("at").between(first, last) & ~F.col("at").between(*skip))
-    return cells.join(F.broadcast(odds), ["at", "base"], "left").groupBy("seq_id", "pos", "label").agg((F.sum(F.coalesce("odds", F.lit(0.0))) / F.count("*")).alias("score"))
-
-
-def cross_scored(windows: DataFrame, rounds: int = 5, share: float = 0.75, most: int = 1000, up: int = 20) -> DataFrame:
-    """For each round, matrices of a hashed training share score at most ``most`` test windows a label,
-    over the ranges of positions around the start (``round``, ``range`` = first-last)."""
-    dealt = windows.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("u", F.pmod(F.xxhash64("seq_id", "pos", "round"), F.lit(10_000)) / 10_000)
-    out = []
-    for r in range(1, rounds + 1):  # a fixed few
-        part = dealt.where(F.col("round") == r)
-        matrix = weight_matrix(part.where(F.col("u") < share))
-        test = part.where(F.col("u") >= share).withColumn("__n", F.row_number().over(W.partitionBy("label").orderBy("u", "seq_id", "pos"))).where(F.col("__n") <= most)
-        for first in range(0, up, 5):
-            out.append(motif_scores(test, matrix, first).withColumn("round", F.lit(r)).withColumn("range", F.lit(f"{first}-")))
-    rows = out[0]
-    for x in out[1:]:
-        rows = rows.unionByName(x)
-    return rows
+    # four bases for each position of a window
+    return cells.join(F.broadcast(_log_odds(matrix, [])), ["at", "base"], "left").groupBy("seq_id", "pos", "label").agg((F.sum(F.coalesce("odds", F.lit(0.0))) / F.count("*")).alias("score"))
+
+
+def _drawn(*key: str) -> Column:
+    """A number from 0 to 9999 by the MD5 of some columns, which SQL can draw as well."""
+    return F.conv(F.substr(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key])), F.lit(1), F.lit(7)), 16, 10).cast("long") % 10_000
+
+
+def cross_scored(windows: DataFrame, rounds: int = 5, share: float = 0.75, most: int = 1000, firsts: tuple[int, ...] = (0, 5, 10, 15), lasts: tuple[int, ...] = (27, 32), skip: tuple[int, int] = (20, 22)) -> DataFrame:
+    """For each round, matrices of a hashed training share score at most ``most`` test windows a label (the first by
+    hash), over all ranges of positions around the start (``round``, ``first``, ``last``).
+
+    All rounds are one job; test windows are numbered range by range, whatever a label's share of them.
+    """
+    dealt = windows.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("u", _drawn("seq_id", "pos", "round"))
+    odds = _log_odds(weight_matrix(dealt.where(F.col("u") < share * 10_000), by=["round"]), ["round"])
+    order = ["u", "seq_id", "pos"]
+    held = in_ranges(dealt.where(F.col("u") >= share * 10_000), ["round", "label", *order])
+    test = carried(held, ["round", "label"], order, sums={"__n": F.lit(1)}).where(F.col("__n") <= most)
+    cells = test.select("round", "seq_id", "pos", "label", F.posexplode(chars("window")).alias("at", "base")).where(~F.col("at").between(*skip))
+    # rounds x positions x four bases
+    scored = cells.join(F.broadcast(odds), ["round", "at", "base"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.0)))
+    spans = [(a, b) for a in firsts for b in lasts]
+    within = lambda a, b, x: F.when(F.col("at").between(a, b), x)
+    wide = scored.groupBy("round", "seq_id", "pos", "label").agg(*[(F.sum(within(a, b, F.col("odds"))) / F.count(within(a, b, F.lit(1)))).alias(f"s{a}_{b}") for a, b in spans])
+    each = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last"), F.col(f"s{a}_{b}").alias("score")) for a, b in spans])
+    return wide.select("round", "seq_id", "pos", "label", F.explode(each).alias("s")).select("round", "s.first", "s.last", "seq_id", "pos", "label", "s.score")
+
+
+def best_share(rows: DataFrame, score: str, share: float) -> DataFrame:
+    """Rows whose rank by ``score`` (largest first, equal ones share the first's) is within ``share`` of all rows' ranks.
+
+    The score at that rank comes from running counts over different scores, range by range, so that no
+    row is ever ordered with all others.
+    """
+    kinds = rows.where(F.col(score).isNotNull()).groupBy((-F.col(score)).alias("__s")).agg(F.count("*").alias("__c")).withColumn("__g", F.lit(0))
+    ranked = carried(in_ranges(kinds, ["__g", "__s"]), ["__g"], ["__s"], sums={"__before": F.col("__c")}, own=False)
+    total = kinds.agg(F.sum("__c").alias("__n"))  # one row
+    limit = ranked.crossJoin(F.broadcast(total)).where(F.col("__before") <= share * (F.col("__n") - 1)).agg(F.max("__s").alias("__s"))  # one row
+    return rows.crossJoin(F.broadcast(limit)).where(-F.col(score) <= F.col("__s")).drop("__s")
 
 
 def purified(windows: DataFrame, rounds: int = 3, share: float = 0.3) -> DataFrame:
-    """Rounds of "score all true windows, keep the best share, rebuild"; those of score <= 0 go."""
-    kept = windows
+    """From a hashed ``share`` of the true windows, rounds of "score all, keep the best share, rebuild"; those of
+    score <= 0 go.
+
+    True windows that stay, with the ``score`` (9 decimals) that kept them, and all others (score NULL).
+    """
+    true, other = windows.where("label = 'pos'"), windows.where("label <> 'pos'")
+    kept = true.where(_drawn("seq_id", "pos") < share * 10_000)
     for _ in range(rounds):
-        matrix = weight_matrix(kept)
-        scored = motif_scores(windows.where("label = 'pos'"), matrix)
-        good = scored.withColumn("__r", F.percent_rank().over(W.partitionBy("label").orderBy(F.col("score").desc()))).where((F.col("__r") <= share) & (F.col("score") > 0))
-        kept = windows.join(good.select("seq_id", "pos"), ["seq_id", "pos"], "left_semi").unionByName(windows.where("label = 'neg'"))
-    return kept
+        matrix = weight_matrix(kept.select(*windows.columns).unionByName(other))
+        scored = stored(motif_scores(true, matrix).select("seq_id", "pos", F.round("score", 9).alias("score")), "starts")
+        good = best_share(scored, "score", share).where("score > 0")
+        kept = stored(true.join(good, ["seq_id", "pos"]).select(*windows.columns, "score"), "starts")
+    return kept.unionByName(other.withColumn("score", F.lit(None).cast("double")))
 
 
 def refine_starts(orfs: DataFrame, scores: DataFrame, threshold: float, most: int = 30, share: float = 0.15) -> DataFrame:

@@ -184,28 +184,48 @@ def resampled(rows: DataFrame, seed: int, fill: str = "-") -> DataFrame:
     return rows.mapInArrow(run, rows.drop("__n").schema)
 
 
+def _joined(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all rows' characters, end to end, and the bounds of the rows (NULL: empty)."""
+    texts = column.to_pylist()
+    raw = "".join(t or "" for t in texts)
+    return _codes(raw, table), np.cumsum([0, *(len(t or "") for t in texts)])
+
+
+def _places(bounds: np.ndarray) -> np.ndarray:
+    """Each character's place in its row."""
+    return np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))
+
+
+def _words(codes: np.ndarray, place: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """k, the k-mers that end at each base as numbers (two bits a base), and whether they are whole and plain."""
+    word, good = np.zeros(len(codes), np.int64), np.ones(len(codes), bool)
+    for k in range(1, min(longest, len(codes)) + 1):
+        # the base k - 1 places before goes in front
+        word[k - 1 :] += codes[: len(codes) - k + 1].astype(np.int64) << 2 * (k - 1)
+        good &= place >= k - 1
+        good[k - 1 :] &= codes[: len(codes) - k + 1] < 4
+        yield k, word, good
+
+
 def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> DataFrame:
     """``kmer``, ``frame`` (index of its last base modulo ``frames``), ``n`` for k = 1 .. ``longest``.
 
-    K-mers of plain bases (upper case) are counted in vectors; those with other characters one by one.
+    K-mers of plain bases (upper case) are counted in vectors, a batch at a time; those with other characters one by one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros(4**k * frames, np.int64) for k in range(1, longest + 1)]
         other: Counter = Counter()
         for batch in batches:
-            for seq in batch.column("seq").to_pylist():
-                codes = _codes(seq or "", _UPPER_CODE)
-                frame, plain = np.arange(len(codes)) % frames, codes < 4
-                word, good = np.zeros(len(codes), np.int64), np.ones(len(codes), bool)
-                for k in range(1, min(longest, len(codes)) + 1):
-                    # the k-mer that ends at i: the base k - 1 places before it goes in front
-                    word[k - 1 :] += codes[: len(codes) - k + 1].astype(np.int64) << 2 * (k - 1)
-                    good[k - 1 :] &= plain[: len(codes) - k + 1]
-                    some = good[k - 1 :]
-                    totals[k - 1] += np.bincount((word[k - 1 :] * frames + frame[k - 1 :])[some], minlength=4**k * frames)
-                    for i in np.flatnonzero(~some).tolist():
-                        other[seq[i : i + k], (i + k - 1) % frames] += 1
+            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
+            place = _places(bounds)
+            frame = place % frames
+            for k, word, good in _words(codes, place, longest):
+                totals[k - 1] += np.bincount(word[good] * frames + frame[good], minlength=4**k * frames)
+                odd = np.flatnonzero(~good & (place >= k - 1))
+                rows = np.searchsorted(bounds, odd, "right") - 1
+                for row, at in zip(rows.tolist(), place[odd].tolist()):
+                    other[batch.column("seq")[row].as_py()[at - k + 1 : at + 1], at % frames] += 1
         kmers, at, n = [], [], []
         for k, counts in enumerate(totals, 1):
             for x in np.flatnonzero(counts).tolist():
@@ -245,43 +265,149 @@ def kmer_sets(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:
     return sequences.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, kmers array<long>")
 
 
+def _tables(model: DataFrame, longest: int) -> list[np.ndarray]:
+    """The model's log-likelihoods by k - 1, frame and k-mer; the last place of each, for other k-mers, is 0.
+
+    It has at most 3 * (4 + ... + 4 ** longest) rows.
+    """
+    rows = model.where(F.col("kmer").rlike(f"^[ACGT]{{1,{longest}}}$")).select("kmer", F.col("frame").cast("int").alias("frame"), "loglik").toArrow()
+    tables = [np.zeros((3, 4**k + 1)) for k in range(1, longest + 1)]
+    for kmer, frame, loglik in zip(*(rows.column(c).to_pylist() for c in ("kmer", "frame", "loglik"))):
+        tables[len(kmer) - 1][frame, sum(_BASES.index(b) << 2 * j for j, b in enumerate(reversed(kmer)))] = loglik
+    return tables
+
+
 def frame_scores(sequences: DataFrame, model: DataFrame, order: int, id_: str) -> DataFrame:
     """``id_`` and score_1 .. score_6: sums over three frames of each strand of the log-likelihoods of
     the k-mers (of up to ``order`` + 1 bases) that end at each base; k-mers without one give 0.
 
-    The model is collected and sent to the tasks: it has at most 3 * (4 + ... + 4 ** (order + 1)) rows.
+    A batch of sequences is one array: one look-up a base and frame, and sums by row.
     """
     longest = order + 1
-    rows = model.where(F.col("kmer").rlike(f"^[ACGT]{{1,{longest}}}$")).select("kmer", F.col("frame").cast("int").alias("frame"), "loglik").toArrow()
-    tables = [np.zeros((3, 4**k + 1)) for k in range(1, longest + 1)]  # the last place is for other characters
-    for kmer, frame, loglik in zip(*(rows.column(c).to_pylist() for c in ("kmer", "frame", "loglik"))):
-        tables[len(kmer) - 1][frame, sum(_BASES.index(b) << 2 * j for j, b in enumerate(reversed(kmer)))] = loglik
-    shared = sequences.sparkSession.sparkContext.broadcast(tables)
+    shared = sequences.sparkSession.sparkContext.broadcast(_tables(model, longest))
     kind = sequences.schema[id_].dataType.simpleString()
 
-    def strand(codes: np.ndarray, liks: list[np.ndarray]) -> list[float]:
-        words, word, good = [], np.zeros(len(codes), np.int64), np.ones(len(codes), bool)
-        for k in range(1, longest + 1):
-            word[k - 1 :] += codes[: max(0, len(codes) - k + 1)].astype(np.int64) << 2 * (k - 1)
-            good[k - 1 :] &= codes[: max(0, len(codes) - k + 1)] < 4
-            words.append(np.where(good, word, 4**k))
-        out = []
-        for f in range(3):
-            # the first bases of a frame have shorter k-mers
-            start = sum(float(liks[i][i % 3, words[i][f + i]]) for i in range(min(longest - 1, len(codes) - f)))
-            at = np.arange(f + longest - 1, len(codes))
-            out.append(start + float(liks[-1][(at - f) % 3, words[-1][at]].sum()))
+    def strand(codes: np.ndarray, bounds: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+        place, rows, size = _places(bounds), len(bounds) - 1, np.diff(bounds)
+        row = np.repeat(np.arange(rows), size)
+        out = np.zeros((rows, 3))
+        for k, word, good in _words(codes, place, longest):
+            last = k == longest
+            for f in range(3):
+                if last:  # all bases from the frame's base ``longest`` on
+                    some = np.flatnonzero(good & (place >= f + k - 1))
+                else:  # the frame's k-th base has a k-mer of its first bases
+                    some = bounds[:-1][size > f + k - 1] + f + k - 1
+                    some = some[good[some]]
+                value = tables[k - 1][(place[some] - f) % 3, word[some]]
+                out[:, f] += np.bincount(row[some], value, rows)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f"score_{k}" for k in range(1, 7)]
         for batch in batches:
-            scores = []
-            for seq in batch.column("seq").to_pylist():
-                codes = _codes(seq or "", _UPPER_CODE)
-                back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
-                scores.append(strand(codes, shared.value) + strand(back, shared.value))
-            columns = np.array(scores).reshape(-1, 6)
-            yield pa.RecordBatch.from_arrays([batch.column(id_), *[pa.array(columns[:, k]) for k in range(6)]], names=[id_, *names])
+            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
+            scores = [strand(codes, bounds, shared.value)]
+            # all rows reversed at once: the rows come in the opposite order, too
+            back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
+            scores.append(strand(back, (bounds[-1] - bounds)[::-1], shared.value)[::-1])
+            columns = np.concatenate(scores, axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(id_), *[pa.array(np.ascontiguousarray(columns[:, k])) for k in range(6)]], names=[id_, *names])
 
     return sequences.select(id_, "seq").mapInArrow(run, f"`{id_}` {kind}, " + ", ".join(f"score_{k} double" for k in range(1, 7)))
+
+
+def profiles(sequences: DataFrame, model: DataFrame, order: int, id_: str, cap: int | None = None) -> DataFrame:
+    """``id_``, ``lik`` and ``running`` (arrays): log-likelihoods of the k-mers that end at each base, and their running sum.
+
+    With ``cap``, only the first so many uses of one k-mer and frame in a sequence count.
+    """
+    longest = order + 1
+    shared = sequences.sparkSession.sparkContext.broadcast(_tables(model, longest))
+    kind = sequences.schema[id_].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
+            place = _places(bounds)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            lik, word_at = np.zeros(len(codes)), np.full(len(codes), -1)
+            for k, word, good in _words(codes, place, longest):
+                some = np.flatnonzero(good & ((place >= k - 1) if k == longest else (place == k - 1)))
+                lik[some] = shared.value[k - 1][place[some] % 3, word[some]]
+                word_at[some] = (word[some] + 4**k) * 3 + place[some] % 3
+            if cap is not None and len(codes):
+                order_ = np.lexsort((place, word_at, row))
+                new = np.flatnonzero((np.diff(word_at[order_], prepend=-2) != 0) | (np.diff(row[order_], prepend=-1) != 0))
+                use = np.arange(len(order_)) - np.repeat(new, np.diff(np.append(new, len(order_))))
+                lik[order_[use >= cap]] = 0.0
+            total = np.cumsum(lik)
+            running = total - np.repeat(np.concatenate(([0.0], total))[bounds[:-1]], np.diff(bounds))
+            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x)) for x in (lik, running)]
+            yield pa.RecordBatch.from_arrays([batch.column(id_), *lists], names=[id_, "lik", "running"])
+
+    return sequences.select(id_, "seq").mapInArrow(run, f"`{id_}` {kind}, lik array<double>, running array<double>")
+
+
+#: place of A, C, G, T and others in the order TCAG of the genetic codes
+_TCAG = np.array([2, 1, 3, 0, 4], np.int64)
+
+
+def reading_frames(transcripts: DataFrame, least: int, acids: str) -> DataFrame:
+    """``seq_id``, ``strand``, ``frame``, ``aa_start``, ``protein``, ``kind``: see :func:`phylospark.operators.coding.orfs`.
+
+    ``acids`` are the amino acids of the 64 codons (order TCAG).  A strand is translated once by position; stops
+    are looked up by frame, so that the work is in proportion to the length.
+    """
+    kind = transcripts.schema["seq_id"].dataType.simpleString()
+    letters = np.frombuffer(acids.encode(), np.uint8)
+    stop, start = ord("*"), ord("M")
+
+    def found(codes: np.ndarray, sign: str, seq_id) -> Iterator[tuple]:
+        c = _TCAG[codes]
+        n = max(0, len(c) - 2)
+        acid = np.full(n, ord("X"), np.uint8)
+        plain = (c[:n] < 4) & (c[1 : n + 1] < 4) & (c[2 : n + 2] < 4)
+        acid[plain] = letters[(c[:n] * 16 + c[1 : n + 1] * 4 + c[2 : n + 2])[plain]]
+        for frame in range(3):
+            own = acid[frame::3]
+            ends = np.append(np.flatnonzero(own == stop), len(own))
+            begins = np.concatenate(([0], ends[:-1] + 1))
+            starts = np.append(np.flatnonzero(own == start), len(own))
+            cut = starts[np.searchsorted(starts, begins)]
+            cut[0] = 0  # the first stretch is open on the left
+            for k in np.flatnonzero(ends - cut >= max(1, least)).tolist():
+                protein = own[cut[k] : ends[k]].tobytes().decode()
+                whole, closed = protein[0] == "M", k < len(ends) - 1
+                yield seq_id, sign, frame, int(cut[k]), protein, ("complete" if closed else "3prime_partial") if whole else "5prime_partial" if closed else "internal"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["seq_id", "strand", "frame", "aa_start", "protein", "kind"]
+        for batch in batches:
+            types = (batch.schema.field("seq_id").type, pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string())
+            for seq_id, seq in zip(batch.column("seq_id").to_pylist(), batch.column("seq").to_pylist()):
+                codes = _codes(seq or "")
+                back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
+                rows = [*found(codes, "+", seq_id), *found(back, "-", seq_id)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
+
+    return transcripts.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, strand string, frame int, aa_start int, protein string, kind string")
+
+
+def word_windows(sequences: DataFrame, word: str, up: int, down: int) -> DataFrame:
+    """``seq_id``, ``pos`` (from 1) and ``window`` of each place of a word that has ``up`` characters before and ``down`` after it."""
+    kind = sequences.schema["seq_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, places, windows = [], [], []
+            for row, seq in enumerate(batch.column("seq").to_pylist()):
+                at = (seq or "").find(word, up)
+                while at >= 0 and at + len(word) + down <= len(seq):
+                    rows.append(row)
+                    places.append(at + 1)
+                    windows.append(seq[at - up : at + len(word) + down])
+                    at = seq.find(word, at + 1)
+            yield pa.RecordBatch.from_arrays([batch.column("seq_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(windows, pa.string())], names=["seq_id", "pos", "window"])
+
+    return sequences.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, pos int, window string")

@@ -357,6 +357,11 @@ def clade_conflict(species: DataFrame, corpus: DataFrame) -> DataFrame:
     return own.select("clade").join(same, "clade", "left").join(against, "clade", "left").na.fill(0, ["concordant", "conflicting"])
 
 
+def support_probability(tree_nodes: DataFrame) -> DataFrame:
+    """``tree_nodes`` with ``probability``, a numeric label out of a hundred as a share."""
+    return tree_nodes.withColumn("probability", F.col("support") / 100)
+
+
 def mean_support(tree_nodes: DataFrame) -> DataFrame:
     """A4: mean of the numeric inner labels; NULL where a tree has none."""
     return tree_nodes.groupBy("tree_id").agg(F.avg("support").alias("avg_support"))

@@ -21,7 +21,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from . import record_queries, sequence_queries, table_queries, tree_queries  # noqa: F401
+    from . import file_queries, record_queries, sequence_queries, table_queries, tree_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import alignment, clusters, coding, reads, stats
+from ..operators import alignment, clusters, coding, reads, stats, trees
 from .registry import query
+from .tree_queries import tree_classes, tree_corpus
 from .views import ALIGNMENTS, CODING, duck, tables, view
 
 _A, _C = duck(ALIGNMENTS), duck(CODING)
@@ -28,6 +29,19 @@ def threshold_report(spark, sf_dir):
     return alignment.threshold_report(alignment.locus_metrics(view(spark, sf_dir, ALIGNMENTS))).select("locus", "metric", "threshold", "status")
 
 
+_SUPPORTED = "sup AS (SELECT concat('en_', tree_id) AS locus, avg(k * 10 + 50) AS avg_support FROM (SELECT DISTINCT tree_id, k FROM {}) GROUP BY 1)".format(tree_classes())
+
+
+@query(f"WITH {_METRICS}, {_SUPPORTED}, t AS (SELECT * FROM (VALUES (60.0::DOUBLE), (70.0)) v(limit_)) SELECT locus, taxon_count, informative_sites, round(avg_support, 6) AS avg_support, replace(CAST(limit_ AS VARCHAR), '.', 'p') AS threshold, CASE WHEN coalesce(avg_support, -1) >= limit_ THEN 'PASS' ELSE 'FAIL' END AS status FROM m LEFT JOIN sup USING (locus) CROSS JOIN t")
+def supported_loci(spark, sf_dir):
+    """Loci with the mean support of their trees, by base name; loci without a tree have none and fail."""
+    corpus = tree_corpus(spark, sf_dir)
+    supports = trees.mean_support(trees.nodes(corpus)).select(F.concat(F.lit("en_"), "tree_id").alias("locus"), "avg_support")
+    metrics = alignment.locus_metrics(view(spark, sf_dir, ALIGNMENTS), supports)
+    report = alignment.threshold_report(metrics, [("avg_support", 60.0, "min"), ("avg_support", 70.0, "min")]).select("locus", "threshold", "status")
+    return metrics.select("locus", "taxon_count", "informative_sites", F.round("avg_support", 6).alias("avg_support")).join(report, "locus")
+
+
 @query(f"WITH {_OCC} SELECT locus, count(*) AS sites, count(*) FILTER (n - present < 0.2 * n) AS kept_20, count(*) FILTER (n - present < 0.5 * n) AS kept_50, CAST(sum(present) AS BIGINT) AS present FROM occ GROUP BY 1")
 def site_occupancy(spark, sf_dir):
     """Sites of each locus, and how many two thresholds keep."""
@@ -78,35 +92,43 @@ def composition_rollup(spark, sf_dir):
 
 
 _CDS = f"c AS (SELECT orf_id, regexp_replace(seq, '(TAA|TAG|TGA)$', '') AS s FROM {_C})"
-_KMERS = _CDS + ", e AS (SELECT s, unnest(range(length(s))) AS i FROM c), k AS (SELECT s, i, unnest([1, 2, 3]) AS k FROM e), kmers AS (SELECT substr(s, i - k + 2, k) AS kmer, CAST(i % 3 AS INTEGER) AS frame, count(*) AS n FROM k WHERE k <= i + 1 GROUP BY ALL)"
+
+
+def _ending(key: str, text: str, rows: str) -> str:
+    """SQL rows (key, i, six): the six characters, or as many as there are, that end at each place of a text."""
+    before = ", ".join(f"lag(b, {k}) OVER w" for k in (5, 4, 3, 2, 1))
+    return f"SELECT {key}, i, concat({before}, b) AS six FROM (SELECT {key}, unnest(string_split({text}, '')) AS b, unnest(range(length({text}))) AS i FROM {rows} WHERE length({text}) > 0) WINDOW w AS (PARTITION BY {key} ORDER BY i)"
+
+
+_KMERS = _CDS + f", e AS ({_ending('orf_id', 's', 'c')}), sixes AS (SELECT six, i % 3 AS f, count(*) AS n FROM e GROUP BY ALL), k AS (SELECT *, unnest([1, 2, 3, 4, 5, 6]) AS k FROM sixes), kmers AS (SELECT right(six, k) AS kmer, CAST(f AS INTEGER) AS frame, CAST(sum(n) AS BIGINT) AS n FROM k WHERE k <= length(six) GROUP BY ALL)"
 _BACK = f"n AS (SELECT sum(length(seq) - length(replace(seq, 'A', ''))) AS a, sum(length(seq) - length(replace(seq, 'C', ''))) AS c, sum(length(seq) - length(replace(seq, 'G', ''))) AS g, sum(length(seq) - length(replace(seq, 'T', ''))) AS t FROM {_C}), bg AS (SELECT base, round(k / (2 * (a + c + g + t))::DOUBLE, 3) AS ratio FROM (SELECT unnest(['A', 'C', 'G', 'T']) AS base, unnest([a + t, c + g, c + g, a + t]) AS k, a, c, g, t FROM n))"
 _MODEL = f"{_KMERS}, {_BACK}, tot AS (SELECT '' AS kmer, frame, CAST(sum(n) AS BIGINT) AS n FROM kmers WHERE length(kmer) = 1 GROUP BY frame), pre AS (SELECT kmer, frame, n FROM kmers UNION ALL SELECT * FROM tot), model AS (SELECT k.kmer, k.frame, k.n, coalesce(p.n, 0) AS prefix_n, ln((k.n + 1) / (coalesce(p.n, 0) + 4)::DOUBLE / ratio) AS loglik FROM kmers k LEFT JOIN pre p ON p.kmer = substr(k.kmer, 1, length(k.kmer) - 1) AND p.frame = (k.frame + 2) % 3 JOIN bg ON base = right(k.kmer, 1))"
 
 
 @query(f"WITH {_KMERS} SELECT kmer, frame, n FROM kmers")
 def framed_kmer_counts(spark, sf_dir):
-    return coding.framed_kmers(view(spark, sf_dir, CODING), 3).select("kmer", F.col("frame").cast("int").alias("frame"), "n")
+    return coding.framed_kmers(view(spark, sf_dir, CODING), 6).select("kmer", F.col("frame").cast("int").alias("frame"), "n")
 
 
-def _model(spark, sf_dir):
+def kmer_model(spark, sf_dir):
     cds = view(spark, sf_dir, CODING)
-    return cds, coding.kmer_model(coding.framed_kmers(cds, 3), coding.base_composition(cds))
+    return cds, coding.kmer_model(coding.framed_kmers(cds, 6), coding.base_composition(cds))
 
 
 @query(f"WITH {_MODEL} SELECT kmer, frame, n, prefix_n, round(loglik, 6) AS loglik FROM model")
 def kmer_loglik(spark, sf_dir):
-    return _model(spark, sf_dir)[1].select("kmer", F.col("frame").cast("int").alias("frame"), "n", "prefix_n", F.round("loglik", 6).alias("loglik"))
+    return kmer_model(spark, sf_dir)[1].select("kmer", F.col("frame").cast("int").alias("frame"), "n", "prefix_n", F.round("loglik", 6).alias("loglik"))
 
 
 @query(f"WITH {_MODEL}, r AS (SELECT *, row_number() OVER (PARTITION BY frame ORDER BY loglik) - 1 AS i, count(*) OVER (PARTITION BY frame) AS c FROM model), q AS (SELECT frame, max(loglik) FILTER (i = floor((c - 1) * 0.25)) AS q1, max(loglik) FILTER (i = floor((c - 1) * 0.75)) AS q3 FROM r GROUP BY 1) SELECT kmer, m.frame, round(least(greatest(loglik, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 6) AS loglik FROM model m JOIN q USING (frame)")
 def clipped_loglik(spark, sf_dir):
-    return coding.clip_outliers(_model(spark, sf_dir)[1]).select("kmer", F.col("frame").cast("int").alias("frame"), F.round("loglik", 6).alias("loglik"))
+    return coding.clip_outliers(kmer_model(spark, sf_dir)[1]).select("kmer", F.col("frame").cast("int").alias("frame"), F.round("loglik", 6).alias("loglik"))
 
 
-@query(f"WITH {_MODEL}, st AS (SELECT orf_id, 0 AS st, s FROM c UNION ALL SELECT orf_id, 1, reverse(translate(s, 'ACGT', 'TGCA')) FROM c), fr AS (SELECT orf_id, st, f, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), pos AS (SELECT orf_id, st * 3 + f + 1 AS k, t, unnest(range(length(t))) AS i FROM fr), g AS (SELECT orf_id, k, CASE WHEN i < 2 THEN substr(t, 1, i + 1) ELSE substr(t, i - 1, 3) END AS kmer, i % 3 AS frame FROM pos), cnt AS (SELECT orf_id, k, kmer, frame, count(*) AS c FROM g GROUP BY ALL), sc AS (SELECT orf_id, k, sum(c * loglik) AS x FROM cnt JOIN model USING (kmer, frame) GROUP BY ALL) SELECT d.orf_id, CAST(length(d.seq) AS BIGINT) AS seq_length, " + ", ".join(f"round(round(CASE WHEN length(d.seq) < 6 THEN 0.0 ELSE coalesce(max(x) FILTER (k = {k}), 0.0) END, 2), 1) AS score_{k}" for k in range(1, 7)) + f" FROM {_C} d LEFT JOIN sc USING (orf_id) GROUP BY d.orf_id, d.seq")
+@query(f"WITH {_MODEL}, st AS (SELECT orf_id, 0 AS st, s FROM c UNION ALL SELECT orf_id, 1, reverse(translate(s, 'ACGT', 'TGCA')) FROM c), fr AS (SELECT orf_id, st, f, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), fk AS (SELECT orf_id, st * 3 + f + 1 AS k, t FROM fr), g AS (SELECT orf_id, k, six AS kmer, i % 3 AS frame FROM (" + _ending("orf_id, k", "t", "fk") + ")), cnt AS (SELECT orf_id, k, kmer, frame, count(*) AS c FROM g GROUP BY ALL), sc AS (SELECT orf_id, k, sum(c * loglik) AS x FROM cnt JOIN model USING (kmer, frame) GROUP BY ALL) SELECT d.orf_id, CAST(length(d.seq) AS BIGINT) AS seq_length, " + ", ".join(f"round(round(CASE WHEN length(d.seq) < 6 THEN 0.0 ELSE coalesce(max(x) FILTER (k = {k}), 0.0) END, 2), 1) AS score_{k}" for k in range(1, 7)) + f" FROM {_C} d LEFT JOIN sc USING (orf_id) GROUP BY d.orf_id, d.seq")
 def coding_scores(spark, sf_dir):
-    cds, model = _model(spark, sf_dir)
-    return coding.coding_scores(cds, model, 2).select("orf_id", "seq_length", *[F.round(f"score_{k}", 1).alias(f"score_{k}") for k in range(1, 7)])
+    cds, model = kmer_model(spark, sf_dir)
+    return coding.coding_scores(cds, model, 5).select("orf_id", "seq_length", *[F.round(f"score_{k}", 1).alias(f"score_{k}") for k in range(1, 7)])
 
 
 @query(f"WITH c AS {_C}, p AS (SELECT seq_id, [array_to_string(list_filter(string_split(seq, ''), lambda x, i: (i - 1) % 3 = k), '') FOR k IN [0, 1, 2]] AS p FROM c) SELECT seq_id, md5(p[1]) AS first, md5(p[2]) AS second, md5(p[3]) AS third, CAST(length(p[1]) AS BIGINT) AS n FROM p WHERE p[1] <> ''")
@@ -138,7 +160,11 @@ def protein_check(spark, sf_dir):
     return intervals.protein_check(view(spark, sf_dir, CODING).where("length(seq) >= 3").select("seq_id", fn.translate_codons("seq").alias("seq")))
 
 
-@query()
+_STRANDS = f"st AS (SELECT seq_id, '+' AS strand, seq AS s FROM {_C} UNION ALL SELECT seq_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM {_C}), fr AS (SELECT seq_id, strand, f AS frame, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), cod AS (SELECT seq_id, strand, frame, i, substr(t, 3 * i + 1, 3) AS c FROM (SELECT *, unnest(range(length(t) // 3)) AS i FROM fr))"
+_ORFS = _STRANDS + f", aa AS (SELECT seq_id, strand, frame, string_agg(substr('{_ACIDS}', CAST((instr('TCAG', c[1]) - 1) * 16 + (instr('TCAG', c[2]) - 1) * 4 + instr('TCAG', c[3]) AS BIGINT), 1), '' ORDER BY i) AS p FROM cod GROUP BY ALL), part AS (SELECT seq_id, strand, frame, unnest(string_split(p, '*')) AS part, unnest(range(len(string_split(p, '*')))) AS k, len(string_split(p, '*')) - 1 AS last FROM aa), at_ AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY seq_id, strand, frame ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place, CASE WHEN k = 0 THEN 1 ELSE instr(part, 'M') END AS cut FROM part)"
+
+
+@query(f"WITH {_ORFS} SELECT seq_id, strand, CAST(frame AS INTEGER) AS frame, CAST(place + cut - 1 AS INTEGER) AS aa_start, CAST(length(part) - cut + 1 AS INTEGER) AS n, CASE WHEN substr(part, cut, 1) = 'M' THEN CASE WHEN k < last THEN 'complete' ELSE '3prime_partial' END WHEN k < last THEN '5prime_partial' ELSE 'internal' END AS kind FROM at_ WHERE cut > 0 AND length(part) - cut + 1 >= 30")
 def open_reading_frames(spark, sf_dir):
     return coding.orfs(view(spark, sf_dir, CODING), 30).select("seq_id", "strand", "frame", "aa_start", F.length("protein").alias("n"), "kind")
 
@@ -174,7 +200,10 @@ def longest_records(spark, sf_dir):
     return reads.longest_records(docs, 50, 5000).select("ord", F.length("seq").cast("long").alias("n"))
 
 
-@query()
+_READS = "r AS (SELECT doc_id // 2 AS read_id, doc_id % 2 AS mate, regexp_replace(text, '[^!-~]', '', 'g') AS s FROM documents), q AS (SELECT read_id, mate, unnest([ascii(x) - 33 for x in string_split(s, '')]) AS q, unnest(range(1, length(s) + 1)) AS i FROM r WHERE length(s) > 0), b AS (SELECT read_id, mate, min(i) FILTER (q >= 30) AS first, max(i) FILTER (q >= 30) AS last FROM q GROUP BY ALL), p AS (SELECT read_id, mate, first, last, i, sum(q) OVER (PARTITION BY read_id, mate ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS four FROM q JOIN b USING (read_id, mate) WHERE i BETWEEN first AND last), w AS (SELECT read_id, mate, first, coalesce(min(i) FILTER (four < 240 AND i + 3 <= last), last + 1) - first - 8 AS n FROM p GROUP BY read_id, mate, first, last), t AS (SELECT read_id, mate, substr(s, first + 8, n) AS seq FROM w JOIN r USING (read_id, mate) WHERE n >= 36)"
+
+
+@query(f"WITH {_READS} SELECT read_id, mate, CAST(length(seq) AS INTEGER) AS n, md5(seq) AS seq_md5 FROM t WHERE read_id IN (SELECT read_id FROM r JOIN t USING (read_id) GROUP BY 1 HAVING count(DISTINCT r.mate) = count(DISTINCT t.mate))")
 def read_trimming(spark, sf_dir):
     tables(spark, sf_dir, "documents")
     docs = spark.sql("SELECT doc_id div 2 AS read_id, doc_id % 2 AS mate, regexp_replace(text, '[^!-~]', '') AS seq, regexp_replace(text, '[^!-~]', '') AS qual FROM documents")
@@ -250,7 +279,7 @@ _MOTIF = f"c AS {_C}, h AS (SELECT seq_id, seq, i AS pos FROM (SELECT seq_id, se
 def _motifs(spark, sf_dir):
     seqs = view(spark, sf_dir, CODING)
     first = coding.motif_windows(seqs, spark.createDataFrame([], "seq_id string, pos int"), 20, -3).groupBy("seq_id").agg(F.min("pos").alias("pos"))
-    return coding.motif_windows(seqs, first)
+    return clusters.stored(coding.motif_windows(seqs, first), "motifs")
 
 
 @query(f"WITH {_MOTIF} SELECT label, CAST(p_ AS INTEGER) AS pos, base, n, round(prob, 6) AS prob FROM pwm")
@@ -279,21 +308,46 @@ def refined_starts(spark, sf_dir):
     return rows.select("seq_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "kind")
 
 
-@query(f"WITH {_MODEL}, pos AS (SELECT orf_id, seq AS t, unnest(range(length(seq))) AS i FROM {_C}), g AS (SELECT orf_id, i, CASE WHEN i < 2 THEN substr(t, 1, i + 1) ELSE substr(t, i - 1, 3) END AS kmer, i % 3 AS frame FROM pos), r AS (SELECT orf_id, i, coalesce(loglik, 0) AS lik FROM g LEFT JOIN model USING (kmer, frame)), w AS (SELECT orf_id, lik, sum(lik) OVER (PARTITION BY orf_id ORDER BY i) AS running FROM r) SELECT orf_id AS seq_id, count(*) AS n, round(max(lik), 6) AS most, round(max(running), 3) AS highest, round(min(running), 3) AS lowest FROM w GROUP BY 1")
+@query(f"WITH {_MODEL}, g AS (SELECT orf_id, i, six AS kmer, i % 3 AS frame FROM ({_ending('orf_id', 'seq', _C + ' p_')})), r AS (SELECT orf_id, i, coalesce(loglik, 0) AS lik FROM g LEFT JOIN model USING (kmer, frame)), w AS (SELECT orf_id, lik, sum(lik) OVER (PARTITION BY orf_id ORDER BY i) AS running FROM r) SELECT orf_id AS seq_id, count(*) AS n, round(max(lik), 6) AS most, round(max(running), 3) AS highest, round(min(running), 3) AS lowest FROM w GROUP BY 1")
 def likelihood_profile(spark, sf_dir):
     """Extremes of each sequence's profile of k-mer log-likelihoods and of its running sum."""
-    cds, model = _model(spark, sf_dir)
-    rows = coding.likelihood_profile(cds, model, 2)
-    return rows.groupBy("seq_id").agg(F.count("*").alias("n"), F.round(F.max("lik"), 6).alias("most"), F.round(F.max("running"), 3).alias("highest"), F.round(F.min("running"), 3).alias("lowest"))
+    cds, model = kmer_model(spark, sf_dir)
+    rows = coding.likelihood_profile(cds, model, 5).where(F.size("lik") > 0)
+    return rows.select("seq_id", F.size("lik").cast("long").alias("n"), F.round(F.array_max("lik"), 6).alias("most"), F.round(F.array_max("running"), 3).alias("highest"), F.round(F.array_min("running"), 3).alias("lowest"))
 
 
-@query()
+_DRAWN_FROM = "CAST(concat('0x', substr(md5({}), 1, 7)) AS BIGINT) % 10000"
+
+
+def _matrices(name: str, cells: str, by: str = "") -> str:
+    """SQL tables of counts, probabilities and log-odds of the cells (label, p_, base), for each value of a column."""
+    return f"cnt{name} AS (SELECT {by}label, p_, base, count(*) AS n FROM {cells} GROUP BY ALL), full{name} AS (SELECT g.*, coalesce(n, 0) AS n FROM (SELECT DISTINCT {by}label, p_, unnest(['A', 'C', 'G', 'T']) AS base FROM cnt{name}) g LEFT JOIN cnt{name} USING ({by}label, p_, base)), prob{name} AS (SELECT *, (n + 1) / (sum(n) OVER (PARTITION BY {by}label, p_) + 4)::DOUBLE AS prob FROM full{name}), odds{name} AS (SELECT {by}p_, base, ln(max(prob) FILTER (label = 'pos')) - ln(max(prob) FILTER (label = 'neg')) AS o FROM prob{name} GROUP BY ALL)"
+
+
+_SPANS = [(a, b) for a in (0, 5, 10, 15) for b in (27, 32)]
+_ROUNDS = f"rw AS (SELECT *, {_DRAWN_FROM.format("concat_ws(':', seq_id, pos, round)")} AS u FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS round)), train AS (SELECT round, label, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM rw WHERE u < 7500), {_matrices('_r', 'train', 'round, ')}, test AS (SELECT round, label, seq_id, pos, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM (SELECT *, row_number() OVER (PARTITION BY round, label ORDER BY u, seq_id, pos) AS k FROM rw WHERE u >= 7500) WHERE k <= 1000), hit AS (SELECT test.*, coalesce(o, 0) AS o FROM test LEFT JOIN odds_r USING (round, p_, base) WHERE p_ NOT BETWEEN 20 AND 22)"
+
+
+@query(f"WITH {_MOTIF}, {_ROUNDS}, each AS (" + " UNION ALL ".join(f"SELECT round, {a} AS first, {b} AS last, label, seq_id, pos, sum(o) / count(*) AS score FROM hit WHERE p_ BETWEEN {a} AND {b} GROUP BY ALL" for a, b in _SPANS) + ") SELECT round, first, last, label, count(*) AS n, round(avg(score), 5) AS score FROM each GROUP BY ALL")
 def cross_scored_starts(spark, sf_dir):
-    """Mean score of test windows by round, range and label."""
-    rows = coding.cross_scored(_motifs(spark, sf_dir), rounds=2)
-    return rows.groupBy("round", "range", "label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("score"))
+    """Mean score of the test windows by round, range of positions and label."""
+    rows = coding.cross_scored(_motifs(spark, sf_dir), rounds=5)
+    return rows.groupBy("round", "first", "last", "label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 5).alias("score"))
 
 
-@query()
+def _purified(rounds: int) -> str:
+    out = [f"kept0 AS (SELECT seq_id, pos FROM w WHERE label = 'pos' AND {_DRAWN_FROM.format("concat_ws(':', seq_id, pos)")} < 3000)"]
+    for k in range(rounds):
+        last = f", score FROM (SELECT *, rank() OVER (ORDER BY score DESC) AS r, count(*) OVER () AS c FROM score{k}) WHERE r - 1 <= 0.3 * (c - 1) AND score > 0)"
+        out += [
+            f"cell{k} AS (SELECT label, p_, base FROM cell WHERE label = 'neg' OR (seq_id, pos) IN (SELECT (seq_id, pos) FROM kept{k}))", _matrices(f"_{k}", f"cell{k}"),
+            f"score{k} AS (SELECT seq_id, pos, round(sum(coalesce(o, 0)) / count(*), 9) AS score FROM cell LEFT JOIN odds_{k} USING (p_, base) WHERE label = 'pos' AND p_ NOT BETWEEN 20 AND 22 GROUP BY ALL)", f"kept{k + 1} AS (SELECT seq_id, pos{last}",
+        ]
+    return ", ".join(out)
+
+
+@query(f"WITH {_MOTIF}, {_purified(3)} SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(score, 6) AS score FROM kept3")
 def purified_starts(spark, sf_dir):
-    return coding.purified(_motifs(spark, sf_dir), 2).groupBy("label").agg(F.count("*").alias("n"))
+    """True start windows that three rounds keep, with their last score."""
+    rows = coding.purified(_motifs(spark, sf_dir), 3).where("label = 'pos'")
+    return rows.select("seq_id", F.col("pos").cast("long").alias("pos"), F.round("score", 6).alias("score"))

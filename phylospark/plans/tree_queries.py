@@ -12,7 +12,7 @@ from .views import tables
 _NATION, _REGION, _STATUS = "replace(n_name, ' ', '_')", "concat('R', CAST(n_regionkey AS VARCHAR(9)))", "o_orderstatus"
 
 
-def _classes(where: str = "", groups: int = 4, leaf: str = _NATION) -> str:
+def tree_classes(where: str = "", groups: int = 4, leaf: str = _NATION) -> str:
     """Leaves of each supplier's tree: customers' nations (or another column), grouped by their number of lines (mod ``groups``)."""
     return f"(SELECT CAST(l_suppkey AS VARCHAR(20)) AS tree_id, {leaf} AS leaf, count(*) % {groups} AS k, CAST(CAST(sum(l_quantity) AS BIGINT) % 97 + 1 AS DOUBLE) AS len FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey {where} GROUP BY l_suppkey, {leaf})"
 
@@ -23,15 +23,15 @@ _RARE = "WHERE l_quantity > 46"
 _FEW = ("", 2, _STATUS)
 
 
-def _corpus(spark, sf_dir, where="", groups=4, leaf=_NATION):
+def tree_corpus(spark, sf_dir, where="", groups=4, leaf=_NATION):
     tables(spark, sf_dir, "nation", "customer", "orders", "lineitem")
     return spark.sql(f"""
-        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct(leaf AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t FROM {_classes(where, groups, leaf)} GROUP BY tree_id, k)
+        WITH g AS (SELECT tree_id, k, concat('(', array_join(transform(array_sort(collect_list(struct(leaf AS l, len))), x -> concat(x.l, ':', CAST(x.len AS STRING))), ','), ')', CAST(k * 10 + 50 AS STRING), ':', CAST(1 + k AS STRING)) AS t FROM {tree_classes(where, groups, leaf)} GROUP BY tree_id, k)
         SELECT tree_id, concat('(', array_join(transform(array_sort(collect_list(struct(k, t))), x -> x.t), ','), ');') AS newick FROM g GROUP BY tree_id""")
 
 
-def _nodes(spark, sf_dir, *kind):
-    return trees.nodes(_corpus(spark, sf_dir, *kind))
+def tree_nodes(spark, sf_dir, *kind):
+    return trees.nodes(tree_corpus(spark, sf_dir, *kind))
 
 
 def _species(spark, sf_dir):
@@ -42,7 +42,7 @@ def _species(spark, sf_dir):
 
 
 def _clades(*kind) -> str:
-    return f"leaves AS (SELECT * FROM {_classes(*kind)}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
+    return f"leaves AS (SELECT * FROM {tree_classes(*kind)}), inner_ AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM leaves GROUP BY ALL), roots AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM leaves GROUP BY 1), gene AS (SELECT tree_id, c FROM inner_ UNION SELECT tree_id, c FROM roots), sp AS (SELECT list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY n_regionkey UNION SELECT list_sort(list(replace(n_name, ' ', '_'))) FROM nation)"
 
 
 _joined = lambda c: F.array_join(c, ",")
@@ -50,48 +50,52 @@ _joined = lambda c: F.array_join(c, ",")
 
 @query(f"WITH {_clades()} SELECT array_to_string(sp.c, ',') AS clade, CAST(len(sp.c) AS INTEGER) AS size, count(DISTINCT tree_id) AS n, round(100 * count(DISTINCT tree_id) / (SELECT count(DISTINCT tree_id) FROM gene)::DOUBLE, 2) AS percent FROM sp LEFT JOIN gene ON gene.c = sp.c GROUP BY sp.c")
 def clade_support(spark, sf_dir):
-    rows = trees.clade_support(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir))
+    rows = trees.clade_support(trees.nodes(_species(spark, sf_dir)), tree_nodes(spark, sf_dir))
     return rows.select(_joined("clade").alias("clade"), "size", "n", "percent")
 
 
 @query(f"WITH {_clades()}, x AS (SELECT sp.c AS s, g.c AS g, tree_id FROM sp JOIN gene g ON len(list_intersect(sp.c, g.c)) > 0 WHERE len(sp.c) > 1) SELECT array_to_string(s, ',') AS clade, count(DISTINCT tree_id) FILTER (s = g) AS concordant, count(DISTINCT tree_id) FILTER (len(list_intersect(s, g)) < len(s) AND len(list_intersect(s, g)) < len(g)) AS conflicting FROM x GROUP BY s")
 def clade_conflict(spark, sf_dir):
-    rows = trees.clade_conflict(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir))
+    rows = trees.clade_conflict(trees.nodes(_species(spark, sf_dir)), tree_nodes(spark, sf_dir))
     return rows.select(_joined("clade").alias("clade"), "concordant", "conflicting")
 
 
 @query(f"WITH {_clades(_RARE)} SELECT tree_id, array_to_string(list_sort(list_filter((SELECT list(replace(n_name, ' ', '_')) FROM nation), lambda x: NOT list_contains(c, x))), ',') AS missing FROM roots WHERE len(c) < (SELECT count(*) FROM nation)")
 def tip_differences(spark, sf_dir):
-    rows = trees.tip_differences(trees.nodes(_species(spark, sf_dir)), _nodes(spark, sf_dir, _RARE))
+    rows = trees.tip_differences(trees.nodes(_species(spark, sf_dir)), tree_nodes(spark, sf_dir, _RARE))
     return rows.select("tree_id", _joined(F.array_sort("missing")).alias("missing"))
 
 
 @query(f"WITH {_clades(_RARE)} SELECT tree_id FROM roots WHERE list_contains(c, 'NATION_1') AND list_contains(c, 'NATION_2')")
 def trees_with_taxa(spark, sf_dir):
-    return trees.with_taxa(_nodes(spark, sf_dir, _RARE), ["NATION_1", "NATION_2"])
+    return trees.with_taxa(tree_nodes(spark, sf_dir, _RARE), ["NATION_1", "NATION_2"])
 
 
 @query(f"WITH {_clades()}, h AS (SELECT tree_id, k, max(1 + k + len) AS far FROM leaves GROUP BY ALL) SELECT tree_id, array_to_string(list_sort(list(leaf)), ',') AS clade, round(max(len), 6) AS age FROM leaves GROUP BY tree_id, k UNION SELECT tree_id, (SELECT array_to_string(c, ',') FROM roots r WHERE r.tree_id = h.tree_id), round(max(far), 6) FROM h GROUP BY tree_id")
 def node_ages(spark, sf_dir):
-    rows = trees.node_ages(_nodes(spark, sf_dir)).where("not is_leaf")
+    rows = trees.node_ages(tree_nodes(spark, sf_dir)).where("not is_leaf")
     return rows.select("tree_id", _joined("leaves").alias("clade"), F.round("age", 6).alias("age")).distinct()
 
 
-@query(f"SELECT tree_id, round(avg(k * 10 + 50), 6) AS avg_support FROM (SELECT DISTINCT tree_id, k FROM {_classes()}) GROUP BY 1")
+@query(f"SELECT tree_id, round(avg(k * 10 + 50), 6) AS avg_support FROM (SELECT DISTINCT tree_id, k FROM {tree_classes()}) GROUP BY 1")
 def mean_support(spark, sf_dir):
-    return trees.mean_support(_nodes(spark, sf_dir)).select("tree_id", F.round("avg_support", 6).alias("avg_support"))
+    return trees.mean_support(tree_nodes(spark, sf_dir)).select("tree_id", F.round("avg_support", 6).alias("avg_support"))
 
 
-@query(f"WITH l AS (SELECT * FROM {_classes()}) SELECT a.tree_id, least(a.leaf, b.leaf) AS a, greatest(a.leaf, b.leaf) AS b, CAST(CASE WHEN a.k = b.k THEN 1 + a.k ELSE 0 END AS DOUBLE) AS depth FROM l a JOIN l b ON a.tree_id = b.tree_id AND a.leaf < b.leaf")
+@query(f"WITH l AS (SELECT * FROM {tree_classes()}) SELECT a.tree_id, least(a.leaf, b.leaf) AS a, greatest(a.leaf, b.leaf) AS b, CAST(CASE WHEN a.k = b.k THEN 1 + a.k ELSE 0 END AS DOUBLE) AS depth FROM l a JOIN l b ON a.tree_id = b.tree_id AND a.leaf < b.leaf")
 def pair_depths(spark, sf_dir):
-    return trees.pair_depths(_nodes(spark, sf_dir))
+    return trees.pair_depths(tree_nodes(spark, sf_dir))
 
 
-_TRIPLETS = f"l AS (SELECT * FROM {_classes(_RARE)}), t AS (SELECT x.tree_id, x.leaf AS x, y.leaf AS y, z.leaf AS z, CASE WHEN x.k = y.k THEN 1 + x.k ELSE 0 END AS xy, CASE WHEN x.k = z.k THEN 1 + x.k ELSE 0 END AS xz, CASE WHEN y.k = z.k THEN 1 + y.k ELSE 0 END AS yz FROM l x JOIN l y ON x.tree_id = y.tree_id AND x.leaf < y.leaf JOIN l z ON x.tree_id = z.tree_id AND y.leaf < z.leaf), br AS (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, CASE WHEN xy > greatest(xz, yz) THEN z WHEN xz > greatest(xy, yz) THEN y ELSE x END AS outgroup, CAST(greatest(xy, xz, yz) - (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)) AS DOUBLE) AS branch FROM t WHERE NOT (xy = xz AND xz = yz) AND greatest(xy, xz, yz) > (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)))"
+_TRIPLETS = f"l AS (SELECT * FROM {tree_classes(_RARE)}), t AS (SELECT x.tree_id, x.leaf AS x, y.leaf AS y, z.leaf AS z, CASE WHEN x.k = y.k THEN 1 + x.k ELSE 0 END AS xy, CASE WHEN x.k = z.k THEN 1 + x.k ELSE 0 END AS xz, CASE WHEN y.k = z.k THEN 1 + y.k ELSE 0 END AS yz FROM l x JOIN l y ON x.tree_id = y.tree_id AND x.leaf < y.leaf JOIN l z ON x.tree_id = z.tree_id AND y.leaf < z.leaf), br AS (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, CASE WHEN xy > greatest(xz, yz) THEN z WHEN xz > greatest(xy, yz) THEN y ELSE x END AS outgroup, CAST(greatest(xy, xz, yz) - (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)) AS DOUBLE) AS branch FROM t WHERE NOT (xy = xz AND xz = yz) AND greatest(xy, xz, yz) > (xy + xz + yz - greatest(xy, xz, yz) - least(xy, xz, yz)))"
+
+
+def _triplets(spark, sf_dir):
+    return _branches(spark, sf_dir, _RARE)
 
 
 def _branches(spark, sf_dir, *kind):
-    return introgression.triplet_branches(trees.pair_depths(_nodes(spark, sf_dir, *kind)))
+    return introgression.triplet_branches(trees.pair_depths(tree_nodes(spark, sf_dir, *kind)))
 
 
 @query(f"WITH {_TRIPLETS} SELECT tree_id, triplet, outgroup, branch FROM br")
@@ -104,6 +108,17 @@ def introgression_models(spark, sf_dir):
     return introgression.fit_mixtures(_branches(spark, sf_dir, "", 4, _REGION)).select("triplet", "outgroup", "count", "BIC1Dist", "BIC2Dist")
 
 
+_FITS = "(SELECT CAST(l_suppkey AS VARCHAR(20)) AS triplet, CAST(l_linenumber AS VARCHAR(9)) AS outgroup, count(*) AS count, CAST(max(l_discount) AS DOUBLE) AS mixprop2, CAST(CAST(sum(l_quantity) AS BIGINT) % 50 AS DOUBLE) AS BIC2Dist, CAST(CAST(sum(l_quantity) AS BIGINT) % 70 AS DOUBLE) AS BIC1Dist FROM lineitem GROUP BY l_suppkey, l_linenumber)"
+
+
+@query(f"WITH m AS {_FITS}, w AS (SELECT *, round(BIC2Dist - BIC1Dist, 4) AS delta_bic, CAST(sum(count) OVER (PARTITION BY triplet) AS BIGINT) AS total, count = max(count) OVER (PARTITION BY triplet) AS major FROM m WHERE triplet NOT LIKE '%7%'), d AS (SELECT *, delta_bic < -10 AS significant, CAST(sum(CASE WHEN major THEN 0 ELSE count END) OVER (PARTITION BY triplet) AS BIGINT) AS discordant FROM w) SELECT triplet, outgroup, count, delta_bic, total, major, significant, discordant, round(CASE WHEN discordant > 0 THEN CASE WHEN significant AND NOT major THEN mixprop2 * count ELSE 0 END / discordant END, 6) AS share_of_discordant, round(CASE WHEN significant AND NOT major THEN mixprop2 * count ELSE 0 END / total, 6) AS share_of_all FROM d")
+def summarised_models(spark, sf_dir):
+    """Summary of models made of order lines, without the triplets of one outgroup."""
+    tables(spark, sf_dir, "lineitem")
+    rows = introgression.summarise(spark.sql(f"SELECT * FROM {_FITS}"), -10.0, without="7")
+    return rows.select("triplet", "outgroup", "count", "delta_bic", "total", "major", "significant", "discordant", "share_of_discordant", "share_of_all")
+
+
 @query()
 def introgression_summary(spark, sf_dir):
     rows = introgression.summarise(introgression.fit_mixtures(_branches(spark, sf_dir, "", 4, _REGION)))
@@ -129,26 +144,26 @@ def introgression_matrix(spark, sf_dir):
 
 @query(f"WITH {_clades(*_FEW)} SELECT tree_id, bool_and(n <= 2) AS binary FROM (SELECT tree_id, k, count(*) AS n FROM leaves GROUP BY ALL UNION ALL SELECT tree_id, -1, count(DISTINCT k) FROM leaves GROUP BY tree_id) GROUP BY 1 HAVING bool_and(n <= 2)")
 def binary_trees(spark, sf_dir):
-    return trees.binary_trees(_nodes(spark, sf_dir, *_FEW)).withColumn("binary", F.lit(True))
+    return trees.binary_trees(tree_nodes(spark, sf_dir, *_FEW)).withColumn("binary", F.lit(True))
 
 
 @query(f"WITH {_clades()}, want AS (SELECT n_regionkey AS r, list_sort(list(replace(n_name, ' ', '_'))) AS c FROM nation GROUP BY 1), held AS (SELECT tree_id, r, len(g.c) AS size, g.c = want.c AS same FROM want JOIN gene g ON len(list_intersect(g.c, want.c)) = len(want.c)) SELECT tree_id, r AS list_id, CAST(min(size) AS INTEGER) AS size, bool_or(same) AS monophyletic FROM held GROUP BY ALL")
 def mrca(spark, sf_dir):
     lists = spark.read.parquet(f"{sf_dir}/nation.parquet").groupBy(F.col("n_regionkey").alias("list_id")).agg(F.collect_list(F.translate("n_name", " ", "_")).alias("taxa"))
-    return trees.mrca(_nodes(spark, sf_dir), lists).select("tree_id", "list_id", "size", "monophyletic")
+    return trees.mrca(tree_nodes(spark, sf_dir), lists).select("tree_id", "list_id", "size", "monophyletic")
 
 
 @query(f"WITH {_clades(*_FEW)}, two AS (SELECT tree_id FROM gene WHERE c = ['F', 'O'] GROUP BY 1) SELECT tree_id, 'pair' AS list_id, CAST(2 AS DOUBLE) AS min_age, CAST(9 AS DOUBLE) AS max_age FROM two UNION ALL SELECT tree_id, 'root', 50, 50 FROM roots WHERE tree_id NOT IN (SELECT tree_id FROM two)")
 def listed_calibrations(spark, sf_dir):
     """The pair of states F and O is dated where it is a clade; other trees get a fixed root."""
     listed = spark.createDataFrame([("pair", ["F", "O"], 9.0, 2.0)], "list_id string, taxa array<string>, max_age double, min_age double")
-    return trees.listed_calibrations(_nodes(spark, sf_dir, *_FEW), listed, 50.0).select("tree_id", "list_id", "min_age", "max_age")
+    return trees.listed_calibrations(tree_nodes(spark, sf_dir, *_FEW), listed, 50.0).select("tree_id", "list_id", "min_age", "max_age")
 
 
 @query(f"WITH {_clades(*_FEW)}, one AS (SELECT c, max(len) AS age FROM leaves JOIN inner_ USING (tree_id, k) WHERE tree_id = '1' GROUP BY tree_id, k, c UNION SELECT (SELECT c FROM roots WHERE tree_id = '1'), max(1 + k + len) FROM leaves WHERE tree_id = '1') SELECT g.tree_id, array_to_string(g.c, ',') AS clade, round(CASE WHEN g.c = r.c THEN age ELSE age * 0.95 END, 6) AS min_age, round(CASE WHEN g.c = r.c THEN age ELSE age * 1.05 END, 6) AS max_age FROM (SELECT DISTINCT tree_id, c FROM gene) g JOIN roots r USING (tree_id) JOIN (SELECT c, max(age) AS age FROM one GROUP BY 1) o ON o.c = g.c")
 def dated_calibrations(spark, sf_dir):
     """Clades of the first supplier's tree date those of all trees."""
-    gene = _nodes(spark, sf_dir, *_FEW)
+    gene = tree_nodes(spark, sf_dir, *_FEW)
     met = trees.dated_calibrations(gene, gene.where("tree_id = '1'"))
     clades = gene.select("tree_id", "node_id", _joined("leaves").alias("clade"))
     rows = met.join(clades, ["tree_id", "node_id"])
@@ -158,31 +173,31 @@ def dated_calibrations(spark, sf_dir):
 
 @query(f"WITH {_clades()}, h AS (SELECT tree_id, max(1 + k + len) AS h FROM leaves GROUP BY 1) SELECT tree_id, leaf AS name, round(len / h, 6) AS scaled_len FROM leaves JOIN h USING (tree_id)")
 def scaled_trees(spark, sf_dir):
-    rows = trees.scaled(_nodes(spark, sf_dir)).where("is_leaf")
+    rows = trees.scaled(tree_nodes(spark, sf_dir)).where("is_leaf")
     return rows.select("tree_id", "name", F.round("scaled_len", 6).alias("scaled_len"))
 
 
-_EDGES = f"leaves AS (SELECT * FROM {_classes()}), all_ AS (SELECT tree_id, list_sort(list(leaf)) AS a FROM leaves GROUP BY 1), edges AS (SELECT tree_id, [leaf] AS m, len FROM leaves UNION ALL SELECT tree_id, list_sort(list(leaf)), CAST(1 + k AS DOUBLE) FROM leaves GROUP BY tree_id, k), sides AS (SELECT tree_id, a, list_filter(a, lambda x: x <> 'NATION_3') AS rest FROM all_ WHERE list_contains(a, 'NATION_3')), e AS (SELECT tree_id, m, len, rest, m = ['NATION_3'] OR m = rest AS root_edge, CASE WHEN list_contains(m, 'NATION_3') THEN list_filter(a, lambda x: NOT list_contains(m, x)) ELSE m END AS c FROM edges JOIN sides USING (tree_id)), half AS (SELECT tree_id, any_value(rest) AS rest, sum(len) / 2 AS h FROM e WHERE root_edge GROUP BY 1)"
+_EDGES = f"leaves AS (SELECT * FROM {tree_classes()}), all_ AS (SELECT tree_id, list_sort(list(leaf)) AS a FROM leaves GROUP BY 1), edges AS (SELECT tree_id, [leaf] AS m, len FROM leaves UNION ALL SELECT tree_id, list_sort(list(leaf)), CAST(1 + k AS DOUBLE) FROM leaves GROUP BY tree_id, k), sides AS (SELECT tree_id, a, list_filter(a, lambda x: x <> 'NATION_3') AS rest FROM all_ WHERE list_contains(a, 'NATION_3')), e AS (SELECT tree_id, m, len, rest, m = ['NATION_3'] OR m = rest AS root_edge, CASE WHEN list_contains(m, 'NATION_3') THEN list_filter(a, lambda x: NOT list_contains(m, x)) ELSE m END AS c FROM edges JOIN sides USING (tree_id)), half AS (SELECT tree_id, any_value(rest) AS rest, sum(len) / 2 AS h FROM e WHERE root_edge GROUP BY 1)"
 
 
 @query(f"WITH {_EDGES} SELECT tree_id, array_to_string(c, ',') AS clade, round(sum(len), 6) AS branch_len FROM e WHERE NOT root_edge AND len(c) > 0 GROUP BY ALL UNION ALL SELECT tree_id, 'NATION_3', round(h, 6) FROM half UNION ALL SELECT tree_id, array_to_string(rest, ','), round(h, 6) FROM half")
 def rerooted_trees(spark, sf_dir):
-    rows = trees.rerooted_nodes(_nodes(spark, sf_dir), ["NATION_3"])
+    rows = trees.rerooted_nodes(tree_nodes(spark, sf_dir), ["NATION_3"])
     return rows.select("tree_id", _joined("leaves").alias("clade"), F.round("branch_len", 6).alias("branch_len"))
 
 
 _TWELVE = [f"NATION_{k}" for k in range(12)]
 
 
-@query(f"WITH l AS (SELECT * FROM {_classes(_RARE)} WHERE leaf IN ({', '.join(repr(x) for x in _TWELVE)})), g AS (SELECT tree_id, k, list_sort(list(leaf)) AS c, count(*) AS n FROM l GROUP BY ALL), t AS (SELECT tree_id, list_sort(list(leaf)) AS c, count(DISTINCT k) AS groups FROM l GROUP BY 1), rows_ AS (SELECT tree_id, leaf AS clade, CASE WHEN groups = 1 AND n = 1 THEN NULL WHEN n = 1 THEN len + 1 + k ELSE len END AS branch_len FROM l JOIN g USING (tree_id, k) JOIN t USING (tree_id) UNION ALL SELECT tree_id, array_to_string(g.c, ','), 1 + k FROM g JOIN t USING (tree_id) WHERE n > 1 AND groups > 1 UNION ALL SELECT tree_id, array_to_string(c, ','), NULL FROM t WHERE len(c) > 1) SELECT tree_id, clade, CAST(branch_len AS DOUBLE) AS branch_len FROM rows_")
+@query(f"WITH l AS (SELECT * FROM {tree_classes(_RARE)} WHERE leaf IN ({', '.join(repr(x) for x in _TWELVE)})), g AS (SELECT tree_id, k, list_sort(list(leaf)) AS c, count(*) AS n FROM l GROUP BY ALL), t AS (SELECT tree_id, list_sort(list(leaf)) AS c, count(DISTINCT k) AS groups FROM l GROUP BY 1), rows_ AS (SELECT tree_id, leaf AS clade, CASE WHEN groups = 1 AND n = 1 THEN NULL WHEN n = 1 THEN len + 1 + k ELSE len END AS branch_len FROM l JOIN g USING (tree_id, k) JOIN t USING (tree_id) UNION ALL SELECT tree_id, array_to_string(g.c, ','), 1 + k FROM g JOIN t USING (tree_id) WHERE n > 1 AND groups > 1 UNION ALL SELECT tree_id, array_to_string(c, ','), NULL FROM t WHERE len(c) > 1) SELECT tree_id, clade, CAST(branch_len AS DOUBLE) AS branch_len FROM rows_")
 def pruned_trees(spark, sf_dir):
-    rows = trees.pruned_nodes(_nodes(spark, sf_dir, _RARE), _TWELVE)
+    rows = trees.pruned_nodes(tree_nodes(spark, sf_dir, _RARE), _TWELVE)
     return rows.select("tree_id", _joined("leaves").alias("clade"), "branch_len")
 
 
 @query()
 def branch_outliers(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir)
+    corpus = tree_corpus(spark, sf_dir)
     signatures = trees.long_branch_signatures(corpus)
     occupancy = trees.nodes(corpus).where("is_leaf").groupBy(F.col("name").alias("species")).agg(F.count("*").alias("n_trees"))
     return trees.removal_thresholds(signatures, occupancy)
@@ -191,15 +206,22 @@ def branch_outliers(spark, sf_dir):
 def _copies(spark, sf_dir):
     """Leaves as genes of two species, by the last digit of the nation's number."""
     even = F.regexp_replace("newick", r"(NATION_\d*[02468]):", "even++$1:")
-    return _corpus(spark, sf_dir, _RARE, 8).select("tree_id", F.regexp_replace(even, r"(?<!\+)(NATION_\d*[13579]):", "odd++$1:").alias("newick"))
+    return tree_corpus(spark, sf_dir, _RARE, 8).select("tree_id", F.regexp_replace(even, r"(?<!\+)(NATION_\d*[13579]):", "odd++$1:").alias("newick"))
 
 
-@query(f"WITH l AS (SELECT *, CASE WHEN CAST(right(leaf, 1) AS INTEGER) % 2 = 0 THEN 'even' ELSE 'odd' END AS s FROM {_classes(_RARE, 8)}), g AS (SELECT tree_id, k, count(*) AS n, max(len) AS age, min(s) AS lo, max(s) AS hi FROM l GROUP BY ALL), r AS (SELECT tree_id, max(1 + k + len) AS age FROM l GROUP BY 1 HAVING count(DISTINCT k) = 2) SELECT tree_id, lo AS species, round(age, 6) AS age FROM g WHERE n = 2 AND lo = hi UNION ALL SELECT tree_id, s, round(age, 6) FROM r JOIN (SELECT tree_id, s FROM l GROUP BY ALL HAVING count(DISTINCT k) = 2) USING (tree_id)")
+@query(f"WITH l AS (SELECT *, CASE WHEN CAST(right(leaf, 1) AS INTEGER) % 2 = 0 THEN 'even' ELSE 'odd' END AS s FROM {tree_classes(_RARE, 8)}), g AS (SELECT tree_id, k, count(*) AS n, max(len) AS age, min(s) AS lo, max(s) AS hi FROM l GROUP BY ALL), r AS (SELECT tree_id, max(1 + k + len) AS age FROM l GROUP BY 1 HAVING count(DISTINCT k) = 2) SELECT tree_id, lo AS species, round(age, 6) AS age FROM g WHERE n = 2 AND lo = hi UNION ALL SELECT tree_id, s, round(age, 6) FROM r JOIN (SELECT tree_id, s FROM l GROUP BY ALL HAVING count(DISTINCT k) = 2) USING (tree_id)")
 def duplication_ages(spark, sf_dir):
     rows = trees.duplication_ages(trees.nodes(_copies(spark, sf_dir)))
     return rows.select("tree_id", "species", F.round("age", 6).alias("age"))
 
 
+@query(f"WITH l AS (SELECT tree_id, k, len, leaf, leaf = 'P' AS outer_ FROM {tree_classes(*_FEW)}), g AS (SELECT tree_id, k, count(*) FILTER (NOT outer_) AS inner_, count(*) FILTER (outer_) AS outer_ FROM l GROUP BY ALL), t AS (SELECT tree_id, CAST(sum(inner_) AS BIGINT) AS all_, count(*) AS k, bool_or(inner_ = 0 AND outer_ > 0) AS o, max(CASE WHEN outer_ = 0 THEN inner_ ELSE 0 END) AS i FROM g GROUP BY 1), up AS (SELECT tree_id, 0 AS node FROM t WHERE k = 2 AND o AND i > 2 * all_ / 3::DOUBLE), low AS (SELECT tree_id, k, count(*) AS n, bool_or(outer_) AS o, max(CASE WHEN outer_ THEN 0 ELSE 1 END) AS i FROM l GROUP BY ALL HAVING count(*) = 2), deep AS (SELECT tree_id, 1 AS node FROM low JOIN t USING (tree_id) WHERE low.o AND low.i > 2 * all_ / 3::DOUBLE) SELECT tree_id, count(*) AS n, CAST(20 AS DOUBLE) AS min_age, round(20.01, 2)::DOUBLE AS max_age FROM (SELECT * FROM up UNION ALL SELECT * FROM deep) GROUP BY 1")
+def split_calibrations(spark, sf_dir):
+    """Nodes that part the outgroup (state P) from most of a tree's other leaves, by tree."""
+    rows = trees.split_calibrations(tree_nodes(spark, sf_dir, *_FEW), ["P"], 20.0)
+    return rows.groupBy("tree_id").agg(F.count("*").alias("n"), F.max("min_age").alias("min_age"), F.round(F.max("max_age"), 2).alias("max_age"))
+
+
 @query()
 def rerooted_by_outgroup(spark, sf_dir):
     return trees.root_by_outgroup(_copies(spark, sf_dir), ["odd"]).groupBy("status").count()

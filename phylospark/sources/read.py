@@ -10,8 +10,9 @@ HITS = "query_id string, subject_id string, pident double, length int, mismatch
 FEATURES = "contig string, source string, type string, start bigint, end bigint, score string, strand string, phase string, attributes string"
 
 
-def _file(path: Column | None = None) -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1)
+def _file() -> Column:
+    """The file's whole path: names alone may be the same in several folders."""
+    return F.col("_metadata.file_path")
 
 
 def _ord() -> Column:
@@ -174,12 +175,14 @@ def contig_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(W.orderBy("offset", "contig")))
 
 
-def paired_files(spark: SparkSession, path: str, suffixes: list[tuple[str, str]]) -> DataFrame:
-    """``sample``, ``forward``, ``reverse``; unpaired files are left out, the first suffix pair wins.
+def file_list(spark: SparkSession, globs: list[str]) -> DataFrame:
+    """U4: ``path`` and ``name`` of the distinct files that any of the patterns finds.  Only names are read."""
+    files = spark.read.format("binaryFile").load(globs).select("path").distinct()
+    return files.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"))
 
-    Only names are read.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"))
+
+def pair_names(files: DataFrame, suffixes: list[tuple[str, str]]) -> DataFrame:
+    """``sample``, ``forward``, ``reverse`` of ``files(path, name)``; unpaired ones are left out, the first suffix pair wins."""
     out = None
     for i, (a, b) in enumerate(suffixes):
         side = lambda s, as_: files.where(F.col("name").endswith(s)).select(F.expr(f"substr(name, 1, length(name) - {len(s)})").alias("sample"), F.col("path").alias(as_))
@@ -188,6 +191,11 @@ def paired_files(spark: SparkSession, path: str, suffixes: list[tuple[str, str]]
     return out.groupBy("sample").agg(F.min_by(F.struct("forward", "reverse"), "rank").alias("p")).select("sample", "p.*")
 
 
+def paired_files(spark: SparkSession, path: str, suffixes: list[tuple[str, str]]) -> DataFrame:
+    """Pairs among the files of a folder (:func:`pair_names`)."""
+    return pair_names(file_list(spark, [path]), suffixes)
+
+
 def name_list(spark: SparkSession, path: str) -> DataFrame:
     """One name on each line."""
     rows = spark.read.text(path).select(_ord().alias("ord"), F.trim("value").alias("name")).where("name <> ''")

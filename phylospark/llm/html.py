@@ -1,8 +1,10 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines (one for each block element).  Lines of page furniture count as empty.
-The text lengths are summed over sliding windows of lines: where the sum surges the main text
-begins, where it dives to nothing it ends, and the lines between are kept.
+Markup is stripped to lines: each start and end of a block element ends one, so that there are empty
+lines where blocks end together.  The lengths of the lines' text outside of links are summed over
+sliding windows: where the sum surges a block of text begins, where it dives to nothing it ends.  The
+fullest block is the main text, with others that come near it; lines that the page itself marks as
+furniture have no length, and a marked article only says which lesser blocks belong to the fullest one.
 """
 
 from __future__ import annotations
@@ -10,13 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .common import small_batches
+from .common import runs_of, small_batches
 
 _BATCH_BYTES = 4 << 20
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
@@ -54,31 +57,51 @@ def _is_furniture(name: str, attrs: str) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page in order: text, number of the enclosing article (0: none), furniture or not."""
-    lines: list[tuple[str, int, bool]] = []
+class Line(NamedTuple):
+    """A line: its text, characters outside of links, number of the enclosing article (0: none), furniture or not."""
+
+    text: str
+    length: int
+    article: int
+    furniture: bool
+
+
+def lines_of(page: str) -> list[Line]:
+    """Lines of a page in order, empty ones too."""
+    lines: list[Line] = []
     parts: list[str] = []
-    skip, depth, article, articles, inside, headline = "", 0, 0, 0, 0, False
+    linked: list[str] = []
+    skip, depth, article, articles, inside, headline, link = "", 0, 0, 0, 0, False, False
     at, n, low = 0, len(page), None
 
+    def said(texts: list[str]) -> str:
+        return _SPACE.sub(" ", unescape("".join(texts))).strip()
+
     def flush() -> None:
-        text = _SPACE.sub(" ", unescape("".join(parts))).strip()
+        text = said(parts)
+        lines.append(Line(text, len(text) - len(said(linked)) if text else 0, article if inside else 0, bool(skip) and not headline))
         parts.clear()
-        if text:
-            lines.append((text, article if inside else 0, bool(skip) and not headline))
+        linked.clear()
+
+    def add(text: str) -> None:
+        parts.append(text)
+        if link:
+            linked.append(text)
 
     while at < n:
         m = _TAG.search(page, at)
         if not m:
-            parts.append(page[at:])
+            add(page[at:])
             break
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            add(page[at : m.start()])
         at = m.end()
         name = (m[2] or m[5] or "").lower()
         if not name:
             continue
         closing, attrs = bool(m[1] or m[4]), m[3] or m[6] or ""
+        if name == "a":
+            link = not closing
         if not closing and name in _RAW and not attrs.endswith("/"):
             flush()
             low = low if low is not None else page.lower()
@@ -125,38 +148,48 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 60) -> str:
-    """Main text of one page: blocks in page order, joined by one space.
-
-    A surge is a window of ``window`` lines with over ``surge`` characters (or a quarter of the fullest
-    window, if that is less), and a dive a window without any; lines of furniture count as empty.
-    Where the page marks articles, only the lines of the one with most text are looked at, without the
-    furniture among them.  No page, or one without text, gives an empty text; pages of any length are
-    read whole.
+def blocks(lengths: np.ndarray, window: int = 2) -> list[tuple[int, int, int]]:
+    """First and last line (exclusive) and characters of each block: what lies between a surge of the window sums
+    from nothing and the dive to nothing."""
+    if not len(lengths):
+        return []
+    sums = np.convolve(lengths, np.ones(window, int), "full")  # sums[i]: lines i-window+1 .. i
+    begins, ends = runs_of(sums > 0)
+    upto = np.concatenate(([0], np.cumsum(lengths)))
+    out = []
+    for begin, end in zip(begins.tolist(), ends.tolist()):  # its lines are those with a length
+        some = begin + np.flatnonzero(lengths[begin : min(end, len(lengths))])
+        out.append((int(some[0]), int(some[-1]) + 1, int(upto[some[-1] + 1] - upto[some[0]])))
+    return out
+
+
+def main_text(page: str | None, window: int = 2, near: float = 0.3) -> str:
+    """Main text of one page: lines in page order, joined by one space.
+
+    Of the :func:`blocks` between surges and dives the fullest one is kept (the first of equals), and those
+    that have at least the share ``near`` of its characters.  If the fullest block is in a marked article, that
+    article's other lines are kept, and blocks outside of it are not.  Furniture that the page marks (its lines
+    have no length) is left out everywhere.  A page whose text is all in links is taken whole.  No page,
+    or one without text, gives an empty text; pages of any length are read whole.
     """
     lines = lines_of(page or "")
-    if not lines:
+    lengths = np.array([0 if x.furniture else x.length for x in lines])
+    if not lengths.any():
+        lengths = np.array([0 if x.furniture else len(x.text) for x in lines])
+    found = blocks(lengths, window)
+    if not found:
         return ""
-    marked: dict[int, int] = {}
-    for text, article, furniture in lines:
-        if article and not furniture:
-            marked[article] = marked.get(article, 0) + len(text)
-    region = max(marked, key=lambda k: (marked[k], -k)) if marked else 0
-    if region:  # furniture within the article is taken out, so that it parts nothing
-        lines = [x for x in lines if x[1] == region and not x[2]]
-    lengths = np.array([0 if furniture else len(text) for text, _, furniture in lines])
-    sums = np.convolve(lengths, np.ones(window, int), "full")  # sums[i]: lines i-window+1 .. i
-    limit = min(surge, sums.max() / 4)
-    kept, begin = [], None
-    for i in range(len(sums) + 1):
-        dive = i == len(sums) or sums[i] == 0
-        if not dive and begin is None:
-            begin = i
-        elif dive and begin is not None:
-            if sums[begin:i].max() > limit:
-                kept += [lines[k][0] for k in range(max(0, begin - window + 1), min(i, len(lines))) if lengths[k]]
-            begin = None
-    return " ".join(kept)
+    most = max(n for _, _, n in found)
+    first, last = next((a, b) for a, b, n in found if n == most)
+    own: dict[int, int] = {}
+    for x in lines[first:last]:
+        own[x.article] = own.get(x.article, 0) + (0 if x.furniture else x.length)
+    article = max(own, key=lambda k: (own[k], -k))
+    if article:
+        kept = [x for x in lines if x.article == article]
+    else:
+        kept = [x for a, b, n in found if n >= near * most for x in lines[a:b] if not x.article]
+    return " ".join(x.text for x in kept if x.text and not x.furniture)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -71,7 +71,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, *, key:
         raise ValueError("too many templates: scan in blocks")
     own, values = _known(docs.sparkSession, templates)
     listed = values.collect()  # a few hundred values for each template
-    texts = docs.select(F.col(key).alias("doc"), F.hash(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
+    texts = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("tie"), F.coalesce(text, F.lit("")).alias("text"))
     # a key without nulls, by which everything below is partitioned
     texts = texts.withColumn("k", F.xxhash64("doc", "tie")).repartition("k")
     # an outer explode leaves no filter that would have to read the texts before the shuffle

@@ -31,20 +31,24 @@ def op2_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page; no page, or one without text, has an empty one."""
     pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's ids, read back from their files; null texts have the end id only."""
     return tokenids.write_and_read(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document in benchmark windows; items without an id hit nothing."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.drop("text")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document and the smallest id that is reachable over near ones; repeated rows have the same."""
     fps = materialise(simhash.fingerprints(table(spark, sf_dir, "documents")), "simhash")
     return simhash.near_components(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -55,10 +59,12 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices that each document holds, a row for each; documents without any, or without text, have none."""
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of each document, null and empty texts too, by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
     labels = table(spark, sf_dir, "labels").where(~held_out)
@@ -68,6 +74,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and places of each document's secrets; texts without any, or null, have empty lists."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.train(docs))
     base = F.filter("__spans", lambda s: s["kind"] < 3)

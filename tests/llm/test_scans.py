@@ -1,6 +1,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -200,37 +201,59 @@ def test_markov_spans_equal_brute_force(spark):
     assert found
 
 
-def plain_line_blocks(lines, window=3, surge=60):
-    """Lines of the runs whose sums over windows never are nothing and once are over the limit."""
-    full = max((len(x) for x, _ in lines), default=0)
-    sums = [sum(len(lines[k][0]) for k in range(max(0, i - window + 1), min(i, len(lines) - 1) + 1) if not lines[k][1]) for i in range(len(lines) + window - 1)]
-    limit, out, run = min(surge, max(sums, default=0) / 4), [], []
-    for i, s in enumerate([*sums, 0]):
-        if s:
-            run.append(i)
-        elif run:
-            if max(sums[k] for k in run) > limit:
-                inside = range(max(0, run[0] - window + 1), min(run[-1] + 1, len(lines)))
-                out += [lines[k][0] for k in inside if not lines[k][1] and lines[k][0] not in out[len(out) :]]
+def plain_blocks(lengths, window=2):
+    """Runs of lines that have no ``window`` empty ones in a row among them."""
+    out, run = [], []
+    for k, n in enumerate(lengths):
+        if n and run and k - run[-1] > window:
+            out.append(run)
             run = []
-    return " ".join(out) if full else ""
+        if n:
+            run.append(k)
+    return [(r[0], r[-1] + 1, sum(lengths[r[0] : r[-1] + 1])) for r in [*out, run] if r]
 
 
-def test_pages_without_article_marks_have_the_same_text(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()
-    for page in pages:
-        bare = re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", page.html)
-        text = html.main_text(page.html)
-        assert text and html.main_text(bare) == text
-        assert plain_line_blocks([(x, furniture) for x, _, furniture in html.lines_of(bare)]) == text
+def test_blocks_equal_a_plain_version():
+    rnd = random.Random(6)
+    for _ in range(500):
+        lengths = [rnd.choice([0, 0, 0, 1, 40]) for _ in range(rnd.randint(0, 20))]
+        for window in (1, 2, 3):
+            assert html.blocks(np.array(lengths, int), window) == plain_blocks(lengths, window), lengths
 
 
-def test_line_blocks_equal_a_plain_version():
-    rnd = random.Random(6)
-    for _ in range(300):
-        parts = [(rnd.choice(["p", "p", "nav", "footer"]), "w" * rnd.choice([1, 5, 30, 90])) for _ in range(rnd.randint(0, 14))]
-        page = "<body>" + "".join(f"<{t}>{x}</{t}>" for t, x in parts) + "</body>"
-        assert html.main_text(page) == plain_line_blocks([(x, t != "p") for t, x in parts]), page
+def test_pages_without_article_marks_have_the_same_text(spark):
+    for page in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect():
+        bare = re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", page.html)
+        assert html.main_text(page.html) and html.main_text(bare) == html.main_text(page.html)
+
+
+def test_windows_find_the_text_without_any_marks(spark, monkeypatch):
+    """No list of words or tags and no article: window sums alone; without them menus, adverts and footers stay."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    texts = [html.main_text(p) for p in pages]
+    bare = [re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", p) for p in pages]
+    monkeypatch.setattr(html, "_MARKS", frozenset())
+    monkeypatch.setattr(html, "_FURNITURE", frozenset())
+
+    def score():
+        found = [html.main_text(p) for p in bare]
+        both = sum(sum((Counter(a.split()) & Counter(b.split())).values()) for a, b in zip(found, texts))
+        return sum(a == b for a, b in zip(found, texts)) / len(texts), both / sum(len(a.split()) for a in found), both / sum(len(b.split()) for b in texts)
+
+    exact, precision, recall = score()
+    assert exact > 0.93 and precision > 0.995 and recall > 0.999
+    monkeypatch.setattr(html, "blocks", lambda lengths, window=2: [(0, len(lengths), int(lengths.sum()))])
+    exact, precision, _ = score()
+    assert exact == 0 and precision < 0.96
+
+
+def test_text_in_blocks(spark):
+    far = "<ul><li>" + "</li></ul><div><ul><li>".join(["far " * 30, "near " * 40]) + "</li></ul></div>"
+    assert html.main_text(far) == ("far " * 30 + "near " * 40).strip()  # both come near the fullest block
+    assert html.main_text("<div><p>small</p></div><div><div><p>" + "large " * 20 + "</p></div></div>") == ("large " * 20).strip()
+    assert html.main_text("<p><a href=x>only links</a></p><p><a>here</a></p>") == "only links here"
+    inner = "<article><h1>Title</h1><div><div><p>" + "text " * 30 + "</p></div></div><section><div><p>end</p></div></section></article><div><div><p>" + "other " * 15 + "</p></div></div>"
+    assert html.main_text(inner) == "Title " + "text " * 30 + "end"
 
 
 def test_pages_of_all_kinds(spark):

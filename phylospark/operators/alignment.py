@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import chars, is_all_missing, pick_sites, ratio, threshold_label
-from .counts import base_counts, resampled, take_sites
+from ..functions import is_all_missing, ratio, threshold_label
+from .counts import base_counts, keep_marked, marked_sites, occupied_sites, resampled, take_sites
 from .places import running_sum
 
 
@@ -25,11 +25,6 @@ def pad(alignments: DataFrame, fill: str = "-") -> DataFrame:
     return alignments.join(longest, "locus").withColumn("seq", F.rpad("seq", F.col("__n"), fill)).drop("__n")
 
 
-def cells(alignments: DataFrame) -> DataFrame:
-    """``locus``, ``seq_id``, ``pos`` (from 1) and ``base``; meant to be aggregated at once."""
-    return alignments.select("locus", "seq_id", F.posexplode(chars("seq")).alias("p", "base")).select("locus", "seq_id", (F.col("p") + 1).alias("pos"), "base")
-
-
 def site_occupancy(alignments: DataFrame) -> DataFrame:
     """``locus``, ``pos``, ``present``, ``missing_ratio`` of every site; absent tails count as missing (F2).
 
@@ -41,20 +36,16 @@ def site_occupancy(alignments: DataFrame) -> DataFrame:
     return sites.join(counts, "locus").select("locus", "pos", "present", (1 - ratio("present", "n")).alias("missing_ratio"), "n")
 
 
-def kept_sites(alignments: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """Sites with a share of missing bases below the threshold (strict; 0 is an error)."""
-    if threshold <= 0:
-        raise ValueError("threshold must be above 0")
-    return site_occupancy(alignments).where((F.col("n") - F.col("present")) < threshold * F.col("n")).select("locus", "pos")
-
-
 def filter_sites(alignments: DataFrame, threshold: float = 0.2, empty: str = "^(-*|\\?*)$") -> DataFrame:
     """Rows reduced to the kept sites; rows that match ``empty`` then go.
 
-    A locus without kept site gives no rows.  Kept sites of one locus travel as a bitmap (its length is
-    bounded by the alignment's), rows are rebuilt where they are.
+    A locus without kept site gives no rows.  Kept sites travel as bitmaps (an eighth of a byte for each
+    site), made of counts by block; rows are rebuilt where they are.
     """
-    return take_sites(drop_missing_rows(alignments), kept_sites(alignments, threshold)).where(~F.col("seq").rlike(empty))
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0")
+    rows = drop_missing_rows(alignments)
+    return keep_marked(rows, occupied_sites(rows, threshold)).where(~F.col("seq").rlike(empty))
 
 
 def site_patterns(alignments: DataFrame) -> DataFrame:
@@ -143,14 +134,21 @@ def remove_taxa(alignments: DataFrame, removed: DataFrame) -> DataFrame:
     return alignments.join(removed.select("locus", "seq_id").distinct(), ["locus", "seq_id"], "left_anti")
 
 
+def filled_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
+    """Rows without the sites at which their locus has nothing but gaps; shorter rows are filled up with gaps.
+
+    Each task marks its rows' sites in bitmaps; what is shuffled is one bitmap for each locus and task.
+    """
+    return keep_marked(rows, marked_sites(rows, gap), gap)
+
+
 def prune_outliers(alignments: DataFrame, leaves: DataFrame, removed: DataFrame) -> DataFrame:
     """loci whose names equal their tree's leaves lose the listed rows and then all-gap sites."""
     names = alignments.groupBy("locus").agg(F.array_sort(F.collect_set("seq_id")).alias("a"))
     tips = leaves.groupBy("locus").agg(F.array_sort(F.collect_set("leaf")).alias("b"))
     same = names.join(tips, "locus").where("a = b").select("locus")
     rows = remove_taxa(alignments.join(same, "locus", "left_semi"), removed)
-    kept = cells(rows).where("base <> '-'").groupBy("locus", "pos").agg(F.count("*").alias("n")).groupBy("locus").agg(F.array_sort(F.collect_list("pos")).alias("s"))
-    return rows.join(kept, "locus").withColumn("seq", pick_sites("seq", "s")).drop("s")
+    return filled_sites(rows)
 
 
 def supermatrix(alignments: DataFrame, fill: str = "?") -> DataFrame:

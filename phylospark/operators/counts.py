@@ -116,42 +116,118 @@ def base_counts(alignments: DataFrame) -> DataFrame:
     return base_vectors(alignments).mapInArrow(spread, f"locus {kind}, pos long, A long, C long, G long, T long")
 
 
-def take_sites(rows: DataFrame, kept: DataFrame, fill: str = "-") -> DataFrame:
-    """``rows`` with ``seq`` reduced to the sites of ``kept(locus, pos)``; ``fill`` beyond a row's end.
+#: bytes of a block's bitmap
+_BYTES = _BLOCK // 8
 
-    A locus' sites travel as a bitmap (an eighth of a byte for each site); loci without any give no rows.
-    """
-    kind, names = rows.schema["locus"].dataType.simpleString(), rows.columns
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def occupied_sites(rows: DataFrame, threshold: float) -> DataFrame:
+    """``locus``, ``marks``: bitmaps by block of the sites at which the share of rows without a base is below ``threshold``."""
+    kind = rows.schema["locus"].dataType.simpleString()
+    counts = rows.groupBy("locus").agg(F.count("*").alias("n"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = []
-            for sites in batch.column("sites").to_pylist():
-                flags = np.zeros(max(sites), bool)
-                flags[np.array(sites) - 1] = True
-                bits.append(np.packbits(flags).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("locus"), pa.array(bits, pa.binary())], names=["locus", "__bits"])
+            for raw, n in zip(batch.column("counts").to_pylist(), batch.column("n").to_pylist()):
+                present = np.frombuffer(raw, "<i8").reshape(-1, 4).sum(1)
+                bits.append(np.packbits(n - present < threshold * n).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("locus"), batch.column("block"), pa.array(bits, pa.binary())], names=["locus", "block", "bits"])
+
+    return _by_locus(base_vectors(rows).join(counts, "locus").select("locus", "block", "counts", "n").mapInArrow(mark, f"locus {kind}, block int, bits binary"))
+
+
+def marked_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
+    """``locus``, ``marks``: bitmaps by block (of each task) of the sites at which some row has no gap."""
+    kind = rows.schema["locus"].dataType.simpleString()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        types = None
+
+        def flush() -> pa.RecordBatch:
+            found = [(locus, at // _BLOCK, np.packbits(flags[at : at + _BLOCK]).tobytes()) for locus, flags in held.items() for at in range(0, len(flags), _BLOCK)]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((types, pa.int32(), pa.binary()))], names=["locus", "block", "bits"])
+
+        for batch in batches:
+            types = batch.schema.field("locus").type
+            for locus, seq in zip(batch.column("locus").to_pylist(), batch.column("seq").to_pylist()):
+                own = np.frombuffer((seq or "").encode("utf-32-le", "surrogatepass"), "<u4") != ord(gap)
+                flags = held.get(locus, own)
+                if len(flags) < len(own):
+                    flags, own = own.copy(), flags
+                elif flags is own:
+                    flags = own.copy()
+                flags[: len(own)] |= own
+                held[locus] = flags
+            if sum(map(len, held.values())) > _HELD:
+                yield flush()
+                held = {}
+        if held:
+            yield flush()
 
-    bitmaps = kept.groupBy("locus").agg(F.collect_list("pos").alias("sites")).mapInArrow(pack, f"locus {kind}, __bits binary")
-    joined = rows.join(bitmaps, "locus").select(*names, "__bits")
+    return _by_locus(rows.select("locus", "seq").mapInArrow(mark, f"locus {kind}, block int, bits binary"))
+
+
+def _by_locus(blocks: DataFrame) -> DataFrame:
+    """An eighth of a byte for each site (and, of marks, task)."""
+    return blocks.groupBy("locus").agg(F.collect_list(F.struct("block", "bits")).alias("marks"))
+
+
+def keep_marked(rows: DataFrame, marks: DataFrame, fill: str = "-") -> DataFrame:
+    """``rows`` with ``seq`` reduced to the marked sites of their locus; ``fill`` beyond a row's end.
+
+    Loci without any marked site give no rows.
+    """
+    names = rows.columns
+    joined = rows.join(marks, "locus").select(*names, "marks")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for seq, bits in zip(batch.column("seq").to_pylist(), batch.column("__bits").to_pylist()):
+            out, known = [], {}
+            loci = batch.column("locus").to_pylist()
+            for k, (locus, seq) in enumerate(zip(loci, batch.column("seq").to_pylist())):
+                if locus not in known:
+                    blocks = batch.column("marks")[k].as_py()
+                    bits = np.zeros((1 + max(b["block"] for b in blocks)) * _BYTES, np.uint8)
+                    for b in blocks:
+                        raw = np.frombuffer(b["bits"], np.uint8)
+                        bits[b["block"] * _BYTES : b["block"] * _BYTES + len(raw)] |= raw
+                    known[locus] = np.unpackbits(bits).astype(bool)
+                flags = known[locus]
                 if seq is None:
                     out.append(None)
                     continue
-                flags = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
                 own = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), "<u4")[: len(flags)]
                 some = own[flags[: len(own)]].tobytes().decode("utf-32-le", "surrogatepass")
                 out.append(some + fill * int(flags[len(own) :].sum()))
+            whole = np.array([known[x].any() for x in loci], bool)
             columns = [pa.array(out, pa.string()) if c == "seq" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(whole))
 
     return joined.mapInArrow(pick, rows.schema)
 
 
+def take_sites(rows: DataFrame, kept: DataFrame, fill: str = "-") -> DataFrame:
+    """``rows`` with ``seq`` reduced to the listed sites of ``kept(locus, pos)``; ``fill`` beyond a row's end.
+
+    Sites are packed block by block; loci without any give no rows.
+    """
+    kind = rows.schema["locus"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for sites in batch.column("sites").to_pylist():
+                flags = np.zeros(_BLOCK, bool)
+                flags[np.array(sites)] = True
+                bits.append(np.packbits(flags).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("locus"), batch.column("block"), pa.array(bits, pa.binary())], names=["locus", "block", "bits"])
+
+    at = F.col("pos") - 1
+    sites = kept.groupBy("locus", F.floor(at / _BLOCK).cast("int").alias("block")).agg(F.collect_list((at % _BLOCK).cast("int")).alias("sites"))
+    return keep_marked(rows, _by_locus(sites.mapInArrow(pack, f"locus {kind}, block int, bits binary")), fill)
+
+
 def drawn_sites(locus: str, n: int, replicate: int, seed: int) -> np.ndarray:
     """Sites (from 0) of a resample: for k = 1 .. n, 32-bit mixing of k, the replicate, the seed and the locus."""
     own = int(md5(str(locus).encode()).hexdigest()[:7], 16)

@@ -426,9 +426,14 @@ def rerooted_nodes(tree_nodes: DataFrame, outgroup: list[str]) -> DataFrame:
     same split, as two at a binary root, are added up.  Trees in which the outgroup is no side of
     any branch have no rows.
     """
-    branches = tree_nodes.where("parent_id is not null").select("tree_id", F.col("leaves").alias("m"), F.coalesce("branch_len", F.lit(0.0)).alias("len"))
     tips = tree_nodes.where("node_id = 0").select("tree_id", F.col("leaves").alias("all"))
-    sides = tips.select("tree_id", "all", F.array_intersect("all", F.array(*map(F.lit, outgroup))).alias("out")).where("size(out) > 0 and size(out) < size(all)")
+    return _rerooted(tree_nodes, tips.select("tree_id", "all", F.array_intersect("all", F.array(*map(F.lit, outgroup))).alias("out")))
+
+
+def _rerooted(tree_nodes: DataFrame, sides: DataFrame) -> DataFrame:
+    """:func:`rerooted_nodes` with each tree's own leaves ``all`` and outgroup ``out`` (both sorted)."""
+    branches = tree_nodes.where("parent_id is not null").select("tree_id", F.col("leaves").alias("m"), F.coalesce("branch_len", F.lit(0.0)).alias("len"))
+    sides = sides.where("size(out) > 0 and size(out) < size(all)")
     rest = F.array_except("all", "out")
     rows = branches.join(sides, "tree_id")
     inside = lambda a, b: F.size(F.array_except(a, b)) == 0
@@ -441,6 +446,36 @@ def rerooted_nodes(tree_nodes: DataFrame, outgroup: list[str]) -> DataFrame:
     return others.groupBy("tree_id", "leaves").agg(F.sum("len").alias("branch_len")).unionByName(ends)
 
 
+def outgroup_statuses(tree_nodes: DataFrame, outgroup: list[str], trees: DataFrame | None = None) -> DataFrame:
+    """T8 over a node table: ``tree_id``, ``status``, the in-group and outgroup genes (``inner``, ``outer``) and the ``dropped`` one.
+
+    A gene is ``species++name``.  A tree can be rooted where one kind of genes is a side of a branch.  With three or more
+    outgroup genes, exactly one of which stands in the smallest clade of all in-group genes, that one is dropped.
+    Trees of ``trees`` without nodes have a parse error.
+    """
+    species = lambda g: F.split_part(g, F.lit("++"), F.lit(1))
+    kind = lambda yes: F.filter("leaves", lambda g: species(g).isin(outgroup) if yes else ~species(g).isin(outgroup))
+    sides = tree_nodes.where("node_id = 0").select("tree_id", F.array_sort(kind(False)).alias("inner"), F.array_sort(kind(True)).alias("outer"))
+    own = tree_nodes.select("tree_id", "parent_id", F.array_sort("leaves").alias("leaves")).join(sides, "tree_id")
+    apart = F.col("parent_id").isNotNull() & ((F.col("leaves") == F.col("inner")) | (F.col("leaves") == F.col("outer")))
+    holds = F.size(F.array_except("inner", "leaves")) == 0
+    met = own.groupBy("tree_id").agg(F.first("inner").alias("inner"), F.first("outer").alias("outer"), F.max(apart).alias("apart"), F.min_by("leaves", F.when(holds, F.size("leaves"))).alias("clade"))
+    intruders = F.array_intersect("clade", "outer")
+    status = F.when(F.size("inner") == 0, "no_non_outgroup_gene").when(F.size("outer") == 0, "all_non_outgroup_no_outgroup").when(F.col("apart"), "success").when((F.size("outer") >= 3) & (F.size(intruders) == 1), "success_after_drop_one_outgroup").otherwise("non_outgroup_not_monophyletic")
+    out = met.withColumn("status", status).select("tree_id", "status", "inner", "outer", F.when(F.col("status") == "success_after_drop_one_outgroup", intruders[0]).alias("dropped"))
+    if trees is None:
+        return out
+    return trees.select("tree_id").join(out, "tree_id", "left").na.fill("parse_error", ["status"])
+
+
+def rooted_nodes_by_outgroup(tree_nodes: DataFrame, statuses: DataFrame) -> DataFrame:
+    """``tree_id``, ``leaves``, ``branch_len`` of the trees that :func:`outgroup_statuses` can root, without the dropped gene."""
+    some = statuses.where(F.col("status").startswith("success")).select("tree_id", F.array_compact(F.array("dropped")).alias("gone"), "inner", "outer")
+    left = tree_nodes.join(some, "tree_id").withColumn("leaves", F.array_except("leaves", "gone")).where("size(leaves) > 0")
+    sides = some.select("tree_id", F.array_sort(F.array_except(F.concat("inner", "outer"), "gone")).alias("all"), F.array_except("outer", "gone").alias("out"))
+    return _rerooted(left.withColumn("leaves", F.array_sort("leaves")).drop("gone", "inner", "outer"), sides)
+
+
 def pair_depths(tree_nodes: DataFrame) -> DataFrame:
     """Root distance of the last common ancestor of each pair of leaves: ``tree_id``, ``a``, ``b``, ``depth``.
 

@@ -222,6 +222,22 @@ def split_calibrations(spark, sf_dir):
     return rows.groupBy("tree_id").agg(F.count("*").alias("n"), F.max("min_age").alias("min_age"), F.round(F.max("max_age"), 2).alias("max_age"))
 
 
-@query()
+#: order priorities as genes, the first three of an outgroup species
+_GENES = ("WHERE l_quantity > 40", 3, "concat(CASE WHEN substr(o_orderpriority, 1, 1) < '4' THEN 'o' ELSE 'x' END, '++g', substr(o_orderpriority, 1, 1))")
+_OUTGROUP = f"l AS (SELECT * FROM {tree_classes(*_GENES)}), t AS (SELECT tree_id, list_sort(list(leaf) FILTER (leaf LIKE 'x%')) AS inner_, coalesce(list_sort(list(leaf) FILTER (leaf LIKE 'o%')), []) AS outer_, count(DISTINCT k) AS groups FROM l GROUP BY 1), g AS (SELECT tree_id, k, list_sort(list(leaf)) AS c FROM l GROUP BY ALL), n AS (SELECT tree_id, c FROM g UNION ALL SELECT tree_id, [leaf] FROM l), s AS (SELECT tree_id, inner_, outer_, groups, bool_or(c = inner_ OR c = outer_) AS apart, max(len(list_intersect(c, outer_))) FILTER (len(c) > 1 AND list_has_all(c, inner_)) AS intruders, max(list_intersect(c, outer_)[1]) FILTER (len(c) > 1 AND list_has_all(c, inner_)) AS gone FROM t JOIN n USING (tree_id) GROUP BY ALL), st AS (SELECT *, CASE WHEN inner_ IS NULL THEN 'no_non_outgroup_gene' WHEN len(outer_) = 0 THEN 'all_non_outgroup_no_outgroup' WHEN apart THEN 'success' WHEN len(outer_) >= 3 AND intruders = 1 THEN 'success_after_drop_one_outgroup' ELSE 'non_outgroup_not_monophyletic' END AS status FROM s)"
+
+
+@query(f"WITH {_OUTGROUP} SELECT tree_id, status, CASE WHEN status LIKE '%drop%' THEN gone END AS dropped FROM st")
+def outgroup_statuses(spark, sf_dir):
+    """How each tree can be rooted by the outgroup species."""
+    corpus = tree_corpus(spark, sf_dir, *_GENES)
+    return trees.outgroup_statuses(trees.nodes(corpus), ["o"], corpus).select("tree_id", "status", "dropped")
+
+
+@query(f"WITH {_OUTGROUP}, e AS (SELECT tree_id, leaf AS gene, len FROM l UNION ALL SELECT tree_id, NULL, 1 + k FROM g JOIN t USING (tree_id) WHERE groups > 1) SELECT tree_id, status, round(sum(len), 6) AS total FROM e JOIN st USING (tree_id) WHERE status LIKE 'success%' AND NOT (status LIKE '%drop%' AND coalesce(gene = gone, false)) GROUP BY ALL")
 def rerooted_by_outgroup(spark, sf_dir):
-    return trees.root_by_outgroup(_copies(spark, sf_dir), ["odd"]).groupBy("status").count()
+    """Trees rooted by the outgroup species, with the length of all their branches."""
+    nodes = tree_nodes(spark, sf_dir, *_GENES)
+    statuses = trees.outgroup_statuses(nodes, ["o"])
+    rows = trees.rooted_nodes_by_outgroup(nodes, statuses).groupBy("tree_id").agg(F.round(F.sum("branch_len"), 6).alias("total"))
+    return statuses.select("tree_id", "status").join(rows, "tree_id")

@@ -377,3 +377,60 @@ def test_intervals_of_one_large_contig(spark):
     assert sorted(r.ord for r in intervals.nonoverlapping(frame).collect()) == sorted(want)
     outer = [i for c, i, a, b in rows if not any(x[0] == c and x[2] < a and x[3] > b for x in rows)]
     assert sorted(r.ord for r in intervals.not_eclipsed(frame).collect()) == sorted(outer)
+
+
+def test_rooting_by_outgroup_equals_the_text_version(spark):
+    rnd = random.Random(13)
+
+    def tree(leaves):
+        if len(leaves) == 1:
+            return f"{leaves[0]}:{rnd.randint(1, 9)}"
+        k = rnd.randint(1, len(leaves) - 1)
+        return f"({tree(leaves[:k])},{tree(leaves[k:])}):{rnd.randint(1, 9)}"
+
+    texts = []
+    for i in range(60):
+        inner, outer = [f"x++{k}" for k in range(rnd.randint(0, 4))], [f"o++{k}" for k in range(rnd.randint(0, 4))]
+        if i % 3:
+            rnd.shuffle(inner)
+            rnd.shuffle(outer)
+            names = inner + outer if i % 2 else outer[1:] + inner[:1] + outer[:1] + inner[1:]
+        else:
+            names = rnd.sample(inner + outer, len(inner + outer))
+        if len(names) > 1:
+            texts.append((str(i), tree(names) + ";"))
+    texts.append(("bad", "(("))
+    frame = spark.createDataFrame(texts, "tree_id string, newick string")
+    nodes = trees.nodes(frame)
+    want = {r.tree_id: r for r in trees.root_by_outgroup(frame, ["o"]).collect()}
+    got = trees.outgroup_statuses(nodes, ["o"], frame)
+    assert {r.tree_id: r.status for r in got.collect()} == {k: r.status for k, r in want.items()}
+    assert len({r.status for r in want.values()}) == 6
+    rooted = trees.nodes(spark.createDataFrame([(k, r.newick) for k, r in want.items() if r.status.startswith("success")], "tree_id string, newick string"))
+    same = rooted.where("parent_id is not null").groupBy("tree_id", F.array_sort("leaves").alias("leaves")).agg(F.sum("branch_len").alias("branch_len"))
+
+    def clades(rows):
+        """Lengths by clade; both sides of the new root have one kind of genes, and only their total is fixed."""
+        out = Counter()
+        for r in rows.collect():
+            whole = max((x for x in sides[r.tree_id] if set(r.leaves) == x), default=None, key=len)
+            out[r.tree_id, "root" if whole else tuple(r.leaves)] += r.branch_len
+        return {k: round(v, 6) for k, v in out.items()}
+
+    sides = {r.tree_id: [set(r.inner) - {r.dropped}, set(r.outer) - {r.dropped}] for r in got.collect() if r.inner is not None}
+    assert clades(trees.rooted_nodes_by_outgroup(nodes, got)) == clades(same)
+
+
+def test_marked_sites_equal_brute_force(spark):
+    rnd = random.Random(14)
+    rows = [(f"L{i % 4}", i, f"s{i}", "".join(rnd.choice("ACGT-----é") if i % 4 else "-" for _ in range(rnd.choice([0, 7, 300, 9000])))) for i in range(24)]
+    frame = spark.createDataFrame(rows, ALN).repartition(5)
+    want = {}
+    for locus in ("L1", "L2", "L3"):
+        own = [r for r in rows if r[0] == locus]
+        sites = [p for p in range(max(len(r[3]) for r in own)) if any(p < len(r[3]) and r[3][p] != "-" for r in own)]
+        want |= {r[2]: "".join(r[3][p] if p < len(r[3]) else "-" for p in sites) for r in own}
+    assert {r.seq_id: r.seq for r in alignment.filled_sites(frame).collect()} == want
+    sites = spark.createDataFrame([("L1", 1), ("L1", 4097), ("L2", 3)], "locus string, pos int")
+    picked = {r[2]: "".join((r[3] + "-" * 9000)[p - 1] for p in ([1, 4097] if r[0] == "L1" else [3])) for r in rows if r[0] in ("L1", "L2")}
+    assert {r.seq_id: r.seq for r in alignment.select_sites(frame, sites).collect()} == picked

@@ -77,8 +77,8 @@ def check_leaves(leaves: DataFrame, ages: DataFrame) -> DataFrame:
     return joined.withColumn("n", checked).orderBy("place")
 
 
-#: rounds of EM, and the share of the log-likelihood under which a gain ends them
-_ROUNDS, _GAIN = 200, 1e-9
+#: share of the log-likelihood under which a gain ends the rounds of EM
+_GAIN = 1e-9
 
 
 def _starts(k: int) -> list[float]:
@@ -86,7 +86,7 @@ def _starts(k: int) -> list[float]:
     return [(j + 0.5) / k for j in range(k)]
 
 
-def _fit(x: np.ndarray, w: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+def _fit(x: np.ndarray, w: np.ndarray, k: int, rounds: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
     """Log-likelihood, weights, means, variances of a 1-D mixture by EM; ``x`` ascends, ``w`` are counts."""
     n, upto = w.sum(), np.cumsum(w)
     centre = (w * x).sum() / n
@@ -95,7 +95,7 @@ def _fit(x: np.ndarray, w: np.ndarray, k: int) -> tuple[float, np.ndarray, np.nd
     floor = 1e-6 + 1e-6 * spread
     mean = d[[int(np.searchsorted(upto, math.floor((n - 1) * p), "right")) for p in _starts(k)]]
     var, weight, before = np.full(k, spread + floor), np.full(k, 1 / k), -math.inf
-    for _ in range(_ROUNDS):
+    for _ in range(rounds):
         p = np.log(weight) - 0.5 * (np.log(2 * np.pi * var) + (d[:, None] - mean) ** 2 / var)
         top = p.max(1, keepdims=True)
         each = top[:, 0] + np.log(np.exp(p - top).sum(1))
@@ -114,7 +114,7 @@ def _log_parts(parts: str) -> Column:
     return F.transform(parts, lambda c: F.log(c["weight"]) - 0.5 * (F.log(2 * math.pi * c["var"]) + (F.col("d") - c["mean"]) * (F.col("d") - c["mean"]) / c["var"]))
 
 
-def _fit_by_sums(values: DataFrame, key: str, most: int) -> DataFrame:
+def _fit_by_sums(values: DataFrame, key: str, most: int, rounds: int) -> DataFrame:
     """The same fits for samples of any size: the state is one row for each sample and number of components, and a round is
     one grouped sum of each component's responsibilities, by partial aggregates."""
     totals = values.groupBy(key).agg(F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("age")) / F.sum("w")).alias("centre"), F.count("*").alias("kinds"))
@@ -131,7 +131,7 @@ def _fit_by_sums(values: DataFrame, key: str, most: int) -> DataFrame:
     lost = F.lit(float("-inf"))
     state = stored(first.groupBy(key, "k").agg(F.array_sort(F.collect_list(part)).alias("parts"), F.first(floor).alias("floor"), lost.alias("ll"), F.lit(False).alias("done")), "mixtures")
     slim = rows.select(key, "d", "w")
-    for _ in range(_ROUNDS):
+    for _ in range(rounds):
         open_ = state.where("not done").select(key, "k", "parts")
         p = slim.join(open_, key).withColumn("p", _log_parts("parts")).withColumn("top", F.array_max("p"))
         p = p.withColumn("each", F.col("top") + F.log(F.aggregate("p", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))))
@@ -153,11 +153,11 @@ def _fit_by_sums(values: DataFrame, key: str, most: int) -> DataFrame:
     return best.withColumn("parts", parts).select(key, "n", "k", F.round("bic", 4).alias("bic"), F.col("parts.weight").alias("weights"), F.col("parts.mean").alias("means"), F.transform("parts", lambda c: F.sqrt(c["var"])).alias("sds"))
 
 
-def mixtures(ages: DataFrame, key: str = "sample", most: int = 3, in_task: int = 1 << 16) -> DataFrame:
+def mixtures(ages: DataFrame, key: str = "sample", most: int = 3, in_task: int = 1 << 16, rounds: int = 200) -> DataFrame:
     """Per sample, the 1-D Gaussian mixture of 1 to ``most`` components with the lowest BIC.
 
     BIC = -2 LL + (3k - 1) ln n.  EM starts at order statistics of the sample and ends when the log-likelihood
-    hardly grows.  Equal ages are one value with a weight.  Samples of up to ``in_task`` different ages are fitted in
+    hardly grows, or after ``rounds``.  Equal ages are one value with a weight.  Samples of up to ``in_task`` different ages are fitted in
     one task, larger ones by rounds of grouped sums over all tasks (:func:`_fit_by_sums`), with the same steps.
     """
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -165,7 +165,7 @@ def mixtures(ages: DataFrame, key: str = "sample", most: int = 3, in_task: int =
         x, w = rows["age"].to_numpy(float), rows["w"].to_numpy(float)
         n, fits = w.sum(), []
         for k in range(1, min(most, len(x)) + 1):
-            ll, weight, mean, var = _fit(x, w, k)
+            ll, weight, mean, var = _fit(x, w, k, rounds)
             fits.append((-2 * ll + (3 * k - 1) * math.log(n), k, weight, mean, var))
         bic, k, weight, mean, var = min(fits, key=lambda f: (round(f[0], 6), f[1]))
         order = np.argsort(mean, kind="stable")
@@ -177,7 +177,7 @@ def mixtures(ages: DataFrame, key: str = "sample", most: int = 3, in_task: int =
     small = values.join(sizes.where(F.col("__d") <= in_task).select(key), key)
     fits = small.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, n long, k int, bic double, weights array<double>, means array<double>, sds array<double>")
     large = sizes.where(F.col("__d") > in_task).select(key)
-    return fits.unionByName(_fit_by_sums(values.join(large, key), key, most)) if large.limit(1).count() else fits
+    return fits.unionByName(_fit_by_sums(values.join(large, key), key, most, rounds)) if large.limit(1).count() else fits
 
 
 def distribution(values: DataFrame, key: str, value: str) -> DataFrame:

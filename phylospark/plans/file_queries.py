@@ -46,6 +46,14 @@ def fasta_file(spark, sf_dir):
     return read.fasta(spark, path).select("seq_id", "header", F.length("seq").alias("n"), F.md5("seq").alias("seq_md5"))
 
 
+@query(f"WITH l AS (SELECT seq_id, seq, unnest(range(0, length(seq), 80)) AS place FROM {_C}) SELECT seq_id, CAST(min(place) AS BIGINT) AS start, md5(substr(any_value(seq), min(place) + 1, max(place) - min(place) + 80)) AS seq_md5 FROM l GROUP BY seq_id, place // 500")
+def fasta_pieces(spark, sf_dir):
+    """Records in pieces of some lines, as long ones are read."""
+    path = shared_path(spark, "fasta-pieces")
+    write.fasta(view(spark, sf_dir, CODING), path)
+    return read.fasta_pieces(spark, path, 500).select("seq_id", F.col("start").cast("long").alias("start"), F.md5("seq").alias("seq_md5"))
+
+
 @query(f"SELECT seq_id, CAST(length(seq) AS INTEGER) AS n, md5(seq) AS seq_md5 FROM {_C}")
 def fasta_folders(spark, sf_dir):
     """One folder of FASTA for each locus, scanned as a whole by suffix."""

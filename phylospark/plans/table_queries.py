@@ -151,12 +151,30 @@ def contained_intervals(spark, sf_dir):
     return intervals.not_eclipsed(_intervals(spark, sf_dir)).select("contig", "id", "start", "end")
 
 
-@query()
+def _greedy(order: str, limit: str) -> str:
+    """SQL that takes each contig's intervals one after the other and keeps those that no kept one overlaps by more than a limit."""
+    own = "{'s': start, 'e': stop, 'id': id}"
+    both, short = "least(x.e, r.stop) - greatest(x.s, r.start) + 1", "least(x.e - x.s + 1, r.stop - r.start + 1)"
+    return f"""WITH RECURSIVE f AS {INTERVALS}, r AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY {order}) AS k FROM f),
+step AS (SELECT contig, k, [{own}] AS kept FROM r WHERE k = 1
+UNION ALL SELECT r.contig, r.k, CASE WHEN len(list_filter(kept, lambda x: {both} > 0 AND {both} > {limit.format(short)})) > 0 THEN kept ELSE list_append(kept, {own}) END FROM step JOIN r ON r.contig = step.contig AND r.k = step.k + 1),
+whole AS (SELECT contig, unnest(arg_max(kept, k)) AS x FROM step GROUP BY contig) SELECT contig, x.id AS id, x.s AS start, x.e AS "end" FROM whole"""
+
+
+@query(_greedy("start - stop, id", "0.1 * {}"))
 def greedy_intervals(spark, sf_dir):
+    """Longest first; one that overlaps a taken one by over a tenth of either goes."""
     rows = _intervals(spark, sf_dir)
     return intervals.greedy(rows, "contig", [-(F.col("end") - F.col("start")), F.col("id")])
 
 
+@query(_greedy("ord % 7 DESC, id", "0 * {}"))
+def scored_intervals(spark, sf_dir):
+    """Best score first; any overlap with a taken one rejects."""
+    rows = _intervals(spark, sf_dir)
+    return intervals.greedy(rows, "contig", [-(F.col("ord") % 7), F.col("id")], None)
+
+
 @query(f"WITH f AS {INTERVALS} SELECT contig, arg_min(id, (start - stop, id)) AS id FROM f GROUP BY 1")
 def single_best_interval(spark, sf_dir):
     rows = _intervals(spark, sf_dir)

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.clusters import stored
+from ..operators.places import carried, in_ranges
+
 HITS = "query_id string, subject_id string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double"
 FEATURES = "contig string, source string, type string, start bigint, end bigint, score string, strand string, phase string, attributes string"
 
@@ -34,6 +37,25 @@ def fasta(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     return rows.withColumn("__n", last).where("__n = 1").select("source", "ord", "seq_id", "header", "seq")
 
 
+def fasta_pieces(spark: SparkSession, path: str, size: int = 1 << 20) -> DataFrame:
+    """``source``, ``seq_id``, ``record``, ``start`` (from 0) and ``seq`` of the pieces of each record, about ``size`` characters long.
+
+    Files are read line by line, so that a record of any length, a whole chromosome, is many rows of many
+    tasks.  A line belongs to the last header before it; headers and places are carried over ranges of
+    lines.  Pieces begin at lines; ``record`` tells apart records of one name; a record without sequence has no piece.
+    """
+    lines = spark.read.text(path).select(_file().alias("source"), _ord().alias("ord"), F.regexp_replace("value", r"\s+$", "").alias("v"))
+    lines = lines.select("source", "ord.block", "ord.row", "v", F.col("v").startswith(">").alias("head")).where("v <> ''")
+    order = ["block", "row"]
+    owner = F.when(F.col("head"), F.struct("block", "row", F.regexp_extract("v", r"^>\s*(\S*)", 1).alias("seq_id")))
+    length = F.when(F.col("head"), 0).otherwise(F.length("v"))
+    scanned = stored(carried(in_ranges(lines, ["source", *order]), ["source"], order, {"upto": length}, {"owner": owner}), "fasta-lines")
+    heads = scanned.where("head").select("source", "owner", F.col("upto").alias("before"))
+    placed = scanned.where("not head").join(heads, ["source", "owner"]).withColumn("at", F.col("upto") - F.length("v") - F.col("before"))
+    pieces = placed.groupBy("source", "owner", F.expr(f"at div {size}").alias("piece")).agg(F.min("at").alias("start"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]), "").alias("seq"))
+    return pieces.select("source", F.col("owner.seq_id").alias("seq_id"), F.struct("owner.block", "owner.row").alias("record"), "start", "seq")
+
+
 def sequence_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line that is no header is a sequence of its own (gathered gene files)."""
     rows = spark.read.text(path).select(_file().alias("source"), _ord().alias("ord"), F.trim("value").alias("seq"))

@@ -141,3 +141,21 @@ def test_reports_and_reads(spark, tmp_path):
     for f in glob.glob(f"{tmp_path}/q/part-*"):  # mates are in one file
         ids = [x for x in open(f).read().splitlines() if x.startswith("@")]
         assert all(ids.count(x) == 2 for x in ids)
+
+
+def test_pieces_of_long_records(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")  # a record goes over many splits
+    try:
+        one, two = "ACGTTGCA" * 100, "GGT" * 70
+        wrapped = lambda s, n: "\n".join(s[i : i + n] for i in range(0, len(s), n))
+        path = put(tmp_path / "p/a.fa", f">one long\n{wrapped(one, 60)}\n>none\n>two\r\n{wrapped(two, 10)}\n\n>one again\n{one}\n")
+        rows = read.fasta_pieces(spark, path, 100).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    records = {}
+    for r in sorted(rows, key=lambda r: (tuple(r.record), r.start)):
+        held = records.setdefault((tuple(r.record), r.seq_id), "")
+        assert r.start == len(held)
+        records[tuple(r.record), r.seq_id] = held + r.seq
+    assert sorted((k[1], v) for k, v in records.items()) == sorted([("one", one), ("two", two), ("one", one)])
+    assert len(rows) >= 12

@@ -476,6 +476,39 @@ def rooted_nodes_by_outgroup(tree_nodes: DataFrame, statuses: DataFrame) -> Data
     return _rerooted(left.withColumn("leaves", F.array_sort("leaves")).drop("gone", "inner", "outer"), sides)
 
 
+def order_statuses(tree_nodes: DataFrame, nested: list[list[str]], trees: DataFrame | None = None) -> DataFrame:
+    """T9 over a node table: ``tree_id``, ``status``, all leaves (``all``) and the genes to root on (``out``).
+
+    ``nested`` has the species of each step from the root inwards, the last being the in-group.  The first step that the tree
+    has genes of roots it: by a single gene, by all of them if they are a side of a branch, else by the one that leaves
+    the smallest clade of all in-group genes (the first of the tree on ties).  Trees of ``trees`` without nodes have a parse error.
+    """
+    species = lambda g: F.split_part(g, F.lit("++"), F.lit(1))
+    of = lambda step: F.filter("leaves", lambda g: species(g).isin(step))
+    first = F.coalesce(*[F.when(F.size(of(step)) > 0, of(step)) for step in nested[:-1]], F.array().cast("array<string>"))
+    roots = tree_nodes.where("node_id = 0").select("tree_id", F.array_sort("leaves").alias("all"), of(nested[-1]).alias("inner"), F.array_sort(first).alias("genes"))
+    own = tree_nodes.where("parent_id is not null").select("tree_id", F.array_sort("leaves").alias("leaves")).join(roots, "tree_id")
+    apart = (F.col("leaves") == F.col("genes")) | (F.col("leaves") == F.array_except("all", "genes"))
+    # each branch has two sides; the smallest one with all in-group genes that lacks a gene is their clade seen from it
+    side = own.withColumn("side", F.explode(F.array("leaves", F.array_except("all", "leaves")))).where(F.size(F.array_except("inner", "side")) == 0)
+    sizes = side.withColumn("gene", F.explode(F.array_except("genes", "side"))).groupBy("tree_id", "gene").agg(F.min(F.size("side")).alias("n"))
+    places = tree_nodes.where("is_leaf").select("tree_id", F.col("name").alias("gene"), "node_id")
+    best = sizes.join(places, ["tree_id", "gene"]).groupBy("tree_id").agg(F.min_by("gene", F.struct("n", "node_id")).alias("best"))
+    whole = own.groupBy("tree_id").agg(F.max(apart).alias("apart"))
+    met = roots.join(whole, "tree_id", "left").join(best, "tree_id", "left")
+    status = F.when(F.size("inner") == 0, "no_ingroup_gene").when(F.size("genes") == 0, "no_valid_root_found").otherwise("success")
+    out = F.when(F.col("status") == "success", F.when((F.size("genes") == 1) | F.col("apart"), F.col("genes")).otherwise(F.array("best")))
+    rows = met.withColumn("status", status).select("tree_id", "status", "all", out.alias("out"))
+    if trees is None:
+        return rows
+    return trees.select("tree_id").join(rows, "tree_id", "left").na.fill("parse_error", ["status"])
+
+
+def rooted_nodes_by_order(tree_nodes: DataFrame, statuses: DataFrame) -> DataFrame:
+    """``tree_id``, ``leaves``, ``branch_len`` of the trees that :func:`order_statuses` can root."""
+    return _rerooted(tree_nodes.withColumn("leaves", F.array_sort("leaves")), statuses.where("status = 'success'").select("tree_id", "all", "out"))
+
+
 def pair_depths(tree_nodes: DataFrame) -> DataFrame:
     """Root distance of the last common ancestor of each pair of leaves: ``tree_id``, ``a``, ``b``, ``depth``.
 

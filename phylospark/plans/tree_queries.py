@@ -241,3 +241,16 @@ def rerooted_by_outgroup(spark, sf_dir):
     statuses = trees.outgroup_statuses(nodes, ["o"])
     rows = trees.rooted_nodes_by_outgroup(nodes, statuses).groupBy("tree_id").agg(F.round(F.sum("branch_len"), 6).alias("total"))
     return statuses.select("tree_id", "status").join(rows, "tree_id")
+
+
+#: order priorities as species, order states as their genes
+_STEPS = ("WHERE l_quantity > 47", 3, "concat('p', substr(o_orderpriority, 1, 1), '++', o_orderstatus)")
+_ORDERED = f"l AS (SELECT * FROM {tree_classes(*_STEPS)}), t AS (SELECT tree_id, list(leaf) AS a, list(leaf) FILTER (substr(leaf, 2, 1) >= '3') AS inner_, coalesce(list_sort(list(leaf) FILTER (leaf LIKE 'p1%')), list_sort(list(leaf) FILTER (leaf LIKE 'p2%')), []) AS genes FROM l GROUP BY 1), n AS (SELECT tree_id, list_sort(list(leaf)) AS c FROM l GROUP BY tree_id, k UNION ALL SELECT tree_id, [leaf] FROM l), sides AS (SELECT *, c AS s FROM n JOIN t USING (tree_id) UNION ALL SELECT *, list_filter(a, lambda x: NOT list_contains(c, x)) FROM n JOIN t USING (tree_id)), apart AS (SELECT tree_id, bool_or(list_sort(s) = genes) AS apart FROM sides GROUP BY 1), size_ AS (SELECT tree_id, gene, min(len(s)) AS size FROM (SELECT tree_id, s, unnest(list_filter(genes, lambda x: NOT list_contains(s, x))) AS gene FROM sides WHERE inner_ IS NOT NULL AND list_has_all(s, inner_)) GROUP BY ALL), best AS (SELECT size_.tree_id, arg_min(gene, (size, k, gene)) AS best FROM size_ JOIN l ON l.tree_id = size_.tree_id AND l.leaf = gene GROUP BY 1), st AS (SELECT tree_id, CASE WHEN inner_ IS NULL THEN 'no_ingroup_gene' WHEN len(genes) = 0 THEN 'no_valid_root_found' ELSE 'success' END AS status, CASE WHEN len(genes) = 1 OR apart THEN array_to_string(genes, ',') ELSE best END AS out FROM t JOIN apart USING (tree_id) LEFT JOIN best USING (tree_id))"
+
+
+@query(f"WITH {_ORDERED} SELECT tree_id, status, CASE WHEN status = 'success' THEN out END AS rooted_on FROM st")
+def order_statuses(spark, sf_dir):
+    """How each tree can be rooted by two nested outgroup species."""
+    corpus = tree_corpus(spark, sf_dir, *_STEPS)
+    rows = trees.order_statuses(trees.nodes(corpus), [["p1"], ["p2"], ["p3", "p4", "p5"]], corpus)
+    return rows.select("tree_id", "status", F.array_join("out", ",").alias("rooted_on"))

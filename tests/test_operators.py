@@ -421,6 +421,40 @@ def test_rooting_by_outgroup_equals_the_text_version(spark):
     assert clades(trees.rooted_nodes_by_outgroup(nodes, got)) == clades(same)
 
 
+def test_rooting_by_order_equals_the_text_version(spark):
+    rnd = random.Random(15)
+
+    def tree(leaves):
+        if len(leaves) == 1:
+            return f"{leaves[0]}:{rnd.randint(1, 9)}"
+        k = rnd.randint(1, len(leaves) - 1)
+        return f"({tree(leaves[:k])},{tree(leaves[k:])}):{rnd.randint(1, 9)}"
+
+    texts = []
+    for i in range(60):
+        names = [f"{x}++{k}" for x in ("pqz" if i % 9 else "z") for k in range(3 if not i % 9 else rnd.choice([0, 1, 2, 3]) if i % 4 else rnd.choice([0, 1]))] + ["other++1"] * (i % 2)
+        if i % 3:
+            rnd.shuffle(names)
+        if len(names) > 1:
+            texts.append((str(i), tree(names) + ";"))
+    frame = spark.createDataFrame([*texts, ("bad", "((")], "tree_id string, newick string")
+    nodes, steps = trees.nodes(frame), [["p"], ["q"], ["z"]]
+    want = {r.tree_id: r for r in trees.root_by_order(frame, steps).collect()}
+    got = trees.order_statuses(nodes, steps, frame)
+    assert {r.tree_id: r.status for r in got.collect()} == {k: r.status for k, r in want.items()} and len({r.status for r in want.values()}) == 4
+    sides = {r.tree_id: [set(r.out), set(r.all) - set(r.out)] for r in got.collect() if r.out}
+
+    def clades(rows):
+        out = Counter()
+        for r in rows.collect():
+            out[r.tree_id, "root" if set(r.leaves) in sides[r.tree_id] else tuple(r.leaves)] += r.branch_len
+        return {k: round(v, 6) for k, v in out.items()}
+
+    rooted = trees.nodes(spark.createDataFrame([(k, r.newick) for k, r in want.items() if r.status == "success"], "tree_id string, newick string"))
+    same = rooted.where("parent_id is not null").groupBy("tree_id", F.array_sort("leaves").alias("leaves")).agg(F.sum("branch_len").alias("branch_len"))
+    assert clades(trees.rooted_nodes_by_order(nodes, got)) == clades(same)
+
+
 def test_marked_sites_equal_brute_force(spark):
     rnd = random.Random(14)
     rows = [(f"L{i % 4}", i, f"s{i}", "".join(rnd.choice("ACGT-----é") if i % 4 else "-" for _ in range(rnd.choice([0, 7, 300, 9000])))) for i in range(24)]

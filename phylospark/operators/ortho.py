@@ -56,8 +56,8 @@ def presence_absence(ortho: DataFrame, groups: list | None = None) -> DataFrame:
 
 
 def listed_first(rows: DataFrame, listed: DataFrame, key: str = "species") -> DataFrame:
-    """Order of a matrix: listed species by their place, then the others by name."""
-    joined = rows.join(F.broadcast(listed.withColumnRenamed("place", "__place")), key, "left")
+    """Order of a matrix: listed species by their place, then the others by name.  Spark chooses the join by size."""
+    joined = rows.join(listed.withColumnRenamed("place", "__place"), key, "left")
     return joined.orderBy(F.col("__place").asc_nulls_last(), key).drop("__place")
 
 

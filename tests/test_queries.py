@@ -42,9 +42,18 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_the_rest_works_without_the_llm_folder(tmp_path):
+    """Without the folders of training-data operators, with and without the pipeline's file."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    shutil.copytree(root, tmp_path / "repo", ignore=lambda _, names: {n for n in names if n in (".git", "llm", "corpus_pipeline.py", "__pycache__")})
-    code = "import __spark_entry__ as e\nprint(len(e.queries()), len(e.oracle_sql()), [k for k in e.queries() if k == 'pipeline' or k[:2] == 'op' and k[2].isdigit()])"
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", env=env, capture_output=True, text=True, check=True).stdout
-    assert out.split() == [str(len(plans.queries())), str(len(plans.oracle_sql())), "[]"]
+    code = f"""
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+print(len(e.queries()), len(e.oracle_sql()), [k for k in e.queries() if k == 'pipeline' or k[:2] == 'op' and k[2].isdigit()])
+spark = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '4').getOrCreate()
+print(e.entry(spark).count() > 0, *[e.queries()[k](spark, '{SF}').count() > 0 for k in ('locus_metrics', 'best_gene', 'gff_file')])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": ""}
+    for gone in ({"llm"}, {"llm", "corpus_pipeline.py"}):
+        copy = tmp_path / f"repo{len(gone)}"
+        shutil.copytree(root, copy, ignore=lambda _, names, gone=gone: {n for n in names if n in (".git", "__pycache__", *gone)})
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env | {"PYTHONPATH": str(copy)}, capture_output=True, text=True, check=True).stdout
+        assert out.split() == [str(len(plans.queries())), str(len(plans.oracle_sql())), "[]", *["True"] * 4]

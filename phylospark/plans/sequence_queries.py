@@ -174,7 +174,18 @@ def sequence_n50(spark, sf_dir):
     return stats.n50(view(spark, sf_dir, ALIGNMENTS), "locus")
 
 
-@query()
+#: stretches with a period of k; the next one begins where a repeat before it ends, if they overlap
+_STRETCHES = f"""WITH RECURSIVE cell AS (SELECT seq_id, unnest(string_split(seq, '')) AS b, unnest(range(1, length(seq) + 1)) AS i FROM {_C} WHERE length(seq) > 0),
+least_ AS (SELECT unnest([1, 2, 3, 4, 5, 6]) AS k, unnest([6, 4, 3, 3, 3, 3]) AS n),
+same AS (SELECT seq_id, k, n, i FROM (SELECT *, {", ".join(f"b = lead(b, {k}) OVER w AS s{k}" for k in range(1, 7))} FROM cell WINDOW w AS (PARTITION BY seq_id ORDER BY i)) CROSS JOIN least_ WHERE CASE k {" ".join(f"WHEN {k} THEN s{k}" for k in range(1, 7))} END),
+run AS (SELECT seq_id, k, n, min(i) AS a, max(i) + k + 1 AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY seq_id, k ORDER BY i) AS g FROM same) GROUP BY seq_id, k, n, g HAVING count(*) + k >= n * k),
+r AS (SELECT *, row_number() OVER (PARTITION BY seq_id, k ORDER BY a) AS j FROM run),
+step AS (SELECT seq_id, k, j, a AS start, (e - a) // k AS copies, a + (e - a) // k * k AS past FROM r WHERE j = 1
+UNION ALL SELECT r.seq_id, r.k, r.j, greatest(r.a, past), CASE WHEN (r.e - greatest(r.a, past)) // r.k >= n THEN (r.e - greatest(r.a, past)) // r.k ELSE 0 END, CASE WHEN (r.e - greatest(r.a, past)) // r.k >= n THEN greatest(r.a, past) + (r.e - greatest(r.a, past)) // r.k * r.k ELSE past END FROM step JOIN r ON r.seq_id = step.seq_id AND r.k = step.k AND r.j = step.j + 1)
+SELECT seq_id, CAST(k AS INTEGER) AS unit_length, substr(seq, start, k) AS unit, CAST(copies AS INTEGER) AS copies FROM step JOIN {_C} USING (seq_id) WHERE copies > 0 AND (k = 1 OR replace(substr(seq, start, k), seq[start], '') <> '')"""
+
+
+@query(_STRETCHES)
 def simple_repeats(spark, sf_dir):
     return coding.repeats(view(spark, sf_dir, CODING), {1: 6, 2: 4, 3: 3, 4: 3, 5: 3, 6: 3})
 

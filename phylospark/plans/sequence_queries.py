@@ -236,6 +236,23 @@ def greedy_redundancy(spark, sf_dir):
     return clusters.greedy_representatives(spark.sql(_TEXTS))
 
 
+#: turns of conversations, and near copies of every other one
+_TURNS = "(SELECT concat(CAST(conv_id AS VARCHAR(20)), '_', CAST(turn AS VARCHAR(20))) AS seq_id, text AS seq FROM conversations UNION ALL SELECT concat(CAST(conv_id AS VARCHAR(20)), '_', CAST(turn AS VARCHAR(20)), CASE WHEN conv_id % 4 = 1 THEN 'y' ELSE 'x' END), CASE WHEN conv_id % 4 = 0 THEN concat(text, ' And so on.') WHEN conv_id % 4 = 1 THEN text ELSE replace(text, CASE WHEN conv_id % 4 = 2 THEN 'eau' ELSE 'tion' END, 'oe') END FROM conversations WHERE turn % 2 = 0)"
+_GRAMS = f"v AS {_TURNS}, s AS (SELECT seq, min(seq_id) AS one FROM v WHERE seq IS NOT NULL GROUP BY 1), at_ AS (SELECT one, i, array_to_string(l[i:i + 4], '') AS g FROM (SELECT one, string_split(seq, '') AS l, unnest(range(1, length(seq) - 3)) AS i FROM s WHERE length(seq) >= 5)), k AS MATERIALIZED (SELECT DISTINCT one, g FROM at_)"
+
+
+@query(f"WITH RECURSIVE {_GRAMS}, n AS (SELECT one, count(*) AS n FROM k GROUP BY 1), met AS (SELECT a.one AS x, b.one AS y, count(*) AS c FROM k a JOIN k b ON a.g = b.g AND a.one < b.one GROUP BY 1, 2), link AS MATERIALIZED (SELECT x, y FROM met JOIN n p ON p.one = x JOIN n q ON q.one = y WHERE c / least(p.n, q.n)::DOUBLE >= {0.95**5}), edge AS MATERIALIZED (SELECT x, y FROM link UNION ALL SELECT y, x FROM link), reach AS (SELECT one AS x, one AS y FROM s UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y), root AS (SELECT x, min(y) AS cluster FROM reach GROUP BY 1) SELECT seq_id, cluster FROM v JOIN s USING (seq) JOIN root ON x = one")
+def near_identical_turns(spark, sf_dir):
+    """J21 over turns of conversations and their near copies."""
+    return clusters.near_identical(view(spark, sf_dir, _TURNS), 5, 0.95)
+
+
+@query(f"WITH RECURSIVE {_GRAMS}, q AS MATERIALIZED (SELECT DISTINCT one, g FROM at_ WHERE i % 5 = 1), n AS (SELECT one, count(*) AS n FROM q GROUP BY 1), r AS (SELECT one, row_number() OVER (ORDER BY length(seq) DESC, one) AS k FROM s WHERE length(seq) >= 5), met AS (SELECT q.one AS later, k.one AS earlier, count(*) AS c FROM q JOIN k USING (g) JOIN r a ON a.one = q.one JOIN r b ON b.one = k.one AND b.k < a.k GROUP BY 1, 2), against AS MATERIALIZED (SELECT later, list(earlier) AS es FROM met JOIN n ON n.one = later WHERE c / n::DOUBLE > 0.8 GROUP BY 1), item AS MATERIALIZED (SELECT one, k, coalesce(es, []) AS es FROM r LEFT JOIN against ON later = one), step AS (SELECT k, [one] AS kept FROM item WHERE k = 1 UNION ALL SELECT item.k, CASE WHEN list_has_any(kept, es) THEN kept ELSE list_append(kept, one) END FROM step JOIN item ON item.k = step.k + 1) SELECT unnest(arg_max(kept, k)) AS seq_id FROM step UNION ALL SELECT seq_id FROM v WHERE coalesce(length(seq) < 5, true)")
+def greedy_turns(spark, sf_dir):
+    """W11 over turns of conversations and their near copies: those that stay, longest first."""
+    return clusters.greedy_representatives(view(spark, sf_dir, _TURNS))
+
+
 _DRAWN = "l AS (SELECT locus, CAST(max(length(seq)) AS BIGINT) AS n, CAST(concat('0x', substr(md5(locus), 1, 7)) AS BIGINT) AS h FROM a GROUP BY 1), d AS (SELECT locus, n, list_transform(list_transform(list_transform(list_transform(range(1, n + 1), lambda k: (k * 2654435761 + 1597334677 + 1812433253 + h) % 4294967296), lambda x: (xor(x, x >> 15) * 2146121005) % 4294967296), lambda x: (xor(x, x >> 13) * 1540483477) % 4294967296), lambda x: xor(x, x >> 16) % n + 1) AS s FROM l)"
 
 

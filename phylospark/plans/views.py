@@ -30,7 +30,7 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> None:
 
 def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A view's rows (its tables are registered first)."""
-    known = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "pages")
+    known = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels", "pages", "conversations")
     tables(spark, sf_dir, *[n for n in known if n in text])
     return spark.sql("SELECT * FROM " + text.replace("regexp_replace_all", "regexp_replace"))
 

@@ -260,26 +260,39 @@ def resampled(rows: DataFrame, seed: int, fill: str = "-") -> DataFrame:
     return rows.mapInArrow(run, rows.drop("__n").schema)
 
 
-def _joined(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all rows' characters, end to end, and the bounds of the rows (NULL: empty)."""
-    texts = column.to_pylist()
-    raw = "".join(t or "" for t in texts)
-    return _codes(raw, table), np.cumsum([0, *(len(t or "") for t in texts)])
+#: characters that are worked on at once, so that the arrays over them stay in the processor's cache
+_PIECE = 1 << 17
+
+
+def _joined(batch: pa.RecordBatch, table: np.ndarray) -> Iterator[tuple[int, list[str], np.ndarray, np.ndarray]]:
+    """Runs of a batch's rows: number of the first one, texts (NULL: empty), codes of all their characters, end to end, and
+    the bounds of the rows.  A long row is a run of its own."""
+    texts = [t or "" for t in batch.column("seq").to_pylist()]
+    first = size = 0
+    for k, t in enumerate([*texts, ""]):
+        if k == len(texts) or size and size + len(t) > _PIECE:
+            if k > first:
+                some = texts[first:k]
+                yield first, some, _codes("".join(some), table), np.cumsum([0, *map(len, some)])
+            first, size = k, 0
+        size += len(t)
 
 
 def _places(bounds: np.ndarray) -> np.ndarray:
     """Each character's place in its row."""
-    return np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))
+    return (np.arange(bounds[-1]) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.int32)
 
 
 def _words(codes: np.ndarray, place: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """k, the k-mers that end at each base as numbers (two bits a base), and whether they are whole and plain."""
-    word, good = np.zeros(len(codes), np.int64), np.ones(len(codes), bool)
+    kind = np.int32 if longest < 16 else np.int64
+    own, word, good = codes.astype(kind), np.zeros(len(codes), kind), np.ones(len(codes), bool)
+    plain = codes < 4
     for k in range(1, min(longest, len(codes)) + 1):
         # the base k - 1 places before goes in front
-        word[k - 1 :] += codes[: len(codes) - k + 1].astype(np.int64) << 2 * (k - 1)
+        word[k - 1 :] += own[: len(codes) - k + 1] << 2 * (k - 1)
         good &= place >= k - 1
-        good[k - 1 :] &= codes[: len(codes) - k + 1] < 4
+        good[k - 1 :] &= plain[: len(codes) - k + 1]
         yield k, word, good
 
 
@@ -292,8 +305,7 @@ def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros(4**k * frames, np.int64) for k in range(1, longest + 1)]
         other: Counter = Counter()
-        for batch in batches:
-            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
+        for _, texts, codes, bounds in (x for batch in batches for x in _joined(batch, _UPPER_CODE)):
             place = _places(bounds)
             frame = place % frames
             for k, word, good in _words(codes, place, longest):
@@ -301,7 +313,7 @@ def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> D
                 odd = np.flatnonzero(~good & (place >= k - 1))
                 rows = np.searchsorted(bounds, odd, "right") - 1
                 for row, at in zip(rows.tolist(), place[odd].tolist()):
-                    other[batch.column("seq")[row].as_py()[at - k + 1 : at + 1], at % frames] += 1
+                    other[texts[row][at - k + 1 : at + 1], at % frames] += 1
         kmers, at, n = [], [], []
         for k, counts in enumerate(totals, 1):
             for x in np.flatnonzero(counts).tolist():
@@ -364,30 +376,34 @@ def frame_scores(sequences: DataFrame, model: DataFrame, order: int, id_: str) -
     kind = sequences.schema[id_].dataType.simpleString()
 
     def strand(codes: np.ndarray, bounds: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
-        place, rows, size = _places(bounds), len(bounds) - 1, np.diff(bounds)
-        row = np.repeat(np.arange(rows), size)
-        out = np.zeros((rows, 3))
+        place, size = _places(bounds), np.diff(bounds)
+        out, full = np.zeros((len(size), 3)), np.flatnonzero(size)
+        frame = place % 3
         for k, word, good in _words(codes, place, longest):
-            last = k == longest
-            for f in range(3):
-                if last:  # all bases from the frame's base ``longest`` on
-                    some = np.flatnonzero(good & (place >= f + k - 1))
-                else:  # the frame's k-th base has a k-mer of its first bases
-                    some = bounds[:-1][size > f + k - 1] + f + k - 1
-                    some = some[good[some]]
-                value = tables[k - 1][(place[some] - f) % 3, word[some]]
-                out[:, f] += np.bincount(row[some], value, rows)
+            if k == longest:  # all bases from the frame's base ``longest`` on
+                at = np.where(good, word, 4**k) + frame * (4**k + 1)
+                for f in range(3):
+                    value = np.roll(tables[k - 1], f, axis=0).ravel().take(at)  # a base's frame, seen from the f-th base on
+                    value[place < f + k - 1] = 0.0
+                    out[full, f] += np.add.reduceat(value, bounds[:-1][full])
+                continue
+            for f in range(3):  # the frame's k-th base has a k-mer of its first bases
+                some = np.flatnonzero(size > f + k - 1)
+                at = bounds[some] + f + k - 1
+                some, at = some[good[at]], at[good[at]]
+                out[some, f] += tables[k - 1][(k - 1) % 3, word[at]]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f"score_{k}" for k in range(1, 7)]
         for batch in batches:
-            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
-            scores = [strand(codes, bounds, shared.value)]
-            # all rows reversed at once: the rows come in the opposite order, too
-            back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
-            scores.append(strand(back, (bounds[-1] - bounds)[::-1], shared.value)[::-1])
-            columns = np.concatenate(scores, axis=1)
+            columns = np.zeros((batch.num_rows, 6))
+            for first, texts, codes, bounds in _joined(batch, _UPPER_CODE):
+                own = columns[first : first + len(texts)]
+                own[:, :3] = strand(codes, bounds, shared.value)
+                # all rows reversed at once: the rows come in the opposite order, too
+                back = np.where(codes < 4, 3 - codes, 4).astype(np.uint8)[::-1]
+                own[:, 3:] = strand(back, (bounds[-1] - bounds)[::-1], shared.value)[::-1]
             yield pa.RecordBatch.from_arrays([batch.column(id_), *[pa.array(np.ascontiguousarray(columns[:, k])) for k in range(6)]], names=[id_, *names])
 
     return sequences.select(id_, "seq").mapInArrow(run, f"`{id_}` {kind}, " + ", ".join(f"score_{k} double" for k in range(1, 7)))
@@ -404,23 +420,25 @@ def profiles(sequences: DataFrame, model: DataFrame, order: int, id_: str, cap:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, bounds = _joined(batch.column("seq"), _UPPER_CODE)
-            place = _places(bounds)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            lik, word_at = np.zeros(len(codes)), np.full(len(codes), -1)
-            for k, word, good in _words(codes, place, longest):
-                some = np.flatnonzero(good & ((place >= k - 1) if k == longest else (place == k - 1)))
-                lik[some] = shared.value[k - 1][place[some] % 3, word[some]]
-                word_at[some] = (word[some] + 4**k) * 3 + place[some] % 3
-            if cap is not None and len(codes):
-                order_ = np.lexsort((place, word_at, row))
-                new = np.flatnonzero((np.diff(word_at[order_], prepend=-2) != 0) | (np.diff(row[order_], prepend=-1) != 0))
-                use = np.arange(len(order_)) - np.repeat(new, np.diff(np.append(new, len(order_))))
-                lik[order_[use >= cap]] = 0.0
-            total = np.cumsum(lik)
-            running = total - np.repeat(np.concatenate(([0.0], total))[bounds[:-1]], np.diff(bounds))
-            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x)) for x in (lik, running)]
-            yield pa.RecordBatch.from_arrays([batch.column(id_), *lists], names=[id_, "lik", "running"])
+            for first, texts, codes, bounds in _joined(batch, _UPPER_CODE):
+                place, size = _places(bounds), np.diff(bounds)
+                lik = np.zeros(len(codes))
+                used = np.full(len(codes), -1, np.int64)
+                for k, word, good in _words(codes, place, longest):
+                    some = np.flatnonzero(good) if k == longest else bounds[:-1][size > k - 1] + k - 1
+                    some = some[good[some]]
+                    lik[some] = shared.value[k - 1][place[some] % 3, word[some]]
+                    used[some] = (word[some].astype(np.int64) + 4**k) * 3 + place[some] % 3
+                if cap is not None and len(codes):
+                    row = np.repeat(np.arange(len(size)), size)
+                    order_ = np.lexsort((place, used, row))
+                    new = np.flatnonzero((np.diff(used[order_], prepend=-2) != 0) | (np.diff(row[order_], prepend=-1) != 0))
+                    use = np.arange(len(order_)) - np.repeat(new, np.diff(np.append(new, len(order_))))
+                    lik[order_[use >= cap]] = 0.0
+                total = np.cumsum(lik)
+                running = total - np.repeat(np.concatenate(([0.0], total))[bounds[:-1]], size)
+                lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x)) for x in (lik, running)]
+                yield pa.RecordBatch.from_arrays([batch.column(id_).slice(first, len(texts)), *lists], names=[id_, "lik", "running"])
 
     return sequences.select(id_, "seq").mapInArrow(run, f"`{id_}` {kind}, lik array<double>, running array<double>")
 

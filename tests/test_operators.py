@@ -468,3 +468,27 @@ def test_marked_sites_equal_brute_force(spark):
     sites = spark.createDataFrame([("L1", 1), ("L1", 4097), ("L2", 3)], "locus string, pos int")
     picked = {r[2]: "".join((r[3] + "-" * 9000)[p - 1] for p in ([1, 4097] if r[0] == "L1" else [3])) for r in rows if r[0] in ("L1", "L2")}
     assert {r.seq_id: r.seq for r in alignment.select_sites(frame, sites).collect()} == picked
+
+
+def test_scores_and_profiles_equal_brute_force(spark, monkeypatch):
+    rnd = random.Random(16)
+    rows = [(i, "".join(rnd.choice("ACGT" if i % 4 else "ACGTN") for _ in range(rnd.choice([0, 1, 3, 5, 40, 700])))) for i in range(40)] + [(99, None)]
+    model = [(kmer, f, rnd.uniform(-1, 1)) for kmer in ("A", "C", "AC", "GT", "TTA", "ACG", "GTA", "TAC", "CGT") for f in range(3)]
+    lik = {(k, f): v for k, f, v in model}
+    frame, kmers = spark.createDataFrame(rows, "orf_id long, seq string"), spark.createDataFrame(model, "kmer string, frame int, loglik double")
+
+    def score(s, f):
+        return sum(lik.get((s[max(f, i - 2) : i + 1], (i - f) % 3), 0.0) for i in range(f, len(s)))
+
+    got = {r.orf_id: [r[f"score_{k}"] for k in range(1, 7)] for r in counts.frame_scores(frame, kmers, 2, "orf_id").collect()}
+    for i, s in rows:
+        back = (s or "").translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        assert got[i] == pytest.approx([score(x, f) for x in (s or "", back) for f in range(3)]), i
+    for cap in (None, 2):
+        for r in counts.profiles(frame, kmers, 2, "orf_id", cap).collect():
+            s, seen, want = dict(rows)[r.orf_id] or "", Counter(), []
+            for i in range(len(s)):
+                own = (s[max(0, i - 2) : i + 1], i % 3)
+                seen[own] += 1
+                want.append(0.0 if cap and seen[own] > cap else lik.get(own, 0.0))
+            assert r.lik == pytest.approx(want) and r.running == pytest.approx([sum(want[: k + 1]) for k in range(len(want))])

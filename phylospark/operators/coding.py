@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import chars, ratio, translate_codons
 from ..functions.sequence import GENETIC_CODES
 from .clusters import stored
-from .counts import ending_kmer_counts, frame_scores, profiles, reading_frames, word_windows
+from .counts import base_totals, ending_kmer_counts, frame_scores, profiles, reading_frames, word_windows
 from .places import carried, in_ranges
 
 _STOP = "(TAA|TAG|TGA)$"
@@ -17,13 +17,14 @@ _STOP = "(TAA|TAG|TGA)$"
 
 def base_composition(sequences: DataFrame, both_strands: bool = True) -> DataFrame:
     """Base, count, ratio (3 decimals); the second strand's counts are the complements'."""
-    seq = F.upper("seq")
-    one = [F.sum(F.length("seq") - F.length(F.replace(seq, F.lit(b), F.lit("")))).alias(b) for b in "ACGT"]
-    counts = sequences.agg(*one)
-    pairs = [F.struct(F.lit(b).alias("base"), (F.coalesce(F.col(b), F.lit(0)) + (F.coalesce(F.col("TGCA"["ACGT".index(b)]), F.lit(0)) if both_strands else 0)).cast("long").alias("n")) for b in "ACGT"]
-    rows = counts.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
+    # all four of them, of no sequences too
+    none = sequences.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, "ACGT"))).alias("base"), F.lit(0).cast("long").alias("n"))
+    own = base_totals(sequences).union(none).groupBy("base").agg(F.sum("n").alias("n"))
+    if both_strands:
+        other = own.select(F.translate("base", "ACGT", "TGCA").alias("base"), "n")
+        own = own.union(other).groupBy("base").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(W.partitionBy())  # four rows
-    return rows.select("base", "n", F.round(ratio("n", total), 3).alias("ratio"))
+    return own.select("base", "n", F.round(ratio("n", total), 3).alias("ratio"))
 
 
 def other_bases(sequences: DataFrame, source: str = "source") -> DataFrame:

@@ -330,6 +330,19 @@ def ending_kmer_counts(sequences: DataFrame, longest: int, frames: int = 3) -> D
     return parts.groupBy("kmer", "frame").agg(F.sum("n").alias("n"))
 
 
+def base_totals(sequences: DataFrame) -> DataFrame:
+    """``base``, ``n``: how often each of A, C, G and T (either case) occurs, all four of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(5, np.int64)
+        for batch in batches:
+            for _, _, codes, _ in _joined(batch, _CODE):
+                n += np.bincount(codes, minlength=5)
+        yield pa.RecordBatch.from_arrays([pa.array(list(_BASES)), pa.array(n[:4])], names=["base", "n"])
+
+    return sequences.select("seq").mapInArrow(run, "base string, n long").groupBy("base").agg(F.sum("n").alias("n"))
+
+
 def kmer_sets(sequences: DataFrame, k: int, step: int = 1) -> DataFrame:
     """``seq_id``, ``kmers``: 64-bit hashes of the distinct windows of ``k`` characters, every ``step``-th, sorted."""
     kind = sequences.schema["seq_id"].dataType.simpleString()

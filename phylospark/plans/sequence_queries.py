@@ -111,7 +111,7 @@ def framed_kmer_counts(spark, sf_dir):
 
 
 def kmer_model(spark, sf_dir):
-    cds = view(spark, sf_dir, CODING)
+    cds = clusters.stored(view(spark, sf_dir, CODING), "coding")  # read three times
     return cds, coding.kmer_model(coding.framed_kmers(cds, 6), coding.base_composition(cds))
 
 

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .clusters import stored
+
 NODES = "tree_id string, node_id int, parent_id int, name string, support double, branch_len double, is_leaf boolean, depth int, root_dist double, leaves array<string>"
 _TOKEN = re.compile(r"\[[^\]]*\]|'(?:[^']|'')*'|[(),:;]|[^\s(),:;\[\]']+")
 
@@ -559,6 +561,32 @@ def listed_calibrations(tree_nodes: DataFrame, calibrations: DataFrame, root_age
     return rows.unionByName(bare.select("tree_id", "node_id", F.lit("root").alias("list_id"), F.lit(root_age).alias("min_age"), F.lit(root_age).alias("max_age")))
 
 
+def long_branches(tree_nodes: DataFrame) -> DataFrame:
+    """A32 over a node table: per tree and removed leaf, the ratio of successive minimum diameters (our own definition).
+
+    Leaves go one by one, min(n / 5, 2 sqrt(n)) of them: of the two ends of the diameter (the first in name order of equal
+    ones) the one without which the diameter is smaller, of equal ones the first by name.  A round is grouped maxima over
+    the pairs of leaves that are left, for all trees at once.  ``tree_id``, ``leaf``, ``signature`` >= 1.
+    """
+    tips = tree_nodes.where("is_leaf").select("tree_id", "name", F.col("root_dist").alias("far"))
+    side = lambda x: tips.select("tree_id", F.col("name").alias(x), F.col("far").alias(f"far_{x}"))
+    apart = F.col("far_a") + F.col("far_b") - 2 * F.col("depth")
+    leaves = tips.groupBy("tree_id").agg(F.count("*").alias("n"))
+    steps = F.least(F.floor(F.col("n") / 5), F.floor(2 * F.sqrt("n"))).cast("int")
+    pairs = pair_depths(tree_nodes).join(side("a"), ["tree_id", "a"]).join(side("b"), ["tree_id", "b"]).join(leaves, "tree_id")
+    left = stored(pairs.select("tree_id", "a", "b", apart.alias("d"), steps.alias("steps")).where("steps > 0"), "leaf-pairs")
+    found = None
+    for k in range(1, 1 + (left.agg(F.max("steps")).first()[0] or 0)):
+        ends = left.where(F.col("steps") >= k).groupBy("tree_id").agg(F.min_by(F.struct("a", "b", "d"), F.struct(-F.col("d"), "a", "b")).alias("e"))
+        without = lambda x: F.max(F.when((F.col("a") != F.col(f"e.{x}")) & (F.col("b") != F.col(f"e.{x}")), F.col("d")))
+        after = left.join(ends, "tree_id").groupBy("tree_id", "e").agg(without("a").alias("a"), without("b").alias("b"))
+        choice = F.least(F.struct(F.col("a").alias("d"), F.col("e.a").alias("leaf")), F.struct(F.col("b").alias("d"), F.col("e.b").alias("leaf")))
+        gone = stored(after.where("a is not null").select("tree_id", F.col("e.d").alias("d"), choice.alias("c")).select("tree_id", "c.leaf", F.when(F.col("c.d") > 0, F.col("d") / F.col("c.d")).otherwise(1.0).alias("signature")), "gone-leaves")
+        found = gone if found is None else found.unionByName(gone)
+        left = stored(left.join(gone.select("tree_id", "leaf"), "tree_id").where("a <> leaf and b <> leaf").drop("leaf"), "leaf-pairs")
+    return found if found is not None else tree_nodes.sparkSession.createDataFrame([], "tree_id string, leaf string, signature double")
+
+
 def long_branch_signatures(trees: DataFrame) -> DataFrame:
     """Per tree and removed leaf, the ratio of successive minimum diameters (our own definition).
 

@@ -96,7 +96,7 @@ def fastq_split(spark, sf_dir):
 
 # features ----------------------------------------------------------------------------------------
 
-_FEATURES = "(SELECT concat('c', CAST(o_custkey AS VARCHAR(20))) AS contig, 'maker' AS source, CASE WHEN o_orderkey % 3 = 0 THEN 'mRNA' ELSE 'CDS' END AS type, o_orderkey AS start, o_orderkey + 50 + o_orderkey % 7 AS stop, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, concat('ID=m', CAST(o_orderkey AS VARCHAR(20)), ';Parent=g', CAST(o_custkey AS VARCHAR(20)), ';Note=type:', CASE WHEN o_orderkey % 5 = 0 THEN 'complete' ELSE 'partial' END) AS attributes, CAST(o_custkey AS VARCHAR(20)) AS gene, CAST(o_orderkey AS VARCHAR(20)) AS transcript FROM orders)"
+_FEATURES = "(SELECT concat('c', CAST(o_custkey AS VARCHAR(20))) AS contig, 'view' AS source, CASE WHEN o_orderkey % 3 = 0 THEN 'mRNA' ELSE 'CDS' END AS type, o_orderkey AS start, o_orderkey + 50 + o_orderkey % 7 AS stop, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, concat('ID=m', CAST(o_orderkey AS VARCHAR(20)), ';Parent=g', CAST(o_custkey AS VARCHAR(20)), ';Note=type:', CASE WHEN o_orderkey % 5 = 0 THEN 'complete' ELSE 'partial' END) AS attributes, CAST(o_custkey AS VARCHAR(20)) AS gene, CAST(o_orderkey AS VARCHAR(20)) AS transcript FROM orders)"
 
 
 def _gff(spark, sf_dir):

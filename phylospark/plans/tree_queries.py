@@ -195,12 +195,33 @@ def pruned_trees(spark, sf_dir):
     return rows.select("tree_id", _joined("leaves").alias("clade"), "branch_len")
 
 
-@query()
+def _long_branches(rounds: int = 5) -> str:
+    """SQL rows (tree_id, leaf, signature) of the leaves that go, round by round."""
+    out = [
+        f"l AS MATERIALIZED (SELECT * FROM {tree_classes()})", "n AS (SELECT tree_id, CAST(least(count(*) // 5, floor(2 * sqrt(count(*)))) AS BIGINT) AS steps FROM l GROUP BY 1)",
+        "p0 AS (SELECT a.tree_id, a.leaf AS x, b.leaf AS y, a.len + b.len + CASE WHEN a.k = b.k THEN 0 ELSE 2 + a.k + b.k END AS d FROM l a JOIN l b ON a.tree_id = b.tree_id AND a.leaf < b.leaf)",
+    ]
+    for k in range(1, rounds + 1):
+        out += [
+            f"top{k} AS (SELECT tree_id, arg_min({{'x': x, 'y': y, 'd': d}}, (-d, x, y)) AS t FROM p{k - 1} JOIN n USING (tree_id) WHERE steps >= {k} GROUP BY 1)",
+            f"gone{k} AS MATERIALIZED (SELECT tree_id, CASE WHEN (ax, t.x) <= (ay, t.y) THEN t.x ELSE t.y END AS leaf, CASE WHEN least(ax, ay) > 0 THEN t.d / least(ax, ay) ELSE 1 END AS signature FROM (SELECT tree_id, t, max(d) FILTER (x <> t.x AND y <> t.x) AS ax, max(d) FILTER (x <> t.y AND y <> t.y) AS ay FROM p{k - 1} JOIN top{k} USING (tree_id) GROUP BY ALL))",
+            f"p{k} AS (SELECT p.* FROM p{k - 1} p JOIN gone{k} USING (tree_id) WHERE x <> leaf AND y <> leaf)",
+        ]
+    return ", ".join(out) + ", sig AS (" + " UNION ALL ".join(f"SELECT * FROM gone{k}" for k in range(1, rounds + 1)) + ")"
+
+
+@query(f"WITH {_long_branches()} SELECT tree_id, leaf, round(signature, 6) AS signature FROM sig")
+def long_branches(spark, sf_dir):
+    """Leaves on long branches of each tree, with the ratio of diameters."""
+    return trees.long_branches(tree_nodes(spark, sf_dir)).withColumn("signature", F.round("signature", 6))
+
+
+@query(f"WITH {_long_branches()}, occ AS (SELECT leaf, count(*) AS n FROM l GROUP BY 1), few AS (SELECT min(n) < 20 AS whole FROM occ), s AS (SELECT leaf, n, coalesce(sum(ln(signature)), 0) AS s, coalesce(sum(ln(signature) * ln(signature)), 0) AS q FROM occ LEFT JOIN sig USING (leaf) GROUP BY ALL), g AS (SELECT leaf, CASE WHEN whole THEN sum(s) OVER () ELSE s END AS s, CASE WHEN whole THEN sum(q) OVER () ELSE q END AS q, CASE WHEN whole THEN sum(n) OVER () ELSE n END AS n, whole FROM s CROSS JOIN few), t AS (SELECT leaf, exp(s / n + 1.6448536269514722 * sqrt(greatest(q / n - s / n * (s / n), 0))) AS limit_, whole FROM g) SELECT tree_id, leaf AS species, leaf, round(ln(signature), 6) AS ln_signature, round(CASE WHEN whole THEN limit_ ELSE greatest(limit_, 1.05) END, 6) AS threshold FROM sig JOIN t USING (leaf) WHERE signature > CASE WHEN whole THEN limit_ ELSE greatest(limit_, 1.05) END")
 def branch_outliers(spark, sf_dir):
-    corpus = tree_corpus(spark, sf_dir)
-    signatures = trees.long_branch_signatures(corpus)
-    occupancy = trees.nodes(corpus).where("is_leaf").groupBy(F.col("name").alias("species")).agg(F.count("*").alias("n_trees"))
-    return trees.removal_thresholds(signatures, occupancy)
+    """Leaves whose signature is over the threshold of all leaves, or of their species."""
+    nodes = tree_nodes(spark, sf_dir)
+    occupancy = nodes.where("is_leaf").groupBy(F.col("name").alias("species")).agg(F.count("*").alias("n_trees"))
+    return trees.removal_thresholds(trees.long_branches(nodes), occupancy).withColumn("threshold", F.round("threshold", 6))
 
 
 def _copies(spark, sf_dir):

@@ -134,6 +134,23 @@ def remove_taxa(alignments: DataFrame, removed: DataFrame) -> DataFrame:
     return alignments.join(removed.select("locus", "seq_id").distinct(), ["locus", "seq_id"], "left_anti")
 
 
+def site_blocks(alignments: DataFrame, size: int = 50_000) -> DataFrame:
+    """Rows cut into blocks of ``size`` sites: ``locus``, ``block`` (from 0), ``first`` (site, from 1), ``ord``, ``seq_id``, ``seq``.
+
+    A row has the blocks that it reaches, one at least.
+    """
+    n = F.greatest(F.lit(1), F.ceil(F.length("seq") / size)).cast("int")
+    each = alignments.select("locus", "ord", "seq_id", "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("block"))
+    first = F.col("block") * size + 1
+    return each.select("locus", "block", first.alias("first"), "ord", "seq_id", F.substr("seq", first, F.lit(size)).alias("seq"))
+
+
+def merged_blocks(blocks: DataFrame) -> DataFrame:
+    """Rows made of their blocks again, in the order of numbers (not of names)."""
+    parts = F.array_sort(F.collect_list(F.struct("block", "seq")))
+    return blocks.groupBy("locus", "ord", "seq_id").agg(F.array_join(F.transform(parts, lambda p: p["seq"]), "").alias("seq"))
+
+
 def filled_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
     """Rows without the sites at which their locus has nothing but gaps; shorter rows are filled up with gaps.
 

@@ -56,6 +56,20 @@ def filtered_alignment(spark, sf_dir):
     return rows.select("locus", "seq_id", F.length("seq").cast("long").alias("sites"), F.md5("seq").alias("seq_md5"))
 
 
+@query(f"WITH a AS {_A}, b AS (SELECT locus, seq_id, seq, unnest(range(0, greatest(1, CAST(ceil(length(seq) / 1500) AS BIGINT)))) AS block FROM a) SELECT locus, block, count(*) AS n, CAST(sum(length(substr(seq, block * 1500 + 1, 1500))) AS BIGINT) AS sites FROM b GROUP BY ALL")
+def site_blocks(spark, sf_dir):
+    """Rows and characters of each block of sites."""
+    rows = alignment.site_blocks(view(spark, sf_dir, ALIGNMENTS), 1500)
+    return rows.groupBy("locus", F.col("block").cast("long").alias("block")).agg(F.count("*").alias("n"), F.sum(F.length("seq")).alias("sites"))
+
+
+@query(f"SELECT locus, seq_id, md5(seq) AS seq_md5 FROM {_A}")
+def merged_blocks(spark, sf_dir):
+    """Rows that were cut into blocks of sites and joined again are what they were."""
+    blocks = alignment.site_blocks(view(spark, sf_dir, ALIGNMENTS), 97)
+    return alignment.merged_blocks(blocks).select("locus", "seq_id", F.md5("seq").alias("seq_md5"))
+
+
 @query(f"WITH {_PATTERNS} SELECT locus, count(*) FILTER (kinds = 1) AS constant, count(*) FILTER (kinds > 1) AS variable, count(*) FILTER (kinds > 1 AND repeated < 2) AS singleton, count(*) FILTER (repeated >= 2) AS informative FROM sites GROUP BY 1")
 def site_statistics(spark, sf_dir):
     return alignment.site_statistics(view(spark, sf_dir, ALIGNMENTS))

@@ -492,3 +492,37 @@ def test_scores_and_profiles_equal_brute_force(spark, monkeypatch):
                 seen[own] += 1
                 want.append(0.0 if cap and seen[own] > cap else lik.get(own, 0.0))
             assert r.lik == pytest.approx(want) and r.running == pytest.approx([sum(want[: k + 1]) for k in range(len(want))])
+
+
+def test_best_share_equals_ranks_in_one_window(spark):
+    rnd = random.Random(17)
+    scores = [rnd.choice([None, 0.5, rnd.randint(0, 9) / 4]) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(scores)), "id int, score double")
+    known = [(i, x) for i, x in enumerate(scores) if x is not None]
+    for share in (0.0, 0.1, 0.3, 1.0):
+        rank = {i: sum(y > x for _, y in known) / (len(known) - 1) for i, x in known}
+        assert {r.id for r in coding.best_share(frame, "score", share).collect()} == {i for i, r in rank.items() if r <= share}
+    assert coding.best_share(frame.limit(0), "score", 0.3).count() == 0
+
+
+def test_long_branches_of_a_small_tree(spark):
+    # a caterpillar with one long leaf; five leaves lose one
+    text = "((((a:1,b:1):1,c:1):1,d:1):1,z:50);"
+    rows = trees.long_branches(trees.nodes(spark.createDataFrame([("t", text), ("u", "(a:1,b:1);")], "tree_id string, newick string"))).collect()
+    # the diameter is 54 (z to a); without z it is 4 (a to d)
+    assert [(r.tree_id, r.leaf, r.signature) for r in rows] == [("t", "z", 54 / 4)]
+
+
+def test_files_of_several_patterns(spark, tmp_path):
+    for name in ("a/x.txt", "a/y.txt", "b/x.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("1")
+    found = sources.read.file_list(spark, [f"{tmp_path}/a/*", f"{tmp_path}/*/x.txt"]).collect()
+    assert sorted("/".join(r.path.split("/")[-2:]) for r in found) == ["a/x.txt", "a/y.txt", "b/x.txt"]
+
+
+def test_blocks_of_sites(spark):
+    rows = spark.createDataFrame([("L", 1, "a", "ACGTACG"), ("L", 2, "b", ""), ("L", 3, "c", "ACG"), ("L", 4, "d", None)], ALN)
+    blocks = alignment.site_blocks(rows, 3)
+    assert sorted((r.seq_id, r.block, r.first, r.seq) for r in blocks.where("seq is not null").collect()) == [("a", 0, 1, "ACG"), ("a", 1, 4, "TAC"), ("a", 2, 7, "G"), ("b", 0, 1, ""), ("c", 0, 1, "ACG")]
+    assert {r.seq_id: r.seq for r in alignment.merged_blocks(blocks.where("seq is not null")).collect()} == {"a": "ACGTACG", "b": "", "c": "ACG"}

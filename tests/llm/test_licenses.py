@@ -63,3 +63,24 @@ def test_long_texts_and_clashing_columns(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, license int, doc int")
     got = {(r.doc_id, r.license, r.first_word) for r in licenses.scan(frame).collect()}
     assert {(1, "Apache-2.0", 200_000), (None, "Apache-2.0", 0)} <= got and all(d != 2 for d, _, _ in got)
+
+
+def test_whole_texts(spark):
+    """A whole text with a few changed words, at any place; half of one is no match of the whole."""
+    rnd = random.Random(11)
+    say = lambda k: " ".join(rnd.choice("lorem ipsum dolor sit amet software the of".split()) for _ in range(k))
+    whole = [(n, t) for n, t in licenses.TEMPLATES if len(t.split()) > 60]
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "BSL-1.0", "Unlicense", "Apache-2.0", "GPL-3.0"} <= {n for n, _ in whole}
+    docs = []
+    for i, (_, said) in enumerate(whole):
+        for j in range(4):
+            w = said.split()
+            for _ in range(j):
+                w[rnd.randrange(len(w))] = "changed"
+            docs.append((10 * i + j, say(rnd.randint(0, 90)) + "\n/* " + "\n * ".join(w) + " */\n" + say(30)))
+        docs.append((10 * i + 5, " ".join(said.split()[: len(said.split()) // 2])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.license): r.containment for r in licenses.scan(frame, whole).collect()}
+    assert set(brute(docs, whole)) <= set(got) <= set(brute(docs, whole, 32))
+    for i, (name, _) in enumerate(whole):
+        assert got[10 * i, name] == 1.0 and {(10 * i + j, name) for j in range(4)} <= set(got) and (10 * i + 5, name) not in got

@@ -63,7 +63,7 @@ class _Words:
 
 def _item_windows(benchmark: DataFrame, item: str, text: str, n: int) -> DataFrame:
     """Distinct (n, hash, words, item) of the benchmark's windows."""
-    slim = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null")
+    slim = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _BATCH_BYTES):
@@ -80,11 +80,11 @@ def _item_windows(benchmark: DataFrame, item: str, text: str, n: int) -> DataFra
     return slim.mapInArrow(run, "n int, hash long, words binary, item string").distinct()
 
 
-def _finish(n_words: int, spans: list[tuple[int, int]], items: set[str]) -> tuple[int, int, str, bool]:
+def _finish(n_words: int, spans: list[tuple[int, int]], items: set[str | None]) -> tuple[int, int, str, bool]:
     hit = np.zeros(n_words, bool)
     for a, b in spans:
         hit[a:b] = True
-    n = int(hit.sum())
+    n, items = int(hit.sum()), items - {None}
     return n, len(items), sha256(",".join(sorted(items)).encode()).hexdigest(), n > 0 and 20 * n >= n_words
 
 
@@ -96,8 +96,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 
     An item's window is ``n`` consecutive words (all words of a shorter item).  A document word in
     any occurrence of a window is hit; a document is contaminated when at least a twentieth of its
-    words are.  Null texts have no words; items without id or words have no windows; an empty
-    benchmark hits nothing.  Columns of ``docs`` that clash with a result are replaced.
+    words are.  Null texts have no words; items without words have no windows; windows of items
+    without id hit words, but such items are not counted or listed; an empty benchmark hits nothing.  Columns of ``docs`` that clash with a result are replaced.
 
     ``keep_hit_text`` names a column to which the text without its hit words' spans is written:
     "remove spans" instead of "remove documents".
@@ -106,7 +106,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     names = [prefix + f.split()[0] for f in _RESULT.split(", ")]
     kept = docs.drop(*names, *([keep_hit_text] if keep_hit_text else []))
     # a window's words, its item, and about 250 bytes of Python objects
-    size = windows.agg(F.sum(F.octet_length("words") + F.octet_length("item") + 250)).first()[0] or 0
+    size = windows.agg(F.sum(F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0)) + 250)).first()[0] or 0
     if size <= max_broadcast:
         return _by_broadcast(kept, windows, text, names, keep_hit_text)
     return _by_join(kept, windows, text, names, keep_hit_text)

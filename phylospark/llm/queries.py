@@ -42,7 +42,7 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of each document in benchmark windows; items without an id hit nothing."""
+    """Words of each document in benchmark windows; items without an id hit words and are not listed."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.drop("text")
 
@@ -112,7 +112,7 @@ def queries() -> dict:
 _LOW = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _DECONTAMINATE = f"""
 WITH d AS (SELECT doc_id, {_LOW} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_LOW} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_LOW} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT item, w, least(13, len(w)) AS n, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
 hits AS (SELECT doc_id, i, n, item FROM dw JOIN bw USING (n, s)),

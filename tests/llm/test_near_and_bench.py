@@ -17,7 +17,7 @@ def brute_contamination(docs, items, n=13):
         w = words(t)
         size = min(n, len(w))
         for k in range(len(w) - size + 1) if size else ():
-            windows.setdefault(tuple(w[k : k + size]), set()).add(str(i))
+            windows.setdefault(tuple(w[k : k + size]), set()).update(() if i is None else (str(i),))
     out = []
     for d, t in docs:
         w, hit, found = words(t), set(), set()
@@ -58,11 +58,12 @@ def test_contamination(spark, limit):
     vocab = [f"w{i}" for i in range(30)] + ["é", "Ünï", "X1"]
     say = lambda k: " ".join(rnd.choice(vocab) + rnd.choice(["", ",", ".\n", "-"]) for _ in range(k))
     items = [(i, say(rnd.choice([1, 2, 5, 12, 13, 14, 40]))) for i in range(12)] + [(50, ""), (51, None), (52, "!!"), (None, "lost words")]
-    docs = [(d, say(rnd.choice([0, 1, 3, 20, 200])) + (rnd.choice(items[:12])[1].upper() if d % 3 else "")) for d in range(60)] + [(100, None), (101, ""), (102, None)]
+    docs = [(d, say(rnd.choice([0, 1, 3, 20, 200])) + (rnd.choice(items[:12])[1].upper() if d % 3 else "")) for d in range(60)] + [(100, None), (101, ""), (102, None), (103, "some LOST words, lost: words")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string").withColumn("lang", __import__("pyspark").sql.functions.lit("x")), bench, max_broadcast=limit)
     rows = sorted(tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect())
-    assert rows == brute_contamination(docs, [x for x in items if x[0] is not None])
+    assert rows == brute_contamination(docs, items)
+    assert next(r for r in rows if r[0] == 103)[1:4] == (5, 4, 0)  # an item without id hits and is not listed
     assert decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench.limit(0)).where("n_hit > 0").count() == 0
 
 

@@ -32,9 +32,39 @@ def _codes(seq: str, table: np.ndarray = _CODE) -> np.ndarray:
     return table[np.minimum(np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), "<u4"), 255)] | 0
 
 
-def _blocks(locus, counts: np.ndarray) -> Iterator[tuple]:
-    for at in range(0, len(counts), _BLOCK):
-        yield locus, at // _BLOCK, counts[at : at + _BLOCK, :4].astype("<i8").tobytes()
+def _characters(text: str) -> np.ndarray:
+    """The characters as numbers: bytes of plain text, else code points."""
+    return np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _text(characters: np.ndarray) -> str:
+    return characters.tobytes().decode("ascii") if characters.dtype == np.uint8 else characters.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+#: characters of one batch that a task emits
+_EMITTED = 4 << 20
+
+
+def _rewritten(batch: pa.RecordBatch, names: list[str], texts: Iterator[tuple[int, str | None]]) -> Iterator[pa.RecordBatch]:
+    """The named columns of the rows that have a text, which becomes ``seq``, in batches of about ``_EMITTED`` characters.
+
+    A batch of short rows may become one of long rows, whose texts are never held all at once.
+    """
+    rows, out, size = [], [], 0
+
+    def done() -> pa.RecordBatch:
+        at = pa.array(rows, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "seq" else batch.column(batch.schema.get_field_index(c)).take(at) for c in names], names=names)
+
+    for row, text in texts:
+        rows.append(row)
+        out.append(text)
+        size += len(text or "")
+        if size >= _EMITTED:
+            yield done()
+            rows, out, size = [], [], 0
+    if rows:
+        yield done()
 
 
 def base_vectors(alignments: DataFrame) -> DataFrame:
@@ -50,9 +80,11 @@ def base_vectors(alignments: DataFrame) -> DataFrame:
         held: dict = {}
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            rows = [r for locus, counts in held.items() for r in _blocks(locus, counts)]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["locus", "block", "counts"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            while held:
+                locus, counts = held.popitem()
+                parts = [counts[at : at + _BLOCK, :4].tobytes() for at in range(0, len(counts), _BLOCK)]
+                yield pa.RecordBatch.from_arrays([pa.array([locus] * len(parts), types[0]), pa.array(range(len(parts)), types[1]), pa.array(parts, types[2])], names=["locus", "block", "counts"])
 
         types = None
         for batch in batches:
@@ -61,17 +93,16 @@ def base_vectors(alignments: DataFrame) -> DataFrame:
                 codes = _codes(seq or "")
                 counts = held.get(locus)
                 if counts is None or len(counts) < len(codes):
-                    grown = np.zeros((len(codes), 5), np.int64)
+                    grown = np.zeros((len(codes), 5), "<i4")  # fewer rows than that in a task
                     if counts is not None:
                         grown[: len(counts)] = counts
                     size += len(codes) - (0 if counts is None else len(counts))
                     held[locus] = counts = grown
                 counts[np.arange(len(codes)), codes] += 1
             if size > _HELD:
-                yield flush()
-                held, size = {}, 0
-        if held:
-            yield flush()
+                yield from flush()
+                size = 0
+        yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, total = None, np.zeros(0, np.int64)
@@ -83,13 +114,12 @@ def base_vectors(alignments: DataFrame) -> DataFrame:
         for batch in batches:
             types = types or (batch.schema.field("locus").type,)
             for locus, block, raw in zip(*(batch.column(c).to_pylist() for c in ("locus", "block", "counts"))):
-                part = np.frombuffer(raw, "<i8")
+                part = np.frombuffer(raw, "<i4").astype("<i8")
                 if own != (locus, block):
                     if own is not None:
                         yield done()
-                    own, total = (locus, block), part.copy()
+                    own, total = (locus, block), part
                 elif len(part) > len(total):
-                    part = part.copy()
                     part[: len(total)] += total
                     total = part
                 else:
@@ -137,7 +167,10 @@ def occupied_sites(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def marked_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
-    """``locus``, ``marks``: bitmaps by block (of each task) of the sites at which some row has no gap."""
+    """``locus``, ``marks``: bitmaps by block of the sites at which some row has no gap.
+
+    Each task marks its own rows' sites; its bitmaps are or-ed block by block before they are gathered.
+    """
     kind = rows.schema["locus"].dataType.simpleString()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,8 +178,7 @@ def marked_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
         types = None
 
         def flush() -> pa.RecordBatch:
-            found = [(locus, at // _BLOCK, np.packbits(flags[at : at + _BLOCK]).tobytes()) for locus, flags in held.items() for at in range(0, len(flags), _BLOCK)]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((types, pa.int32(), pa.binary()))], names=["locus", "block", "bits"])
+            return _marks([(locus, at // _BLOCK, np.packbits(flags[at : at + _BLOCK]).tobytes()) for locus, flags in held.items() for at in range(0, len(flags), _BLOCK)], types)
 
         for batch in batches:
             types = batch.schema.field("locus").type
@@ -165,14 +197,39 @@ def marked_sites(rows: DataFrame, gap: str = "-") -> DataFrame:
         if held:
             yield flush()
 
-    return _by_locus(rows.select("locus", "seq").mapInArrow(mark, f"locus {kind}, block int, bits binary"))
+    return _by_locus(_merged_marks(rows.select("locus", "seq").mapInArrow(mark, f"locus {kind}, block int, bits binary")))
 
 
 def _by_locus(blocks: DataFrame) -> DataFrame:
-    """An eighth of a byte for each site (and, of marks, task)."""
+    """An eighth of a byte for each site."""
     return blocks.groupBy("locus").agg(F.collect_list(F.struct("block", "bits")).alias("marks"))
 
 
+def _merged_marks(blocks: DataFrame) -> DataFrame:
+    """One bitmap for each ``locus`` and ``block``: all of them or-ed, over sorted partitions."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, bits = None, np.zeros(0, np.uint8)
+        for batch in batches:
+            out = []
+            for locus, block, raw in zip(*(batch.column(c).to_pylist() for c in ("locus", "block", "bits"))):
+                part = np.frombuffer(raw, np.uint8)
+                if own != (locus, block):
+                    if own is not None:
+                        out.append((*own, bits.tobytes()))
+                    own, bits = (locus, block), np.zeros(_BYTES, np.uint8)
+                bits[: len(part)] |= part
+            yield _marks(out, batch.schema.field("locus").type)
+        if own is not None:
+            yield _marks([(*own, bits.tobytes())], batch.schema.field("locus").type)
+
+    return blocks.repartition("locus", "block").sortWithinPartitions("locus", "block").mapInArrow(merge, blocks.schema)
+
+
+def _marks(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((kind, pa.int32(), pa.binary()))], names=["locus", "block", "bits"])
+
+
 def keep_marked(rows: DataFrame, marks: DataFrame, fill: str = "-") -> DataFrame:
     """``rows`` with ``seq`` reduced to the marked sites of their locus; ``fill`` beyond a row's end.
 
@@ -183,26 +240,31 @@ def keep_marked(rows: DataFrame, marks: DataFrame, fill: str = "-") -> DataFrame
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, known = [], {}
-            loci = batch.column("locus").to_pylist()
-            for k, (locus, seq) in enumerate(zip(loci, batch.column("seq").to_pylist())):
-                if locus not in known:
-                    blocks = batch.column("marks")[k].as_py()
-                    bits = np.zeros((1 + max(b["block"] for b in blocks)) * _BYTES, np.uint8)
-                    for b in blocks:
-                        raw = np.frombuffer(b["bits"], np.uint8)
-                        bits[b["block"] * _BYTES : b["block"] * _BYTES + len(raw)] |= raw
-                    known[locus] = np.unpackbits(bits).astype(bool)
-                flags = known[locus]
-                if seq is None:
-                    out.append(None)
-                    continue
-                own = np.frombuffer(seq.encode("utf-32-le", "surrogatepass"), "<u4")[: len(flags)]
-                some = own[flags[: len(own)]].tobytes().decode("utf-32-le", "surrogatepass")
-                out.append(some + fill * int(flags[len(own) :].sum()))
-            whole = np.array([known[x].any() for x in loci], bool)
-            columns = [pa.array(out, pa.string()) if c == "seq" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(whole))
+            yield from _rewritten(batch, names, picked(batch))
+
+    def picked(batch: pa.RecordBatch) -> Iterator[tuple[int, str | None]]:
+        known: dict = {}
+        for k, (locus, seq) in enumerate(zip(batch.column("locus").to_pylist(), batch.column("seq"))):
+            if locus not in known:
+                blocks = batch.column("marks")[k].as_py()
+                bits = np.zeros((1 + max(b["block"] for b in blocks)) * _BYTES, np.uint8)
+                for b in blocks:
+                    raw = np.frombuffer(b["bits"], np.uint8)
+                    bits[b["block"] * _BYTES : b["block"] * _BYTES + len(raw)] |= raw
+                flags = np.unpackbits(bits).astype(bool)
+                if sum(len(flags) for flags, _ in known.values()) > _HELD:
+                    known.clear()
+                known[locus] = flags, int(flags.sum())
+            flags, n = known[locus]
+            text = seq.as_py()
+            if not n:
+                continue
+            if text is None:
+                yield k, None
+                continue
+            own = _characters(text)[: len(flags)]
+            some = own[flags[: len(own)]]
+            yield k, _text(some) + fill * (n - len(some))
 
     return joined.mapInArrow(pick, rows.schema)
 
@@ -245,17 +307,19 @@ def resampled(rows: DataFrame, seed: int, fill: str = "-") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn: dict = {}
         for batch in batches:
-            out = []
-            for locus, replicate, seq, n in zip(*(batch.column(names.index(c)).to_pylist() for c in ("locus", "replicate", "seq", "__n"))):
-                if (locus, replicate) not in drawn:
-                    if sum(map(len, drawn.values())) > _HELD:
-                        drawn.clear()
-                    drawn[locus, replicate] = drawn_sites(locus, n, replicate, seed)
-                own = np.full(n, ord(fill), "<u4")
-                codes = np.frombuffer((seq or "").encode("utf-32-le", "surrogatepass"), "<u4")
-                own[: len(codes)] = codes
-                out.append(own[drawn[locus, replicate]].tobytes().decode("utf-32-le", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "seq" else batch.column(names.index(c)) for c in kept], names=kept)
+            yield from _rewritten(batch, kept, resample(batch, drawn))
+
+    def resample(batch: pa.RecordBatch, drawn: dict) -> Iterator[tuple[int, str]]:
+        at = [batch.column(names.index(c)).to_pylist() for c in ("locus", "replicate", "__n")]
+        for k, (locus, replicate, n, seq) in enumerate(zip(*at, batch.column(names.index("seq")))):
+            if (locus, replicate) not in drawn:
+                if sum(map(len, drawn.values())) > _HELD:
+                    drawn.clear()
+                drawn[locus, replicate] = drawn_sites(locus, n, replicate, seed)
+            codes = _characters((seq.as_py() or "") + fill)
+            own = np.full(n, codes[-1])
+            own[: len(codes) - 1] = codes[:-1]
+            yield k, _text(own[drawn[locus, replicate]])
 
     return rows.mapInArrow(run, rows.drop("__n").schema)
 

@@ -526,3 +526,36 @@ def test_blocks_of_sites(spark):
     blocks = alignment.site_blocks(rows, 3)
     assert sorted((r.seq_id, r.block, r.first, r.seq) for r in blocks.where("seq is not null").collect()) == [("a", 0, 1, "ACG"), ("a", 1, 4, "TAC"), ("a", 2, 7, "G"), ("b", 0, 1, ""), ("c", 0, 1, "ACG")]
     assert {r.seq_id: r.seq for r in alignment.merged_blocks(blocks.where("seq is not null")).collect()} == {"a": "ACGTACG", "b": "", "c": "ACG"}
+
+
+class Captured:
+    """Stands for a DataFrame and hands out the function that tasks would run."""
+
+    schema = None
+
+    def __init__(self, *columns):
+        self.columns = list(columns)
+
+    def drop(self, *_):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_rows_that_grow_leave_in_small_batches():
+    import pyarrow as pa
+
+    n, rows = 200_000, 100
+    batch = pa.RecordBatch.from_pydict({"locus": ["L"] * rows, "replicate": [1] * rows, "seq": ["ACGT"] * rows, "__n": [n] * rows})
+    out = list(counts.resampled(Captured("locus", "replicate", "seq", "__n"), 1)(iter([batch])))
+    assert sum(b.num_rows for b in out) == rows and len(set(x for b in out for x in b.column("seq").to_pylist())) == 1
+    assert max(b.nbytes for b in out) < 6_000_000
+
+
+def test_marks_of_many_tasks_are_one_bitmap(spark):
+    rows = spark.createDataFrame([("L", i, f"s{i}", "A" * (i % 7) + "-" * 9) for i in range(64)] + [("M", 0, "x", "-" * 5000 + "C")], ALN).repartition(8)
+    marks = {r.locus: r.marks for r in counts.marked_sites(rows).collect()}
+    assert [m.block for m in marks["L"]] == [0] and sorted(m.block for m in marks["M"]) == [0, 1]
+    out = {(r.locus, r.seq_id): r.seq for r in alignment.filled_sites(rows).collect()}
+    assert out["L", "s3"] == "AAA---" and out["L", "s0"] == "------" and out["M", "x"] == "C" and len(out) == 65

@@ -188,7 +188,7 @@ def gene_content(spark, sf_dir):
     return table.select("gene", F.col("CDS_n").alias("cds"), F.col("gene_n").alias("genes"), F.col("CDS_minus").alias("reverse"))
 
 
-_CALLS = "(SELECT l_returnflag AS contig, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_linenumber % 2 = 0 THEN 'A' ELSE 'CC' END AS ref, CASE WHEN l_linenumber % 3 = 0 THEN '.' ELSE 'G,T' END AS alt, l_linenumber % 3 AS a, CAST(l_quantity AS INTEGER) AS gq, CAST(round(l_tax * 100) AS INTEGER) AS dp, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey) AS copy FROM lineitem)"
+_CALLS = "(SELECT l_returnflag AS contig, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_linenumber % 2 = 0 THEN 'A' ELSE 'CC' END AS ref, CASE WHEN l_linenumber % 3 = 0 THEN '.' ELSE 'G,T' END AS alt, l_linenumber % 3 AS a, CAST(l_quantity AS INTEGER) AS gq, CAST(round(l_tax * 100) AS INTEGER) AS dp, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_returnflag, l_quantity, l_tax) AS copy FROM lineitem)"
 
 
 @query(f"SELECT contig, CAST(pos - 1 AS BIGINT) AS start, CAST(pos - 1 + length(ref) AS BIGINT) AS stop, ref, CASE WHEN alt = '.' THEN '' ELSE alt END AS alts, sample, CASE WHEN sample = 's1' THEN concat('0,', a) ELSE ',' END AS gt, CASE WHEN sample = 's1' THEN gq END AS gq, CASE WHEN sample = 's1' THEN dp END AS dp FROM {_CALLS} CROSS JOIN (SELECT unnest(['s1', 's2']) AS sample) WHERE copy = 1")

@@ -159,3 +159,16 @@ def test_pieces_of_long_records(spark, tmp_path):
         records[tuple(r.record), r.seq_id] = held + r.seq
     assert sorted((k[1], v) for k, v in records.items()) == sorted([("one", one), ("two", two), ("one", one)])
     assert len(rows) >= 12
+
+
+def test_copies_of_a_call_do_not_go_by_the_order_of_rows(spark, tmp_path):
+    from phylospark import plans
+
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_quantity double, l_tax double"
+    rows = [(k, 1, 7, f, q, t) for k in range(40) for f, q, t in (("A", 5.0, 0.02), ("A", 9.0, 0.01), ("R", 3.0, 0.04))]
+    got = []
+    for name, some in (("a", rows), ("b", rows[::-1])):
+        spark.createDataFrame(some, lines).coalesce(1).write.parquet(f"{tmp_path}/{name}/lineitem.parquet")
+        spark.range(1).write.parquet(f"{tmp_path}/{name}/part.parquet")  # the view's text names its key
+        got.append(sorted(plans.queries()["vcf_file"](spark, f"{tmp_path}/{name}").collect(), key=str))
+    assert got[0] == got[1] and len(got[0]) == 80 and {r.gq for r in got[0]} == {5, None}

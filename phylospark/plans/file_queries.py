@@ -5,6 +5,9 @@ Every file is made in the same run, in the shared folder, of rows that Spark der
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,29 @@ def _lines(rows: DataFrame, name: str, by: str | None = None, order: list[str] |
     return path
 
 
+def _ranges(rows: DataFrame, name: str, by: str, order: str, head: str | None = None) -> str:
+    """``rows(value, ...)`` as text files in the shared folder: one folder for each value of ``by``, with a file for each
+    range of ``order``, so that a large folder is written by many tasks.  Each file begins with ``head``.
+    """
+    path = shared_path(rows.sparkSession, name)
+    dealt = rows.select(by, order, "value").repartitionByRange(by, order).sortWithinPartitions(by, order)
+    if head:
+        dealt = dealt.mapInArrow(lambda batches: _headed(batches, by, order, head), dealt.schema).sortWithinPartitions(by, order)
+    dealt.select(by, "value").write.partitionBy(by).text(path)
+    return path
+
+
+def _headed(batches: Iterator[pa.RecordBatch], by: str, order: str, head: str) -> Iterator[pa.RecordBatch]:
+    """A task's sorted rows and, for each value of ``by``, a first line ``head`` (at -1 in ``order``)."""
+    seen: set = set()
+    for batch in batches:
+        new = [x for x in batch.column(by).unique().to_pylist() if x not in seen]
+        seen.update(new)
+        columns = {by: new, order: [-1] * len(new), "value": [head] * len(new)}
+        yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in batch.schema], schema=batch.schema)
+        yield batch
+
+
 def _sql(spark, sf_dir, text, *names):
     tables(spark, sf_dir, *names)
     return spark.sql(text)
@@ -193,12 +219,12 @@ _CALLS = "(SELECT l_returnflag AS contig, l_orderkey * 10 + l_linenumber AS pos,
 
 @query(f"SELECT contig, CAST(pos - 1 AS BIGINT) AS start, CAST(pos - 1 + length(ref) AS BIGINT) AS stop, ref, CASE WHEN alt = '.' THEN '' ELSE alt END AS alts, sample, CASE WHEN sample = 's1' THEN concat('0,', a) ELSE ',' END AS gt, CASE WHEN sample = 's1' THEN gq END AS gq, CASE WHEN sample = 's1' THEN dp END AS dp FROM {_CALLS} CROSS JOIN (SELECT unnest(['s1', 's2']) AS sample) WHERE copy = 1")
 def vcf_file(spark, sf_dir):
-    """Records of two samples, one file for each contig, as genotypes."""
+    """Records of two samples, one folder for each contig, as genotypes."""
     calls = view(spark, sf_dir, _CALLS).where("copy = 1")
     record = F.concat_ws("\t", "contig", "pos", F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.lit("."), F.lit("GT:GQ:DP"), F.concat(F.lit("0/"), "a", F.lit(":"), "gq", F.lit(":"), "dp"), F.lit("./."))
-    head = F.lit("##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2")
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2"
     rows = calls.select(F.col("contig").alias("flag"), F.col("pos").alias("at"), record.alias("value"))
-    path = _lines(rows.unionByName(rows.select("flag").distinct().select("flag", F.lit(-1).cast("long").alias("at"), head.alias("value"))), "vcf", "flag", ["at"])
+    path = _ranges(rows, "vcf", "flag", "at", head)
     listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit(""))))
     return read.vcf(spark, path).select("contig", "start", "stop", "ref", listed("alts").alias("alts"), "sample", listed("gt").alias("gt"), "gq", "dp")
 
@@ -210,7 +236,7 @@ _HIT_ROWS = "(SELECT concat('q', CAST(l_orderkey AS VARCHAR(20))) AS query_id, c
 
 def _hit_files(spark, sf_dir):
     rows = view(spark, sf_dir, _HIT_ROWS)
-    return _lines(rows.select("flag", "query_id", F.concat_ws("\t", *[c for c in rows.columns if c != "flag"]).alias("value")), "hits", "flag", ["query_id"])
+    return _ranges(rows.select("flag", "query_id", F.concat_ws("\t", *[c for c in rows.columns if c != "flag"]).alias("value")), "hits", "flag", "query_id")
 
 
 @query(f"SELECT query_id, subject_id, pident, CAST(length AS INTEGER) AS length, evalue, bitscore FROM {_HIT_ROWS}")
@@ -225,8 +251,10 @@ def listed_files(spark, sf_dir):
     path = _hit_files(spark, sf_dir)
     last = lambda c: F.regexp_extract(c, "([^/]+/[^/]+)$", 1)
     files = read.file_list(spark, [f"{path}/flag=*", f"{path}/flag=A", f"{path}/*/*.txt"]).select(last("path").alias("file"))
-    queries = read.hits(spark, path).select(last("source").alias("file"), "query_id").distinct().groupBy("file").agg(F.count("*").alias("queries"))
-    return files.join(queries, "file").select(F.split_part("file", F.lit("/"), F.lit(1)).alias("folder"), "queries")
+    folder = F.split_part("file", F.lit("/"), F.lit(1)).alias("folder")
+    # names of files, one for each range that was written
+    found = read.hits(spark, path).select(last("source").alias("file"), "query_id").join(F.broadcast(files), "file").select(folder, "query_id")
+    return found.distinct().groupBy("folder").agg(F.count("*").alias("queries"))
 
 
 @query("SELECT concat('orf', l_orderkey) AS orf_id, concat('PF', l_partkey) AS domain, concat('acc', l_suppkey) AS accession, CAST(l_tax AS DOUBLE) AS evalue FROM lineitem")

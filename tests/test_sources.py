@@ -172,3 +172,19 @@ def test_copies_of_a_call_do_not_go_by_the_order_of_rows(spark, tmp_path):
         spark.range(1).write.parquet(f"{tmp_path}/{name}/part.parquet")  # the view's text names its key
         got.append(sorted(plans.queries()["vcf_file"](spark, f"{tmp_path}/{name}").collect(), key=str))
     assert got[0] == got[1] and len(got[0]) == 80 and {r.gq for r in got[0]} == {5, None}
+
+
+def test_a_large_folder_is_several_files_and_each_has_the_head(spark):
+    from phylospark.plans import file_queries
+
+    rows = spark.range(20_000).selectExpr("IF(id < 19000, 'A', 'B') AS flag", "id AS at", "concat_ws('\t', id, '.', 'x') AS value")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = file_queries._ranges(rows, "lines", "flag", "at", "#a\n#b")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    texts = {f: open(f).read().splitlines() for f in glob.glob(f"{path}/flag=*/*.txt")}
+    assert sum("flag=A" in f for f in texts) > 3
+    assert all(t[:2] == ["#a", "#b"] and not any(x.startswith("#") for x in t[2:]) for t in texts.values())
+    assert sorted(int(x.split("\t")[0]) for t in texts.values() for x in t[2:]) == list(range(20_000))
+    assert all([int(x.split("\t")[0]) for x in t[2:]] == sorted(int(x.split("\t")[0]) for x in t[2:]) for t in texts.values())

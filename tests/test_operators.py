@@ -559,3 +559,27 @@ def test_marks_of_many_tasks_are_one_bitmap(spark):
     assert [m.block for m in marks["L"]] == [0] and sorted(m.block for m in marks["M"]) == [0, 1]
     out = {(r.locus, r.seq_id): r.seq for r in alignment.filled_sites(rows).collect()}
     assert out["L", "s3"] == "AAA---" and out["L", "s0"] == "------" and out["M", "x"] == "C" and len(out) == 65
+
+
+def test_greedy_passes_keep_what_one_pass_keeps_and_list_no_pairs(spark, tmp_path, monkeypatch):
+    import os
+
+    paths = []
+    monkeypatch.setattr(clusters, "shared_path", lambda _, name: paths.append(f"{tmp_path}/{name}-{len(paths)}") or paths[-1])
+    rnd = random.Random(5)
+    base = ["".join(rnd.choice("abcdé") for _ in range(60)) for _ in range(12)]
+    rows = [(f"s{i:03}", rnd.choice(base)[rnd.randrange(9) : 60 - rnd.randrange(9)]) for i in range(120)] + [("t1", "abc"), ("t2", None), ("t3", "")]
+    seqs = {}
+    for i, s in rows:
+        if s is not None and len(s) >= 5:
+            seqs[s] = min(i, seqs.get(s, i))
+    kept = []
+    for s, i in sorted(seqs.items(), key=lambda x: (-len(x[0]), x[1])):
+        drawn = {s[j : j + 5] for j in range(0, len(s) - 4, 5)}
+        if not any(len(drawn & k) / len(drawn) > 0.8 for _, k in kept):
+            kept.append((i, {s[j : j + 5] for j in range(len(s) - 4)}))
+    frame = spark.createDataFrame(rows, "seq_id string, seq string")
+    for block in (100, 700, 1 << 22):
+        assert sorted(r.seq_id for r in clusters.greedy_representatives(frame, block=block).collect()) == sorted([i for i, _ in kept] + ["t1", "t2", "t3"])
+    assert not any("kmer" in p or "against" in p for p in paths)
+    assert not any(os.path.exists(p) for p in paths if "/open-" in p)

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import trim_quality, windows_of
+from ..functions import windows_of
+from .counts import kept_bases
 
 
 def trim(reads: DataFrame, **options) -> DataFrame:
-    """Trimmed reads; of a pair both mates have to survive."""
-    cut = reads.withColumn("t", trim_quality("seq", "qual", **options)).where("t is not null")
-    paired = reads.groupBy("read_id").agg(F.count_distinct("mate").alias("mates"))
-    left = cut.groupBy("read_id").agg(F.count_distinct("mate").alias("left"))
-    whole = paired.join(left, "read_id").where("mates = left").select("read_id")
-    return cut.join(whole, "read_id", "left_semi").select("read_id", "mate", F.col("t.seq").alias("seq"), F.col("t.qual").alias("qual"))
+    """Trimmed reads (see ``functions.trim_quality``); of a pair both mates have to survive."""
+    cut = reads.where("read_id is not null").select("read_id", "mate", "seq", "qual", kept_bases("qual", **options).alias("k"))
+    part = lambda c: F.when(F.col("k").isNotNull(), F.substr(c, F.col("k.at"), F.col("k.n"))).alias(c)
+    rows = cut.select("read_id", "mate", F.col("k").isNotNull().alias("__left"), part("seq"), part("qual"))
+    own = W.partitionBy("read_id")  # the mates of one read
+    mates = lambda x: F.size(F.collect_set(x).over(own))
+    counted = rows.withColumn("__mates", mates(F.col("mate"))).withColumn("__kept", mates(F.when(F.col("__left"), F.col("mate"))))
+    return counted.where("__left and __mates = __kept").select("read_id", "mate", "seq", "qual")
 
 
 def longest_records(sequences: DataFrame, n: int, longest: int | None = None) -> DataFrame:

@@ -619,3 +619,17 @@ def test_consensus_is_written_from_gap_to_gap(spark):
     assert "map_from_entries" not in blocks._jdf.queryExecution().optimizedPlan().toString()
     got = {r.contig: r.seq for r in genotypes.contig_sequences(blocks).collect()}
     assert got == {"c": "".join(called.get(p, "N") for p in range(50)), "d": "N" * 9}
+
+
+def test_trimming_kernel_equals_the_expression(spark):
+    draw = random.Random(11)
+    quals = ["".join(draw.choice("!55??IIIII~é") for _ in range(draw.randrange(30, 90))) for _ in range(150)] + ["", None, "I" * 44, "I" * 43, "é" * 50]
+    rows = spark.createDataFrame([(i // 2, i % 2, q and "ACGT" * 30, q) for i, q in enumerate(quals)], "read_id int, mate int, seq string, qual string").cache()
+    options = dict(mean=20, leading=8, trailing=12, head=3, least=20)
+    want = {(r.read_id, r.mate): r.t for r in rows.select("read_id", "mate", fn.trim_quality("seq", "qual", **options).alias("t")).collect()}
+    whole = {i for i, _ in want if all(t is not None for (j, _), t in want.items() if j == i)}
+    trimmed = reads.trim(rows, **options)
+    assert len(whole) > 5
+    assert {(r.read_id, r.mate): (r.seq, r.qual) for r in trimmed.collect()} == {k: tuple(t) for k, t in want.items() if k[0] in whole}
+    plan = trimmed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") // max(1, plan.count("== Initial Plan ==") + 1) <= 1 and "Join" not in plan

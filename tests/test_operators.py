@@ -633,3 +633,14 @@ def test_trimming_kernel_equals_the_expression(spark):
     assert {(r.read_id, r.mate): (r.seq, r.qual) for r in trimmed.collect()} == {k: tuple(t) for k, t in want.items() if k[0] in whole}
     plan = trimmed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") // max(1, plan.count("== Initial Plan ==") + 1) <= 1 and "Join" not in plan
+
+
+def test_distinct_windows_are_exact(spark):
+    draw = random.Random(14)
+    texts = ["".join(draw.choice(some) for _ in range(draw.randrange(200))) for some in ("ab", "abcdefgh ", "aé\U0001d11e", "".join(map(chr, range(0x4E00, 0x9E00)))) for _ in range(12)] + ["", "abcd", None]
+    rows = reads.low_complexity(spark.createDataFrame(list(enumerate(texts)), "seq_id int, seq string"))
+    assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.seq_id: r.kinds for r in rows.collect()} == {i: len({(t or "")[k : k + 5] for k in range(len(t or "") - 4)}) for i, t in enumerate(texts)}
+    # more kinds of characters than a number holds for a whole window
+    text = "".join(map(chr, range(0x4E00, 0x9E00))) * 2
+    assert counts._distinct_windows(text, 9) == len({text[k : k + 9] for k in range(len(text) - 8)})

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import reverse_complement, translate_codons
+from ..functions import reverse_complement
 from .clusters import greedy_kept, stored
+from .counts import translated
 from .places import carried, in_ranges, with_place
 
 
@@ -120,7 +121,7 @@ def spliced(features: DataFrame, contigs: DataFrame, kind: str = "CDS", protein:
     cut = features.where(F.col("type") == kind).join(contigs.select("contig", "seq"), "contig").select("model_id", "strand", "start", F.substr("seq", F.col("start"), F.col("end") - F.col("start") + 1).alias("part"))
     joined = cut.groupBy("model_id").agg(F.first("strand").alias("strand"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "part"))), lambda x: x["part"]), "").alias("seq"))
     seq = F.when(F.col("strand") == "-", reverse_complement("seq")).otherwise(F.col("seq"))
-    return joined.select("model_id", (translate_codons(seq, code) if protein else seq).alias("seq"))
+    return joined.select("model_id", (translated(seq, code) if protein else seq).alias("seq"))
 
 
 def regions(samples: DataFrame, features: DataFrame, order: str = "ord") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import alignment, clusters, coding, reads, stats, trees
+from ..operators import alignment, clusters, coding, counts, reads, stats, trees
 from .registry import query
 from .tree_queries import tree_classes, tree_corpus
 from .views import ALIGNMENTS, CODING, duck, tables, view
@@ -158,7 +158,7 @@ _AA = f"c AS {_C}, cod AS (SELECT seq_id, unnest(generate_series(1, length(seq)
 
 @query(f"WITH {_AA}, p AS (SELECT seq_id, string_agg(a, '' ORDER BY i) AS p FROM aa GROUP BY 1) SELECT seq_id, CAST(length(p) AS BIGINT) AS n, md5(p) AS protein_md5 FROM p")
 def translated(spark, sf_dir):
-    p = view(spark, sf_dir, CODING).where("length(seq) >= 3").select("seq_id", fn.translate_codons("seq").alias("p"))
+    p = view(spark, sf_dir, CODING).where("length(seq) >= 3").select("seq_id", counts.translated("seq").alias("p"))
     return p.select("seq_id", F.length("p").cast("long").alias("n"), F.md5("p").alias("protein_md5"))
 
 
@@ -171,7 +171,7 @@ def codon_usage(spark, sf_dir):
 def protein_check(spark, sf_dir):
     from ..operators import intervals
 
-    return intervals.protein_check(view(spark, sf_dir, CODING).where("length(seq) >= 3").select("seq_id", fn.translate_codons("seq").alias("seq")))
+    return intervals.protein_check(view(spark, sf_dir, CODING).where("length(seq) >= 3").select("seq_id", counts.translated("seq").alias("seq")))
 
 
 _STRANDS = f"st AS (SELECT seq_id, '+' AS strand, seq AS s FROM {_C} UNION ALL SELECT seq_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM {_C}), fr AS (SELECT seq_id, strand, f AS frame, substr(s, f + 1) AS t FROM st CROSS JOIN (SELECT unnest([0, 1, 2]) AS f)), cod AS (SELECT seq_id, strand, frame, i, substr(t, 3 * i + 1, 3) AS c FROM (SELECT *, unnest(range(length(t) // 3)) AS i FROM fr))"

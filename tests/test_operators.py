@@ -644,3 +644,15 @@ def test_distinct_windows_are_exact(spark):
     # more kinds of characters than a number holds for a whole window
     text = "".join(map(chr, range(0x4E00, 0x9E00))) * 2
     assert counts._distinct_windows(text, 9) == len({text[k : k + 9] for k in range(len(text) - 8)})
+
+
+def test_translation_of_whole_sequences_equals_the_expression(spark):
+    draw = random.Random(18)
+    texts = ["".join(draw.choice(some) for _ in range(draw.randrange(60))) for some in ("TCAG", "tcagN", "TCAGé\U0001d11e\nß") for _ in range(15)] + ["", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "seq_id int, seq string")
+    for code in (1, 2, 12):
+        got = rows.select("seq_id", "seq", counts.translated("seq", code).alias("seq2"), fn.translate_codons("seq", code).alias("want"))
+        assert all(r.seq2 == r.want for r in got.collect())
+    checked = intervals.protein_check(rows.select("seq_id", counts.translated("seq").alias("seq")))
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "lambdafunction" not in plan  # the filter does not translate again

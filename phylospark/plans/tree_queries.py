@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import introgression, trees
+from ..operators import clusters, introgression, trees
 from .registry import query
 from .views import tables
 
@@ -220,7 +220,8 @@ def long_branches(spark, sf_dir):
 def branch_outliers(spark, sf_dir):
     """Leaves whose signature is over the threshold of all leaves, or of their species."""
     nodes = tree_nodes(spark, sf_dir)
-    occupancy = nodes.where("is_leaf").groupBy(F.col("name").alias("species")).agg(F.count("*").alias("n_trees"))
+    # read twice: the trees are read for it once
+    occupancy = clusters.stored(nodes.where("is_leaf").groupBy(F.col("name").alias("species")).agg(F.count("*").alias("n_trees")), "occupancy")
     return trees.removal_thresholds(trees.long_branches(nodes), occupancy).withColumn("threshold", F.round("threshold", 6))
 
 

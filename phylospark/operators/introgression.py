@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,12 +28,81 @@ def triplet_branches(pairs: DataFrame, taxa: list[str] | None = None) -> DataFra
     no row.  ``taxa`` restricts to some taxa (the outgroup is left out of it).
     """
     p = pairs if taxa is None else pairs.where(F.col("a").isin(taxa) & F.col("b").isin(taxa))
-    ab, ac, bc = (p.select("tree_id", F.col("a").alias(x), F.col("b").alias(y), F.col("depth").alias(f"d_{x}{y}")) for x, y in (("x", "y"), ("x", "z"), ("y", "z")))
-    rows = ab.join(ac, ["tree_id", "x"]).where("y < z").join(bc, ["tree_id", "y", "z"])
-    ranked = F.reverse(F.array_sort(F.array(F.struct(F.col("d_xy").alias("d"), F.col("z").alias("out")), F.struct(F.col("d_xz").alias("d"), F.col("y").alias("out")), F.struct(F.col("d_yz").alias("d"), F.col("x").alias("out")))))
-    best = rows.withColumn("r", ranked)
-    length = F.col("r")[0]["d"] - F.col("r")[1]["d"]
-    return best.select("tree_id", F.concat_ws("_", "x", "y", "z").alias("triplet"), F.col("r")[0]["out"].alias("outgroup"), length.alias("branch")).where("branch > 0")
+    whole = p.where("a is not null and b is not null and depth is not null").groupBy("tree_id").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"), F.collect_list("depth").alias("depth"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*rows)], names=["tree_id", "triplet", "outgroup", "branch"])
+
+        for batch in batches:
+            for tree_id, *columns in zip(*[batch.column(c) for c in ("tree_id", "a", "b", "depth")]):
+                for x, y, z, out, branch in _cherries(*[c.values for c in columns]):
+                    rows.append((pa.repeat(tree_id, len(out)), pc.binary_join_element_wise(x, y, z, "_"), out, branch))
+                    size += len(out)
+                    if size >= _TRIPLETS:
+                        yield done()
+                        rows, size = [], 0
+        if rows:
+            yield done()
+
+    kind = p.schema["tree_id"].dataType.simpleString()
+    return whole.mapInArrow(run, f"tree_id {kind}, triplet string, outgroup string, branch double")
+
+
+#: triplets that are looked at at once
+_TRIPLETS = 1 << 17
+
+
+def _cherries(a: pa.Array, b: pa.Array, depth: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """The taxa x < y < z of one tree's triplets with one deepest pair, the one that is out, and the inner branch."""
+    names = pa.array(sorted({*a.to_pylist(), *b.to_pylist()}), pa.string())
+    n = len(names)
+    # of pairs that are not there the depth is NaN, which is larger than nothing
+    d = np.full((n, n), np.nan)
+    d[pc.index_in(a, names).to_numpy(), pc.index_in(b, names).to_numpy()] = depth.to_numpy(zero_copy_only=False)
+    for x, y, z in _threes(n):
+        three = np.stack([d[x, y], d[x, z], d[y, z]])
+        top, most = three.argmax(axis=0), three.max(axis=0)
+        second = np.sort(three, axis=0)[1]
+        good = np.flatnonzero(most - second > 0)
+        if len(good):
+            x, y, z, top = x[good], y[good], z[good], top[good]
+            yield *[names.take(pa.array(i)) for i in (x, y, z, np.choose(top, [z, y, x]))], pa.array((most - second)[good])
+
+
+def _threes(n: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """All x < y < z < n, in blocks."""
+    if n * (n - 1) * (n - 2) // 6 <= _TRIPLETS:
+        yield _all_threes(n)
+        return
+    for x in range(n - 2):
+        height = max(1, _TRIPLETS // (n - x))
+        for first in range(x + 1, n - 1, height):
+            y, z = np.nonzero(np.arange(n)[None, :] > np.arange(first, min(n - 1, first + height))[:, None])
+            yield np.full(len(y), x), y + first, z
+
+
+@lru_cache(8)
+def _all_threes(n: int) -> tuple[np.ndarray, ...]:
+    return tuple(np.array(list(combinations(range(n), 3)), np.int64).reshape(-1, 3).T)
+
+
+def taxa_of(triplet: Column | str, names: list[str]) -> Column:
+    """``functions.triplet_parts`` for a fixed list of names: each different text of a batch is cut once."""
+    known = set(names)
+
+    def parts(text: str | None) -> list[str] | None:
+        cuts = [k for k, c in enumerate(text or "") if c == "_"]
+        ways = ((text[:i], text[i + 1 : j], text[j + 1 :]) for i, j in combinations(cuts, 2))
+        return next((list(w) for w in ways if known.issuperset(w)), None)  # the shortest first name, then the shortest second one
+
+    def run(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        return pa.array([parts(t) for t in coded.dictionary.to_pylist()], pa.list_(pa.string())).take(coded.indices)
+
+    return F.arrow_udf(run, "array<string>").asNondeterministic()(triplet)
 
 
 def _log_second(u: np.ndarray, c: np.ndarray | float, far: np.ndarray) -> np.ndarray:

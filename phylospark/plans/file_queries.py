@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import intervals, stats, trees
+from ..operators import intervals, introgression, stats, trees
 from ..operators.clusters import shared_path
 from ..sources import read, write
 from .registry import query
@@ -423,8 +423,8 @@ def support_probabilities(spark, sf_dir):
 @query(f"WITH {_TRIPLETS} SELECT tree_id, triplet, x AS first, y AS second, z AS third FROM (SELECT tree_id, concat_ws('_', x, y, z) AS triplet, x, y, z FROM t) JOIN br USING (tree_id, triplet)")
 def triplet_names(spark, sf_dir):
     """The three taxa of triplet texts whose names contain the separator."""
-    names = F.array(*[F.lit(f"NATION_{k}") for k in range(25)])
-    rows = _triplets(spark, sf_dir).withColumn("p", fn.triplet_parts("triplet", names))
+    names = [f"NATION_{k}" for k in range(25)]
+    rows = _triplets(spark, sf_dir).withColumn("p", introgression.taxa_of("triplet", names))
     return rows.select("tree_id", "triplet", F.col("p")[0].alias("first"), F.col("p")[1].alias("second"), F.col("p")[2].alias("third"))
 
 

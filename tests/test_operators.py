@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from itertools import combinations
 
 import pyarrow as pa
 import pytest
@@ -700,3 +701,31 @@ def test_long_branches_equal_rounds_over_all_pairs(spark, monkeypatch):
     whole = trees._removed(rows)
     monkeypatch.setattr(trees, "_PAIRS", 7)
     assert trees._removed(rows[::-1]) == whole and dict(whole) == got.get("3", {})
+
+
+def test_triplet_branches_equal_all_triplets(spark, monkeypatch):
+    draw = random.Random(16)
+    pairs = [(t, a, b, float(draw.randrange(4))) for t in "uvw" for a in "abcdefgé" for b in "abcdefgé" if a < b and draw.random() < 0.9]
+    frame = spark.createDataFrame(pairs, "tree_id string, a string, b string, depth double")
+    found, depth, want = introgression.triplet_branches(frame), {p[:3]: p[3] for p in pairs}, set()
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    for t in "uvw":
+        for x, y, z in combinations("abcdefgé", 3):
+            if all((t, *p) in depth for p in ((x, y), (x, z), (y, z))):
+                two, one, out = *sorted([(depth[t, x, y], z), (depth[t, x, z], y), (depth[t, y, z], x)])[1:], None
+                if one[0] > two[0]:
+                    want.add((t, f"{x}_{y}_{z}", one[1], one[0] - two[0]))
+    assert want and {tuple(r) for r in found.collect()} == want
+    some = [pa.array(c) for c in zip(*[p[1:] for p in pairs if p[0] == "u"])]
+    several = [len(c[0]) for c in introgression._cherries(*some)]
+    monkeypatch.setattr(introgression, "_TRIPLETS", 5)
+    few = [len(c[0]) for c in introgression._cherries(*some)]
+    assert sum(few) == sum(several) and max(few) < max(several)
+
+
+def test_taxa_of_triplets_equal_the_expression(spark):
+    names = ["a", "a_b", "b", "b_c", "c", "é_"]
+    texts = ["_".join(x) for x in [(a, b, c) for a in names for b in names for c in names]] + ["", "a_b", "x_a_b", None, "a__b_c"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(introgression.taxa_of("t", names).alias("got"), fn.triplet_parts("t", F.array(*map(F.lit, names))).alias("want")).collect()
+    assert all(r.got == r.want for r in got) and sum(r.got is None for r in got) >= 4

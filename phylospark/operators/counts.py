@@ -573,23 +573,37 @@ def reading_frames(transcripts: DataFrame, least: int, acids: str) -> DataFrame:
     return transcripts.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, strand string, frame int, aa_start int, protein string, kind string")
 
 
+#: windows of one batch that a task emits
+_WINDOWS = 1 << 15
+
+
 def word_windows(sequences: DataFrame, word: str, up: int, down: int) -> DataFrame:
     """``seq_id``, ``pos`` (from 1) and ``window`` of each place of a word that has ``up`` characters before and ``down`` after it."""
     kind = sequences.schema["seq_id"].dataType.simpleString()
+    return sequences.select("seq_id", "seq").mapInArrow(lambda batches: _word_windows(batches, word, up, down), f"seq_id {kind}, pos int, window string")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, places, windows = [], [], []
-            for row, seq in enumerate(batch.column("seq").to_pylist()):
-                at = (seq or "").find(word, up)
-                while at >= 0 and at + len(word) + down <= len(seq):
-                    rows.append(row)
-                    places.append(at + 1)
-                    windows.append(seq[at - up : at + len(word) + down])
-                    at = seq.find(word, at + 1)
-            yield pa.RecordBatch.from_arrays([batch.column("seq_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(windows, pa.string())], names=["seq_id", "pos", "window"])
-
-    return sequences.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, pos int, window string")
+
+def _word_windows(batches: Iterator[pa.RecordBatch], word: str, up: int, down: int) -> Iterator[pa.RecordBatch]:
+    """Windows in batches of at most ``_WINDOWS``, however many rows come at once; one text is read at a time."""
+    for batch in batches:
+        rows, places, windows = [], [], []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([batch.column("seq_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int32()), pa.array(windows, pa.string())], names=["seq_id", "pos", "window"])
+
+        for row, text in enumerate(batch.column("seq")):
+            seq = text.as_py() or ""
+            at = seq.find(word, up)
+            while at >= 0 and at + len(word) + down <= len(seq):
+                rows.append(row)
+                places.append(at + 1)
+                windows.append(seq[at - up : at + len(word) + down])
+                if len(rows) >= _WINDOWS:
+                    yield done()
+                    rows, places, windows = [], [], []
+                at = seq.find(word, at + 1)
+        if rows:
+            yield done()
 
 
 def _distinct_windows(seq: str | None, k: int) -> int:

@@ -729,3 +729,12 @@ def test_taxa_of_triplets_equal_the_expression(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     got = rows.select(introgression.taxa_of("t", names).alias("got"), fn.triplet_parts("t", F.array(*map(F.lit, names))).alias("want")).collect()
     assert all(r.got == r.want for r in got) and sum(r.got is None for r in got) >= 4
+
+
+def test_windows_of_a_word_come_in_small_batches():
+    part = pa.RecordBatch.from_pydict({"seq_id": ["a", "b", "c"], "seq": ["xxATG" * 30_000, None, "ATGATGAT"]})
+    got = list(counts._word_windows(iter([part]), "ATG", 2, 2))
+    assert sum(b.num_rows for b in got) == 29_999 + 1
+    counts_of = [b.num_rows for b in counts._word_windows(iter([pa.RecordBatch.from_pydict({"seq_id": ["a"], "seq": ["xxATG" * 100_000]})]), "ATG", 2, 2)]
+    assert sum(counts_of) == 99_999 and max(counts_of) == counts._WINDOWS
+    assert got[-1].to_pylist()[-1] == {"seq_id": "c", "pos": 4, "window": "TGATGAT"}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import chars, ratio, translate_codons
 from ..functions.sequence import GENETIC_CODES
 from .clusters import stored
-from .counts import base_totals, ending_kmer_counts, frame_scores, profiles, reading_frames, word_windows
+from .counts import base_totals, ending_kmer_counts, frame_scores, profiles, reading_frames, window_counts, word_windows
 from .places import carried, in_ranges
 
 _STOP = "(TAA|TAG|TGA)$"
@@ -138,22 +138,29 @@ def best_threshold(points: DataFrame, areas: DataFrame) -> DataFrame:
     return points.join(F.broadcast(best), "category").groupBy("category").agg(F.min_by(F.struct("threshold", "f1"), F.struct(-F.col("f1"), "step")).alias("b")).select("category", "b.threshold", "b.f1")
 
 
-def motif_windows(transcripts: DataFrame, starts: DataFrame, up: int = 20, down: int = 10) -> DataFrame:
-    """Windows around true and decoy ATGs: ``starts(seq_id, pos)`` (1-based) are true, other ATGs decoys."""
-    found = word_windows(transcripts.select("seq_id", F.upper("seq").alias("seq")), "ATG", up, down)
-    true = starts.select("seq_id", "pos").distinct().withColumn("t", F.lit(True))
-    return found.join(true, ["seq_id", "pos"], "left").select("seq_id", "pos", F.when(F.col("t"), "pos").otherwise("neg").alias("label"), "window")
+def motif_windows(transcripts: DataFrame, starts: DataFrame | None = None, up: int = 20, down: int = 10) -> DataFrame:
+    """Windows around true and decoy ATGs: ``starts(seq_id, pos)`` (1-based) are true, other ATGs decoys.
+
+    Without ``starts``, the first ATG of each ``seq_id`` that has ``up`` bases before it is true, be it too near to the end
+    for a window; the sequences are then read once.
+    """
+    seqs = transcripts.select("seq_id", F.upper("seq").alias("seq"))
+    if starts is None:
+        first = F.min("pos").over(W.partitionBy("seq_id"))  # one sequence's windows
+        found = word_windows(seqs, "ATG", up, down, short=True).withColumn("t", F.col("seq_id").isNotNull() & (F.col("pos") == first)).where(F.length("window") == up + 3 + down)
+    else:
+        true = starts.select("seq_id", "pos").distinct().withColumn("t", F.lit(True))
+        found = word_windows(seqs, "ATG", up, down).join(true, ["seq_id", "pos"], "left")
+    return found.select("seq_id", "pos", F.when(F.col("t"), "pos").otherwise("neg").alias("label"), "window")
 
 
 def weight_matrix(windows: DataFrame, pseudo: float = 1.0, by: list[str] | None = None) -> DataFrame:
     """``label``, ``pos`` (from 0), ``base``, ``n``, ``prob`` (for each value of the columns ``by``)."""
-    by = by or []
-    cells = windows.select(*by, "label", F.posexplode(chars("window")).alias("pos", "base")).where(F.col("base").isin(*"ACGT"))
-    counts = cells.groupBy(*by, "label", "pos", "base").agg(F.count("*").alias("n"))
-    grid = counts.select(*by, "label", "pos").distinct().withColumn("base", F.explode(F.array(*map(F.lit, "ACGT"))))
-    full = grid.join(counts, [*by, "label", "pos", "base"], "left").na.fill(0, ["n"])
-    total = F.sum("n").over(W.partitionBy(*by, "label", "pos"))  # four rows
-    return full.withColumn("prob", (F.col("n") + pseudo) / (total + 4 * pseudo))
+    keys = [*(by or []), "label"]
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("base"), F.col(b).alias("n")) for b in "ACGT"]))
+    total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
+    full = window_counts(windows, keys).select(*keys, "pos", total.alias("__total"), each.alias("b")).select(*keys, "pos", "b.base", "b.n", "__total")
+    return full.withColumn("prob", (F.col("n") + pseudo) / (F.col("__total") + 4 * pseudo)).drop("__total")
 
 
 def _log_odds(matrix: DataFrame, by: list[str]) -> DataFrame:
@@ -168,22 +175,30 @@ def motif_scores(windows: DataFrame, matrix: DataFrame, first: int = 0, last: in
     return cells.join(F.broadcast(_log_odds(matrix, [])), ["at", "base"], "left").groupBy("seq_id", "pos", "label").agg((F.sum(F.coalesce("odds", F.lit(0.0))) / F.count("*")).alias("score"))
 
 
-def _drawn(*key: str) -> Column:
+def _drawn(*key: Column | str) -> Column:
     """A number from 0 to 9999 by the MD5 of some columns, which SQL can draw as well."""
-    return F.conv(F.substr(F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key])), F.lit(1), F.lit(7)), 16, 10).cast("long") % 10_000
+    return F.conv(F.substr(F.md5(F.concat_ws(":", *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in key])), F.lit(1), F.lit(7)), 16, 10).cast("long") % 10_000
 
 
 def cross_scored(windows: DataFrame, rounds: int = 5, share: float = 0.75, most: int = 1000, firsts: tuple[int, ...] = (0, 5, 10, 15), lasts: tuple[int, ...] = (27, 32), skip: tuple[int, int] = (20, 22)) -> DataFrame:
     """For each round, matrices of a hashed training share score at most ``most`` test windows a label (the first by
     hash), over all ranges of positions around the start (``round``, ``first``, ``last``).
 
-    All rounds are one job; test windows are numbered range by range, whatever a label's share of them.
+    All rounds are one job; windows are read once and stored with their numbers.  Test windows are counted by number, and
+    only those of one number (a ten-thousandth of the windows) are ever ordered.
     """
-    dealt = windows.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("u", _drawn("seq_id", "pos", "round"))
+    numbers = F.array(*[_drawn("seq_id", "pos", F.lit(k)).cast("int") for k in range(1, rounds + 1)])
+    dealt = stored(windows.select("seq_id", "pos", "label", "window", numbers.alias("__u")), "dealt")
+    dealt = dealt.select("seq_id", "pos", "label", "window", F.posexplode("__u").alias("__k", "u")).withColumn("round", F.col("__k") + 1).drop("__k")
     odds = _log_odds(weight_matrix(dealt.where(F.col("u") < share * 10_000), by=["round"]), ["round"])
-    order = ["u", "seq_id", "pos"]
-    held = in_ranges(dealt.where(F.col("u") >= share * 10_000), ["round", "label", *order])
-    test = carried(held, ["round", "label"], order, sums={"__n": F.lit(1)}).where(F.col("__n") <= most)
+    held = dealt.where(F.col("u") >= share * 10_000)
+    before = F.sum("__c").over(W.partitionBy("round", "label").orderBy("u").rowsBetween(W.unboundedPreceding, -1))  # at most 10,000 rows
+    counts = held.groupBy("round", "label", "u").agg(F.count("*").alias("__c")).withColumn("__before", F.coalesce(before, F.lit(0)))
+    first = counts.where(F.col("__before") < most).select(F.col("round").alias("__round"), F.col("label").alias("__label"), F.col("u").alias("__u"), "__before")
+    # at most 10,000 rows for each round and label
+    near = held.join(F.broadcast(first), (F.col("round") == F.col("__round")) & F.col("label").eqNullSafe(F.col("__label")) & (F.col("u") == F.col("__u")))
+    own = F.row_number().over(W.partitionBy("round", "label", "u").orderBy("seq_id", "pos", "window"))
+    test = near.withColumn("__n", F.col("__before") + own).where(F.col("__n") <= most)
     cells = test.select("round", "seq_id", "pos", "label", F.posexplode(chars("window")).alias("at", "base")).where(~F.col("at").between(*skip))
     # rounds x positions x four bases
     scored = cells.join(F.broadcast(odds), ["round", "at", "base"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.0)))

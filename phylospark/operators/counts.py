@@ -573,17 +573,106 @@ def reading_frames(transcripts: DataFrame, least: int, acids: str) -> DataFrame:
     return transcripts.select("seq_id", "seq").mapInArrow(run, f"seq_id {kind}, strand string, frame int, aa_start int, protein string, kind string")
 
 
+def _code_runs(texts: pa.Array, table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """As :func:`_joined` for many short texts: number of a run's first row, codes and bounds, read from Arrow's own buffers."""
+    texts = texts.cast(pa.string()).fill_null("")
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    flat = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, int(ends[first]) + _PIECE, "right")) - 1)
+        last = min(last, len(texts))
+        some = flat[ends[first] : ends[last]]
+        if (some < 128).all():
+            yield first, table[some], (ends[first : last + 1] - ends[first]).astype(np.int64)
+        else:
+            own = texts.slice(first, last - first).to_pylist()
+            yield first, _codes("".join(own), table), np.cumsum([0, *map(len, own)])
+        first = last
+
+
+def _owners(batch: pa.RecordBatch, keys: list[str]) -> tuple[np.ndarray, list[tuple]]:
+    """For each row the place of its values of some columns in the list of different ones."""
+    place, names = np.zeros(batch.num_rows, np.int64), [()]
+    for k in keys:
+        coded = batch.column(k).dictionary_encode(null_encoding="encode")
+        values = coded.dictionary.to_pylist()
+        kinds, place = np.unique(place * len(values) + coded.indices.to_numpy(), return_inverse=True)
+        names = [(*names[x // len(values)], values[x % len(values)]) for x in kinds.tolist()]
+    return place, names
+
+
+def window_counts(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, ``pos`` (from 0), ``A``, ``C``, ``G``, ``T``: how often each base (upper case) stands at a place of the
+    ``window`` texts, for each place that has any.
+
+    A task adds up its windows and holds a bounded number of places.
+    """
+    kinds = windows.schema
+    schema = ", ".join([f"`{k}` {kinds[k].dataType.simpleString()}" for k in keys] + ["pos int"] + [f"{b} long" for b in _BASES])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        size, types = 0, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            while held:
+                key, counts = held.popitem()
+                at = np.flatnonzero(counts.any(axis=1))
+                own = [pa.array([k] * len(at), t) for k, t in zip(key, types)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(at, pa.int32()), *[pa.array(counts[at, b]) for b in range(4)]], names=[*keys, "pos", *_BASES])
+
+        for batch in batches:
+            types = [batch.schema.field(k).type for k in keys]
+            owners, names = _owners(batch, keys)
+            for first, codes, bounds in _code_runs(batch.column(batch.schema.get_field_index("window")), _UPPER_CODE):
+                lengths = np.diff(bounds)
+                here, row = np.unique(owners[first : first + len(lengths)], return_inverse=True)
+                width = int(lengths.max())
+                # owner, place and base as one number
+                cell = ((np.arange(len(codes)) + np.repeat(row * width - bounds[:-1], lengths)) * 4 + codes)[codes < 4]
+                if len(here) * width * 4 <= _HELD:
+                    n = np.bincount(cell, minlength=len(here) * width * 4)
+                    cell = np.flatnonzero(n)
+                    n = n[cell]
+                else:  # a few long windows among many short ones
+                    cell, n = np.unique(cell, return_counts=True)
+                cuts = np.searchsorted(cell, np.arange(len(here) + 1) * width * 4)
+                for k, owner in enumerate(here.tolist()):
+                    some = cell[cuts[k] : cuts[k + 1]] - k * width * 4
+                    if not len(some):
+                        continue
+                    places, counts = int(some[-1]) // 4 + 1, held.get(names[owner])
+                    if counts is None or len(counts) < places:
+                        grown = np.zeros((places, 4), np.int64)
+                        if counts is not None:
+                            grown[: len(counts)] = counts
+                        size += places - (0 if counts is None else len(counts))
+                        held[names[owner]] = counts = grown
+                    counts.reshape(-1)[some] += n[cuts[k] : cuts[k + 1]]
+                if size > _HELD // 4:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    parts = windows.select(*keys, "window").mapInArrow(run, schema)
+    return parts.groupBy(*keys, "pos").agg(*[F.sum(b).alias(b) for b in _BASES])
+
+
 #: windows of one batch that a task emits
 _WINDOWS = 1 << 15
 
 
-def word_windows(sequences: DataFrame, word: str, up: int, down: int) -> DataFrame:
-    """``seq_id``, ``pos`` (from 1) and ``window`` of each place of a word that has ``up`` characters before and ``down`` after it."""
+def word_windows(sequences: DataFrame, word: str, up: int, down: int, short: bool = False) -> DataFrame:
+    """``seq_id``, ``pos`` (from 1) and ``window`` of each place of a word that has ``up`` characters before and ``down`` after it.
+
+    With ``short``, places nearer to the end come as well, with what follows them.
+    """
     kind = sequences.schema["seq_id"].dataType.simpleString()
-    return sequences.select("seq_id", "seq").mapInArrow(lambda batches: _word_windows(batches, word, up, down), f"seq_id {kind}, pos int, window string")
+    return sequences.select("seq_id", "seq").mapInArrow(lambda batches: _word_windows(batches, word, up, down, short), f"seq_id {kind}, pos int, window string")
 
 
-def _word_windows(batches: Iterator[pa.RecordBatch], word: str, up: int, down: int) -> Iterator[pa.RecordBatch]:
+def _word_windows(batches: Iterator[pa.RecordBatch], word: str, up: int, down: int, short: bool = False) -> Iterator[pa.RecordBatch]:
     """Windows in batches of at most ``_WINDOWS``, however many rows come at once; one text is read at a time."""
     for batch in batches:
         rows, places, windows = [], [], []
@@ -594,7 +683,7 @@ def _word_windows(batches: Iterator[pa.RecordBatch], word: str, up: int, down: i
         for row, text in enumerate(batch.column("seq")):
             seq = text.as_py() or ""
             at = seq.find(word, up)
-            while at >= 0 and at + len(word) + down <= len(seq):
+            while at >= 0 and (short or at + len(word) + down <= len(seq)):
                 rows.append(row)
                 places.append(at + 1)
                 windows.append(seq[at - up : at + len(word) + down])

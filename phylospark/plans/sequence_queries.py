@@ -318,10 +318,12 @@ def outlier_pruning(spark, sf_dir):
 _MOTIF = f"c AS {_C}, h AS (SELECT seq_id, seq, i AS pos FROM (SELECT seq_id, seq, unnest(generate_series(1, length(seq) - 2)) AS i FROM c WHERE length(seq) >= 3) WHERE substr(seq, i, 3) = 'ATG'), st AS (SELECT seq_id, min(pos) AS pos FROM h WHERE pos > 20 GROUP BY 1), w AS (SELECT h.seq_id, h.pos, CASE WHEN st.pos IS NULL THEN 'neg' ELSE 'pos' END AS label, substr(h.seq, h.pos - 20, 33) AS win FROM h LEFT JOIN st ON st.seq_id = h.seq_id AND st.pos = h.pos WHERE h.pos > 20 AND h.pos + 12 <= length(h.seq)), cell AS (SELECT seq_id, pos, label, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM w), cnt AS (SELECT label, p_, base, count(*) AS n FROM cell GROUP BY ALL), grid AS (SELECT label, p_, base FROM (SELECT DISTINCT label, p_ FROM cnt) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS base)), pwm AS (SELECT label, p_, base, coalesce(n, 0) AS n, (coalesce(n, 0) + 1) / (sum(coalesce(n, 0)) OVER (PARTITION BY label, p_) + 4)::DOUBLE AS prob FROM grid LEFT JOIN cnt USING (label, p_, base)), odds AS (SELECT p_, base, ln(max(prob) FILTER (label = 'pos')) - ln(max(prob) FILTER (label = 'neg')) AS o FROM pwm GROUP BY ALL), score AS (SELECT seq_id, pos, label, sum(coalesce(o, 0)) / count(*) AS score FROM cell LEFT JOIN odds USING (p_, base) WHERE p_ NOT BETWEEN 20 AND 22 GROUP BY ALL)"
 
 
+def _windows(spark, sf_dir):
+    return coding.motif_windows(view(spark, sf_dir, CODING))
+
+
 def _motifs(spark, sf_dir):
-    seqs = view(spark, sf_dir, CODING)
-    first = coding.motif_windows(seqs, spark.createDataFrame([], "seq_id string, pos int"), 20, -3).groupBy("seq_id").agg(F.min("pos").alias("pos"))
-    return clusters.stored(coding.motif_windows(seqs, first), "motifs")
+    return clusters.stored(_windows(spark, sf_dir), "motifs")
 
 
 @query(f"WITH {_MOTIF} SELECT label, CAST(p_ AS INTEGER) AS pos, base, n, round(prob, 6) AS prob FROM pwm")
@@ -373,7 +375,7 @@ _ROUNDS = f"rw AS (SELECT *, {_DRAWN_FROM.format("concat_ws(':', seq_id, pos, ro
 @query(f"WITH {_MOTIF}, {_ROUNDS}, each AS (" + " UNION ALL ".join(f"SELECT round, {a} AS first, {b} AS last, label, seq_id, pos, sum(o) / count(*) AS score FROM hit WHERE p_ BETWEEN {a} AND {b} GROUP BY ALL" for a, b in _SPANS) + ") SELECT round, first, last, label, count(*) AS n, round(avg(score), 5) AS score FROM each GROUP BY ALL")
 def cross_scored_starts(spark, sf_dir):
     """Mean score of the test windows by round, range of positions and label."""
-    rows = coding.cross_scored(_motifs(spark, sf_dir), rounds=5)
+    rows = coding.cross_scored(_windows(spark, sf_dir), rounds=5)
     return rows.groupBy("round", "first", "last", "label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 5).alias("score"))
 
 

@@ -738,3 +738,54 @@ def test_windows_of_a_word_come_in_small_batches():
     counts_of = [b.num_rows for b in counts._word_windows(iter([pa.RecordBatch.from_pydict({"seq_id": ["a"], "seq": ["xxATG" * 100_000]})]), "ATG", 2, 2)]
     assert sum(counts_of) == 99_999 and max(counts_of) == counts._WINDOWS
     assert got[-1].to_pylist()[-1] == {"seq_id": "c", "pos": 4, "window": "TGATGAT"}
+
+
+def test_window_counts_equal_brute_force(spark, monkeypatch):
+    texts = [None, "", "ACGTN", "acgT", "éA\U0001f600C", "A" * 40 + "G", "GGGG"]
+    rows = [(k % 3, [None, "pos", "neg"][k % 7 % 3], texts[k % 7]) for k in range(200)] + [(9, "neg", "ACGT" * 3000)]
+    frame = spark.createDataFrame(rows, "round int, label string, window string")
+    want = Counter((r, label, at, b) for r, label, w in rows for at, b in enumerate(w or "") if b in "ACGT")
+    for held in (counts._HELD, 64):  # the small one: flushed often, and cells as a sorted list
+        monkeypatch.setattr(counts, "_HELD", held)
+        got = counts.window_counts(frame, ["round", "label"]).collect()
+        assert {(r.round, r.label, r.pos, b): r[b] for r in got for b in "ACGT" if r[b]} == want
+    own = {(r.label, r.pos, r.base): (r.n, r.prob) for r in coding.weight_matrix(frame.where("round = 9")).collect()}
+    assert len(own) == 12_000 * 4 and own["neg", 0, "A"] == (1, 2 / 5) and own["neg", 0, "C"] == (0, 1 / 5)
+
+
+def test_first_starts_are_found_in_one_reading(spark):
+    rows = [("a", "ATGxATGxxATG"), ("b", "xxxATGx"), ("b", "xxxxxATGxxxx"), ("c", "xxATGxxxxATGxxxATG"), (None, "xxATGxxATGxx"), ("d", None)]
+    seqs = spark.createDataFrame(rows, "seq_id string, seq string")
+    first = coding.motif_windows(seqs, spark.createDataFrame([], "seq_id string, pos int"), 2, -3).groupBy("seq_id").agg(F.min("pos").alias("pos"))
+    got, want = (Counter(map(tuple, coding.motif_windows(seqs, starts, 2, 2).collect())) for starts in (None, first))
+    # the first of b is too near to the end for a window, and still makes the other one a decoy
+    assert got == want and got["b", 6, "neg", "XXATGXX"] == 1 and sum(got.values()) == 6
+
+
+def test_cross_scores_read_windows_once_and_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(str(k), rng.randint(1, 99), "pos" if k % 4 == 0 else "neg", "".join(rng.choices("ACGT", k=33))) for k in range(300)]
+    # few different numbers, so that the last test window shares its own with others
+    monkeypatch.setattr(coding, "_drawn", lambda a, b, k: (F.hash(a, b, k) % 8 + 8) % 8 * 1250)
+    read = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    frame = spark.createDataFrame(rows, "seq_id string, pos int, label string, window string")
+    got = coding.cross_scored(frame.mapInArrow(pass_on, frame.schema), rounds=3, most=7).collect()
+    assert read.value == 300
+    drawn = frame.select("seq_id", F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("k"), "pos").select("seq_id", "k", coding._drawn("seq_id", "pos", F.col("k")).alias("u")).collect()
+    number = {(r.k, r.seq_id): r.u for r in drawn}
+    for k in (1, 2, 3):
+        matrix = coding.weight_matrix(frame.where(F.col("seq_id").isin([s for s, *_ in rows if number[k, s] < 7500])))
+        odds = {(r.at, r.base): r.odds for r in coding._log_odds(matrix, []).collect()}
+        for label in ("pos", "neg"):
+            test = sorted((number[k, s], s, p, w) for s, p, x, w in rows if x == label and number[k, s] >= 7500)[:7]
+            assert len(test) == 7
+            for a, b in ((0, 27), (15, 32)):
+                places = [at for at in range(a, b + 1) if not 20 <= at <= 22]
+                mine = {(r.seq_id, r.pos): r.score for r in got if (r.round, r.first, r.last, r.label) == (k, a, b, label)}
+                assert mine == pytest.approx({(s, p): sum(odds.get((at, w[at]), 0) for at in places) / len(places) for _, s, p, w in test})

@@ -789,3 +789,33 @@ def test_cross_scores_read_windows_once_and_equal_brute_force(spark, monkeypatch
                 places = [at for at in range(a, b + 1) if not 20 <= at <= 22]
                 mine = {(r.seq_id, r.pos): r.score for r in got if (r.round, r.first, r.last, r.label) == (k, a, b, label)}
                 assert mine == pytest.approx({(s, p): sum(odds.get((at, w[at]), 0) for at in places) / len(places) for _, s, p, w in test})
+
+
+def test_clusters_have_only_what_is_outside_the_largest_one_as_targets(spark, monkeypatch):
+    rnd = random.Random(21)
+    say = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    base = say(500, "abcde")
+    rows = [(f"s{i:03}", base[: 500 - 3 * i]) for i in range(150)] + [("t0", base[:9]), ("u0", say(300, "fghij")), ("u1", say(300, "fghij") + base[:9]), ("u2", say(40, "klm")), ("u3", None)]
+    u0 = dict(rows)["u0"]
+    rows += [("u4", u0[:200]), ("u5", u0[5:]), ("a", say(150, "nop"))]
+    sets = {i: {s[j : j + 5] for j in range(len(s) - 4)} for i, s in rows if s}
+    root = {i: i for i, _ in rows}
+    for _ in range(4):
+        for a in sets:
+            for b in sets:
+                if len(sets[a] & sets[b]) >= 0.95**5 * min(len(sets[a]), len(sets[b])):
+                    root[a] = root[b] = min(root[a], root[b])
+    passes, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: passes.append(x) or broadcast(self, x))
+    frame = spark.createDataFrame(rows, "seq_id string, seq string")
+    assert {r.seq_id: r.cluster for r in clusters.near_identical(frame, block=2400).collect()} == root
+    assert root["u1"] == root["t0"] == "s000" and root["u5"] == "u0" and root["a"] == "a"
+    assert len(passes) < 10  # of all 45,000 characters there would be 18 blocks at least
+
+
+def test_small_tables_of_sequences_are_compared_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clusters, "shared_path", lambda _, name, n=iter(range(99)): f"{tmp_path}/{name}-{next(n)}")
+    rows = [(f"s{i:03}", f"{i:03}" * 9) for i in range(200)]
+    assert clusters.near_identical(spark.createDataFrame(rows, "seq_id string, seq string")).count() == 200
+    parts = [len(list(p.glob("part-*"))) for p in tmp_path.glob("sequences-*")]
+    assert parts and min(parts) > 1

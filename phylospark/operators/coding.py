@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import chars, ratio, translate_codons
 from ..functions.sequence import GENETIC_CODES
 from .clusters import stored
-from .counts import base_totals, ending_kmer_counts, frame_scores, profiles, reading_frames, window_counts, word_windows
+from .counts import base_totals, ending_kmer_counts, frame_scores, profiles, reading_frames, span_scores, window_counts, word_windows
 from .places import carried, in_ranges
 
 _STOP = "(TAA|TAG|TGA)$"
@@ -180,33 +181,46 @@ def _drawn(*key: Column | str) -> Column:
     return F.conv(F.substr(F.md5(F.concat_ws(":", *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in key])), F.lit(1), F.lit(7)), 16, 10).cast("long") % 10_000
 
 
-def cross_scored(windows: DataFrame, rounds: int = 5, share: float = 0.75, most: int = 1000, firsts: tuple[int, ...] = (0, 5, 10, 15), lasts: tuple[int, ...] = (27, 32), skip: tuple[int, int] = (20, 22)) -> DataFrame:
-    """For each round, matrices of a hashed training share score at most ``most`` test windows a label (the first by
-    hash), over all ranges of positions around the start (``round``, ``first``, ``last``).
+def cross_scored(windows: DataFrame, rounds: int = 5, share: float = 0.75, most: int | None = None, firsts: tuple[int, ...] = (0, 5, 10, 15), lasts: tuple[int, ...] = (27, 32), skip: tuple[int, int] = (20, 22)) -> DataFrame:
+    """For each round, matrices of a hashed training share score all other windows (with ``most``, so many a label, the
+    first by hash), over all ranges of positions around the start (``round``, ``first``, ``last``).
 
-    All rounds are one job; windows are read once and stored with their numbers.  Test windows are counted by number, and
-    only those of one number (a ten-thousandth of the windows) are ever ordered.
+    All rounds are one job; windows are read once and stored with their numbers.  Windows that share ``seq_id``, ``pos`` and
+    label have one score over all their places; only those are grouped.
     """
     numbers = F.array(*[_drawn("seq_id", "pos", F.lit(k)).cast("int") for k in range(1, rounds + 1)])
-    dealt = stored(windows.select("seq_id", "pos", "label", "window", numbers.alias("__u")), "dealt")
-    dealt = dealt.select("seq_id", "pos", "label", "window", F.posexplode("__u").alias("__k", "u")).withColumn("round", F.col("__k") + 1).drop("__k")
-    odds = _log_odds(weight_matrix(dealt.where(F.col("u") < share * 10_000), by=["round"]), ["round"])
+    alike = F.count("*").over(W.partitionBy("seq_id", "pos", "label"))
+    dealt = stored(windows.select("seq_id", "pos", "label", "window", numbers.alias("__u"), alike.alias("__alike")), "dealt")
+    dealt = dealt.select("seq_id", "pos", "label", "window", "__alike", F.posexplode("__u").alias("__k", "u")).withColumn("round", F.col("__k") + 1).drop("__k")
+    found = _log_odds(weight_matrix(dealt.where(F.col("u") < share * 10_000), by=["round"]), ["round"]).where((F.col("at") <= max(lasts)) & F.col("odds").isNotNull())
+    odds = np.zeros((rounds, max(lasts) + 1, 5))
+    for r in found.collect():  # rounds x positions x four bases
+        odds[r["round"] - 1, r["at"], "ACGT".index(r["base"])] = r["odds"]
     held = dealt.where(F.col("u") >= share * 10_000)
+    if most is not None:
+        held = _first_drawn(held, most)
+    spans, keys = [(a, b) for a in firsts for b in lasts], ["round", "seq_id", "pos", "label"]
+    ends = [F.array(*[F.lit(span[i]) for span in spans]).alias(x) for i, x in enumerate(("first", "last"))]
+
+    def scores(some: DataFrame) -> DataFrame:
+        rows = span_scores(some.select(*keys, "window"), odds, spans, skip)
+        return rows.select(*keys, F.explode(F.arrays_zip(*ends, "score", "n")).alias("s")).select("round", "s.first", "s.last", "seq_id", "pos", "label", "s.score", "s.n")
+
+    whole = F.try_divide(F.sum(F.col("score") * F.col("n")), F.sum("n")).alias("score")
+    several = scores(held.where("__alike > 1")).groupBy("round", "first", "last", "seq_id", "pos", "label").agg(whole)
+    return scores(held.where("__alike = 1")).drop("n").union(several)
+
+
+def _first_drawn(held: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` windows a round and label, the first by number: they are counted by number, and only those of one
+    number (a ten-thousandth of the windows) are ever ordered."""
     before = F.sum("__c").over(W.partitionBy("round", "label").orderBy("u").rowsBetween(W.unboundedPreceding, -1))  # at most 10,000 rows
     counts = held.groupBy("round", "label", "u").agg(F.count("*").alias("__c")).withColumn("__before", F.coalesce(before, F.lit(0)))
     first = counts.where(F.col("__before") < most).select(F.col("round").alias("__round"), F.col("label").alias("__label"), F.col("u").alias("__u"), "__before")
     # at most 10,000 rows for each round and label
     near = held.join(F.broadcast(first), (F.col("round") == F.col("__round")) & F.col("label").eqNullSafe(F.col("__label")) & (F.col("u") == F.col("__u")))
     own = F.row_number().over(W.partitionBy("round", "label", "u").orderBy("seq_id", "pos", "window"))
-    test = near.withColumn("__n", F.col("__before") + own).where(F.col("__n") <= most)
-    cells = test.select("round", "seq_id", "pos", "label", F.posexplode(chars("window")).alias("at", "base")).where(~F.col("at").between(*skip))
-    # rounds x positions x four bases
-    scored = cells.join(F.broadcast(odds), ["round", "at", "base"], "left").withColumn("odds", F.coalesce("odds", F.lit(0.0)))
-    spans = [(a, b) for a in firsts for b in lasts]
-    within = lambda a, b, x: F.when(F.col("at").between(a, b), x)
-    wide = scored.groupBy("round", "seq_id", "pos", "label").agg(*[(F.sum(within(a, b, F.col("odds"))) / F.count(within(a, b, F.lit(1)))).alias(f"s{a}_{b}") for a, b in spans])
-    each = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last"), F.col(f"s{a}_{b}").alias("score")) for a, b in spans])
-    return wide.select("round", "seq_id", "pos", "label", F.explode(each).alias("s")).select("round", "s.first", "s.last", "seq_id", "pos", "label", "s.score")
+    return near.withColumn("__n", F.col("__before") + own).where(F.col("__n") <= most)
 
 
 def best_share(rows: DataFrame, score: str, share: float) -> DataFrame:

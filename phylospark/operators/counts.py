@@ -660,6 +660,38 @@ def window_counts(windows: DataFrame, keys: list[str]) -> DataFrame:
     return parts.groupBy(*keys, "pos").agg(*[F.sum(b).alias(b) for b in _BASES])
 
 
+def span_scores(windows: DataFrame, odds: np.ndarray, spans: list[tuple[int, int]], skip: tuple[int, int]) -> DataFrame:
+    """The columns of ``windows`` but ``window``, and for each span of places (both ends count) ``score``, the mean of the
+    ``odds`` (by ``round`` from 1, place and base, others last) without those from skip to skip, and ``n``, how many places that is.
+    """
+    keys = [f for f in windows.schema if f.name != "window"]
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in keys], "score array<double>", "n array<int>"])
+    width = odds.shape[1]
+    plain = np.ones(width, bool)
+    plain[skip[0] : skip[1] + 1] = False
+    lows, highs = (np.array([min(x + i, width) for x in ends]) for i, ends in enumerate(zip(*spans)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rounds = np.asarray(batch.column(batch.schema.get_field_index("round"))) - 1
+            for first, codes, bounds in _code_runs(batch.column(batch.schema.get_field_index("window")), _UPPER_CODE):
+                lengths = np.diff(bounds)
+                rows = len(lengths)
+                row, at = np.repeat(np.arange(rows), lengths), np.arange(len(codes)) - np.repeat(bounds[:-1], lengths)
+                some = at < width
+                row, at, codes = row[some], at[some], codes[some]
+                sums, n = np.zeros((rows, width + 1)), np.zeros((rows, width + 1), np.int32)
+                sums[row, at + 1], n[row, at + 1] = odds[rounds[first : first + rows][row], at, codes] * plain[at], plain[at]
+                sums, n = np.cumsum(sums, axis=1), np.cumsum(n, axis=1)
+                n = (n[:, highs] - n[:, lows]).reshape(-1)
+                score = (sums[:, highs] - sums[:, lows]).reshape(-1) / np.maximum(n, 1)
+                cuts = pa.array(np.arange(rows + 1) * len(spans), pa.int32())
+                own = [batch.column(batch.schema.get_field_index(f.name)).slice(first, rows) for f in keys]
+                yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(cuts, pa.array(score, mask=n == 0)), pa.ListArray.from_arrays(cuts, pa.array(n, pa.int32()))], names=[*[f.name for f in keys], "score", "n"])
+
+    return windows.mapInArrow(run, schema)
+
+
 #: windows of one batch that a task emits
 _WINDOWS = 1 << 15
 

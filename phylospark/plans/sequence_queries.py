@@ -369,12 +369,12 @@ def _matrices(name: str, cells: str, by: str = "") -> str:
 
 
 _SPANS = [(a, b) for a in (0, 5, 10, 15) for b in (27, 32)]
-_ROUNDS = f"rw AS (SELECT *, {_DRAWN_FROM.format("concat_ws(':', seq_id, pos, round)")} AS u FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS round)), train AS (SELECT round, label, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM rw WHERE u < 7500), {_matrices('_r', 'train', 'round, ')}, test AS (SELECT round, label, seq_id, pos, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM (SELECT *, row_number() OVER (PARTITION BY round, label ORDER BY u, seq_id, pos) AS k FROM rw WHERE u >= 7500) WHERE k <= 1000), hit AS (SELECT test.*, coalesce(o, 0) AS o FROM test LEFT JOIN odds_r USING (round, p_, base) WHERE p_ NOT BETWEEN 20 AND 22)"
+_ROUNDS = f"rw AS (SELECT *, {_DRAWN_FROM.format("concat_ws(':', seq_id, pos, round)")} AS u FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS round)), train AS (SELECT round, label, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM rw WHERE u < 7500), {_matrices('_r', 'train', 'round, ')}, test AS (SELECT round, label, seq_id, pos, unnest(range(33)) AS p_, unnest(string_split(win, '')) AS base FROM rw WHERE u >= 7500), hit AS (SELECT test.*, coalesce(o, 0) AS o FROM test LEFT JOIN odds_r USING (round, p_, base) WHERE p_ NOT BETWEEN 20 AND 22)"
 
 
 @query(f"WITH {_MOTIF}, {_ROUNDS}, each AS (" + " UNION ALL ".join(f"SELECT round, {a} AS first, {b} AS last, label, seq_id, pos, sum(o) / count(*) AS score FROM hit WHERE p_ BETWEEN {a} AND {b} GROUP BY ALL" for a, b in _SPANS) + ") SELECT round, first, last, label, count(*) AS n, round(avg(score), 5) AS score FROM each GROUP BY ALL")
 def cross_scored_starts(spark, sf_dir):
-    """Mean score of the test windows by round, range of positions and label."""
+    """Mean score of all test windows by round, range of positions and label."""
     rows = coding.cross_scored(_windows(spark, sf_dir), rounds=5)
     return rows.groupBy("round", "first", "last", "label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 5).alias("score"))
 

@@ -819,3 +819,25 @@ def test_small_tables_of_sequences_are_compared_by_several_tasks(spark, tmp_path
     assert clusters.near_identical(spark.createDataFrame(rows, "seq_id string, seq string")).count() == 200
     parts = [len(list(p.glob("part-*"))) for p in tmp_path.glob("sequences-*")]
     assert parts and min(parts) > 1
+
+
+def test_cross_scores_are_of_all_test_windows(spark):
+    rng = random.Random(8)
+    rows = [(None if k % 50 == 0 else str(k), rng.randint(1, 3), "pos" if k % 2 == 0 else "neg", "".join(rng.choices("ACGTN", k=rng.choice([33, 33, 33, 40, 18])))) for k in range(10_000)]
+    rows += [(s, p, x, w[::-1]) for s, p, x, w in rows[:300]]  # several windows of one place
+    frame = spark.createDataFrame(rows, "seq_id string, pos int, label string, window string")
+    got = coding.cross_scored(frame, rounds=2).collect()
+    number = {(r.k, r.seq_id, r.pos): r.u for r in frame.select("seq_id", "pos", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).withColumn("u", coding._drawn("seq_id", "pos", F.col("k"))).collect()}
+    want = {}
+    for k in (1, 2):
+        matrix = coding.weight_matrix(spark.createDataFrame([r for r in rows if number[k, r[0], r[1]] < 7500], frame.schema))
+        odds = {(r.at, r.base): r.odds for r in coding._log_odds(matrix, []).collect()}
+        for a, b in ((0, 27), (15, 32)):
+            places = {}
+            for s, p, x, w in rows:
+                if number[k, s, p] >= 7500:
+                    places.setdefault((k, a, b, s, p, x), []).extend(odds.get((at, w[at])) or 0 for at in range(a, min(b + 1, len(w))) if not 20 <= at <= 22)
+            want |= {key: sum(v) / len(v) for key, v in places.items()}
+    mine = {tuple(r)[:6]: r.score for r in got if (r.first, r.last) in ((0, 27), (15, 32))}
+    assert all(sum(r.round == 1 and r.first == 0 and r.last == 27 and r.label == x for r in got) > 1000 for x in ("pos", "neg"))
+    assert mine == pytest.approx(want) and len(got) == 2 * len(mine) * 2

@@ -841,3 +841,24 @@ def test_cross_scores_are_of_all_test_windows(spark):
     mine = {tuple(r)[:6]: r.score for r in got if (r.first, r.last) in ((0, 27), (15, 32))}
     assert all(sum(r.round == 1 and r.first == 0 and r.last == 27 and r.label == x for r in got) > 1000 for x in ("pos", "neg"))
     assert mine == pytest.approx(want) and len(got) == 2 * len(mine) * 2
+
+
+def test_greedy_blocks_are_compared_by_tasks_and_decided_in_order(spark, monkeypatch):
+    rnd = random.Random(31)
+    say = lambda n: "".join(rnd.choice("abcdefghijklmnopq") for _ in range(n))
+    long, part = say(1000), say(70)
+    y = long[100:200] + part[:60]
+    # x and y are in twenty sequences that the long one excludes, and y in one more, which stays
+    rows = [("l", long), ("x", long[300:400] + part[:59]), ("y", y), ("e", say(200) + y)]
+    rows += [(f"d{i:02}", long[:420] + part + say(5)) for i in range(20)] + [(f"r{i:02}", say(90)) for i in range(9)]
+    kept = []
+    for i, s in sorted(rows, key=lambda r: (-len(r[1]), r[0])):
+        drawn = {s[j : j + 5] for j in range(0, len(s) - 4, 5)}
+        if not any(len(drawn & k) / len(drawn) > 0.8 for _, k in kept):
+            kept.append((i, {s[j : j + 5] for j in range(len(s) - 4)}))
+    assert {"l", "x", "e"} <= {i for i, _ in kept} and not {"y", "d00", "d19"} & {i for i, _ in kept}
+    on_driver, kmer_set = [], clusters.kmer_set
+    monkeypatch.setattr(clusters, "kmer_set", lambda *a: on_driver.append(a) or kmer_set(*a))
+    frame = spark.createDataFrame(rows, "seq_id string, seq string")
+    assert sorted(r.seq_id for r in clusters.greedy_representatives(frame).collect()) == sorted(i for i, _ in kept)
+    assert not on_driver
